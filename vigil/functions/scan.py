@@ -52,25 +52,23 @@ def running(df: DataFrame, by: list[str], order: str, specs: list[RunSpec],
     """
     bkt = bucket if bucket is not None else default_bucket(df, order)
     b = df.withColumn("_bkt", bkt)
-    # 1. bucket totals: one row per (by, bucket)
-    tot = b.groupBy(*by, "_bkt").agg(*[_AGG[s.op](s.col).alias(f"_t_{s.out}") for s in specs])
-    # 2. exclusive prefix over buckets (a window over bucket rows only)
-    wb = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
-    pre = tot.select(*by, "_bkt", *[_AGG[s.op](f"_t_{s.out}").over(wb).alias(f"_p_{s.out}")
-                                   for s in specs])
-    # 3. running value inside the bucket
+    # 1. running value inside each (by, bucket): the one exchange of the input rows
     cols = []
     for s in specs:
         w = Window.partitionBy(*by, "_bkt").orderBy(order).rowsBetween(
             Window.unboundedPreceding, 0 if s.inclusive else -1)
         cols.append(_AGG[s.op](s.col).over(w).alias(f"_i_{s.out}"))
-    inner = b.select("*", *cols).alias("_in")
-    pre = pre.select(*[F.col(c).alias(f"_k_{c}") for c in [*by, "_bkt"]],
-                     *[f"_p_{s.out}" for s in specs])
-    # null-safe: a NULL key (e.g. "no event yet") is a group of its own
-    cond = [F.col(f"_in.{c}").eqNullSafe(F.col(f"_k_{c}")) for c in [*by, "_bkt"]]
-    joined = inner.join(pre, cond, "left")
-    out = joined.select(*[F.col(f"_in.{c}") for c in df.columns],
+    inner = b.select("*", *cols)
+    # 2. bucket totals from the same partitioning (no new exchange), then their exclusive
+    #    prefix: a window over bucket rows only
+    tot = inner.groupBy(*by, "_bkt").agg(*[_AGG[s.op](s.col).alias(f"_t_{s.out}") for s in specs])
+    wb = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    pre = tot.select(*by, "_bkt",
+                     *[_AGG[s.op](f"_t_{s.out}").over(wb).alias(f"_p_{s.out}") for s in specs])
+    # 3. combine on the window's own keys (keys must be non-NULL), so the row side keeps its
+    #    partitioning; the prefix side is one row per (key, bucket)
+    joined = inner.join(pre, [*by, "_bkt"], "left")
+    out = joined.select(*df.columns,
                         *[_combine(s.op, F.col(f"_p_{s.out}"), F.col(f"_i_{s.out}")).alias(s.out)
                           for s in specs])
     return out

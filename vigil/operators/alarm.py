@@ -20,8 +20,8 @@ E0s inside the off-phase change nothing). The phase began at S1 = the first E1 a
 latest E0 (resp. S0 = the first E0 after the latest E1; the start of time when there is no
 E1 yet). In the on-phase the state is 2 when a not-on batch lies in (S1, t], else 1; in the
 off-phase it is 3 when an on batch lies in (S0, t], else 0. A command is sent at t when
-``on`` differs from the phase before t. Every quantity is a running max/min over batches
-(segmented by the latest E-batch for S0/S1), so the machine is a few two-level running scans.
+``on`` differs from the phase before t. The latest-E / latest-on / latest-off batches are
+running maxima (one two-level running scan); S0/S1 are minima per segment (aggregates).
 """
 
 from __future__ import annotations
@@ -76,9 +76,15 @@ def alarm_machine(types: DataFrame, acks: DataFrame | None = None) -> DataFrame:
         RunSpec("e1", "_e1", "max"), RunSpec("e0", "_e0", "max"),
         RunSpec("lon", "_on", "max"), RunSpec("loff", "_off", "max"),
         RunSpec("e1p", "_e1", "max", inclusive=False), RunSpec("e0p", "_e0", "max", inclusive=False)])
-    # phase starts: first E0 inside the segment opened by the latest E1, and vice versa
-    r = running(r, ["scope", "e1"], "batch", [RunSpec("s0", "_e0", "min")])
-    r = running(r, ["scope", "e0"], "batch", [RunSpec("s1", "_e1", "min")])
+    # phase starts: first E0 inside the segment opened by the latest E1, and vice versa.
+    # Only read in their own phase, where they lie at or before the batch, so a segment
+    # minimum (an aggregate, not a running scan) is enough. NULL segment = before any E-batch.
+    s0 = r.groupBy("scope", "e1").agg(F.min("_e0").alias("s0")).withColumnRenamed("e1", "_g1")
+    s1 = r.groupBy("scope", "e0").agg(F.min("_e1").alias("s1")).withColumnRenamed("e0", "_g0")
+    r = (r.join(s0.withColumnRenamed("scope", "_sc1"),
+                (F.col("scope") == F.col("_sc1")) & F.col("e1").eqNullSafe(F.col("_g1")), "left")
+          .join(s1.withColumnRenamed("scope", "_sc0"),
+                (F.col("scope") == F.col("_sc0")) & F.col("e0").eqNullSafe(F.col("_g0")), "left"))
     e1, e0, e1p, e0p = F.col("e1"), F.col("e0"), F.col("e1p"), F.col("e0p")
     lon, loff, s0, s1 = F.col("lon"), F.col("loff"), F.col("s0"), F.col("s1")
     phase_after = e1.isNotNull() & (e0.isNull() | (e1 > e0))

@@ -21,8 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.scan import RunSpec, running
-from vigil.functions.sizing import MAX_BROADCAST_ROWS, bounded_broadcast, hint
+from vigil.functions.sizing import MAX_BROADCAST_ROWS, bounded_broadcast, hint, materialize
 from vigil.operators.moments import KEY, batch_partials, running_moments
 from vigil.schema import SIGMAS
 
@@ -32,14 +31,18 @@ def breach_code(x: Column, lo: Column, hi: Column) -> Column:
     return F.when(x > hi, F.lit(1)).when(x < lo, F.lit(-1)).otherwise(F.lit(0))
 
 
-def thresholds(readings: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
-    """Per (scope, sensor, batch): statistics, band, batch breach flags and end-of-batch state."""
-    m = running_moments(batch_partials(readings), sigmas)
+def thresholds(partials: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
+    """Per (scope, sensor, batch): statistics, band, batch breach flags and end-of-batch state,
+    from the (materialized) batch partials."""
+    m = running_moments(partials, sigmas)
     m = m.withColumn("breach_b", ((F.col("x_max") > F.col("hi")) | (F.col("x_min") < F.col("lo"))).cast("int"))
     m = m.withColumn("last_code", breach_code(F.col("x_last"), F.col("lo"), F.col("hi")))
-    r = running(m, KEY, "batch", [RunSpec("br_thru", "breach_b", "max"),
-                                  RunSpec("br_before", "breach_b", "max", inclusive=False)])
-    r = r.withColumn("br_before", F.coalesce(F.col("br_before"), F.lit(0)))
+    # breach flags are monotone in time: one "first breaching batch" per key decides them
+    fbb = m.where(F.col("breach_b") == 1).groupBy(*KEY).agg(F.min("batch").alias("fbb"))
+    r = m.join(fbb, KEY, "left")
+    r = (r.withColumn("br_thru", F.coalesce((F.col("batch") >= F.col("fbb")).cast("int"), F.lit(0)))
+          .withColumn("br_before", F.coalesce((F.col("batch") > F.col("fbb")).cast("int"), F.lit(0)))
+          .drop("fbb"))
     end_state = (F.when(F.col("last_code") != 0, F.col("last_code"))
                  .when(F.col("br_thru") == 1, F.lit(2)).otherwise(F.lit(0)))
     first_here = (F.col("breach_b") == 1) & (F.col("br_before") == 0)
@@ -84,5 +87,8 @@ class BreachPlan:
 
 def plan_breaches(readings: DataFrame, sigmas: float = SIGMAS,
                   max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> BreachPlan:
-    thr, small = bounded_broadcast(thresholds(readings, sigmas), max_broadcast_rows)
+    """Pass 1 scans the readings once into per-batch partials (written once: everything up to
+    the thresholds reads only that small table); later passes join thresholds back to rows."""
+    partials = materialize(batch_partials(readings), "partials")
+    thr, small = bounded_broadcast(thresholds(partials, sigmas), max_broadcast_rows, "thresholds")
     return BreachPlan(readings, thr, small)

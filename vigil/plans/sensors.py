@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators.alarm import alarm_commands, alarm_machine, alarm_type
 from vigil.operators.breach import plan_breaches
+from vigil.functions.sizing import materialize
 from vigil.operators.moments import batch_partials, running_totals
 from vigil.sources.tables import events, long_readings, message_readings, wide_messages
 
@@ -37,7 +38,8 @@ def running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_totals_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = running_totals(batch_partials(long_readings(events(spark, sf_dir), unit="day")))
+    p = materialize(batch_partials(long_readings(events(spark, sf_dir), unit="day")), "partials")
+    t = running_totals(p)
     return t.select("sensor", "batch", "cnt", r4("total"), r4("mean"))
 
 
