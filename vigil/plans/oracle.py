@@ -122,3 +122,96 @@ fsm(i, batch, alarm_type, ack, alarm, command) AS (
               WHEN q.alarm_type = '' AND f.alarm IN (1, 2) THEN 'OFF' END
   FROM fsm f JOIN seq q ON q.i = f.i + 1)
 SELECT batch, alarm_type, ack, alarm, command FROM fsm WHERE i > 0""")
+
+
+# ---- message, summary, line, word and baseline jobs ----------------------------------------
+
+MSG = """
+m AS (
+  SELECT event_id AS ord, CAST(user_id AS VARCHAR) AS guid, date_trunc('hour', ts) AS batch, ts,
+         value AS temperature, CAST(CAST(json_extract_string(props, '$.k') AS INTEGER) AS DOUBLE) AS k
+  FROM events)"""
+
+PROJECTION = """
+SELECT ord, guid, CAST(NULL AS VARCHAR) AS reply_url, temperature, 25.0 + k / 20.0 AS pressure,
+       k AS humidity, 255.0 - temperature AS ambient_light,
+       strftime(ts, '%Y-%m-%dT%H:%M:%S.%fZ') AS "timestamp"
+FROM m"""
+
+DISTINCT_FLOAT = """
+d AS (SELECT DISTINCT CAST(value AS FLOAT) AS temperature FROM events)"""
+
+LINE_VALUES = MSG + """,
+lv AS (
+  SELECT batch, ord, 'HUMIDITY' AS sensor, printf('%f', k) AS x_text FROM m
+  UNION ALL SELECT batch, ord, 'LIGHT', printf('%f', 255.0 - temperature) FROM m),
+v AS (SELECT batch, ord, sensor, x_text, TRY_CAST(x_text AS DOUBLE) AS x FROM lv)"""
+
+SEASON = "sin(2.0 * pi() * (dayofyear(ts) - 76 + (year(ts) % 4) / 4.0) / 365.24)"
+HOURS = "(hour(ts) + minute(ts) / 60.0 + second(ts) / 3600.0)"
+EXP_T = f"(70.0 + 32.0 * {SEASON})"
+_G = f"sin(pi() * ({HOURS} - (6.0 - {SEASON})) / 12.0)"
+EXP_L = (f"(100.0 + 90.0 * CASE WHEN {HOURS} < 6.0 - {SEASON} OR {HOURS} > 18.0 + {SEASON} "
+         f"THEN {_G} * 0.25 ELSE {_G} END)")
+
+ORACLE.update({
+    "json_decode": _with(MSG) + PROJECTION,
+    "json_reassemble": _with(MSG) + PROJECTION,
+    "sensor_array": _with(MSG) + """
+SELECT ord, guid, 'TEMPERATURE' AS sensor, temperature AS x FROM m
+UNION ALL SELECT ord, guid, 'PRESSURE', 25.0 + k / 20.0 FROM m
+UNION ALL SELECT ord, guid, 'HUMIDITY', k FROM m
+UNION ALL SELECT ord, guid, 'LIGHT', 255.0 - temperature FROM m""",
+    "rejects": "SELECT event_id AS ord, 'malformed' AS reason FROM events WHERE event_type = 'error'",
+
+    "distinct_float": _with(DISTINCT_FLOAT) + "SELECT temperature FROM d",
+    "summary": _with(DISTINCT_FLOAT) + """
+SELECT round(avg(temperature), 4) AS "avg(temperature)", min(temperature) AS "min(temperature)",
+       max(temperature) AS "max(temperature)" FROM d""",
+    "summary_stats": _with(DISTINCT_FLOAT) + """
+SELECT count(temperature) AS "count", round(avg(temperature), 4) AS mean,
+       round(stddev_samp(temperature), 4) AS stddev, min(temperature) AS "min", max(temperature) AS "max" FROM d""",
+    "alerts": _with(DISTINCT_FLOAT) + """
+SELECT max(temperature) AS max_temperature, round(avg(temperature), 4) AS avg_temperature,
+       CASE WHEN max(temperature) > 95.0 THEN '*ALERT!* - Temperature rose above 95.0!' END AS max_alert,
+       CASE WHEN avg(temperature) > 95.0 THEN 'Avg. temperature was above 95.0!'
+            ELSE 'Avg. temperature was OK, not above 95.0' END AS avg_alert FROM d""",
+    "search_eq": "SELECT event_id AS ord, value AS temperature FROM events WHERE value = 100.0",
+    "filter_gt": "SELECT event_id AS ord, value AS temperature FROM events WHERE value > 85",
+    "top_desc": "SELECT event_id AS ord, value AS temperature FROM events ORDER BY value DESC, event_id LIMIT 100",
+
+    "line_filter": _with(MSG) + """
+SELECT batch, ord, 'HUMIDITY' AS sensor, '"humidity":' || printf('%f', k) || ',' AS line FROM m
+UNION ALL SELECT batch, ord, 'LIGHT', '"ambient_light":' || printf('%f', 255.0 - temperature) || ',' FROM m""",
+    "line_values": _with(LINE_VALUES) + "SELECT batch, ord, sensor, x FROM v",
+    "batch_count": _with(LINE_VALUES) + """
+SELECT batch, count(*) AS n, 'Total Count of Msgs: ' || CAST(count(*) AS VARCHAR) AS label
+FROM v WHERE sensor = 'HUMIDITY' AND x IS NOT NULL GROUP BY batch""",
+    "batch_sum": _with(LINE_VALUES) + """
+SELECT batch, sensor, round(sum(x), 6) AS total,
+       CASE sensor WHEN 'HUMIDITY' THEN 'Total Sum of Humidity: ' ELSE 'Total Sum of Light: ' END
+         || printf('%.6f', sum(x)) AS label
+FROM v WHERE x IS NOT NULL GROUP BY batch, sensor""",
+    "batch_sort": _with(LINE_VALUES) + "SELECT batch, sensor, x FROM v WHERE x IS NOT NULL ORDER BY batch, sensor, x",
+    "string_sort": _with(LINE_VALUES) + "SELECT batch, sensor, x_text FROM v ORDER BY batch, sensor, x_text",
+
+    "word_counts": """
+SELECT word, count(*) AS n FROM (SELECT unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY word""",
+    "word_total": """
+SELECT CAST(count(*) AS BIGINT) AS total
+FROM (SELECT unnest(regexp_split_to_array(text, '[\\s\\x{85}\\p{Z}\\x{1c}-\\x{1f}]+')) AS w FROM documents) WHERE w <> ''""",
+    "strip_whitespace": """
+SELECT doc_id, length(regexp_replace(text, '[\\s\\x{85}\\p{Z}\\x{1c}-\\x{1f}]+', '', 'g')) AS n FROM documents""",
+
+    "expected_baseline": f"""
+SELECT event_id AS ord, round({EXP_T}, 6) AS expected_temperature, round({EXP_L}, 6) AS expected_light
+FROM events""",
+})
+
+ORACLE["residual_breaches"] = _with(MSG + f""",
+r AS (
+  SELECT ord, guid, batch, 'TEMPERATURE' AS sensor, temperature - {EXP_T} AS x FROM m
+  UNION ALL SELECT ord, guid, batch, 'PRESSURE', 25.0 + k / 20.0 - 29.0 FROM m
+  UNION ALL SELECT ord, guid, batch, 'HUMIDITY', k - 50.0 FROM m
+  UNION ALL SELECT ord, guid, batch, 'LIGHT', 255.0 - temperature - {EXP_L} FROM m)""", THRESHOLDS) + """
+SELECT ord, sensor, batch, round(x, 6) AS x, round(lo, 4) AS lo, round(hi, 4) AS hi, code FROM coded"""

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigil.plans import batchjobs as B
 from vigil.plans import sensors
 from vigil.plans.oracle import ORACLE
 
@@ -18,6 +19,29 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alarm_type": sensors.alarm_type_q,
     "alarm_commands": sensors.alarm_commands_q,
     "alarm_with_acks": sensors.alarm_with_acks,
+    "json_decode": B.json_decode,
+    "json_reassemble": B.json_reassemble,
+    "sensor_array": B.sensor_array,
+    "rejects": B.rejects,
+    "distinct_float": B.distinct_float,
+    "summary": B.summary_q,
+    "summary_stats": B.summary_stats,
+    "describe": B.describe,
+    "alerts": B.alerts,
+    "search_eq": B.search_eq,
+    "filter_gt": B.filter_gt,
+    "top_desc": B.top_desc,
+    "line_filter": B.line_filter,
+    "line_values": B.line_values,
+    "batch_count": B.batch_count,
+    "batch_sum": B.batch_sum,
+    "batch_sort": B.batch_sort,
+    "string_sort": B.string_sort,
+    "word_counts": B.word_counts,
+    "word_total": B.word_total,
+    "strip_whitespace": B.strip_whitespace,
+    "expected_baseline": B.expected_baseline,
+    "residual_breaches": B.residual_breaches,
 }
 
 

@@ -47,8 +47,9 @@ def props_k(ev: DataFrame) -> Column:
     return F.get_json_object(F.col("props"), "$.k").cast("int")
 
 
-def wide_messages(ev: DataFrame, unit: str = "hour") -> DataFrame:
-    """(ord, batch, msg) with ``msg`` the nested message struct (shape C without position)."""
+def wide_messages(ev: DataFrame, unit: str = "hour", keep: tuple[str, ...] = ()) -> DataFrame:
+    """(ord, batch, [keep...], msg) with ``msg`` the nested message struct (shape C without
+    position); ``keep`` carries extra event columns along (e.g. ``ts``) without a self-join."""
     k = props_k(ev).cast("double")
     data = F.struct(
         F.col("value").alias("temperature"),
@@ -64,12 +65,12 @@ def wide_messages(ev: DataFrame, unit: str = "hour") -> DataFrame:
                  F.lit(MESSAGE_FORMAT).alias("format"),
                  data.alias("data")).alias("payload"))
     return ev.select(F.col("event_id").alias("ord"), F.date_trunc(unit, "ts").alias("batch"),
-                     msg.alias("msg"))
+                     *keep, msg.alias("msg"))
 
 
-def message_readings(msgs: DataFrame, scope: str = "ALL") -> DataFrame:
+def message_readings(msgs: DataFrame, scope: str = "ALL", keep: tuple[str, ...] = ()) -> DataFrame:
     """Wide messages → long readings: one row per present, valid sensor value (P9 unpivot)."""
-    flat = msgs.select("ord", "batch", F.col("msg.guid").alias("guid"),
+    flat = msgs.select("ord", "batch", *keep, F.col("msg.guid").alias("guid"),
                        *[F.col(f"msg.payload.data.{f}").alias(s) for f, s in SENSOR_FIELDS.items()])
-    longf = flat.unpivot(["ord", "batch", "guid"], list(SENSOR_FIELDS.values()), "sensor", "x")
+    longf = flat.unpivot(["ord", "batch", *keep, "guid"], list(SENSOR_FIELDS.values()), "sensor", "x")
     return longf.where(valid(F.col("x"))).withColumn("scope", _scope(scope))
