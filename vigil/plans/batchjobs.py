@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigil.operators import baseline, lines, summary, words
 from vigil.operators.breach import plan_breaches
 from vigil.plans import feeds
+from vigil.plans.sensors import settle
 from vigil.sources.framing import decode_records, readings_of, reassemble
 from vigil.sources.tables import events, message_readings, read_table, wide_messages
 
@@ -15,7 +16,7 @@ DP = 4
 
 
 def _r(c, dp=DP):
-    return F.round(F.col(c), dp).alias(c)
+    return settle(F.col(c), dp).alias(c)
 
 
 def _projection(msgs: DataFrame, ord_col) -> DataFrame:

@@ -75,15 +75,15 @@ def _with(*parts: str) -> str:
 
 ORACLE = {
     "breaches": _with(LONG_READINGS, THRESHOLDS) + """
-SELECT ord, guid, sensor, batch, x, round(lo, 4) AS lo, round(hi, 4) AS hi, code FROM coded""",
+SELECT ord, guid, sensor, batch, x, round(round(lo, 10), 4) AS lo, round(round(hi, 10), 4) AS hi, code FROM coded""",
 
     "running_stats": _with(LONG_READINGS, THRESHOLDS) + """
-SELECT sensor, batch, cnt, round(mean, 4) AS mean, round(std, 4) AS std, round(lo, 4) AS lo,
-       round(hi, 4) AS hi FROM th""",
+SELECT sensor, batch, cnt, round(round(mean, 10), 4) AS mean, round(round(std, 10), 4) AS std, round(round(lo, 10), 4) AS lo,
+       round(round(hi, 10), 4) AS hi FROM th""",
 
     "running_totals": _with(LONG_READINGS) + """
-SELECT sensor, batch, CAST(sum(n) OVER w AS BIGINT) AS cnt, round(sum(t) OVER w, 4) AS total,
-       round(sum(t) OVER w / sum(n) OVER w, 4) AS mean
+SELECT sensor, batch, CAST(sum(n) OVER w AS BIGINT) AS cnt, round(round(sum(t) OVER w, 10), 4) AS total,
+       round(round(sum(t) OVER w / sum(n) OVER w, 10), 4) AS mean
 FROM (SELECT sensor, batch, count(*) AS n, sum(x) AS t FROM r GROUP BY sensor, batch)
 WINDOW w AS (PARTITION BY sensor ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)""",
 
@@ -91,7 +91,7 @@ WINDOW w AS (PARTITION BY sensor ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING
 SELECT ord, guid, sensor, batch, x, code, state FROM states""",
 
     "breach_events": _with(WIDE_READINGS, THRESHOLDS, STATES) + """
-SELECT sensor, batch, ord, guid, x, round(lo, 4) AS lo, round(hi, 4) AS hi,
+SELECT sensor, batch, ord, guid, x, round(round(lo, 10), 4) AS lo, round(round(hi, 10), 4) AS hi,
        CASE code WHEN 1 THEN 'HIGH' WHEN -1 THEN 'LOW' ELSE 'BACK' END AS kind
 FROM states WHERE code <> 0 OR state = 2""",
 
@@ -166,13 +166,13 @@ UNION ALL SELECT ord, guid, 'LIGHT', 255.0 - temperature FROM m""",
 
     "distinct_float": _with(DISTINCT_FLOAT) + "SELECT temperature FROM d",
     "summary": _with(DISTINCT_FLOAT) + """
-SELECT round(avg(temperature), 4) AS "avg(temperature)", min(temperature) AS "min(temperature)",
+SELECT round(round(avg(temperature), 10), 4) AS "avg(temperature)", min(temperature) AS "min(temperature)",
        max(temperature) AS "max(temperature)" FROM d""",
     "summary_stats": _with(DISTINCT_FLOAT) + """
-SELECT count(temperature) AS "count", round(avg(temperature), 4) AS mean,
-       round(stddev_samp(temperature), 4) AS stddev, min(temperature) AS "min", max(temperature) AS "max" FROM d""",
+SELECT count(temperature) AS "count", round(round(avg(temperature), 10), 4) AS mean,
+       round(round(stddev_samp(temperature), 10), 4) AS stddev, min(temperature) AS "min", max(temperature) AS "max" FROM d""",
     "alerts": _with(DISTINCT_FLOAT) + """
-SELECT max(temperature) AS max_temperature, round(avg(temperature), 4) AS avg_temperature,
+SELECT max(temperature) AS max_temperature, round(round(avg(temperature), 10), 4) AS avg_temperature,
        CASE WHEN max(temperature) > 95.0 THEN '*ALERT!* - Temperature rose above 95.0!' END AS max_alert,
        CASE WHEN avg(temperature) > 95.0 THEN 'Avg. temperature was above 95.0!'
             ELSE 'Avg. temperature was OK, not above 95.0' END AS avg_alert FROM d""",
@@ -188,7 +188,7 @@ UNION ALL SELECT batch, ord, 'LIGHT', '"ambient_light":' || printf('%f', 255.0 -
 SELECT batch, count(*) AS n, 'Total Count of Msgs: ' || CAST(count(*) AS VARCHAR) AS label
 FROM v WHERE sensor = 'HUMIDITY' AND x IS NOT NULL GROUP BY batch""",
     "batch_sum": _with(LINE_VALUES) + """
-SELECT batch, sensor, round(sum(x), 6) AS total,
+SELECT batch, sensor, round(round(sum(x), 12), 6) AS total,
        CASE sensor WHEN 'HUMIDITY' THEN 'Total Sum of Humidity: ' ELSE 'Total Sum of Light: ' END
          || printf('%.6f', sum(x)) AS label
 FROM v WHERE x IS NOT NULL GROUP BY batch, sensor""",
@@ -204,7 +204,7 @@ FROM (SELECT unnest(regexp_split_to_array(text, '[\\s\\x{85}\\p{Z}\\x{1c}-\\x{1f
 SELECT doc_id, length(regexp_replace(text, '[\\s\\x{85}\\p{Z}\\x{1c}-\\x{1f}]+', '', 'g')) AS n FROM documents""",
 
     "expected_baseline": f"""
-SELECT event_id AS ord, round({EXP_T}, 6) AS expected_temperature, round({EXP_L}, 6) AS expected_light
+SELECT event_id AS ord, round(round({EXP_T}, 12), 6) AS expected_temperature, round(round({EXP_L}, 12), 6) AS expected_light
 FROM events""",
 })
 
@@ -214,4 +214,4 @@ r AS (
   UNION ALL SELECT ord, guid, batch, 'PRESSURE', 25.0 + k / 20.0 - 29.0 FROM m
   UNION ALL SELECT ord, guid, batch, 'HUMIDITY', k - 50.0 FROM m
   UNION ALL SELECT ord, guid, batch, 'LIGHT', 255.0 - temperature - {EXP_L} FROM m)""", THRESHOLDS) + """
-SELECT ord, sensor, batch, round(x, 6) AS x, round(lo, 4) AS lo, round(hi, 4) AS hi, code FROM coded"""
+SELECT ord, sensor, batch, round(round(x, 12), 6) AS x, round(round(lo, 10), 4) AS lo, round(round(hi, 10), 4) AS hi, code FROM coded"""
