@@ -37,11 +37,11 @@ def _combine(op: str, pre: Column, cur: Column) -> Column:
 
 
 def default_bucket(df: DataFrame, order: str) -> Column:
-    """Calendar month for timestamps; ``order // 2**20`` for integral order columns."""
+    """Calendar month for timestamps; ``order // 2**16`` for integral order columns."""
     kind = df.schema[order].dataType.typeName()
     if kind.startswith("timestamp") or kind == "date":
         return F.date_trunc("month", F.col(order))
-    return F.floor(F.col(order) / F.lit(1 << 20))
+    return F.floor(F.col(order) / F.lit(1 << 16))
 
 
 def running(df: DataFrame, by: list[str], order: str, specs: list[RunSpec],

@@ -10,7 +10,10 @@ from vigil.functions.text import split_on_space, split_on_whitespace, strip_whit
 
 def word_counts(texts: DataFrame, col: str = "text") -> DataFrame:
     """``line.split(" ")`` then count per word — case-sensitive, empty words counted (A3)."""
-    return (texts.select(F.explode(split_on_space(col)).alias("word"))
+    # explode_outer + filter: plain explode would let the optimizer push size(split(..)) > 0,
+    # i.e. the split itself, below the scan's exchange and evaluate it twice
+    return (texts.select(F.explode_outer(split_on_space(col)).alias("word"))
+                 .where(F.col("word").isNotNull())
                  .groupBy("word").agg(F.count("*").alias("n")))
 
 

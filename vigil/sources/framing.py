@@ -34,8 +34,9 @@ def decode_records(records: DataFrame, keep: list[str] | None = None) -> tuple[D
     keep = keep or [c for c in records.columns if c != "value"]
     p = records.select(*keep, "value", parse_messages(F.col("value")).alias("_arr"))
     blank = F.trim(F.col("value")) == ""
-    good = p.where(F.col("_arr").isNotNull())
-    msgs = good.select(*keep, F.posexplode("_arr").alias("idx", "msg")).where(F.col("msg").isNotNull())
+    # posexplode_outer + a filter on its output: plain posexplode makes the optimizer infer
+    # size(_arr) > 0 and push it (with the whole parser) below the scan's exchange
+    msgs = p.select(*keep, F.posexplode_outer("_arr").alias("idx", "msg")).where(F.col("msg").isNotNull())
     rejects = p.where(F.col("_arr").isNull() & ~blank).select(
         *keep, "value", F.lit("malformed").alias("reason"))
     return msgs, rejects

@@ -15,8 +15,18 @@ from vigil.schema import MESSAGE_FORMAT, SENSOR_FIELDS
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give a scan at least one partition per core. A large table arrives in many splits and is
+    left alone (no extra shuffle); a table stored as one unsplittable row group would otherwise
+    run every per-row step (JSON, regex) in a single task. Round-robin is deterministic on retry."""
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
