@@ -33,7 +33,8 @@ from vigil.functions.scan import RunSpec, running
 from vigil.schema import ALARM_CODE_OFF, ALARM_CODE_ON, ALARM_PRIORITY
 
 
-def batch_sensor_states(end_states: DataFrame, priority: list[str] = ALARM_PRIORITY) -> DataFrame:
+def batch_sensor_states(end_states: DataFrame, priority: list[str] = ALARM_PRIORITY,
+                        bounded: bool = False) -> DataFrame:
     """(scope, batch, <one column per sensor>) with each sensor's state after the batch;
     a sensor without readings in a batch keeps its last state (0 before its first reading)."""
     wide = end_states.groupBy("scope", "batch").agg(
@@ -41,21 +42,23 @@ def batch_sensor_states(end_states: DataFrame, priority: list[str] = ALARM_PRIOR
                                                         F.col("end_state").alias("v")))).alias(f"_c{i}")
           for i, s in enumerate(priority)])
     r = running(wide, ["scope"], "batch",
-                [RunSpec(f"_r{i}", f"_c{i}", "max") for i in range(len(priority))])
+                [RunSpec(f"_r{i}", f"_c{i}", "max") for i in range(len(priority))], bounded=bounded)
     return r.select("scope", "batch", *[F.coalesce(F.col(f"_r{i}.v"), F.lit(0)).alias(s)
                                         for i, s in enumerate(priority)])
 
 
-def alarm_type(end_states: DataFrame, priority: list[str] = ALARM_PRIORITY) -> DataFrame:
-    """(scope, batch, alarm_type): first sensor in priority order in state +1/-1, else ''."""
-    st = batch_sensor_states(end_states, priority)
+def alarm_type(end_states: DataFrame, priority: list[str] = ALARM_PRIORITY,
+               bounded: bool = False) -> DataFrame:
+    """(scope, batch, alarm_type): first sensor in priority order in state +1/-1, else ''.
+    ``bounded``: the end-state table is counted and small (see ``running``)."""
+    st = batch_sensor_states(end_states, priority, bounded)
     t = F.lit("")
     for s in reversed(priority):
         t = F.when(F.col(s).isin(1, -1), F.lit(s)).otherwise(t)
     return st.select("scope", "batch", t.alias("alarm_type"))
 
 
-def alarm_machine(types: DataFrame, acks: DataFrame | None = None) -> DataFrame:
+def alarm_machine(types: DataFrame, acks: DataFrame | None = None, bounded: bool = False) -> DataFrame:
     """Per (scope, batch): alarm_type, ack, state after the batch, and the command sent (or NULL).
 
     ``acks`` (scope, batch, ack boolean) says whether a command sent in that batch is
@@ -75,7 +78,8 @@ def alarm_machine(types: DataFrame, acks: DataFrame | None = None) -> DataFrame:
     r = running(t, ["scope"], "batch", [
         RunSpec("e1", "_e1", "max"), RunSpec("e0", "_e0", "max"),
         RunSpec("lon", "_on", "max"), RunSpec("loff", "_off", "max"),
-        RunSpec("e1p", "_e1", "max", inclusive=False), RunSpec("e0p", "_e0", "max", inclusive=False)])
+        RunSpec("e1p", "_e1", "max", inclusive=False), RunSpec("e0p", "_e0", "max", inclusive=False)],
+        bounded=bounded)
     # phase starts: first E0 inside the segment opened by the latest E1, and vice versa.
     # Only read in their own phase, where they lie at or before the batch, so a segment
     # minimum (an aggregate, not a running scan) is enough. NULL segment = before any E-batch.

@@ -21,6 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from vigil.functions.scan import BOUNDED_ROWS
 from vigil.functions.sizing import MAX_BROADCAST_ROWS, bounded_broadcast, hint, materialize
 from vigil.operators.moments import KEY, batch_partials, running_moments
 from vigil.schema import SIGMAS
@@ -31,10 +32,10 @@ def breach_code(x: Column, lo: Column, hi: Column) -> Column:
     return F.when(x > hi, F.lit(1)).when(x < lo, F.lit(-1)).otherwise(F.lit(0))
 
 
-def thresholds(partials: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
+def thresholds(partials: DataFrame, sigmas: float = SIGMAS, bounded: bool = False) -> DataFrame:
     """Per (scope, sensor, batch): statistics, band, batch breach flags and end-of-batch state,
     from the (materialized) batch partials."""
-    m = running_moments(partials, sigmas)
+    m = running_moments(partials, sigmas, bounded)
     m = m.withColumn("breach_b", ((F.col("x_max") > F.col("hi")) | (F.col("x_min") < F.col("lo"))).cast("int"))
     m = m.withColumn("last_code", breach_code(F.col("x_last"), F.col("lo"), F.col("hi")))
     # breach flags are monotone in time: one "first breaching batch" per key decides them
@@ -54,7 +55,8 @@ class BreachPlan:
     """Readings plus their materialized thresholds table and the join strategy chosen for it."""
     readings: DataFrame
     thr: DataFrame
-    small: bool
+    small: bool          # thresholds may be broadcast
+    bounded: bool = False  # per-batch tables are counted and small enough for plain windows
 
     def side(self, df: DataFrame) -> DataFrame:
         return hint(df, self.small)
@@ -90,5 +92,6 @@ def plan_breaches(readings: DataFrame, sigmas: float = SIGMAS,
     """Pass 1 scans the readings once into per-batch partials (written once: everything up to
     the thresholds reads only that small table); later passes join thresholds back to rows."""
     partials = materialize(batch_partials(readings), "partials")
-    thr, small = bounded_broadcast(thresholds(partials, sigmas), max_broadcast_rows, "thresholds")
-    return BreachPlan(readings, thr, small)
+    bounded = partials.count() <= BOUNDED_ROWS
+    thr, small = bounded_broadcast(thresholds(partials, sigmas, bounded), max_broadcast_rows, "thresholds")
+    return BreachPlan(readings, thr, small, bounded)

@@ -41,13 +41,14 @@ def batch_partials(readings: DataFrame) -> DataFrame:
         F.when(const, F.lit(0.0)).otherwise(F.col("_vp") * F.col("n")).alias("m2_b"))
 
 
-def running_moments(partials: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
+def running_moments(partials: DataFrame, sigmas: float = SIGMAS, bounded: bool = False) -> DataFrame:
     """Per (scope, sensor, batch): k, cnt, mean, var, std, lo, hi (statistics through the batch)."""
     k = partials.groupBy(*KEY).agg(F.min_by("x_first", "batch").alias("k"))
     p = partials.join(k, KEY)
     d = F.col("mean_b") - F.col("k")
     p = p.withColumn("a", F.col("n") * d).withColumn("b", F.col("m2_b") + F.col("n") * d * d)
-    r = running(p, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("sa", "a"), RunSpec("sb", "b")])
+    r = running(p, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("sa", "a"), RunSpec("sb", "b")],
+                bounded=bounded)
     cnt = F.col("cnt")
     mean = F.when(cnt == 0, F.lit(0.0)).otherwise(F.col("k") + F.col("sa") / cnt)
     var = F.when(cnt < 2, F.lit(0.0)).otherwise(
@@ -59,9 +60,9 @@ def running_moments(partials: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
                .drop("a", "b", "sa", "sb", "sum_b"))
 
 
-def running_totals(partials: DataFrame) -> DataFrame:
+def running_totals(partials: DataFrame, bounded: bool = False) -> DataFrame:
     """A10: running count, total and mean per (scope, sensor, batch); mean 0.0 when count 0."""
-    r = running(partials, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("total", "sum_b")])
+    r = running(partials, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("total", "sum_b")], bounded=bounded)
     return r.select(*KEY, "batch", "cnt", "total",
                     F.when(F.col("cnt") == 0, F.lit(0.0))
                      .otherwise(F.col("total") / F.col("cnt")).alias("mean"))

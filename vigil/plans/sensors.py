@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators.alarm import alarm_commands, alarm_machine, alarm_type
 from vigil.operators.breach import plan_breaches
+from vigil.functions.scan import BOUNDED_ROWS
 from vigil.functions.sizing import materialize
 from vigil.operators.moments import batch_partials, running_totals
 from vigil.sources.tables import events, long_readings, message_readings, wide_messages
@@ -46,7 +47,7 @@ def running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def running_totals_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = materialize(batch_partials(long_readings(events(spark, sf_dir), unit="day")), "partials")
-    t = running_totals(p)
+    t = running_totals(p, bounded=p.count() <= BOUNDED_ROWS)
     return t.select("sensor", "batch", "cnt", r4("total"), r4("mean"))
 
 
@@ -61,11 +62,13 @@ def breach_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def alarm_type_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return alarm_type(wide_plan(spark, sf_dir).end_states()).select("batch", "alarm_type")
+    p = wide_plan(spark, sf_dir)
+    return alarm_type(p.end_states(), bounded=p.bounded).select("batch", "alarm_type")
 
 
 def alarm_commands_q(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = alarm_machine(alarm_type(wide_plan(spark, sf_dir).end_states()))
+    p = wide_plan(spark, sf_dir)
+    m = alarm_machine(alarm_type(p.end_states(), bounded=p.bounded), bounded=p.bounded)
     return alarm_commands(m).select("batch", "command", "code", "warning", "alarm")
 
 
@@ -75,6 +78,7 @@ def ack_rule(types: DataFrame) -> DataFrame:
 
 
 def alarm_with_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    types = alarm_type(wide_plan(spark, sf_dir).end_states())
-    m = alarm_machine(types, ack_rule(types))
+    p = wide_plan(spark, sf_dir)
+    types = alarm_type(p.end_states(), bounded=p.bounded)
+    m = alarm_machine(types, ack_rule(types), bounded=p.bounded)
     return m.select("batch", "alarm_type", "ack", "alarm", "command")

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.functions.scan import RunSpec, running
+from vigil.functions.sizing import materialize
 from vigil.schema import MESSAGE, MESSAGES, SENSOR_FIELDS
 
 # JSON string literal (with escapes); removed before counting brackets
@@ -56,18 +57,24 @@ MAX_DOC_LINES = 100_000
 
 
 def reassemble(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
-               order: str = "offset", max_lines: int = MAX_DOC_LINES
+               order: str = "offset", max_lines: int = MAX_DOC_LINES, cut: bool = True
                ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Line records -> (documents, unfinished, oversized).
 
     documents: by cols + offset (of the first line) + value (lines joined by newlines). A
     document is the run of lines from depth 0 back to depth 0. ``unfinished`` is the open
     tail per (topic, partition) (a stream carries it into the next batch; a table rejects it);
-    ``oversized`` lists documents longer than ``max_lines`` lines (rejected, never collected)."""
+    ``oversized`` lists documents longer than ``max_lines`` lines (rejected, never collected).
+
+    The second scan depends on the first; with ``cut`` the depth table is written once to the
+    checkpoint folder so the source is not re-evaluated by every branch of the second scan
+    (a stream passes ``cut=False`` and persists its micro-batch instead)."""
     by = list(by)
     r = (records.select(*by, order, "value")
          .withColumn("_d", bracket_delta(F.col("value"))).withColumn("_one", F.lit(1)))
     r = running(r, by, order, [RunSpec("_depth", "_d"), RunSpec("_n", "_one")])
+    if cut:
+        r = materialize(r, "depth")
     closes = (F.col("_depth") == 0) & (((F.col("_depth") - F.col("_d")) > 0)
                                        | ((F.col("_d") == 0) & (F.trim(F.col("value")) != "")))
     r = (r.withColumn("_close", closes.cast("int"))

@@ -124,9 +124,14 @@ class AnomalyStream:
     def _frame_lines(self, st: StateTables, records: DataFrame, batch_id: int) -> DataFrame:
         pending = st.read("pending", batch_id - 1, PENDING_SCHEMA)
         allrec = pending.unionByName(records.select(*PENDING_SCHEMA.fieldNames()))
-        docs, tail, big = reassemble(allrec)
+        allrec = allrec.persist(StorageLevel.MEMORY_AND_DISK)  # the depth scans read it repeatedly
+        docs, tail, big = reassemble(allrec, cut=False)
         st.write("pending", batch_id, tail)
         big.write.mode("overwrite").parquet(f"{self.root}/oversized/batch_id={batch_id}")
+        # the documents of this batch are small: materialize them so the records can be dropped
+        docs = st.write("docs", batch_id, docs)
+        allrec.unpersist()
+        st.prune("docs", batch_id)
         return docs
 
     def _process(self, st: StateTables, readings: DataFrame, batch_id: int) -> None:
