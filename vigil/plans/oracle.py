@@ -215,3 +215,29 @@ r AS (
   UNION ALL SELECT ord, guid, batch, 'HUMIDITY', k - 50.0 FROM m
   UNION ALL SELECT ord, guid, batch, 'LIGHT', 255.0 - temperature - {EXP_L} FROM m)""", THRESHOLDS) + """
 SELECT ord, sensor, batch, round(round(x, 12), 6) AS x, round(round(lo, 10), 4) AS lo, round(round(hi, 10), 4) AS hi, code FROM coded"""
+
+
+DEVICE_THRESHOLDS = THRESHOLDS.replace("PARTITION BY p.sensor", "PARTITION BY p.guid, p.sensor") \
+    .replace("SELECT sensor, arg_min(x, ord) AS k FROM r GROUP BY sensor",
+             "SELECT guid, sensor, arg_min(x, ord) AS k FROM r GROUP BY guid, sensor") \
+    .replace("SELECT r.sensor, r.batch, count(*)", "SELECT r.guid, r.sensor, r.batch, count(*)") \
+    .replace("FROM r JOIN kk ON r.sensor = kk.sensor GROUP BY r.sensor, r.batch",
+             "FROM r JOIN kk ON r.guid = kk.guid AND r.sensor = kk.sensor GROUP BY r.guid, r.sensor, r.batch") \
+    .replace("SELECT p.sensor, p.batch, kk.k,", "SELECT p.guid, p.sensor, p.batch, kk.k,") \
+    .replace("FROM p JOIN kk ON p.sensor = kk.sensor", "FROM p JOIN kk ON p.guid = kk.guid AND p.sensor = kk.sensor") \
+    .replace("SELECT sensor, batch, cnt, k + sa / cnt AS mean,", "SELECT guid, sensor, batch, cnt, k + sa / cnt AS mean,") \
+    .replace("SELECT sensor, batch, cnt, mean, sqrt(", "SELECT guid, sensor, batch, cnt, mean, sqrt(") \
+    .replace("FROM r JOIN th ON r.sensor = th.sensor AND r.batch = th.batch",
+             "FROM r JOIN th ON r.guid = th.guid AND r.sensor = th.sensor AND r.batch = th.batch")
+
+ORACLE.update({
+    "device_breaches": _with(LONG_READINGS, DEVICE_THRESHOLDS) + """
+SELECT ord, guid, sensor, batch, x, round(round(lo, 10), 4) AS lo, round(round(hi, 10), 4) AS hi, code FROM coded""",
+    "sql_sort": "SELECT value AS temperature FROM events ORDER BY value DESC",
+    "sql_search": "SELECT value AS temperature FROM events WHERE value = 100.0",
+    "sql_filter": "SELECT value AS temperature FROM events WHERE value > 85",
+    "sql_readings": _with(MSG) + """
+SELECT guid, CAST(NULL AS VARCHAR) AS reply_url, temperature, 25.0 + k / 20.0 AS pressure, k AS humidity,
+       255.0 - temperature AS ambient_light FROM m""",
+    "sql_distinct_float": "SELECT DISTINCT CAST(value AS FLOAT) AS temperature FROM events",
+})

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from vigil.plans import batchjobs as B
 from vigil.plans import sensors
+from vigil.plans import sqlview as Q
 from vigil.plans.oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -42,6 +43,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "strip_whitespace": B.strip_whitespace,
     "expected_baseline": B.expected_baseline,
     "residual_breaches": B.residual_breaches,
+    "device_breaches": sensors.device_breaches,
+    "sql_sort": Q.sql_sort,
+    "sql_search": Q.sql_search,
+    "sql_filter": Q.sql_filter,
+    "sql_readings": Q.sql_readings,
+    "sql_distinct_float": Q.sql_distinct_float,
 }
 
 

@@ -82,3 +82,10 @@ def alarm_with_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
     types = alarm_type(p.end_states(), bounded=p.bounded)
     m = alarm_machine(types, ack_rule(types), bounded=p.bounded)
     return m.select("batch", "alarm_type", "ack", "alarm", "command")
+
+
+def device_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-device statistics (scope = guid): each device's own running band."""
+    r = long_readings(events(spark, sf_dir), unit="day", scope="guid")
+    c = plan_breaches(r).codes()
+    return c.select("ord", "guid", "sensor", "batch", "x", r4("lo"), r4("hi"), "code")
