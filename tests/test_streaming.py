@@ -4,7 +4,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from conftest import SF_MID as SF_SMALL
 from vigil.operators.alarm import alarm_commands, alarm_machine, alarm_type
 from vigil.operators.breach import plan_breaches
 from vigil.plans import feeds

@@ -3,8 +3,9 @@ breaches -> sensor states -> alarm commands, once per micro-batch (``foreachBatc
 
 State lives in small versioned parquet tables under ``root``:
 
-    sensors/version=N   (scope, sensor, k, n, a, b, state)   moments + warning state per key
-    alarm/version=N     (scope, alarm)                        alarm state per scope
+    sensors/version=N   (scope, sensor, k, n, a, b, state, ...)   moments + warning state per key
+                        (also this batch's band: it is the thresholds table of batch N)
+    alarm/version=N     (scope, alarm, ...)                        alarm state per scope
     pending/version=N   (topic, partition, offset, value)     open document tails (line framing)
 
 Batch N reads version N-1 and overwrites version N; its outputs (``events``, ``commands``,
@@ -20,6 +21,7 @@ a batch contributes n, a = n (mean_b - K), b = m2_b + n (mean_b - K)^2, so mergi
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -100,6 +102,8 @@ class AnomalyStream:
     acks_path: str | None = None
     keep_versions: int = 10
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    # optional forwarder for the command rows of a batch, e.g. lambda df, i: write_kafka(df, ...)
+    command_sink: Callable[[DataFrame, int], None] | None = None
 
     # -- the batch function --------------------------------------------------------------
     def __call__(self, df: DataFrame, batch_id: int) -> None:
@@ -143,15 +147,13 @@ class AnomalyStream:
             st.write("alarm", batch_id, prev_alarm)
             return
         cur = batch_partials(readings.withColumn("batch", F.lit(batch_id)))
-        merged = self._merge(prev, cur)
-        # new state version doubles as the materialized thresholds table (small, size-checked)
-        thr = st.write("sensors_thr", batch_id, merged)
+        # the new state version (one row per key, with this batch's band) doubles as the
+        # materialized, counted thresholds table; readers of the state select its columns
+        thr = st.write("sensors", batch_id, self._merge(prev, cur))
         small = thr.count() <= self.max_broadcast_rows
-        st.write("sensors", batch_id, thr.select(*SENSORS_SCHEMA.fieldNames()))
         self._events(readings, thr, small).write.mode("overwrite").parquet(
             f"{self.root}/events/batch_id={batch_id}")
         self._alarm(st, thr, prev_alarm, batch_id)
-        st.prune("sensors_thr", batch_id)
 
     def _merge(self, prev: DataFrame, cur: DataFrame) -> DataFrame:
         j = prev.join(cur, KEY, "full_outer")
@@ -226,13 +228,13 @@ class AnomalyStream:
         res = j.select("scope", "alarm_type", new.alias("alarm"),
                        F.when(send_on, F.lit("ON")).when(send_off, F.lit("OFF")).alias("command"),
                        F.when(send_on, F.lit(ALARM_CODE_ON)).when(send_off, F.lit(ALARM_CODE_OFF)).alias("code"))
-        res = st.write("alarm_step", batch_id, res)
-        st.write("alarm", batch_id, res.select("scope", "alarm"))
-        (res.where(F.col("command").isNotNull())
-            .select(F.lit(batch_id).alias("batch_id"), "scope", "command", "code",
-                    F.col("alarm_type").alias("warning"), "alarm")
-            .write.mode("overwrite").parquet(f"{self.root}/commands/batch_id={batch_id}"))
-        st.prune("alarm_step", batch_id)
+        res = st.write("alarm", batch_id, res)  # state: (scope, alarm) + this batch's step
+        cmds = (res.where(F.col("command").isNotNull())
+                   .select(F.lit(batch_id).alias("batch_id"), "scope", "command", "code",
+                           F.col("alarm_type").alias("warning"), "alarm"))
+        cmds.write.mode("overwrite").parquet(f"{self.root}/commands/batch_id={batch_id}")
+        if self.command_sink is not None:
+            self.command_sink(st.spark.read.parquet(f"{self.root}/commands/batch_id={batch_id}"), batch_id)
 
     # -- driver side ---------------------------------------------------------------------
     def start(self, records: DataFrame, checkpoint: str, trigger: dict | None = None):
