@@ -1,6 +1,6 @@
 """Table-form inputs derived from the driver's ``events`` table.
 
-Long readings:  ord=event_id, guid=user_id, sensor=event_type, x=value, batch=date_trunc(unit, ts)
+Long readings:  ord=event_id, guid=user_id, sensor=event_type, x=value, batch=ts truncated to unit
 Wide messages:  the weather-station envelope built from the same rows (k = integer in ``props``):
     temperature=value, pressure=25+k/20, humidity=k, ambient_light=255-value, timestamp=ts (ISO)
 """
@@ -38,6 +38,23 @@ def _scope(scope: str) -> Column:
     return F.lit("ALL") if scope == "ALL" else F.col("guid")
 
 
+def truncate(ev: DataFrame, col: str, unit: str) -> Column:
+    """Batch key: ``col`` truncated to ``unit`` (year, month, day, hour, minute). A wall-clock
+    (timestamp_ntz) column is truncated field by field, so batches never depend on the session
+    time zone; a zoned timestamp uses ``date_trunc`` in the session zone."""
+    c = F.col(col)
+    if ev.schema[col].dataType.typeName() != "timestamp_ntz":
+        return F.date_trunc(unit, c)
+    keep = ["year", "month", "day", "hour", "minute"]
+    if unit not in keep:
+        raise ValueError(f"unsupported batch unit {unit!r}")
+    n = keep.index(unit) + 1
+    parts = [F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c)]
+    ones = [None, F.lit(1), F.lit(1), F.lit(0), F.lit(0)]
+    args = [parts[i] if i < n else ones[i] for i in range(5)]
+    return F.make_timestamp_ntz(*args, F.lit(0))
+
+
 def valid(x: Column) -> Column:
     """Readings that count: NULL and NaN are ignored."""
     return x.isNotNull() & ~F.isnan(x)
@@ -49,7 +66,7 @@ def long_readings(ev: DataFrame, unit: str = "day", scope: str = "ALL") -> DataF
         F.col("user_id").cast("string").alias("guid"),
         F.col("event_type").alias("sensor"),
         F.col("value").alias("x"),
-        F.date_trunc(unit, "ts").alias("batch"))
+        truncate(ev, "ts", unit).alias("batch"))
     return r.where(valid(F.col("x"))).withColumn("scope", _scope(scope))
 
 
@@ -74,7 +91,7 @@ def wide_messages(ev: DataFrame, unit: str = "hour", keep: tuple[str, ...] = ())
         F.struct(F.lit(None).cast("string").alias("reply_to"),
                  F.lit(MESSAGE_FORMAT).alias("format"),
                  data.alias("data")).alias("payload"))
-    return ev.select(F.col("event_id").alias("ord"), F.date_trunc(unit, "ts").alias("batch"),
+    return ev.select(F.col("event_id").alias("ord"), truncate(ev, "ts", unit).alias("batch"),
                      *keep, msg.alias("msg"))
 
 
