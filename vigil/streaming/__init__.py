@@ -1,6 +1,6 @@
 """Structured Streaming: the anomaly pipeline and the line / word jobs as foreachBatch runners."""
 
 from vigil.streaming.runner import AnomalyStream, StateTables
-from vigil.streaming.jobs import LineJobs, WordCounts, console
+from vigil.streaming.jobs import LineJobs, SqlJobs, WordCounts, console
 
-__all__ = ["AnomalyStream", "StateTables", "LineJobs", "WordCounts", "console"]
+__all__ = ["AnomalyStream", "StateTables", "LineJobs", "SqlJobs", "WordCounts", "console"]

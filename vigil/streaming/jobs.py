@@ -69,3 +69,29 @@ class WordCounts:
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         (W.word_counts(df.select(F.col("value").alias("text")))
            .write.mode("overwrite").parquet(f"{self.root}/word_counts/batch_id={batch_id}"))
+
+
+@dataclass
+class SqlJobs:
+    """Per batch: decode the batch's JSON documents, register them under the reference's view
+    name and run its sort / search / filter SQL; each result is written for the batch id.
+    Bad records go to ``rejects`` instead of failing (or silently skipping) the batch."""
+    root: str
+    statements: dict | None = None
+
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        from vigil.plans import sqlview
+        from vigil.sources.framing import decode_records
+        spark = df.sparkSession
+        stmts = self.statements or {"sort": sqlview.SQL_SORT, "search": sqlview.SQL_SEARCH,
+                                    "filter": sqlview.SQL_FILTER}
+        recs = df.select("topic", "partition", "offset", "value").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            msgs, bad = decode_records(recs, keep=["offset"])
+            bad.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
+            sqlview.register_messages(msgs)
+            for name, sql in stmts.items():
+                spark.sql(sql).write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
+            sqlview.drop_messages(spark)
+        finally:
+            recs.unpersist()
