@@ -4,6 +4,8 @@ sequences (one independent sequence per device scope, all in one Spark job)."""
 import datetime as dt
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from replay_model import PRIORITY, replay
@@ -37,13 +39,16 @@ def _sequences(seed, n_scopes=40, n_batches=9):
     return data, acks
 
 
-def test_states_and_alarm_match_sequential_model(spark):
-    data, acks = _sequences(7)
+@pytest.mark.parametrize("scan", ["plain window", "two-level scan"])
+def test_states_and_alarm_match_sequential_model(spark, scan):
+    data, acks = _sequences(7 if scan == "plain window" else 8)
     rows = [(sc, s, b, o, sc, float(x)) for sc, bs in data.items() for b, rs in bs for o, s, x in rs]
     df = spark.createDataFrame(rows, "scope string, sensor string, batch timestamp, ord long, guid string, x double")
-    plan = plan_breaches(df)
+    # the two-level scan is what uncounted (large) tables use; force it with a zero bound
+    plan = plan_breaches(df, bounded_rows=10**9 if scan == "plain window" else 0)
+    assert plan.bounded == (scan == "plain window")
     got = {(r.scope, r.ord, r.sensor): (r.code, r.state) for r in plan.states().collect()}
-    types = alarm_type(plan.end_states())
+    types = alarm_type(plan.end_states(), bounded=plan.bounded)
     ack_rows = []
     for sc, bs in data.items():
         nonempty = [b for b, rs in bs if rs]
@@ -51,7 +56,7 @@ def test_states_and_alarm_match_sequential_model(spark):
         ack_rows += [(sc, b, a) for b, a in zip(nonempty, flags)]
     ack_df = spark.createDataFrame(ack_rows, "scope string, batch timestamp, ack boolean")
     machine = {(r.scope, r.batch): (r.alarm_type, r.alarm, r.command)
-               for r in alarm_machine(types, ack_df).collect()}
+               for r in alarm_machine(types, ack_df, bounded=plan.bounded).collect()}
     n_cmd = 0
     for sc, bs in data.items():
         flags = [a for (b, rs), a in zip(bs, acks[sc]) if rs]

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.scan import BOUNDED_ROWS
@@ -39,8 +39,12 @@ def thresholds(partials: DataFrame, sigmas: float = SIGMAS, bounded: bool = Fals
     m = m.withColumn("breach_b", ((F.col("x_max") > F.col("hi")) | (F.col("x_min") < F.col("lo"))).cast("int"))
     m = m.withColumn("last_code", breach_code(F.col("x_last"), F.col("lo"), F.col("hi")))
     # breach flags are monotone in time: one "first breaching batch" per key decides them
-    fbb = m.where(F.col("breach_b") == 1).groupBy(*KEY).agg(F.min("batch").alias("fbb"))
-    r = m.join(fbb, KEY, "left")
+    if bounded:
+        r = m.withColumn("fbb", F.min(F.when(F.col("breach_b") == 1, F.col("batch")))
+                         .over(Window.partitionBy(*KEY)))
+    else:
+        fbb = m.where(F.col("breach_b") == 1).groupBy(*KEY).agg(F.min("batch").alias("fbb"))
+        r = m.join(fbb, KEY, "left")
     r = (r.withColumn("br_thru", F.coalesce((F.col("batch") >= F.col("fbb")).cast("int"), F.lit(0)))
           .withColumn("br_before", F.coalesce((F.col("batch") > F.col("fbb")).cast("int"), F.lit(0)))
           .drop("fbb"))
@@ -88,10 +92,11 @@ class BreachPlan:
 
 
 def plan_breaches(readings: DataFrame, sigmas: float = SIGMAS,
-                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> BreachPlan:
+                  max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+                  bounded_rows: int = BOUNDED_ROWS) -> BreachPlan:
     """Pass 1 scans the readings once into per-batch partials (written once: everything up to
     the thresholds reads only that small table); later passes join thresholds back to rows."""
     partials = materialize(batch_partials(readings), "partials")
-    bounded = partials.count() <= BOUNDED_ROWS
+    bounded = partials.count() <= bounded_rows
     thr, small = bounded_broadcast(thresholds(partials, sigmas, bounded), max_broadcast_rows, "thresholds")
     return BreachPlan(readings, thr, small, bounded)

@@ -13,7 +13,7 @@ a = n (mean_b - K), b = m2_b + n (mean_b - K)^2, so across batches merging is pl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.scan import RunSpec, running
@@ -43,8 +43,13 @@ def batch_partials(readings: DataFrame) -> DataFrame:
 
 def running_moments(partials: DataFrame, sigmas: float = SIGMAS, bounded: bool = False) -> DataFrame:
     """Per (scope, sensor, batch): k, cnt, mean, var, std, lo, hi (statistics through the batch)."""
-    k = partials.groupBy(*KEY).agg(F.min_by("x_first", "batch").alias("k"))
-    p = partials.join(k, KEY)
+    if bounded:
+        # counted, small table: K from a whole-key window on the running sums' own partitioning
+        whole = Window.partitionBy(*KEY)
+        p = partials.withColumn("k", F.min_by("x_first", "batch").over(whole))
+    else:
+        k = partials.groupBy(*KEY).agg(F.min_by("x_first", "batch").alias("k"))
+        p = partials.join(k, KEY)
     d = F.col("mean_b") - F.col("k")
     p = p.withColumn("a", F.col("n") * d).withColumn("b", F.col("m2_b") + F.col("n") * d * d)
     r = running(p, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("sa", "a"), RunSpec("sb", "b")],
