@@ -117,3 +117,6 @@ def test_word_splits(spark):
                   strip_whitespace("v").alias("z")).collect()
     assert r[0].s == ["a", "", "b", ""] and r[0].w == ["a", "b"] and r[0].z == "ab"
     assert r[1].w == ["a", "b", "c"] and r[1].z == "abc"
+    u = spark.createDataFrame([("a\u00a0b\u2003c\x1fd\u200be",)], "v string").select(
+        split_on_whitespace("v").alias("w"), strip_whitespace("v").alias("z")).collect()[0]
+    assert u.w == "a\u00a0b\u2003c\x1fd\u200be".split() and u.z == "abcd\u200be"
