@@ -44,9 +44,11 @@ def test_states_and_alarm_match_sequential_model(spark, scan):
     data, acks = _sequences(7 if scan == "plain window" else 8)
     rows = [(sc, s, b, o, sc, float(x)) for sc, bs in data.items() for b, rs in bs for o, s, x in rs]
     df = spark.createDataFrame(rows, "scope string, sensor string, batch timestamp, ord long, guid string, x double")
-    # the two-level scan is what uncounted (large) tables use; force it with a zero bound
-    plan = plan_breaches(df, bounded_rows=10**9 if scan == "plain window" else 0)
-    assert plan.bounded == (scan == "plain window")
+    # the two-level scan and the shuffled (non-broadcast) joins are what large tables use;
+    # force both with zero bounds
+    big = scan != "plain window"
+    plan = plan_breaches(df, bounded_rows=0 if big else 10**9, max_broadcast_rows=0 if big else 10**9)
+    assert plan.bounded == (not big) and plan.small == (not big)
     got = {(r.scope, r.ord, r.sensor): (r.code, r.state) for r in plan.states().collect()}
     types = alarm_type(plan.end_states(), bounded=plan.bounded)
     ack_rows = []
