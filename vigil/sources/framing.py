@@ -30,10 +30,14 @@ def parse_messages(value: Column) -> Column:
              .when(trimmed.startswith("{"), F.array(F.from_json(value, MESSAGE))))
 
 
-def decode_records(records: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(messages, rejects). messages: keep cols + idx + msg struct; rejects: keep cols + value + reason."""
+def parse_records(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """keep cols + value + ``_arr`` (the parsed messages, NULL when the record is not JSON)."""
     keep = keep or [c for c in records.columns if c != "value"]
-    p = records.select(*keep, "value", parse_messages(F.col("value")).alias("_arr"))
+    return records.select(*keep, "value", parse_messages(F.col("value")).alias("_arr"))
+
+
+def split_parsed(p: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Parsed records -> (messages, rejects)."""
     blank = F.trim(F.col("value")) == ""
     # posexplode_outer + a filter on its output: plain posexplode makes the optimizer infer
     # size(_arr) > 0 and push it (with the whole parser) below the scan's exchange
@@ -43,6 +47,12 @@ def decode_records(records: DataFrame, keep: list[str] | None = None) -> tuple[D
     return msgs, rejects
 
 
+def decode_records(records: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """(messages, rejects). messages: keep cols + idx + msg struct; rejects: keep cols + value + reason."""
+    keep = keep or [c for c in records.columns if c != "value"]
+    return split_parsed(parse_records(records, keep), keep)
+
+
 def bracket_delta(value: Column) -> Column:
     """Opening minus closing brackets outside string literals."""
     bare = F.regexp_replace(value, STRING_LITERAL, "")

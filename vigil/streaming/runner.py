@@ -35,7 +35,7 @@ from vigil.functions.sizing import MAX_BROADCAST_ROWS, hint
 from vigil.operators.breach import breach_code
 from vigil.operators.moments import KEY, batch_partials
 from vigil.schema import ALARM_CODE_OFF, ALARM_CODE_ON, ALARM_PRIORITY, SIGMAS
-from vigil.sources.framing import decode_records, readings_of, reassemble
+from vigil.sources.framing import parse_records, readings_of, reassemble, split_parsed
 
 SENSORS_SCHEMA = StructType([
     StructField("scope", StringType()), StructField("sensor", StringType()),
@@ -112,16 +112,19 @@ class AnomalyStream:
         records = df.select("topic", "partition", "offset", "value")
         if self.framing == "lines":
             records = self._frame_lines(st, records, batch_id)
-        msgs, bad = decode_records(records, keep=["topic", "partition", "offset"])
-        bad.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
-        ids = msgs.select(F.struct("partition", "offset", "idx").alias("ord"), "msg")
-        readings = readings_of(ids, ["ord"])
-        readings = readings.withColumn("scope", F.lit("ALL") if self.scope == "ALL" else F.col("guid"))
-        readings = readings.persist(StorageLevel.MEMORY_AND_DISK)
+        keep = ["topic", "partition", "offset"]
+        # parse once; the batch is read from this cache by every later step
+        parsed = parse_records(records, keep).persist(StorageLevel.MEMORY_AND_DISK)
         try:
+            msgs, bad = split_parsed(parsed, keep)
+            if bad.limit(1).count() > 0:  # rejects are written only when there are some
+                bad.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
+            ids = msgs.select(F.struct("partition", "offset", "idx").alias("ord"), "msg")
+            readings = readings_of(ids, ["ord"])
+            readings = readings.withColumn("scope", F.lit("ALL") if self.scope == "ALL" else F.col("guid"))
             self._process(st, readings, batch_id)
         finally:
-            readings.unpersist()
+            parsed.unpersist()
         for name in ("sensors", "alarm", "pending"):
             st.prune(name, batch_id)
 
@@ -142,15 +145,18 @@ class AnomalyStream:
         spark = readings.sparkSession
         prev = st.read("sensors", batch_id - 1, SENSORS_SCHEMA)
         prev_alarm = st.read("alarm", batch_id - 1, ALARM_SCHEMA)
-        if readings.isEmpty():  # T8: no statistics, no alarm step; state carried forward
-            st.write("sensors", batch_id, prev)
-            st.write("alarm", batch_id, prev_alarm)
-            return
         cur = batch_partials(readings.withColumn("batch", F.lit(batch_id)))
         # the new state version (one row per key, with this batch's band) doubles as the
-        # materialized, counted thresholds table; readers of the state select its columns
+        # materialized thresholds table; readers of the state select its columns. Without
+        # readings the merge carries every key forward unchanged.
         thr = st.write("sensors", batch_id, self._merge(prev, cur))
-        small = thr.count() <= self.max_broadcast_rows
+        # one small job: does the batch have readings (T8), and how many keys are there (the
+        # broadcast bound; scope ALL has at most one key per sensor, so it needs no count)
+        keys, fresh = thr.agg(F.count(F.lit(1)), F.count("n_b")).collect()[0]
+        if fresh == 0:  # T8: no statistics change, no alarm step; alarm state carried forward
+            st.write("alarm", batch_id, prev_alarm)
+            return
+        small = self.scope == "ALL" or keys <= self.max_broadcast_rows
         self._events(readings, thr, small).write.mode("overwrite").parquet(
             f"{self.root}/events/batch_id={batch_id}")
         self._alarm(st, thr, prev_alarm, batch_id)
@@ -232,9 +238,10 @@ class AnomalyStream:
         cmds = (res.where(F.col("command").isNotNull())
                    .select(F.lit(batch_id).alias("batch_id"), "scope", "command", "code",
                            F.col("alarm_type").alias("warning"), "alarm"))
-        cmds.write.mode("overwrite").parquet(f"{self.root}/commands/batch_id={batch_id}")
-        if self.command_sink is not None:
-            self.command_sink(st.spark.read.parquet(f"{self.root}/commands/batch_id={batch_id}"), batch_id)
+        if cmds.limit(1).count() > 0:  # most batches send nothing: no empty output files
+            cmds.write.mode("overwrite").parquet(f"{self.root}/commands/batch_id={batch_id}")
+            if self.command_sink is not None:
+                self.command_sink(st.spark.read.parquet(f"{self.root}/commands/batch_id={batch_id}"), batch_id)
 
     # -- driver side ---------------------------------------------------------------------
     def start(self, records: DataFrame, checkpoint: str, trigger: dict | None = None):
