@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vigil.schema import MESSAGE_FORMAT, SENSOR_FIELDS
-from vigil.sources.tables import ISO_FORMAT, wide_messages
+from vigil.sources.tables import wide_messages
 
 LINES_PER_MESSAGE = 5     # "[", "{", body, "}", "]"
 LINE_PARTITIONS = 4       # records spread over four topic partitions
@@ -85,4 +85,4 @@ def pretty_lines(ev: DataFrame, unit: str = "hour") -> DataFrame:
 
 
 __all__ = ["json_records", "split_line_records", "sensor_array_records", "broken_records",
-           "pretty_lines", "ISO_FORMAT"]
+           "pretty_lines"]

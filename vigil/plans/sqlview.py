@@ -9,7 +9,6 @@ unchanged — except that Spark 4 needs the alias in ``cast(... as float) as tem
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from vigil.sources.framing import decode_records
 from vigil.sources.tables import events
@@ -68,4 +67,4 @@ def sql_distinct_float(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 __all__ = ["register_messages", "drop_messages", "sql_sort", "sql_search", "sql_filter",
-           "sql_readings", "sql_distinct_float", "F"]
+           "sql_readings", "sql_distinct_float"]

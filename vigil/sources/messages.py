@@ -33,8 +33,9 @@ def read_kafka(spark: SparkSession, brokers: str, topic: str, streaming: bool =
 
 def read_lines(spark: SparkSession, path: str, streaming: bool = False,
                max_files_per_trigger: int | None = None) -> DataFrame:
-    """Text lines (S3). One file = one 'partition'; the offset is the line's position in the file
-    only for whole-file reads, so line-framed documents should come from Kafka or a table."""
+    """Text lines (S3): topic = file, partition 0, offset increasing along the file (the id is
+    partition-major and a file's splits are numbered in file order), so line-framed documents
+    in files can be reassembled like a Kafka partition."""
     if streaming:
         r = spark.readStream.format("text")
         if max_files_per_trigger:
