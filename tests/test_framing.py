@@ -35,3 +35,17 @@ def test_oversized_document_is_rejected(spark):
                                  "topic string, partition int, offset long, value string")
     docs, tail, big = reassemble(recs, max_lines=10)
     assert docs.count() == 0 and big.collect()[0].lines == 52
+
+
+def test_concatenated_documents_in_one_record(spark):
+    from vigil.sources.framing import decode_records
+    df = spark.createDataFrame([
+        (1, '[{"guid":"a"}][{"guid":"b"}, {"guid":"c"}]'),
+        (2, '{"guid":"d"} \n {"guid":"e ][ x"}'),
+        (3, '[{"guid":"f"}] [{"guid":'),
+        (4, '[{"guid":"g ][ h"}]'),
+    ], "offset long, value string")
+    m, bad = decode_records(df, keep=["offset"])
+    assert sorted((r.offset, r.idx, r.msg.guid) for r in m.collect()) == [
+        (1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (2, 0, "d"), (2, 1, "e ][ x"), (4, 0, "g ][ h")]
+    assert [r.offset for r in bad.collect()] == [3]

@@ -22,12 +22,43 @@ from vigil.schema import MESSAGE, MESSAGES, SENSOR_FIELDS
 STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
 
 
-def parse_messages(value: Column) -> Column:
-    """array<message> for an array document, a one-element array for a single object; NULL when
-    the text is not JSON of either form."""
+# In valid JSON a closing bracket is followed by a comma, another closer or the end, never by
+# an opener: "][", "}{", "]{", "}[" (whitespace between allowed) outside string literals only
+# occur where several top-level documents are concatenated in one record.
+CONCATENATED = r"[\]}]\s*[\[{]"
+TOKENS = r'"(?:[^"\\]|\\.)*"|[^"]+'
+SEP = "\u0001"  # never valid unescaped in JSON text
+
+
+def _parse_one(value: Column) -> Column:
+    """One parser call: an object is wrapped into a one-element array text first (keeps the
+    generated code small; several parser copies in one stage push it past the codegen limit)."""
     trimmed = F.ltrim(value)
-    return (F.when(trimmed.startswith("["), F.from_json(value, MESSAGES))
-             .when(trimmed.startswith("{"), F.array(F.from_json(value, MESSAGE))))
+    text = F.when(trimmed.startswith("{"), F.concat(F.lit("["), value, F.lit("]"))) \
+            .when(trimmed.startswith("["), value)
+    return F.from_json(text, MESSAGES)
+
+
+def split_documents(value: Column) -> Column:
+    """array<string>: the record cut at every boundary between concatenated top-level documents
+    (string literals are left untouched)."""
+    chunks = F.regexp_extract_all(value, F.lit(TOKENS), 0)
+    marked = F.transform(chunks, lambda c: F.when(c.startswith('"'), c).otherwise(
+        F.regexp_replace(c, r"([\]}])(\s*)([\[{])", "$1$2" + SEP + "$3")))
+    return F.split(F.array_join(marked, ""), SEP)
+
+
+def parse_messages(value: Column) -> Column:
+    """array<message> for an array document, a one-element array for a single object, and the
+    messages of every document when several are concatenated in one record (the reference kept
+    only the first); NULL when any part is not JSON of either form."""
+    # cheap test on the raw text first (almost every record fails it); only then the exact
+    # test with string literals removed, and only then the split
+    bare = F.regexp_replace(value, STRING_LITERAL, '""')
+    concatenated = value.rlike(CONCATENATED) & bare.rlike(CONCATENATED)
+    parts = F.transform(split_documents(value), _parse_one)
+    several = F.when(F.exists(parts, lambda a: a.isNull()), F.lit(None)).otherwise(F.flatten(parts))
+    return F.when(concatenated, several).otherwise(_parse_one(value))
 
 
 def parse_records(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -42,8 +73,11 @@ def split_parsed(p: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
     # posexplode_outer + a filter on its output: plain posexplode makes the optimizer infer
     # size(_arr) > 0 and push it (with the whole parser) below the scan's exchange
     msgs = p.select(*keep, F.posexplode_outer("_arr").alias("idx", "msg")).where(F.col("msg").isNotNull())
-    rejects = p.where(F.col("_arr").isNull() & ~blank).select(
-        *keep, "value", F.lit("malformed").alias("reason"))
+    # same trick for rejects: a filter on the parsed column would be pushed below the projection
+    # and re-evaluate the parser (and whatever produced ``value``) once per reference
+    bad = F.when(F.col("_arr").isNull() & ~blank, F.array(F.lit("malformed")))
+    rejects = (p.select(*keep, "value", F.explode_outer(bad).alias("reason"))
+                .where(F.col("reason").isNotNull()))
     return msgs, rejects
 
 
