@@ -25,7 +25,11 @@ def matched_lines(lines: DataFrame, ids: list[str]) -> DataFrame:
     tag = F.lit(None).cast("string")
     for sensor, pat in reversed(list(LINE_PATTERNS.items())):
         tag = F.when(F.col("line").rlike(pat), F.lit(sensor)).otherwise(tag)
-    return s.select(*ids, tag.alias("sensor"), "line").where(F.col("sensor").isNotNull())
+    tagged = s.select(*ids, tag.alias("sensor"), "line")
+    # keep matching lines through a generator: a plain filter on ``sensor`` would be pushed
+    # below the projection and strip / match every line again inside the filter
+    hit = F.explode_outer(F.when(F.col("sensor").isNotNull(), F.array(F.lit(True)))).alias("_hit")
+    return tagged.select("*", hit).where(F.col("_hit").isNotNull()).drop("_hit")
 
 
 def line_values(matched: DataFrame, ids: list[str]) -> DataFrame:
