@@ -73,3 +73,24 @@ def test_device_scope_stream_and_command_sink(spark, tmpdir_path):
         if os.path.exists(cdir) else []
     assert [i for i, _ in seen] == written  # the sink sees exactly the batches that sent commands
     assert all(n > 0 for _, n in seen)
+
+
+def test_empty_batch_carries_state(spark, tmpdir_path):
+    """A batch without good readings changes no statistics and runs no alarm step."""
+    root = os.path.join(tmpdir_path, "out")
+    recs = feeds.json_records(events(spark, SF_SMALL)).drop("batch")
+    proc = AnomalyStream(root)
+    first = recs.where(F.col("offset") < 200)
+    proc(first, 0)
+    bad = spark.createDataFrame([("t", 0, 1, '[{"guid": "x", '), ("t", 0, 2, "   ")],
+                                "topic string, partition int, offset long, value string")
+    proc(bad, 1)
+    cols = ["scope", "sensor", "k", "n", "a", "b", "state"]
+    v0 = sorted(map(tuple, spark.read.parquet(os.path.join(root, "sensors", "version=0")).select(*cols).collect()))
+    v1 = sorted(map(tuple, spark.read.parquet(os.path.join(root, "sensors", "version=1")).select(*cols).collect()))
+    assert v0 == v1 and len(v0) == 4
+    a0 = spark.read.parquet(os.path.join(root, "alarm", "version=0")).select("scope", "alarm").collect()
+    a1 = spark.read.parquet(os.path.join(root, "alarm", "version=1")).select("scope", "alarm").collect()
+    assert sorted(map(tuple, a0)) == sorted(map(tuple, a1))
+    assert not os.path.exists(os.path.join(root, "commands", "batch_id=1"))
+    assert spark.read.parquet(os.path.join(root, "rejects", "batch_id=1")).count() == 1  # blank is not a reject
