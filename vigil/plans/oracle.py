@@ -241,3 +241,19 @@ SELECT guid, CAST(NULL AS VARCHAR) AS reply_url, temperature, 25.0 + k / 20.0 AS
        255.0 - temperature AS ambient_light FROM m""",
     "sql_distinct_float": "SELECT DISTINCT CAST(value AS FLOAT) AS temperature FROM events",
 })
+
+
+DEVICE_STATES = STATES.replace("PARTITION BY sensor ORDER BY batch, ord", "PARTITION BY guid, sensor ORDER BY batch, ord")
+DEVICE_TYPES = ALARM_TYPES \
+    .replace("SELECT sensor, batch, arg_max(state, ord) AS s FROM states GROUP BY sensor, batch",
+             "SELECT guid, sensor, batch, arg_max(state, ord) AS s FROM states GROUP BY guid, sensor, batch") \
+    .replace("SELECT batch,\n         max(CASE", "SELECT guid, batch,\n         max(CASE") \
+    .replace("FROM ends GROUP BY batch", "FROM ends GROUP BY guid, batch") \
+    .replace("SELECT batch, CASE WHEN abs(t) = 1", "SELECT guid, batch, CASE WHEN abs(t) = 1")
+
+ORACLE["device_alarm_commands"] = _with(WIDE_READINGS, DEVICE_THRESHOLDS, DEVICE_STATES, DEVICE_TYPES) + """
+, e AS (SELECT guid, batch, alarm_type, alarm_type <> '' AS on_,
+              coalesce(lag(alarm_type <> '') OVER (PARTITION BY guid ORDER BY batch), false) AS prev FROM types)
+SELECT guid, batch, CASE WHEN on_ THEN 'ON' ELSE 'OFF' END AS command, CASE WHEN on_ THEN '1' ELSE '0' END AS code,
+       alarm_type AS warning, CASE WHEN on_ THEN 1 ELSE 0 END AS alarm
+FROM e WHERE on_ <> prev"""

@@ -44,6 +44,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "expected_baseline": B.expected_baseline,
     "residual_breaches": B.residual_breaches,
     "device_breaches": sensors.device_breaches,
+    "device_alarm_commands": sensors.device_alarm_commands,
     "sql_sort": Q.sql_sort,
     "sql_search": Q.sql_search,
     "sql_filter": Q.sql_filter,

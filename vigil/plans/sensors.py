@@ -89,3 +89,10 @@ def device_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     r = long_readings(events(spark, sf_dir), unit="day", scope="guid")
     c = plan_breaches(r).codes()
     return c.select("ord", "guid", "sensor", "batch", "x", r4("lo"), r4("hi"), "code")
+
+
+def device_alarm_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-device alarm (scope = guid): each device's own sensor states drive its own alarm."""
+    p = plan_breaches(message_readings(wide_messages(events(spark, sf_dir), unit="hour"), scope="guid"))
+    m = alarm_machine(alarm_type(p.end_states(), bounded=p.bounded), bounded=p.bounded)
+    return alarm_commands(m).select(F.col("scope").alias("guid"), "batch", "command", "code", "warning", "alarm")
