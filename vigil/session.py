@@ -40,7 +40,11 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     replaced. Only when nothing is configured (local tests, the bench) a private folder is
     created, so ``DataFrame.checkpoint()`` can cut lineage there.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: no context, only the session conf
+        configured = spark.conf.get("spark.checkpoint.dir", None)
+        return configured or tempfile.mkdtemp(prefix="vigil-ckpt-")
     current = sc.getCheckpointDir()
     if current:
         return current

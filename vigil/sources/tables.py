@@ -19,10 +19,12 @@ def spread(df: DataFrame) -> DataFrame:
     """Give a scan at least one partition per core. A large table arrives in many splits and is
     left alone (no extra shuffle); a table stored as one unsplittable row group would otherwise
     run every per-row step (JSON, regex) in a single task. Round-robin is deterministic on retry."""
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        parts = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. a Spark Connect session: leave the plan as is
+        return df
+    return df.repartition(target) if parts < target else df
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
