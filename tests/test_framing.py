@@ -79,3 +79,14 @@ def test_reassembly_property_random_layouts(spark):
     got = sorted((r.partition, r.msg.guid) for r in msgs.collect())
     assert got == sorted(want)
     assert tail.count() == 0 and big.count() == 0 and bad.count() == 0
+
+
+def test_stray_closer_does_not_break_later_documents(spark):
+    vals = _lines(1, 70.0) + ["]"] + _lines(2, 71.0) + ["}", "  "] + _lines(3, 72.0)
+    recs = spark.createDataFrame([("t", 0, i, v) for i, v in enumerate(vals)],
+                                 "topic string, partition int, offset long, value string")
+    docs, tail, big = reassemble(recs)
+    msgs, bad = decode_records(docs, keep=["offset"])
+    assert sorted(r.msg.guid for r in msgs.collect()) == ["g1", "g2", "g3"]
+    assert sorted(r.value.strip() for r in bad.collect()) == ["]", "}"]
+    assert tail.count() == 0 and big.count() == 0

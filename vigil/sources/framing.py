@@ -33,9 +33,8 @@ SEP = "\u0001"  # never valid unescaped in JSON text
 def _parse_one(value: Column) -> Column:
     """One parser call: an object is wrapped into a one-element array text first (keeps the
     generated code small; several parser copies in one stage push it past the codegen limit)."""
-    trimmed = F.ltrim(value)
-    text = F.when(trimmed.startswith("{"), F.concat(F.lit("["), value, F.lit("]"))) \
-            .when(trimmed.startswith("["), value)
+    first = F.regexp_extract(value, r"^\s*(\S)", 1)  # ltrim() would strip spaces only
+    text = F.when(first == "{", F.concat(F.lit("["), value, F.lit("]"))).when(first == "[", value)
     return F.from_json(text, MESSAGES)
 
 
@@ -119,8 +118,20 @@ def reassemble(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
     r = running(r, by, order, [RunSpec("_depth", "_d"), RunSpec("_n", "_one")])
     if cut:
         r = materialize(r, "depth")
-    closes = (F.col("_depth") == 0) & (((F.col("_depth") - F.col("_d")) > 0)
-                                       | ((F.col("_d") == 0) & (F.trim(F.col("value")) != "")))
+    lowest = r.agg(F.min("_depth")).collect()[0][0]  # one small job (a table read when cut)
+    if lowest is not None and lowest < 0:
+        # a stray closing bracket drove the raw depth below zero: clamp at zero
+        # (depth = S - min(0, running min of S)) so framing recovers right after it
+        r = running(r, by, order, [RunSpec("_m", "_depth", "min"),
+                                   RunSpec("_mp", "_depth", "min", inclusive=False)])
+        r = (r.withColumn("_before", (F.col("_depth") - F.col("_d")) - F.least(F.lit(0), F.col("_mp")))
+              .withColumn("_depth", F.col("_depth") - F.least(F.lit(0), F.col("_m"))))
+    else:
+        r = r.withColumn("_before", F.col("_depth") - F.col("_d"))
+    # a document closes where the depth returns to 0; a non-blank line that starts and ends at
+    # depth 0 is a document of its own (a one-line document, or junk that will be rejected)
+    closes = (F.col("_depth") == 0) & ((F.col("_before") > 0)
+                                       | ((F.col("_before") == 0) & (F.trim(F.col("value")) != "")))
     r = (r.withColumn("_close", closes.cast("int"))
           .withColumn("_closed_at", F.when(closes, F.col("_n"))))
     r = running(r, by, order, [RunSpec("_doc", "_close", "sum", inclusive=False),
