@@ -15,11 +15,12 @@ from vigil.streaming import AnomalyStream
 HOURS = 6
 
 
-def _landed(spark, root):
-    """Write the first HOURS hourly batches of sf0.001 messages, one parquet file per hour."""
+def _landed(spark, root, n_hours=None):
+    """Write the first hourly batches of the messages, one parquet file per hour."""
+    n_hours = n_hours or HOURS
     ev = events(spark, SF_SMALL)
     recs = feeds.json_records(ev)
-    hours = [r.batch for r in recs.select("batch").distinct().orderBy("batch").limit(HOURS).collect()]
+    hours = [r.batch for r in recs.select("batch").distinct().orderBy("batch").limit(n_hours).collect()]
     for i, h in enumerate(hours):
         (recs.where(F.col("batch") == h).drop("batch").coalesce(1)
              .write.parquet(os.path.join(root, "in", f"part-{i:03d}")))
@@ -98,3 +99,28 @@ def test_line_framed_stream_carries_tails(spark, tmpdir_path):
     assert not os.path.exists(os.path.join(out, "rejects"))  # written only when a batch has some
     n_tail = spark.read.parquet(os.path.join(out, "pending", "version=2")).count()
     assert n_tail == 0
+
+
+def test_stream_acknowledgements_match_table_machine(spark, tmpdir_path):
+    """Acks arrive as a table (scope, batch_id, ack) read at the start of the next batch; the
+    commands sent equal the table-form machine given the same per-batch acknowledgements."""
+    root = tmpdir_path
+    hours = _landed(spark, root, 16)
+    acks_path = os.path.join(root, "acks")
+    flags = [i % 3 != 1 for i in range(len(hours))]
+    spark.createDataFrame([("ALL", i, f) for i, f in enumerate(flags)], "scope string, batch_id long, ack boolean") \
+         .write.parquet(acks_path)
+    out = os.path.join(root, "out")
+    _stream(spark, root, None, os.path.join(root, "ckpt"),
+            AnomalyStream(out, auto_ack=False, acks_path=acks_path))
+    cdir = os.path.join(out, "commands")
+    got = [(hours[r.batch_id], r.command, r.warning)
+           for r in spark.read.parquet(cdir).orderBy("batch_id").collect()] if os.path.exists(cdir) else []
+    ev = events(spark, SF_SMALL).where(F.date_trunc("hour", "ts").isin(hours))
+    plan = plan_breaches(message_readings(wide_messages(ev)))
+    types = alarm_type(plan.end_states())
+    ack_df = spark.createDataFrame([("ALL", h, f) for h, f in zip(hours, flags)],
+                                   "scope string, batch timestamp_ntz, ack boolean")
+    want = [(r.batch, r.command, r.warning) for r in
+            alarm_commands(alarm_machine(types, ack_df)).orderBy("batch").collect()]
+    assert got == want and len(want) >= 2, want

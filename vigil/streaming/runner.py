@@ -42,7 +42,8 @@ SENSORS_SCHEMA = StructType([
     StructField("k", DoubleType()), StructField("n", LongType()),
     StructField("a", DoubleType()), StructField("b", DoubleType()),
     StructField("state", IntegerType())])
-ALARM_SCHEMA = StructType([StructField("scope", StringType()), StructField("alarm", IntegerType())])
+ALARM_SCHEMA = StructType([StructField("scope", StringType()), StructField("alarm", IntegerType()),
+                           StructField("command", StringType())])
 PENDING_SCHEMA = StructType([
     StructField("topic", StringType()), StructField("partition", IntegerType()),
     StructField("offset", LongType()), StructField("value", StringType())])
@@ -154,7 +155,7 @@ class AnomalyStream:
         # broadcast bound; scope ALL has at most one key per sensor, so it needs no count)
         keys, fresh = thr.agg(F.count(F.lit(1)), F.count("n_b")).collect()[0]
         if fresh == 0:  # T8: no statistics change, no alarm step; alarm state carried forward
-            st.write("alarm", batch_id, prev_alarm)
+            st.write("alarm", batch_id, prev_alarm.withColumn("command", F.lit(None).cast("string")))
             return
         small = self.scope == "ALL" or keys <= self.max_broadcast_rows
         self._events(readings, thr, small).write.mode("overwrite").parquet(
@@ -208,15 +209,18 @@ class AnomalyStream:
             t = F.when(F.max(F.when((F.col("sensor") == s) & F.col("state").isin(1, -1), 1)) == 1,
                        F.lit(s)).otherwise(t)
         types = thr.groupBy("scope").agg(t.alias("alarm_type"))
-        old = prev_alarm
+        old = prev_alarm.select("scope", "alarm")
         if not self.auto_ack and self.acks_path:
+            # the device's answer to the command sent in the previous batch settles the pending
+            # state before this batch's step (only a command actually sent can be acknowledged)
             try:
                 acks = (st.spark.read.parquet(self.acks_path)
                         .where(F.col("batch_id") == batch_id - 1).where("ack")
                         .select("scope").distinct().withColumn("_acked", F.lit(True)))
-                old = old.join(acks, "scope", "left").select(
-                    "scope", F.when(F.col("_acked") & (F.col("alarm") == 3), F.lit(1))
-                              .when(F.col("_acked") & (F.col("alarm") == 2), F.lit(0))
+                sent = F.col("command").isNotNull() & F.coalesce(F.col("_acked"), F.lit(False))
+                old = prev_alarm.join(acks, "scope", "left").select(
+                    "scope", F.when(sent & (F.col("alarm") == 3), F.lit(1))
+                              .when(sent & (F.col("alarm") == 2), F.lit(0))
                               .otherwise(F.col("alarm")).alias("alarm"))
             except AnalysisException:
                 pass
