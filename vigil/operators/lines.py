@@ -41,16 +41,23 @@ def line_values(matched: DataFrame, ids: list[str]) -> DataFrame:
     return matched.select(*ids, "sensor", text.alias("x_text"), try_double(text).alias("x"))
 
 
+def parsed(values: DataFrame) -> DataFrame:
+    """Rows whose text parsed to a number — kept through a generator so the extraction regex
+    is not re-evaluated inside a pushed-down filter."""
+    hit = F.explode_outer(F.when(F.col("x").isNotNull(), F.array(F.lit(True)))).alias("_ok")
+    return values.select("*", hit).where(F.col("_ok").isNotNull()).drop("_ok")
+
+
 def batch_count(values: DataFrame, sensor: str = "HUMIDITY") -> DataFrame:
     """A1 + P8: parsed values per batch with the label line."""
-    g = values.where((F.col("sensor") == sensor) & F.col("x").isNotNull()).groupBy("batch").agg(
+    g = parsed(values).where(F.col("sensor") == sensor).groupBy("batch").agg(
         F.count("*").alias("n"))
     return g.select("batch", "n", F.concat(F.lit(COUNT_LABEL), F.col("n").cast("string")).alias("label"))
 
 
 def batch_sum(values: DataFrame) -> DataFrame:
     """A2 + P8: per batch and sensor, the sum of parsed values and its label line."""
-    g = values.where(F.col("x").isNotNull()).groupBy("batch", "sensor").agg(F.sum("x").alias("total"))
+    g = parsed(values).groupBy("batch", "sensor").agg(F.sum("x").alias("total"))
     label = F.lit(None).cast("string")
     for sensor, text in SUM_LABELS.items():
         label = F.when(F.col("sensor") == sensor, F.lit(text)).otherwise(label)
@@ -62,5 +69,5 @@ def batch_sort(values: DataFrame, by_text: bool = False) -> DataFrame:
     """O2 (numeric) / O3 (as text: "100.1" sorts before "38.2"): ascending within each batch and
     sensor. A global range-partitioned sort, so no batch has to fit one task."""
     key = "x_text" if by_text else "x"
-    v = values.where(F.col("x").isNotNull()) if not by_text else values
+    v = parsed(values) if not by_text else values
     return v.select("batch", "sensor", key).orderBy("batch", "sensor", key)
