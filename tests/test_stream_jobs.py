@@ -94,3 +94,14 @@ def test_empty_batch_carries_state(spark, tmpdir_path):
     assert sorted(map(tuple, a0)) == sorted(map(tuple, a1))
     assert not os.path.exists(os.path.join(root, "commands", "batch_id=1"))
     assert spark.read.parquet(os.path.join(root, "rejects", "batch_id=1")).count() == 1  # blank is not a reject
+
+
+def test_old_state_versions_are_pruned(spark, tmpdir_path):
+    root = os.path.join(tmpdir_path, "out")
+    recs = feeds.json_records(events(spark, SF_SMALL)).drop("batch")
+    proc = AnomalyStream(root, keep_versions=2)
+    for i in range(6):
+        proc(recs.where((F.col("offset") >= 50 * i) & (F.col("offset") < 50 * (i + 1))), i)
+    for name in ("sensors", "alarm"):
+        kept = sorted(d for d in os.listdir(os.path.join(root, name)) if d.startswith("version="))
+        assert kept == ["version=3", "version=4", "version=5"], (name, kept)
