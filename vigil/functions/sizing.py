@@ -17,7 +17,8 @@ def materialize(df: DataFrame, name: str = "t") -> DataFrame:
     """Write ``df`` once as a parquet table under the session's shared checkpoint folder and
     read it back: lineage is cut (a lost executor does not recompute the upstream scan) and the
     plan is computed exactly once (``checkpoint()`` would compute it a second time to write).
-    Used for the small aggregate tables that later stages read more than once."""
+    Used for the small aggregate tables that later stages read more than once, and for the
+    depth table between the two dependent scans of line reassembly."""
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/vigil-tables/{name}-{uuid.uuid4().hex}"
