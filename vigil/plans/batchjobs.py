@@ -53,7 +53,7 @@ def rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bad.select(F.col("offset").alias("ord"), "reason")
 
 
-# -- batch summaries (testsql) ------------------------------------------------------------
+# -- batch summaries (SQL over messages) ------------------------------------------------------------
 
 def _msgs(spark, sf_dir):
     return wide_messages(events(spark, sf_dir))

@@ -9,8 +9,6 @@ ALARM_PRIORITY = ["TEMPERATURE", "PRESSURE", "HUMIDITY", "LIGHT"]
 #   message field feeding each sensor type
 SENSOR_FIELDS = {"temperature": "TEMPERATURE", "pressure": "PRESSURE",
                  "humidity": "HUMIDITY", "ambient_light": "LIGHT"}
-#   payload format tag of the weather-station messages
-MESSAGE_FORMAT = "urn:com:azuresults:x42ws:sensors"
 #   breach band half-width in standard deviations
 SIGMAS = 2.0
 #   batch summary alert limit and its messages
@@ -26,6 +24,9 @@ ALARM_CODE_OFF = "0"
 ALARM_CODE_ON = "1"
 # ---------------------------------------------------------------------------
 
+# Format tag written into the messages our fixture feeds build (not read by any query).
+MESSAGE_FORMAT = "urn:sensors:weather-station"
+
 # One schema for all three payload shapes: absent fields become NULL.
 SENSOR_ENTRY = StructType([StructField("current", DoubleType()), StructField("senstype", StringType())])
 
