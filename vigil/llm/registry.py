@@ -1,11 +1,16 @@
 """Queries of the package: name -> (spark, sf_dir) -> DataFrame, and their DuckDB SQL."""
 
-from vigil.llm import exact_dedup, sharding, url_filter
+from vigil.llm import (bpe, exact_dedup, packing, sharding, suffix_dedup, superkmers,
+                       url_filter)
 
 QUERIES = {
+    "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_url_filter": url_filter.op2_url_filter,
+    "op3_packing": packing.op3_packing,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op8_rendezvous_sharding": sharding.op8_rendezvous_sharding,
+    "op9_superkmer_dedup": superkmers.op9_superkmer_dedup,
+    "op10_bpe": bpe.op10_bpe,
 }
 
 ORACLE = {
