@@ -1,13 +1,14 @@
 """Queries of the package: name -> (spark, sf_dir) -> DataFrame, and their DuckDB SQL."""
 
-from vigil.llm import (bpe, exact_dedup, jaccard_join, packing, quality_knn, sharding,
-                       suffix_dedup, superkmers, url_filter)
+from vigil.llm import (bpe, dual_tree, exact_dedup, jaccard_join, packing, quality_knn,
+                       sharding, suffix_dedup, superkmers, url_filter)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
     "op2_url_filter": url_filter.op2_url_filter,
     "op3_packing": packing.op3_packing,
     "op4_quality_knn": quality_knn.op4_quality_knn,
+    "op5_dual_tree_top_k": dual_tree.op5_dual_tree_top_k,
     "op6_exact_dedup": exact_dedup.op6_exact_dedup,
     "op7_jaccard_join": jaccard_join.op7_jaccard_join,
     "op8_rendezvous_sharding": sharding.op8_rendezvous_sharding,
@@ -17,6 +18,7 @@ QUERIES = {
 
 ORACLE = {
     "op2_url_filter": url_filter.SQL,
+    "op5_dual_tree_top_k": dual_tree.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op8_rendezvous_sharding": sharding.SQL,
 }

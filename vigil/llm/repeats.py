@@ -185,21 +185,24 @@ def repeated_spans(docs: DataFrame, n_blocks: int, minimisers: Callable, pack: C
             [pa.array(blocks[order][s], pa.int32()),
              *(pa.array(x, pa.list_(pa.int32())) for x in lists)], schema=span_schema)
 
-    own = docs.select("block", "id", "text")
-    flags = (own.groupBy("block").applyInArrow(send, "bucket int, block int, hashes binary")
+    flags = (docs.groupBy("block").applyInArrow(send, "bucket int, block int, hashes binary")
              .groupBy("bucket").applyInArrow(count, "block int, hashes binary"))
-    packed = (own.groupBy("block").cogroup(flags.groupBy("block"))
+    packed = (docs.groupBy("block").cogroup(flags.groupBy("block"))
               .applyInArrow(send_packed, PACKED))
     return packed.groupBy("bucket").applyInArrow(decide, SPANS)
 
 
-def with_blocks(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+def with_blocks(docs: DataFrame, id_col: str, text_col: str,
+                keep: tuple[str, ...] = ()) -> tuple[DataFrame, int]:
     """The input dealt to blocks of about 8 MB of text by a hash of the id, as (block, id, text);
-    null texts stay null. The number of blocks follows from the bytes of all texts."""
+    null texts stay null. The columns ``keep`` go along as the struct ``keep``; every
+    pass reads all columns, so that the passes share one exchange. The number of blocks follows from the bytes of all texts."""
     n_blocks = block_count(text_bytes(docs, text_col))
-    return docs.select(block_of(F.col(id_col), n_blocks).alias("block"),
+    others = [F.struct(*keep).alias("keep")] if keep else []
+    rows = docs.select(block_of(F.col(id_col), n_blocks).alias("block"),
                        F.col(id_col).cast("long").alias("id"),
-                       F.col(text_col).alias("text")), n_blocks
+                       F.col(text_col).alias("text"), *others)
+    return rows, n_blocks
 
 
 def spans_by_row(spans: pa.Table, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

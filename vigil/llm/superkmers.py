@@ -13,6 +13,7 @@ from itertools import compress
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from vigil.llm.common import by_bytes, covered, documents, flat, mix, runs
@@ -168,15 +169,12 @@ def _kept(t: pa.Table, found: pa.Table):
         yield k, i, words, list(compress(words, ~covered(s, e, len(words)))) if len(s) else words
 
 
-def _spans(docs: DataFrame, id_col: str, text_col: str, width: int, gram: int):
-    rows, n_blocks = with_blocks(docs, id_col, text_col)
-    return rows, repeated_spans(rows, n_blocks, *_functions(width, gram))
-
-
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    width: int = WIDTH, gram: int = GRAM) -> DataFrame:
-    """One row per input row: ``id``, ``n_words``, ``n_removed`` and ``kept``: the text as it was
-    where nothing is removed (null stays null), else the kept words joined by single spaces.
+                    width: int = WIDTH, gram: int = GRAM,
+                    keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per input row: ``id``, ``n_words``, ``n_removed``, ``kept`` and the columns
+    ``keep``. ``kept`` is the text as it was where nothing is removed (null stays null), else the
+    kept words joined by single spaces.
 
     Words are maximal runs of bytes other than space and 0x09-0x0D, unchanged. A word goes when a
     window of ``width`` words covers it whose words also start in a document of smaller id;
@@ -184,26 +182,38 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     each other. Null ids come last. Null, empty and short texts lose nothing. Other columns are
     not looked at; an empty table gives no rows.
     """
-    rows, spans = _spans(docs, id_col, text_col, width, gram)
-    ddl = "id long, n_words long, n_removed long, kept string"
-    schema = arrow_schema(ddl)
+    rows, n_blocks = with_blocks(docs, id_col, text_col, keep)
+    spans = repeated_spans(rows, n_blocks, *_functions(width, gram))
+    out = rows.select("id", *(f"keep.{c}" for c in keep)).schema
+    for name, kind in (("n_words", "long"), ("n_removed", "long"), ("kept", "string")):
+        out = out.add(name, kind)
 
     def finish(t: pa.Table, found: pa.Table) -> pa.Table:
         t = in_order(t)
         texts = t.column("text")
-        out = [(i, len(words), len(words) - len(kept),
-                texts[k].as_py() if len(kept) == len(words) else b" ".join(kept).decode())
-               for k, i, words, kept in _kept(t, found)]
+        done = [(len(words), len(words) - len(kept),
+                 texts[k].as_py() if len(kept) == len(words) else b" ".join(kept).decode())
+                for k, _, words, kept in _kept(t, found)]
+        n_words, n_removed, kept = zip(*done) if done else ((), (), ())
         return pa.Table.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(zip(*out) if out else [[]] * 4, schema)],
-            schema=schema)
+            [t.column("id"), *_columns(t, keep), pa.array(n_words, pa.int64()),
+             pa.array(n_removed, pa.int64()), pa.array(kept, pa.string())],
+            names=["id", *keep, "n_words", "n_removed", "kept"])
 
-    return (rows.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(finish, ddl)
+    return (rows.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(finish, out)
             .withColumnRenamed("id", id_col))
 
 
+def _columns(t: pa.Table, keep: tuple[str, ...]) -> list:
+    """The carried columns; they travel as one struct, so their names cannot clash."""
+    if not keep:
+        return []
+    return [pc.struct_field(t.column("keep").combine_chunks(), [k]) for k in range(len(keep))]
+
+
 def op9_superkmer_dedup(spark, sf_dir: str) -> DataFrame:
-    rows, spans = _spans(documents(spark, sf_dir), "doc_id", "text", WIDTH, GRAM)
+    rows, n_blocks = with_blocks(documents(spark, sf_dir), "doc_id", "text")
+    spans = repeated_spans(rows, n_blocks, *_functions(WIDTH, GRAM))
     ddl = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     schema = arrow_schema(ddl)
 
