@@ -37,9 +37,29 @@ def json_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_reassemble(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs, _tail, _big = reassemble(feeds.split_line_records(events(spark, sf_dir)))
+    docs, _, _ = reassemble(feeds.split_line_records(events(spark, sf_dir)))
     msgs, _ = decode_records(docs, keep=["offset"])
-    return _projection(msgs, F.expr(f"offset div {feeds.LINES_PER_MESSAGE}"))
+    return _projection(msgs, F.expr(f"offset div {feeds.LINE_SLOTS}"))
+
+
+def reassemble_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the line feed loses, with its text: nothing else may be missing."""
+    docs, unfinished, lost = reassemble(feeds.split_line_records(events(spark, sf_dir)))
+    _, bad = decode_records(docs, keep=["offset"])
+    cols = [F.expr(f"offset div {feeds.LINE_SLOTS}").alias("ord"), "value", "reason"]
+    return (lost.select(*cols).unionByName(bad.select(*cols)).unionByName(
+        unfinished.withColumn("reason", F.lit("unfinished")).select(*cols)))
+
+
+def decode_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages and rejects of records of every form, each record accounted for."""
+    msgs, bad = decode_records(feeds.mixed_records(events(spark, sf_dir)), keep=["offset"])
+    good = msgs.select(F.col("offset").alias("ord"), F.col("idx").cast("int").alias("idx"),
+                       F.col("msg.payload.data.temperature").alias("temperature"),
+                       F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(bad.select(
+        F.col("offset").alias("ord"), F.lit(None).cast("int").alias("idx"),
+        F.lit(None).cast("double").alias("temperature"), F.col("value").alias("text"), "reason"))
 
 
 def sensor_array(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from vigil.schema import MESSAGE_FORMAT, SENSOR_FIELDS
 from vigil.sources.tables import wide_messages
 
-LINES_PER_MESSAGE = 5     # "[", "{", body, "}", "]"
+LINE_SLOTS = 8            # offsets that a message's lines may take
 LINE_PARTITIONS = 4       # records spread over four topic partitions
+ARRAY_MESSAGES = 500      # messages of one array
+CUT_OFF = '{"guid": "cut off"'
 
 
 def json_records(ev: DataFrame, unit: str = "hour") -> DataFrame:
@@ -23,16 +25,43 @@ def json_records(ev: DataFrame, unit: str = "hour") -> DataFrame:
 
 
 def split_line_records(ev: DataFrame) -> DataFrame:
-    """Each message as five line records on partition ``ord % 4`` at offsets ``ord*5 + i``."""
+    """Messages as line records of long arrays on partition ``ord % 4``, at offsets from
+    ``ord * 8``: most over several lines, every seventh compact on one, and after every 97th place
+    a line that opens an object and never closes it."""
     m = wide_messages(ev)
     obj = F.to_json(F.col("msg"))
+    place = F.expr(f"ord div {LINE_PARTITIONS} % {ARRAY_MESSAGES}")
+    none = F.array().cast("array<string>")
+
+    def line(condition, text):
+        return F.when(condition, F.array(F.lit(text))).otherwise(none)
+
     body = F.expr("substring(_obj, 2, length(_obj) - 2)")
-    lines = F.array(F.lit("["), F.lit("{"), body, F.lit("}"), F.lit("]"))
-    return (m.select("ord", obj.alias("_obj"))
+    spread_out = F.array(F.lit("  {"), body, F.lit("  },"))
+    lines = F.concat(line(F.col("_p") == 0, "["), line(F.col("ord") % 97 == 5, CUT_OFF),
+                     F.when(F.col("ord") % 7 == 0, F.array(F.concat("_obj", F.lit(","))))
+                     .otherwise(spread_out), line(F.col("_p") == ARRAY_MESSAGES - 1, "]"))
+    return (m.select("ord", obj.alias("_obj"), place.alias("_p"))
              .select("ord", F.posexplode(lines).alias("i", "value"))
              .select(F.lit("events").alias("topic"),
                      (F.col("ord") % LINE_PARTITIONS).cast("int").alias("partition"),
-                     (F.col("ord") * LINES_PER_MESSAGE + F.col("i")).alias("offset"), "value"))
+                     (F.col("ord") * LINE_SLOTS + F.col("i")).alias("offset"), "value"))
+
+
+def mixed_records(ev: DataFrame) -> DataFrame:
+    """Records of many forms, by ``ord % 9``: an array, an object, two documents, a document and
+    more, no message, wrong types, unknown fields, white space, and a cut-off document."""
+    m = wide_messages(ev).select("ord", F.to_json(F.col("msg")).alias("o"))
+    forms = [F.concat(F.lit("["), "o", F.lit("]")), F.col("o"),
+             F.concat(F.lit("["), "o", F.lit("],["), "o", F.lit("]")),
+             F.concat(F.lit("["), "o", F.lit("] trailing")), F.lit("[null]"),
+             F.lit('{"payload":5}'), F.lit('{"foo":1}'), F.lit("\t\r\n "),
+             F.concat("o", F.lit(' {"guid":'))]
+    value = forms[-1]
+    for i in range(len(forms) - 2, -1, -1):
+        value = F.when(F.col("ord") % len(forms) == i, forms[i]).otherwise(value)
+    return m.select(F.lit("events").alias("topic"), F.lit(0).alias("partition"),
+                    F.col("ord").alias("offset"), value.alias("value"))
 
 
 def sensor_array_records(ev: DataFrame) -> DataFrame:
@@ -65,24 +94,31 @@ def _fmt(c: Column) -> Column:
 
 
 def pretty_lines(ev: DataFrame, unit: str = "hour") -> DataFrame:
-    """Every message printed over 12 lines as the console producer sends it: (batch, ord, line_no, value)."""
+    """Every message printed one field a line: (batch, ord, line_no, value)."""
     m = wide_messages(ev, unit)
     d = "msg.payload.data"
+
+    def number(name, field, end=","):
+        return F.concat(F.lit(f'"{name}" : '), _fmt(F.col(f"{d}.{field}")), F.lit(end))
+
     lines = F.array(
-        F.lit("{"),
-        F.concat(F.lit('  "guid": "'), F.col("msg.guid"), F.lit('",')),
-        F.lit('  "payload": {'),
-        F.concat(F.lit('     "format": "'), F.col("msg.payload.format"), F.lit('", ')),
-        F.lit('     "data": {'),
-        F.concat(F.lit('        "temperature": '), _fmt(F.col(f"{d}.temperature")), F.lit(",")),
-        F.concat(F.lit('        "pressure": '), _fmt(F.col(f"{d}.pressure")), F.lit(",")),
-        F.concat(F.lit('        "humidity": '), _fmt(F.col(f"{d}.humidity")), F.lit(",")),
-        F.concat(F.lit('        "ambient_light": '), _fmt(F.col(f"{d}.ambient_light")), F.lit(",")),
-        F.concat(F.lit('        "timestamp": "'), F.col(f"{d}.timestamp"), F.lit('"')),
-        F.lit("     }"),
-        F.lit("   }"))
+        F.concat(F.lit('{ "guid" : "'), F.col("msg.guid"), F.lit('",')),
+        F.lit('"payload" : { "data" : {'),
+        number("temperature", "temperature"), number("pressure", "pressure"),
+        number("humidity", "humidity"), number("ambient_light", "ambient_light"),
+        F.concat(F.lit('"timestamp" : "'), F.col(f"{d}.timestamp"), F.lit('"')),
+        F.concat(F.lit('}, "format" : "'), F.col("msg.payload.format"), F.lit('" } }')))
     return m.select("batch", "ord", F.posexplode(lines).alias("line_no", "value"))
 
 
-__all__ = ["json_records", "split_line_records", "sensor_array_records", "broken_records",
-           "pretty_lines"]
+def compact_lines(ev: DataFrame, unit: str = "hour") -> DataFrame:
+    """Every message on one line, both sensor keys of the line jobs in it."""
+    m = wide_messages(ev, unit)
+    d = "msg.payload.data"
+    line = F.concat(F.lit('{"humidity":'), _fmt(F.col(f"{d}.humidity")),
+                    F.lit(',"ambient_light":'), _fmt(F.col(f"{d}.ambient_light")), F.lit(","))
+    return m.select("batch", "ord", F.lit(0).alias("line_no"), line.alias("value"))
+
+
+__all__ = ["json_records", "split_line_records", "mixed_records", "sensor_array_records",
+           "broken_records", "pretty_lines", "compact_lines"]

@@ -22,6 +22,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "alarm_with_acks": sensors.alarm_with_acks,
     "json_decode": B.json_decode,
     "json_reassemble": B.json_reassemble,
+    "reassemble_rejects": B.reassemble_rejects,
+    "decode_mixed": B.decode_mixed,
     "sensor_array": B.sensor_array,
     "rejects": B.rejects,
     "distinct_float": B.distinct_float,

@@ -1,156 +1,268 @@
 """Record framing and JSON decoding.
 
-decode_records:  one record = one JSON document (a message object or an array of them);
-                 parsed with the fixed schema, exploded with the array index; records that do
-                 not parse go to rejects with a reason instead of failing or silently vanishing.
-reassemble:      records that are *lines* of pretty-printed documents (one record per line, as
-                 a console producer sends them) are regrouped into documents by bracket depth,
-                 in offset order per (topic, partition): a running depth (two-level running
-                 scan, never one task per partition) marks where documents close.
+A message is a balanced ``{...}`` that no other brace encloses; arrays, commas and white space
+between messages only separate them.
+
+decode_records:  records that hold whole documents (one object, an array, or several of either).
+                 Every message is parsed by itself; what is no message is rejected with its text.
+reassemble:      records that are *lines* of documents, in offset order per (topic, partition).
+                 Each message is put together when its own brace closes, so the length of the
+                 array around it does not matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
-from vigil.functions.scan import RunSpec, running
-from vigil.functions.sizing import materialize
-from vigil.schema import MESSAGE, MESSAGES, SENSOR_FIELDS
+from vigil.functions.text import WHITESPACE_CLASS
+from vigil.schema import MESSAGE, SENSOR_FIELDS
 
-# JSON string literal (with escapes); removed before counting brackets
-STRING_LITERAL = r'"(?:[^"\\]|\\.)*"'
+# Objects may be nested so deep; deeper ones are rejected. (Messages use four levels.)
+NESTING = 12
+# Every repetition is possessive: the matcher neither recurses nor backtracks over long texts.
+LITERAL = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"'
 
 
-# In valid JSON a closing bracket is followed by a comma, another closer or the end, never by
-# an opener: "][", "}{", "]{", "}[" (whitespace between allowed) outside string literals only
-# occur where several top-level documents are concatenated in one record.
-CONCATENATED = r"[\]}]\s*[\[{]"
-TOKENS = r'"(?:[^"\\]|\\.)*"|[^"]+'
-SEP = "\u0001"  # never valid unescaped in JSON text
+def _object(depth: int = NESTING) -> str:
+    """Pattern of a balanced {...} with up to ``depth`` levels below it."""
+    inner = rf"[^{{}}\"]++|{LITERAL}"
+    pattern = rf"\{{(?:{inner})*+\}}"
+    for _ in range(depth):
+        pattern = rf"\{{(?:{inner}|{pattern})*+\}}"
+    return pattern
 
 
-def _parse_one(value: Column) -> Column:
-    """One parser call: an object is wrapped into a one-element array text first (keeps the
-    generated code small; several parser copies in one stage push it past the codegen limit)."""
-    first = F.regexp_extract(value, r"^\s*(\S)", 1)  # ltrim() would strip spaces only
-    text = F.when(first == "{", F.concat(F.lit("["), value, F.lit("]"))).when(first == "[", value)
-    return F.from_json(text, MESSAGES)
+OBJECT = _object()
+# A piece outside messages starts a balanced object, or an open one that takes the whole rest.
+PIECE = rf"(?s){OBJECT}|\{{.*+"
+SEPARATORS = rf"(?:{WHITESPACE_CLASS}|[\[\],])*+"
+PARSED = StructType([*MESSAGE.fields]).add("_bad", StringType())
 
 
-def split_documents(value: Column) -> Column:
-    """array<string>: the record cut at every boundary between concatenated top-level documents
-    (string literals are left untouched)."""
-    chunks = F.regexp_extract_all(value, F.lit(TOKENS), 0)
-    marked = F.transform(chunks, lambda c: F.when(c.startswith('"'), c).otherwise(
-        F.regexp_replace(c, r"([\]}])(\s*)([\[{])", "$1$2" + SEP + "$3")))
-    return F.split(F.array_join(marked, ""), SEP)
+def pieces(value: Column) -> tuple[Column, Column]:
+    """(array of top-level objects, the last maybe open; what else is there but separators)."""
+    rest = F.regexp_replace(value, PIECE, "")
+    other = F.regexp_replace(rest, rf"^{SEPARATORS}|{SEPARATORS}$", "")
+    return F.regexp_extract_all(value, F.lit(PIECE), 0), F.when(other != "", other)
 
 
-def parse_messages(value: Column) -> Column:
-    """array<message> for an array document, a one-element array for a single object, and the
-    messages of every document when several are concatenated in one record (the reference kept
-    only the first); NULL when any part is not JSON of either form."""
-    # cheap test on the raw text first (almost every record fails it); only then the exact
-    # test with string literals removed, and only then the split
-    bare = F.regexp_replace(value, STRING_LITERAL, '""')
-    concatenated = value.rlike(CONCATENATED) & bare.rlike(CONCATENATED)
-    parts = F.transform(split_documents(value), _parse_one)
-    several = F.when(F.exists(parts, lambda a: a.isNull()), F.lit(None)).otherwise(F.flatten(parts))
-    return F.when(concatenated, several).otherwise(_parse_one(value))
+def _one_row_if(condition: Column, value: Column) -> Column:
+    """Generator that keeps a row when ``condition`` holds. A plain filter on a parsed column would
+    be pushed below the projection and parse again."""
+    return F.explode_outer(F.when(condition, F.array(value)))
 
 
 def parse_records(records: DataFrame, keep: list[str] | None = None) -> DataFrame:
-    """keep cols + value + ``_arr`` (the parsed messages, NULL when the record is not JSON)."""
+    """keep cols, idx, value (text of the piece), ``_msg`` (NULL when it is no message) and
+    ``_reason``: one row per piece of every record, what lies outside objects included."""
     keep = keep or [c for c in records.columns if c != "value"]
-    return records.select(*keep, "value", parse_messages(F.col("value")).alias("_arr"))
+    objects, other = pieces(F.col("value"))
+    cut = records.select(*keep, objects.alias("_o"), other.alias("_x"))
+    every = F.concat(F.col("_o"), F.when(F.col("_x").isNotNull(), F.array("_x"))
+                     .otherwise(F.array().cast("array<string>")))
+    part = (cut.select(*keep, F.posexplode_outer(every).alias("idx", "value"))
+            .where(F.col("value").isNotNull()))
+    r = F.from_json("value", PARSED, {"columnNameOfCorruptRecord": "_bad"})
+    part = part.select(*keep, "idx", "value", r.alias("_r"))
+    fields = F.struct(*[F.col(f"_r.{f.name}").alias(f.name) for f in MESSAGE.fields])
+    reason = (F.when(F.col("_r").isNull() | F.col("_r._bad").isNotNull(), "malformed")
+              .when(F.col("_r.guid").isNull() & F.col("_r.payload").isNull(), "not a message"))
+    return part.select(*keep, "idx", "value", reason.alias("_reason"),
+                       F.when(reason.isNull(), fields).alias("_msg"))
 
 
 def split_parsed(p: DataFrame, keep: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Parsed records -> (messages, rejects)."""
-    blank = F.trim(F.col("value")) == ""
-    # posexplode_outer + a filter on its output: plain posexplode makes the optimizer infer
-    # size(_arr) > 0 and push it (with the whole parser) below the scan's exchange
-    msgs = p.select(*keep, F.posexplode_outer("_arr").alias("idx", "msg")).where(F.col("msg").isNotNull())
-    # same trick for rejects: a filter on the parsed column would be pushed below the projection
-    # and re-evaluate the parser (and whatever produced ``value``) once per reference
-    bad = F.when(F.col("_arr").isNull() & ~blank, F.array(F.lit("malformed")))
-    rejects = (p.select(*keep, "value", F.explode_outer(bad).alias("reason"))
-                .where(F.col("reason").isNotNull()))
+    """Parsed pieces -> (messages, rejects)."""
+    msgs = (p.select(*keep, "idx", _one_row_if(F.col("_reason").isNull(), F.col("_msg")).alias("msg"))
+            .where(F.col("msg").isNotNull()))
+    rejects = (p.select(*keep, "value", _one_row_if(F.col("_reason").isNotNull(), F.col("_reason"))
+                        .alias("reason")).where(F.col("reason").isNotNull()))
     return msgs, rejects
 
 
 def decode_records(records: DataFrame, keep: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """(messages, rejects). messages: keep cols + idx + msg struct; rejects: keep cols + value + reason."""
+    """(messages, rejects). messages: keep cols + idx + msg struct; rejects: keep cols + value
+    (the piece's text) + reason. Every record's text is in one of them, but for separators."""
     keep = keep or [c for c in records.columns if c != "value"]
     return split_parsed(parse_records(records, keep), keep)
 
 
-def bracket_delta(value: Column) -> Column:
-    """Opening minus closing brackets outside string literals."""
-    bare = F.regexp_replace(value, STRING_LITERAL, "")
-    opens = F.length(bare) - F.length(F.regexp_replace(bare, r"[\[{]", ""))
-    closes = F.length(bare) - F.length(F.regexp_replace(bare, r"[\]}]", ""))
-    return opens - closes
+# -- lines ------------------------------------------------------------------------------------
+# Records of one (topic, partition) whose offsets share a bucket are framed together in one task.
+BUCKET_OFFSETS = 1 << 16
+_BKT = "_bkt"
+
+
+def brace_effect(value: Column) -> tuple[Column, Column]:
+    """(closers that reach out of the line, openers left open) outside string literals."""
+    braces = F.regexp_replace(F.regexp_replace(value, LITERAL, ""), r"[^{}]++", "")
+    # what is balanced inside the line goes, from the inside out
+    left = braces
+    for _ in range(3):
+        left = F.regexp_replace(left, _object(), "")
+    closers = F.length(F.regexp_extract(left, r"^[}]*+", 0))
+    return closers, F.length(left) - closers
+
+
+def _line_facts(records: DataFrame, by: list[str], order: str) -> DataFrame:
+    closers, openers = brace_effect(F.col("value"))
+    plain = F.regexp_replace(F.col("value"), rf"^{WHITESPACE_CLASS}++|{WHITESPACE_CLASS}++$", "")
+    r = records.select(*by, order, "value", plain.alias("_t"), closers.alias("_a"),
+                       openers.alias("_b"))
+    first, last = F.substring("_t", 1, 1), F.substring("_t", -1, 1)
+    return r.select(*by, order, "value", "_a", "_b",
+                    F.when(first != "", first).alias("_first"),
+                    F.when(last != "", last).alias("_last"),
+                    F.floor(F.col(order) / F.lit(BUCKET_OFFSETS)).alias(_BKT))
+
+
+def _framed(records: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Every line with the brace depth before it (``_d``; 0 at a fresh start), whether it starts
+    afresh (``_hard``), and the offset of the line where the message open before it began (``_m``).
 
+    An opener at the start of a line can only continue a document after a colon, comma or opening
+    bracket; after anything else (or at the very start) a new document begins, whatever was left
+    open. Depths are running values of D -> max(D - closers, 0) + openers, which compose as
+    D -> max(D + s, t): within a bucket by windows over the bucket's lines, from bucket to bucket
+    over one row each. The lines are dealt out once; the bucket tables are small and narrow.
+    """
+    lines = _line_facts(records, by, order)
+    group = [*by, _BKT]
+    # the last character that counts of the buckets before
+    ends = lines.groupBy(*group).agg(
+        F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col(order))).alias("_end"))
+    before = Window.partitionBy(*by).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*group, F.last("_end", ignorenulls=True).over(before).alias("_carried"))
+    inside = Window.partitionBy(*group).orderBy(order)
+    past = inside.rowsBetween(Window.unboundedPreceding, -1)
+    upto = inside.rowsBetween(Window.unboundedPreceding, 0)
+    x = lines.join(ends, group)
+    previous = F.coalesce(F.last("_last", ignorenulls=True).over(past), F.col("_carried"))
+    fresh = F.col("_first").isin("{", "[") & (
+        F.col("_previous").isNull() | ~F.col("_previous").isin(":", ",", "["))
+    x = x.withColumn("_previous", previous).withColumn("_hard", F.coalesce(fresh, F.lit(False)))
+    x = x.withColumn("_seg", F.sum(F.col("_hard").cast("int")).over(upto))
+    seg = Window.partitionBy(*group, "_seg").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, 0)
+    x = x.withColumn("_s", F.sum(F.col("_b") - F.col("_a")).over(seg))
+    x = x.withColumn("_t", F.col("_s") + F.max(F.col("_b") - F.col("_s")).over(seg))
+    # bucket to bucket: the effect of a bucket's last stretch, absolute if it starts afresh
+    whole = x.groupBy(*group).agg(
+        F.max_by(F.struct("_seg", "_s", "_t"), order).alias("_e")).select(
+        *group, (F.col("_e._seg") > 0).alias("_abs"), F.col("_e._s").alias("_s"),
+        F.col("_e._t").alias("_t"))
+    upto_b = Window.partitionBy(*by).orderBy(_BKT).rowsBetween(Window.unboundedPreceding, 0)
+    whole = whole.withColumn("_run", F.sum(F.col("_abs").cast("int")).over(upto_b))
+    run = Window.partitionBy(*by, "_run").orderBy(_BKT).rowsBetween(Window.unboundedPreceding, 0)
+    # in a run only its first bucket is absolute: there D is t, after it D + s
+    step = F.when(F.col("_abs"), F.lit(0)).otherwise(F.col("_s"))
+    whole = whole.withColumn("_cs", F.sum(step).over(run))
+    whole = whole.withColumn("_after", F.col("_cs") + F.max(F.col("_t") - F.col("_cs")).over(run))
+    by_bucket = Window.partitionBy(*by).orderBy(_BKT)
+    # (before the first absolute bucket the depth starts at 0: max(s, t) with t >= s, so t)
+    start = whole.select(*group, F.coalesce(F.lag("_after").over(by_bucket), F.lit(0)).alias("_d0"))
+    x = x.join(start, group)
+    after = F.when(F.col("_seg") == 0, F.greatest(F.col("_d0") + F.col("_s"), F.col("_t"))
+                   ).otherwise(F.col("_t"))
+    x = x.withColumn("_after", after)
+    depth = F.when(F.col("_hard"), F.lit(0)).otherwise(
+        F.coalesce(F.lag("_after").over(inside), F.col("_d0")))
+    x = x.withColumn("_d", depth)
+    # the line opens a message that outlasts it if depth 0 was reached and some opener is left
+    opens = (F.col("_a") >= F.col("_d")) & (F.col("_b") > 0)
+    x = x.withColumn("_opened", F.when(opens, F.col(order)))
+    last = x.groupBy(*group).agg(F.max("_opened").alias("_o"))
+    carried = last.select(*group, F.max("_o").over(before).alias("_m0"))
+    return (x.join(carried, group)
+            .withColumn("_m", F.coalesce(F.max("_opened").over(past), F.col("_m0"))))
 
-# Longest document (in lines) that is reassembled; longer runs are rejected, so one group
-# never collects more than this many lines however the input is broken.
-MAX_DOC_LINES = 100_000
+
+def _close_pattern(depth: int) -> str:
+    """The start of a line up to and with the brace that closes so many levels."""
+    level = rf"(?:[^{{}}\"]++|{LITERAL}|{OBJECT})*+\}}"
+    return "^" + level * depth
+
+
+def _parts(records: DataFrame, by: list[str], order: str) -> DataFrame:
+    """Every line cut into (by, order, ``part``, ``kind``, ``value``, ``_m``): ``body`` and
+    ``close`` belong to the message that began in line ``_m``, ``open`` begins one, ``whole`` is
+    one, ``other`` is neither message nor separator."""
+    x = _framed(records, by, order)
+    head = F.lit(None).cast("string")
+    for n in range(NESTING, 0, -1):
+        head = F.when(F.col("_d") == n, F.regexp_extract("value", "(?s)" + _close_pattern(n), 0)
+                      ).otherwise(head)
+    inside = F.col("_d") > 0
+    closes = inside & (F.col("_a") >= F.col("_d"))
+    x = x.select(*by, order, "value", "_m", "_b", "_d", inside.alias("_inside"),
+                 closes.alias("_closes"), F.when(closes, head).alias("_head"))
+    # nested deeper than NESTING: the text up to the last closer
+    x = x.withColumn("_head", F.when(
+        F.col("_closes") & (F.col("_d") > NESTING),
+        F.regexp_extract("value", r"(?s)^.*\}", 0)).otherwise(F.col("_head")))
+    rest = F.when(~F.col("_inside"), F.col("value")).when(
+        F.col("_closes"), F.expr("substring(value, length(_head) + 1)")).otherwise(F.lit(""))
+    x = x.withColumn("_rest", rest)
+    objects, other = pieces(F.col("_rest"))
+    x = x.select(*by, order, "_m", "_b", "_inside", "_closes", "_head", "value",
+                 objects.alias("_o"), other.alias("_x"))
+
+    def piece(kind, value):
+        return F.struct(kind.alias("kind"), value.alias("value"))
+
+    none = F.array().cast("array<struct<kind:string,value:string>>")
+    first = F.when(F.col("_closes"), F.array(piece(F.lit("close"), F.col("_head")))).when(
+        F.col("_inside"), F.array(piece(F.lit("body"), F.col("value")))).otherwise(none)
+    n = F.size("_o")
+    outlasts = (F.col("_b") > 0) & (~F.col("_inside") | F.col("_closes"))
+    middle = F.transform("_o", lambda v, i: piece(
+        F.when(outlasts & (i == n - 1), F.lit("open")).otherwise(F.lit("whole")), v))
+    end = F.when(F.col("_x").isNotNull(), F.array(piece(F.lit("other"), F.col("_x")))).otherwise(none)
+    return (x.select(*by, order, "_m", F.posexplode_outer(F.concat(first, middle, end))
+                     .alias("part", "_p")).where(F.col("_p").isNotNull())
+            .select(*by, order, "part", F.col("_p.kind").alias("kind"),
+                    F.col("_p.value").alias("value"),
+                    F.when(F.col("_p.kind").isin("body", "close"), F.col("_m"))
+                    .when(F.col("_p.kind") == "open", F.col(order)).alias("_m")))
 
 
 def reassemble(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
-               order: str = "offset", max_lines: int = MAX_DOC_LINES, cut: bool = True
-               ) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Line records -> (documents, unfinished, oversized).
-
-    documents: by cols + offset (of the first line) + value (lines joined by newlines). A
-    document is the run of lines from depth 0 back to depth 0. ``unfinished`` is the open
-    tail per (topic, partition) (a stream carries it into the next batch; a table rejects it);
-    ``oversized`` lists documents longer than ``max_lines`` lines (rejected, never collected).
-
-    The second scan depends on the first; with ``cut`` the depth table is written once to the
-    checkpoint folder so the source is not re-evaluated by every branch of the second scan
-    (a stream passes ``cut=False`` and persists its micro-batch instead)."""
+               order: str = "offset") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Line records -> (documents, unfinished, lost).
+
+    documents: by cols + order (of the line where the message begins) + ``part`` (its place among
+    the pieces of that line) + value, one message each. ``unfinished``: the lines, cut to what
+    belongs to it, of the message still open at the end of each (topic, partition); a stream
+    carries them into the next batch, a table rejects them. ``lost``: by cols + order + value +
+    reason, every piece that belongs to no closed message: text outside messages ('malformed') and
+    the lines of a message that a fresh start cut off ('unclosed'). Lines of messages that never
+    close are never collected into one group."""
     by = list(by)
-    r = (records.select(*by, order, "value")
-         .withColumn("_d", bracket_delta(F.col("value"))).withColumn("_one", F.lit(1)))
-    r = running(r, by, order, [RunSpec("_depth", "_d"), RunSpec("_n", "_one")])
-    if cut:
-        r = materialize(r, "depth")
-    lowest = r.agg(F.min("_depth")).collect()[0][0]  # one small job (a table read when cut)
-    if lowest is not None and lowest < 0:
-        # a stray closing bracket drove the raw depth below zero: clamp at zero
-        # (depth = S - min(0, running min of S)) so framing recovers right after it
-        r = running(r, by, order, [RunSpec("_m", "_depth", "min"),
-                                   RunSpec("_mp", "_depth", "min", inclusive=False)])
-        r = (r.withColumn("_before", (F.col("_depth") - F.col("_d")) - F.least(F.lit(0), F.col("_mp")))
-              .withColumn("_depth", F.col("_depth") - F.least(F.lit(0), F.col("_m"))))
-    else:
-        r = r.withColumn("_before", F.col("_depth") - F.col("_d"))
-    # a document closes where the depth returns to 0; a non-blank line that starts and ends at
-    # depth 0 is a document of its own (a one-line document, or junk that will be rejected)
-    closes = (F.col("_depth") == 0) & ((F.col("_before") > 0)
-                                       | ((F.col("_before") == 0) & (F.trim(F.col("value")) != "")))
-    r = (r.withColumn("_close", closes.cast("int"))
-          .withColumn("_closed_at", F.when(closes, F.col("_n"))))
-    r = running(r, by, order, [RunSpec("_doc", "_close", "sum", inclusive=False),
-                               RunSpec("_prev", "_closed_at", "max", inclusive=False)])
-    r = (r.withColumn("_doc", F.coalesce(F.col("_doc"), F.lit(0)))
-          .withColumn("_pos", F.col("_n") - F.coalesce(F.col("_prev"), F.lit(0))))
-    line = F.struct(F.col(order), F.col("value"))
-    docs = r.groupBy(*by, "_doc").agg(
-        F.min(order).alias(order),
-        F.max("_pos").alias("_lines"),
-        F.max(F.struct(F.col(order), F.col("_depth"))).getField("_depth").alias("_end"),
-        F.collect_list(F.when(F.col("_pos") <= max_lines, line)).alias("_parts"))
-    docs = docs.withColumn("value", F.array_join(
-        F.transform(F.array_sort(F.col("_parts")), lambda x: x.getField("value")), "\n"))
-    fits = F.col("_lines") <= max_lines
-    done = docs.where(fits & (F.col("_end") == 0) & (F.trim(F.col("value")) != ""))
-    open_tail = docs.where(fits & (F.col("_end") != 0))
-    oversized = docs.where(~fits).select(*by, order, F.col("_lines").alias("lines"))
-    return (done.select(*by, order, "value"), open_tail.select(*by, order, "value"), oversized)
+    parts = _parts(records, by, order)
+    whole = parts.where(F.col("kind") == "whole").select(*by, order, "part", "value")
+    other = parts.where(F.col("kind") == "other").select(
+        *by, order, "value", F.lit("malformed").alias("reason"))
+    long = parts.where(F.col("_m").isNotNull())
+    ids = [*by, "_m"]
+    closed = long.where(F.col("kind") == "close").select(*ids).distinct().withColumn(
+        "_closed", F.lit(True))
+    marked = long.join(closed, ids, "left")
+    line = F.struct(F.col(order), F.col("part"), F.col("value"))
+    joined = (marked.where("_closed").groupBy(*ids)
+              .agg(F.array_sort(F.collect_list(line)).alias("_l"))
+              .select(*by, F.col("_m").alias(order), F.col("_l")[0]["part"].alias("part"),
+                      F.array_join(F.transform("_l", lambda v: v["value"]), "\n").alias("value")))
+    open_ = marked.where("_closed is null")
+    # the last message to begin in a partition may still be open; others were cut off
+    newest = parts.where(F.col("kind").isin("open", "whole", "other")).groupBy(*by).agg(
+        F.max(F.struct(F.col(order), F.col("part"))).alias("_n"))
+    tail = open_.join(newest, by).withColumn("_last", F.col("_n")[order] == F.col("_m"))
+    unfinished = tail.where("_last").select(*by, order, "value")
+    cut_off = tail.where(~F.col("_last")).select(
+        *by, order, "value", F.lit("unclosed").alias("reason"))
+    return whole.unionByName(joined), unfinished, other.unionByName(cut_off)
 
 
 def field_reading(msg: Column, field: str) -> Column:
