@@ -15,10 +15,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
+from vigil.functions.joins import null_safe_join
 
-# A counted table this small may use one plain window per key (a task holds at most this many).
-BOUNDED_ROWS = 1_000_000
+_AGG = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 @dataclass(frozen=True)
@@ -48,21 +47,11 @@ def default_bucket(df: DataFrame, order: str) -> Column:
 
 
 def running(df: DataFrame, by: list[str], order: str, specs: list[RunSpec],
-            bucket: Column | None = None, bounded: bool = False) -> DataFrame:
+            bucket: Column | None = None) -> DataFrame:
     """Add one column per spec: the running aggregate within ``by`` ordered by ``order``.
 
-    ``order`` must be unique within ``by`` (it is the batch key in every use here).
-    ``bounded=True`` is for tables the caller has counted (at most ``BOUNDED_ROWS`` rows in
-    total, so no group can be large): one plain window, one exchange. Otherwise the two-level
-    scan below keeps every task to one bucket of one key.
-    """
-    if bounded:
-        cols = []
-        for s in specs:
-            w = Window.partitionBy(*by).orderBy(order).rowsBetween(
-                Window.unboundedPreceding, 0 if s.inclusive else -1)
-            cols.append(_AGG[s.op](s.col).over(w).alias(s.out))
-        return df.select("*", *cols)
+    ``order`` must be unique within ``by`` (it is the batch key in every use here). Null keys are
+    a group like any other."""
     bkt = bucket if bucket is not None else default_bucket(df, order)
     b = df.withColumn("_bkt", bkt)
     # 1. running value inside each (by, bucket): the one exchange of the input rows
@@ -74,14 +63,13 @@ def running(df: DataFrame, by: list[str], order: str, specs: list[RunSpec],
     inner = b.select("*", *cols)
     # 2. bucket totals (partial aggregation of the input, one row per key and bucket) and
     #    their exclusive prefix: a window over bucket rows only. The input is evaluated by
-    #    both branches; callers persist it when it is expensive (the streaming runner does).
+    #    both branches; callers write or persist it when it is expensive.
     tot = b.groupBy(*by, "_bkt").agg(*[_AGG[s.op](s.col).alias(f"_t_{s.out}") for s in specs])
     wb = Window.partitionBy(*by).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     pre = tot.select(*by, "_bkt",
                      *[_AGG[s.op](f"_t_{s.out}").over(wb).alias(f"_p_{s.out}") for s in specs])
-    # 3. combine on the window's own keys (keys must be non-NULL), so the row side keeps its
-    #    partitioning; the prefix side is one row per (key, bucket)
-    joined = inner.join(pre, [*by, "_bkt"], "left")
+    # 3. combine on the window's own keys, so the row side keeps its partitioning
+    joined = null_safe_join(inner, pre, [*by, "_bkt"], "left")
     out = joined.select(*df.columns,
                         *[_combine(s.op, F.col(f"_p_{s.out}"), F.col(f"_i_{s.out}")).alias(s.out)
                           for s in specs])

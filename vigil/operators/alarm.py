@@ -29,43 +29,45 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.functions.joins import null_safe_join
 from vigil.functions.scan import RunSpec, running
+from vigil.functions.sizing import materialize
 from vigil.schema import ALARM_CODE_OFF, ALARM_CODE_ON, ALARM_PRIORITY
 
 
-def batch_sensor_states(end_states: DataFrame, priority: list[str] = ALARM_PRIORITY,
-                        bounded: bool = False) -> DataFrame:
+def batch_sensor_states(end_states: DataFrame, priority: list[str] = ALARM_PRIORITY) -> DataFrame:
     """(scope, batch, <one column per sensor>) with each sensor's state after the batch;
     a sensor without readings in a batch keeps its last state (0 before its first reading)."""
     wide = end_states.groupBy("scope", "batch").agg(
-        *[F.max(F.when(F.col("sensor") == s, F.struct(F.col("batch").alias("b"),
-                                                        F.col("end_state").alias("v")))).alias(f"_c{i}")
+        *[F.max(F.when(F.col("sensor") == s, F.col("end_state"))).alias(f"_v{i}")
           for i, s in enumerate(priority)])
-    r = running(wide, ["scope"], "batch",
-                [RunSpec(f"_r{i}", f"_c{i}", "max") for i in range(len(priority))], bounded=bounded)
+    wide = materialize(wide, "sensor-states")
+    last = wide.select("scope", "batch", *[
+        F.when(F.col(f"_v{i}").isNotNull(), F.struct(F.col("batch").alias("b"), F.col(f"_v{i}").alias("v")))
+        .alias(f"_c{i}") for i in range(len(priority))])
+    r = running(last, ["scope"], "batch", [RunSpec(f"_r{i}", f"_c{i}", "max") for i in range(len(priority))])
     return r.select("scope", "batch", *[F.coalesce(F.col(f"_r{i}.v"), F.lit(0)).alias(s)
                                         for i, s in enumerate(priority)])
 
 
-def alarm_type(end_states: DataFrame, priority: list[str] = ALARM_PRIORITY,
-               bounded: bool = False) -> DataFrame:
-    """(scope, batch, alarm_type): first sensor in priority order in state +1/-1, else ''.
-    ``bounded``: the end-state table is counted and small (see ``running``)."""
-    st = batch_sensor_states(end_states, priority, bounded)
+def alarm_type(end_states: DataFrame, priority: list[str] = ALARM_PRIORITY) -> DataFrame:
+    """(scope, batch, alarm_type): first sensor in priority order in state +1/-1, else ''. Written
+    once, one row per scope and batch."""
+    st = batch_sensor_states(end_states, priority)
     t = F.lit("")
     for s in reversed(priority):
         t = F.when(F.col(s).isin(1, -1), F.lit(s)).otherwise(t)
-    return st.select("scope", "batch", t.alias("alarm_type"))
+    return materialize(st.select("scope", "batch", t.alias("alarm_type")), "alarm-types")
 
 
-def alarm_machine(types: DataFrame, acks: DataFrame | None = None, bounded: bool = False) -> DataFrame:
+def alarm_machine(types: DataFrame, acks: DataFrame | None = None) -> DataFrame:
     """Per (scope, batch): alarm_type, ack, state after the batch, and the command sent (or NULL).
 
     ``acks`` (scope, batch, ack boolean) says whether a command sent in that batch is
     acknowledged; missing rows / no table = acknowledged."""
     t = types
     if acks is not None:
-        t = t.join(acks.select("scope", "batch", "ack"), ["scope", "batch"], "left")
+        t = null_safe_join(t, acks.select("scope", "batch", "ack"), ["scope", "batch"], "left")
     else:
         t = t.withColumn("ack", F.lit(None).cast("boolean"))
     t = t.withColumn("ack", F.coalesce(F.col("ack"), F.lit(True)))
@@ -78,17 +80,17 @@ def alarm_machine(types: DataFrame, acks: DataFrame | None = None, bounded: bool
     r = running(t, ["scope"], "batch", [
         RunSpec("e1", "_e1", "max"), RunSpec("e0", "_e0", "max"),
         RunSpec("lon", "_on", "max"), RunSpec("loff", "_off", "max"),
-        RunSpec("e1p", "_e1", "max", inclusive=False), RunSpec("e0p", "_e0", "max", inclusive=False)],
-        bounded=bounded)
+        RunSpec("e1p", "_e1", "max", inclusive=False), RunSpec("e0p", "_e0", "max", inclusive=False)])
+    r = materialize(r, "alarm")  # read three times
     # phase starts: first E0 inside the segment opened by the latest E1, and vice versa.
     # Only read in their own phase, where they lie at or before the batch, so a segment
     # minimum (an aggregate, not a running scan) is enough. NULL segment = before any E-batch.
     s0 = r.groupBy("scope", "e1").agg(F.min("_e0").alias("s0")).withColumnRenamed("e1", "_g1")
     s1 = r.groupBy("scope", "e0").agg(F.min("_e1").alias("s1")).withColumnRenamed("e0", "_g0")
     r = (r.join(s0.withColumnRenamed("scope", "_sc1"),
-                (F.col("scope") == F.col("_sc1")) & F.col("e1").eqNullSafe(F.col("_g1")), "left")
+                F.col("scope").eqNullSafe(F.col("_sc1")) & F.col("e1").eqNullSafe(F.col("_g1")), "left")
           .join(s1.withColumnRenamed("scope", "_sc0"),
-                (F.col("scope") == F.col("_sc0")) & F.col("e0").eqNullSafe(F.col("_g0")), "left"))
+                F.col("scope").eqNullSafe(F.col("_sc0")) & F.col("e0").eqNullSafe(F.col("_g0")), "left"))
     e1, e0, e1p, e0p = F.col("e1"), F.col("e0"), F.col("e1p"), F.col("e0p")
     lon, loff, s0, s1 = F.col("lon"), F.col("loff"), F.col("s0"), F.col("s1")
     phase_after = e1.isNotNull() & (e0.isNull() | (e1 > e0))

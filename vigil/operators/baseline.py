@@ -1,57 +1,24 @@
-"""Seasonal and daily expectation models as column expressions.
-
-Seasonal factor f in [-1, 1]: t = day_of_year - 76 + (year mod 4)/4, f = sin(2 pi t / 365.24).
-Expected temperature 70 + 32 f. Daily light: day length varies by d = 2 f hours, sunrise
-6 - d/2, sunset 18 + d/2, g = sin(pi (h - sunrise) / 12), quartered at night; expected light
-100 + 90 g with h = hour + minute/60 + second/3600. Pressure 29.0 and humidity 50.0 are flat.
-The residual job subtracts these and runs the same statistics / breach plan on the residuals,
-so breaches are judged against season and hour.
+"""Expectation taken from the readings themselves (R3): the mean per sensor and hour of day.
+
+Breaches of the residual (reading minus expectation) are judged against the usual course of a
+day. The expectation is a partial aggregate over all readings, one row per sensor and hour.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed values of the expectation model.
-EQUINOX_DAY = 76
-YEAR_DAYS = 365.24
-TEMP_MEAN, TEMP_SWING = 70.0, 32.0
-LIGHT_MEAN, LIGHT_SWING, NIGHT_FACTOR = 100.0, 90.0, 0.25
-SUNRISE, SUNSET, DAY_SPAN = 6.0, 18.0, 12.0
-PRESSURE_MEAN, HUMIDITY_MEAN = 29.0, 50.0
-
-
-def seasonal_factor(ts: Column) -> Column:
-    t = F.dayofyear(ts) - F.lit(EQUINOX_DAY) + (F.year(ts) % 4) / F.lit(4.0)
-    return F.sin(F.lit(2.0 * math.pi) * t / F.lit(YEAR_DAYS))
-
-
-def expected_temperature(ts: Column) -> Column:
-    return F.lit(TEMP_MEAN) + F.lit(TEMP_SWING) * seasonal_factor(ts)
-
-
-def expected_light(ts: Column) -> Column:
-    d = F.lit(2.0) * seasonal_factor(ts)
-    rise, sets = F.lit(SUNRISE) - d / 2, F.lit(SUNSET) + d / 2
-    h = F.hour(ts) + F.minute(ts) / F.lit(60.0) + F.second(ts) / F.lit(3600.0)
-    g = F.sin(F.lit(math.pi) * (h - rise) / F.lit(DAY_SPAN))
-    g = F.when((h < rise) | (h > sets), g * F.lit(NIGHT_FACTOR)).otherwise(g)
-    return F.lit(LIGHT_MEAN) + F.lit(LIGHT_SWING) * g
+from vigil.functions.joins import null_safe_join
 
 
-def expected(msgs_ts: DataFrame, ts: str = "ts") -> DataFrame:
-    return msgs_ts.withColumn("expected_temperature", expected_temperature(F.col(ts))) \
-                  .withColumn("expected_light", expected_light(F.col(ts)))
+def hourly_expectation(readings: DataFrame, ts: str = "ts") -> DataFrame:
+    """(sensor, hour, expected): mean reading of each sensor in each hour of the day."""
+    return readings.groupBy("sensor", F.hour(ts).alias("hour")).agg(F.avg("x").alias("expected"))
 
 
-def residual_readings(readings: DataFrame, ts: str = "ts") -> DataFrame:
-    """Long readings with a ``ts`` column -> the same readings with x replaced by x - expected."""
-    exp = (F.when(F.col("sensor") == "TEMPERATURE", expected_temperature(F.col(ts)))
-            .when(F.col("sensor") == "LIGHT", expected_light(F.col(ts)))
-            .when(F.col("sensor") == "PRESSURE", F.lit(PRESSURE_MEAN))
-            .when(F.col("sensor") == "HUMIDITY", F.lit(HUMIDITY_MEAN))
-            .otherwise(F.lit(0.0)))
-    return readings.withColumn("x", F.col("x") - exp)
+def residual_readings(readings: DataFrame, expectation: DataFrame, ts: str = "ts") -> DataFrame:
+    """Long readings with a ``ts`` column -> the same readings with x replaced by x - expected.
+    The expectation has at most 24 rows per sensor (25 with a null time)."""
+    j = null_safe_join(readings.withColumn("hour", F.hour(ts)), expectation, ["sensor", "hour"], "left")
+    return j.withColumn("x", F.col("x") - F.col("expected")).drop("expected", "hour")

@@ -18,10 +18,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.scan import BOUNDED_ROWS
+from vigil.functions.joins import null_safe_join
 from vigil.functions.sizing import MAX_BROADCAST_ROWS, bounded_broadcast, hint, materialize
 from vigil.operators.moments import KEY, batch_partials, running_moments
 from vigil.schema import SIGMAS
@@ -32,19 +32,16 @@ def breach_code(x: Column, lo: Column, hi: Column) -> Column:
     return F.when(x > hi, F.lit(1)).when(x < lo, F.lit(-1)).otherwise(F.lit(0))
 
 
-def thresholds(partials: DataFrame, sigmas: float = SIGMAS, bounded: bool = False) -> DataFrame:
+def thresholds(partials: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
     """Per (scope, sensor, batch): statistics, band, batch breach flags and end-of-batch state,
     from the (materialized) batch partials."""
-    m = running_moments(partials, sigmas, bounded)
+    m = running_moments(partials, sigmas)
     m = m.withColumn("breach_b", ((F.col("x_max") > F.col("hi")) | (F.col("x_min") < F.col("lo"))).cast("int"))
     m = m.withColumn("last_code", breach_code(F.col("x_last"), F.col("lo"), F.col("hi")))
     # breach flags are monotone in time: one "first breaching batch" per key decides them
-    if bounded:
-        r = m.withColumn("fbb", F.min(F.when(F.col("breach_b") == 1, F.col("batch")))
-                         .over(Window.partitionBy(*KEY)))
-    else:
-        fbb = m.where(F.col("breach_b") == 1).groupBy(*KEY).agg(F.min("batch").alias("fbb"))
-        r = m.join(fbb, KEY, "left")
+    m = materialize(m, "moments")
+    fbb = m.where(F.col("breach_b") == 1).groupBy(*KEY).agg(F.min("batch").alias("fbb"))
+    r = null_safe_join(m, fbb, KEY, "left")
     r = (r.withColumn("br_thru", F.coalesce((F.col("batch") >= F.col("fbb")).cast("int"), F.lit(0)))
           .withColumn("br_before", F.coalesce((F.col("batch") > F.col("fbb")).cast("int"), F.lit(0)))
           .drop("fbb"))
@@ -60,21 +57,27 @@ class BreachPlan:
     readings: DataFrame
     thr: DataFrame
     small: bool          # thresholds may be broadcast
-    bounded: bool = False  # per-batch tables are counted and small enough for plain windows
-
-    def side(self, df: DataFrame) -> DataFrame:
-        return hint(df, self.small)
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS
 
     def codes(self) -> DataFrame:
         t = self.thr.select(*KEY, "batch", "lo", "hi", "br_before", "first_here")
-        j = self.readings.join(self.side(t), [*KEY, "batch"])
+        j = null_safe_join(self.readings, hint(t, self.small), [*KEY, "batch"])
         return j.withColumn("code", breach_code(F.col("x"), F.col("lo"), F.col("hi")))
 
+    def _first_breaches(self) -> DataFrame:
+        """The thresholds table with ``fb_ord``, the first breaching reading of each key. Only the
+        one batch in which a key first breaches is looked at."""
+        firsts, few = bounded_broadcast(self.thr.where("first_here").select(*KEY, "batch", "lo", "hi"),
+                                        self.max_broadcast_rows, "firsts")
+        j = null_safe_join(self.readings, hint(firsts, few), [*KEY, "batch"])
+        fb = (j.where(breach_code(F.col("x"), F.col("lo"), F.col("hi")) != 0)
+              .groupBy(*KEY).agg(F.min("ord").alias("fb_ord")))
+        t = self.thr.select(*KEY, "batch", "lo", "hi", "br_before", "first_here")
+        return materialize(null_safe_join(t, fb, KEY, "left"), "first-breaches")
+
     def states(self) -> DataFrame:
-        c = self.codes()
-        fb = (c.where(F.col("first_here") & (F.col("code") != 0))
-               .groupBy(*KEY).agg(F.min("ord").alias("fb_ord")))
-        s = c.join(self.side(fb), KEY, "left")
+        s = null_safe_join(self.readings, hint(self._first_breaches(), self.small), [*KEY, "batch"])
+        s = s.withColumn("code", breach_code(F.col("x"), F.col("lo"), F.col("hi")))
         back = (F.col("br_before") == 1) | (F.col("first_here") & (F.col("ord") > F.col("fb_ord")))
         state = (F.when(F.col("code") != 0, F.col("code"))
                  .when(back, F.lit(2)).otherwise(F.lit(0)))
@@ -92,11 +95,10 @@ class BreachPlan:
 
 
 def plan_breaches(readings: DataFrame, sigmas: float = SIGMAS,
-                  max_broadcast_rows: int = MAX_BROADCAST_ROWS,
-                  bounded_rows: int = BOUNDED_ROWS) -> BreachPlan:
+                  max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> BreachPlan:
     """Pass 1 scans the readings once into per-batch partials (written once: everything up to
-    the thresholds reads only that small table); later passes join thresholds back to rows."""
+    the thresholds reads only that small table); later passes join thresholds back to rows.
+    Readings of a null key or batch are a group of their own."""
     partials = materialize(batch_partials(readings), "partials")
-    bounded = partials.count() <= bounded_rows
-    thr, small = bounded_broadcast(thresholds(partials, sigmas, bounded), max_broadcast_rows, "thresholds")
-    return BreachPlan(readings, thr, small, bounded)
+    thr, small = bounded_broadcast(thresholds(partials, sigmas), max_broadcast_rows, "thresholds")
+    return BreachPlan(readings, thr, small, max_broadcast_rows)

@@ -16,28 +16,35 @@ from vigil.schema import COUNT_LABEL, SUM_LABELS
 # Line patterns (searched anywhere in the whitespace-free line) and the key
 # text removed before the number is read, per sensor.
 LINE_PATTERNS = {"HUMIDITY": "humidity.*", "LIGHT": "ambient_light.*,"}
-LINE_KEYS = {"HUMIDITY": '"humidity":', "LIGHT": '"ambient_light":'}
+LINE_KEYS = {"HUMIDITY": '"humidity":', "LIGHT": '"ambient_light":',
+             "TEMPERATURE": '"temperature":'}
+# Patterns of the other revisions.
+TEMPERATURE_PATTERN = {"TEMPERATURE": "temperature.*"}
+LIGHT_WITHOUT_COMMA = {"HUMIDITY": "humidity.*", "LIGHT": "ambient_light.*"}
 
 
-def matched_lines(lines: DataFrame, ids: list[str]) -> DataFrame:
-    """(ids..., sensor, line): whitespace-stripped lines that match a sensor pattern."""
+def matched_lines(lines: DataFrame, ids: list[str],
+                  patterns: dict[str, str] | None = None) -> DataFrame:
+    """(ids..., sensor, line): whitespace-stripped lines, once for each sensor whose pattern they
+    match; the filters are independent, so a line may reach several."""
     s = lines.select(*ids, strip_whitespace("value").alias("line"))
-    tag = F.lit(None).cast("string")
-    for sensor, pat in reversed(list(LINE_PATTERNS.items())):
-        tag = F.when(F.col("line").rlike(pat), F.lit(sensor)).otherwise(tag)
-    tagged = s.select(*ids, tag.alias("sensor"), "line")
-    # keep matching lines through a generator: a plain filter on ``sensor`` would be pushed
-    # below the projection and strip / match every line again inside the filter
-    hit = F.explode_outer(F.when(F.col("sensor").isNotNull(), F.array(F.lit(True)))).alias("_hit")
-    return tagged.select("*", hit).where(F.col("_hit").isNotNull()).drop("_hit")
+    hits = F.array(*[F.when(F.col("line").rlike(p), F.lit(sensor))
+                     for sensor, p in (patterns or LINE_PATTERNS).items()])
+    # through a generator: a plain filter on ``sensor`` would be pushed below the projection and
+    # strip / match every line again inside the filter
+    return (s.select(*ids, F.explode_outer(F.array_compact(hits)).alias("sensor"), "line")
+            .where(F.col("sensor").isNotNull()))
 
 
 def line_values(matched: DataFrame, ids: list[str]) -> DataFrame:
-    """(ids..., sensor, x_text, x): key and commas removed; bad text gives NULL x, not a failure."""
+    """(ids..., sensor, x_text, x): key and commas removed; bad text gives NULL x, not a failure.
+    On a line with other fields the number is what follows the sensor's own key."""
     key = F.lit(None).cast("string")
     for sensor, k in LINE_KEYS.items():
         key = F.when(F.col("sensor") == sensor, F.lit(k)).otherwise(key)
-    text = F.regexp_replace(F.replace(F.col("line"), key, F.lit("")), ",", "")
+    alone = F.regexp_replace(F.replace(F.col("line"), key, F.lit("")), ",", "")
+    own = F.regexp_extract(F.call_function("substring_index", F.col("line"), key, F.lit(-1)), r"^[^,{}\[\]]*", 0)
+    text = F.when(F.col("line").contains('":') & (F.size(F.split("line", '":')) > 2), own).otherwise(alone)
     return matched.select(*ids, "sensor", text.alias("x_text"), try_double(text).alias("x"))
 
 

@@ -13,9 +13,10 @@ a = n (mean_b - K), b = m2_b + n (mean_b - K)^2, so across batches merging is pl
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vigil.functions.joins import null_safe_join
 from vigil.functions.scan import RunSpec, running
 from vigil.schema import SIGMAS
 
@@ -41,19 +42,13 @@ def batch_partials(readings: DataFrame) -> DataFrame:
         F.when(const, F.lit(0.0)).otherwise(F.col("_vp") * F.col("n")).alias("m2_b"))
 
 
-def running_moments(partials: DataFrame, sigmas: float = SIGMAS, bounded: bool = False) -> DataFrame:
+def running_moments(partials: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
     """Per (scope, sensor, batch): k, cnt, mean, var, std, lo, hi (statistics through the batch)."""
-    if bounded:
-        # counted, small table: K from a whole-key window on the running sums' own partitioning
-        whole = Window.partitionBy(*KEY)
-        p = partials.withColumn("k", F.min_by("x_first", "batch").over(whole))
-    else:
-        k = partials.groupBy(*KEY).agg(F.min_by("x_first", "batch").alias("k"))
-        p = partials.join(k, KEY)
+    k = partials.groupBy(*KEY).agg(F.min_by("x_first", "batch").alias("k"))
+    p = null_safe_join(partials, k, KEY)
     d = F.col("mean_b") - F.col("k")
     p = p.withColumn("a", F.col("n") * d).withColumn("b", F.col("m2_b") + F.col("n") * d * d)
-    r = running(p, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("sa", "a"), RunSpec("sb", "b")],
-                bounded=bounded)
+    r = running(p, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("sa", "a"), RunSpec("sb", "b")])
     cnt = F.col("cnt")
     mean = F.when(cnt == 0, F.lit(0.0)).otherwise(F.col("k") + F.col("sa") / cnt)
     var = F.when(cnt < 2, F.lit(0.0)).otherwise(
@@ -65,9 +60,9 @@ def running_moments(partials: DataFrame, sigmas: float = SIGMAS, bounded: bool =
                .drop("a", "b", "sa", "sb", "sum_b"))
 
 
-def running_totals(partials: DataFrame, bounded: bool = False) -> DataFrame:
+def running_totals(partials: DataFrame) -> DataFrame:
     """A10: running count, total and mean per (scope, sensor, batch); mean 0.0 when count 0."""
-    r = running(partials, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("total", "sum_b")], bounded=bounded)
+    r = running(partials, KEY, "batch", [RunSpec("cnt", "n"), RunSpec("total", "sum_b")])
     return r.select(*KEY, "batch", "cnt", "total",
                     F.when(F.col("cnt") == 0, F.lit(0.0))
                      .otherwise(F.col("total") / F.col("cnt")).alias("mean"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.functions.sizing import materialize
 from vigil.operators import baseline, lines, summary, words
 from vigil.operators.breach import plan_breaches
 from vigil.plans import feeds
@@ -94,8 +95,9 @@ def summary_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def describe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``describe()`` in its own string form (count, mean, stddev, min, max rows)."""
-    return summary.distinct_float(_msgs(spark, sf_dir)).describe()
+    """``describe()``: one row each of count, mean, stddev, min and max, as rounded numbers."""
+    d = summary.distinct_float(_msgs(spark, sf_dir)).describe()
+    return d.select("summary", settle(F.col("temperature").cast("double")).alias("temperature"))
 
 
 def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,16 +119,36 @@ def top_desc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # -- line stream jobs ---------------------------------------------------------------------
 
+def _lines(spark, sf_dir):
+    """Messages printed one field a line, and the same on one compact line each."""
+    ev = events(spark, sf_dir)
+    return feeds.pretty_lines(ev).unionByName(feeds.compact_lines(ev))
+
+
+LINE_IDS = ["batch", "ord", "line_no"]
+
+
 def _values(spark, sf_dir):
-    m = lines.matched_lines(feeds.pretty_lines(events(spark, sf_dir)), ["batch", "ord", "line_no"])
-    return lines.line_values(m, ["batch", "ord", "line_no"])
+    m = lines.matched_lines(feeds.pretty_lines(events(spark, sf_dir)), LINE_IDS)
+    return lines.line_values(m, LINE_IDS)
 
 
 def line_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = lines.matched_lines(feeds.pretty_lines(events(spark, sf_dir)), ["batch", "ord", "line_no"])
+    m = lines.matched_lines(_lines(spark, sf_dir), LINE_IDS)
     return m.select("batch", "ord", "sensor", "line")
 
 
+def line_filter_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The numbers of both feeds; a compact line gives both sensors theirs."""
+    m = lines.matched_lines(_lines(spark, sf_dir), LINE_IDS)
+    return lines.line_values(m, LINE_IDS).select("batch", "ord", "line_no", "sensor", "x")
+
+
+def line_filter_temperature(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = lines.matched_lines(_lines(spark, sf_dir), LINE_IDS, lines.TEMPERATURE_PATTERN)
+    return lines.line_values(m, LINE_IDS).select("batch", "ord", "sensor", "x")
+
+
 def line_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _values(spark, sf_dir).select("batch", "ord", "sensor", "x")
 
@@ -141,11 +163,12 @@ def batch_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.batch_sort(_values(spark, sf_dir))
+    # written once: a range sort samples its input, which would match and parse every line twice
+    return lines.batch_sort(materialize(_values(spark, sf_dir), "values"))
 
 
 def string_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.batch_sort(_values(spark, sf_dir), by_text=True)
+    return lines.batch_sort(materialize(_values(spark, sf_dir), "values"), by_text=True)
 
 
 # -- word jobs ----------------------------------------------------------------------------
@@ -162,15 +185,13 @@ def strip_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
     return words.stripped_length(read_table(spark, sf_dir, "documents"), ["doc_id"])
 
 
-# -- expectation models -------------------------------------------------------------------
-
-def expected_baseline(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = baseline.expected(events(spark, sf_dir).select(F.col("event_id").alias("ord"), "ts"))
-    return e.select("ord", _r("expected_temperature", 6), _r("expected_light", 6))
-
+# -- expectation from the data ------------------------------------------------------------
 
 def residual_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs = wide_messages(events(spark, sf_dir), unit="hour", keep=("ts",))
-    res = baseline.residual_readings(message_readings(msgs, keep=("ts",))).drop("ts")
+    readings = message_readings(msgs, keep=("ts",))
+    mean = materialize(baseline.hourly_expectation(readings), "expectation")
+    # residuals are settled, so that both engines' sums fall on the same side of a bound
+    res = baseline.residual_readings(readings, mean).drop("ts").withColumn("x", settle(F.col("x"), 6))
     c = plan_breaches(res).codes()
-    return c.select("ord", "sensor", "batch", _r("x", 6), _r("lo"), _r("hi"), "code")
+    return c.select("ord", "sensor", "batch", "x", _r("lo"), _r("hi"), "code")

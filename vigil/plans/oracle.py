@@ -147,13 +147,6 @@ lv AS (
   UNION ALL SELECT batch, ord, 'LIGHT', printf('%f', 255.0 - temperature) FROM m),
 v AS (SELECT batch, ord, sensor, x_text, TRY_CAST(x_text AS DOUBLE) AS x FROM lv)"""
 
-SEASON = "sin(2.0 * pi() * (dayofyear(ts) - 76 + (year(ts) % 4) / 4.0) / 365.24)"
-HOURS = "(hour(ts) + minute(ts) / 60.0 + second(ts) / 3600.0)"
-EXP_T = f"(70.0 + 32.0 * {SEASON})"
-_G = f"sin(pi() * ({HOURS} - (6.0 - {SEASON})) / 12.0)"
-EXP_L = (f"(100.0 + 90.0 * CASE WHEN {HOURS} < 6.0 - {SEASON} OR {HOURS} > 18.0 + {SEASON} "
-         f"THEN {_G} * 0.25 ELSE {_G} END)")
-
 ORACLE.update({
     "json_decode": _with(MSG) + PROJECTION,
     "json_reassemble": _with(MSG) + PROJECTION,
@@ -183,6 +176,11 @@ SELECT round(round(avg(temperature), 10), 4) AS "avg(temperature)", min(temperat
     "summary_stats": _with(DISTINCT_FLOAT) + """
 SELECT count(temperature) AS "count", round(round(avg(temperature), 10), 4) AS mean,
        round(round(stddev_samp(temperature), 10), 4) AS stddev, min(temperature) AS "min", max(temperature) AS "max" FROM d""",
+    "describe": _with(DISTINCT_FLOAT) + """
+SELECT s AS summary, round(round(v, 10), 4) AS temperature FROM (
+  SELECT unnest(['count', 'mean', 'stddev', 'min', 'max']) AS s,
+         unnest([count(temperature)::DOUBLE, avg(temperature), stddev_samp(temperature),
+                 CAST(CAST(min(temperature) AS VARCHAR) AS DOUBLE), CAST(CAST(max(temperature) AS VARCHAR) AS DOUBLE)]) AS v FROM d)""",
     "alerts": _with(DISTINCT_FLOAT) + """
 SELECT max(temperature) AS max_temperature, round(round(avg(temperature), 10), 4) AS avg_temperature,
        CASE WHEN max(temperature) > 95.0 THEN '*ALERT!* - Temperature rose above 95.0!' END AS max_alert,
@@ -192,9 +190,16 @@ SELECT max(temperature) AS max_temperature, round(round(avg(temperature), 10), 4
     "filter_gt": "SELECT event_id AS ord, value AS temperature FROM events WHERE value > 85",
     "top_desc": "SELECT event_id AS ord, value AS temperature FROM events ORDER BY value DESC, event_id LIMIT 100",
 
-    "line_filter": _with(MSG) + """
+    "line_filter": _with(MSG) + """,
+c AS (SELECT batch, ord, '{"humidity":' || printf('%f', k) || ',"ambient_light":' || printf('%f', 255.0 - temperature) || ',' AS line FROM m)
 SELECT batch, ord, 'HUMIDITY' AS sensor, '"humidity":' || printf('%f', k) || ',' AS line FROM m
-UNION ALL SELECT batch, ord, 'LIGHT', '"ambient_light":' || printf('%f', 255.0 - temperature) || ',' FROM m""",
+UNION ALL SELECT batch, ord, 'LIGHT', '"ambient_light":' || printf('%f', 255.0 - temperature) || ',' FROM m
+UNION ALL SELECT batch, ord, 'HUMIDITY', line FROM c UNION ALL SELECT batch, ord, 'LIGHT', line FROM c""",
+    "line_filter_values": _with(LINE_VALUES) + """
+SELECT batch, ord, CASE sensor WHEN 'HUMIDITY' THEN 4 ELSE 5 END AS line_no, sensor, x FROM v
+UNION ALL SELECT batch, ord, 0, sensor, x FROM v""",
+    "line_filter_temperature": _with(MSG) + """
+SELECT batch, ord, 'TEMPERATURE' AS sensor, TRY_CAST(printf('%f', temperature) AS DOUBLE) AS x FROM m""",
     "line_values": _with(LINE_VALUES) + "SELECT batch, ord, sensor, x FROM v",
     "batch_count": _with(LINE_VALUES) + """
 SELECT batch, count(*) AS n, 'Total Count of Msgs: ' || CAST(count(*) AS VARCHAR) AS label
@@ -214,19 +219,19 @@ SELECT CAST(count(*) AS BIGINT) AS total
 FROM (SELECT unnest(regexp_split_to_array(text, '[\\s\\x{85}\\p{Z}\\x{1c}-\\x{1f}]+')) AS w FROM documents) WHERE w <> ''""",
     "strip_whitespace": """
 SELECT doc_id, length(regexp_replace(text, '[\\s\\x{85}\\p{Z}\\x{1c}-\\x{1f}]+', '', 'g')) AS n FROM documents""",
-
-    "expected_baseline": f"""
-SELECT event_id AS ord, round(round({EXP_T}, 12), 6) AS expected_temperature, round(round({EXP_L}, 12), 6) AS expected_light
-FROM events""",
 })
 
-ORACLE["residual_breaches"] = _with(MSG + f""",
+ORACLE["residual_breaches"] = _with(MSG + """,
+r1 AS (
+  SELECT ord, guid, batch, hour(ts) AS h, 'TEMPERATURE' AS sensor, temperature AS x FROM m
+  UNION ALL SELECT ord, guid, batch, hour(ts), 'PRESSURE', 25.0 + k / 20.0 FROM m
+  UNION ALL SELECT ord, guid, batch, hour(ts), 'HUMIDITY', k FROM m
+  UNION ALL SELECT ord, guid, batch, hour(ts), 'LIGHT', 255.0 - temperature FROM m),
+r0 AS (SELECT * FROM r1 WHERE x IS NOT NULL AND NOT isnan(x)),
 r AS (
-  SELECT ord, guid, batch, 'TEMPERATURE' AS sensor, temperature - {EXP_T} AS x FROM m
-  UNION ALL SELECT ord, guid, batch, 'PRESSURE', 25.0 + k / 20.0 - 29.0 FROM m
-  UNION ALL SELECT ord, guid, batch, 'HUMIDITY', k - 50.0 FROM m
-  UNION ALL SELECT ord, guid, batch, 'LIGHT', 255.0 - temperature - {EXP_L} FROM m)""", THRESHOLDS) + """
-SELECT ord, sensor, batch, round(round(x, 12), 6) AS x, round(round(lo, 10), 4) AS lo, round(round(hi, 10), 4) AS hi, code FROM coded"""
+  SELECT ord, guid, batch, sensor,
+         round(round(x - avg(x) OVER (PARTITION BY sensor, h), 12), 6) AS x FROM r0)""", THRESHOLDS) + """
+SELECT ord, sensor, batch, x, round(round(lo, 10), 4) AS lo, round(round(hi, 10), 4) AS hi, code FROM coded"""
 
 
 DEVICE_THRESHOLDS = THRESHOLDS.replace("PARTITION BY p.sensor", "PARTITION BY p.guid, p.sensor") \

@@ -35,6 +35,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_gt": B.filter_gt,
     "top_desc": B.top_desc,
     "line_filter": B.line_filter,
+    "line_filter_values": B.line_filter_values,
+    "line_filter_temperature": B.line_filter_temperature,
     "line_values": B.line_values,
     "batch_count": B.batch_count,
     "batch_sum": B.batch_sum,
@@ -43,7 +45,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "word_counts": B.word_counts,
     "word_total": B.word_total,
     "strip_whitespace": B.strip_whitespace,
-    "expected_baseline": B.expected_baseline,
     "residual_breaches": B.residual_breaches,
     "device_breaches": sensors.device_breaches,
     "device_alarm_commands": sensors.device_alarm_commands,

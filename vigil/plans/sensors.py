@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from vigil.operators.alarm import alarm_commands, alarm_machine, alarm_type
 from vigil.operators.breach import plan_breaches
-from vigil.functions.scan import BOUNDED_ROWS
 from vigil.functions.sizing import materialize
 from vigil.operators.moments import batch_partials, running_totals
 from vigil.sources.tables import events, long_readings, message_readings, wide_messages
@@ -47,7 +46,7 @@ def running_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def running_totals_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = materialize(batch_partials(long_readings(events(spark, sf_dir), unit="day")), "partials")
-    t = running_totals(p, bounded=p.count() <= BOUNDED_ROWS)
+    t = running_totals(p)
     return t.select("sensor", "batch", "cnt", r4("total"), r4("mean"))
 
 
@@ -63,12 +62,12 @@ def breach_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def alarm_type_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = wide_plan(spark, sf_dir)
-    return alarm_type(p.end_states(), bounded=p.bounded).select("batch", "alarm_type")
+    return alarm_type(p.end_states()).select("batch", "alarm_type")
 
 
 def alarm_commands_q(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = wide_plan(spark, sf_dir)
-    m = alarm_machine(alarm_type(p.end_states(), bounded=p.bounded), bounded=p.bounded)
+    m = alarm_machine(alarm_type(p.end_states()))
     return alarm_commands(m).select("batch", "command", "code", "warning", "alarm")
 
 
@@ -79,8 +78,8 @@ def ack_rule(types: DataFrame) -> DataFrame:
 
 def alarm_with_acks(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = wide_plan(spark, sf_dir)
-    types = alarm_type(p.end_states(), bounded=p.bounded)
-    m = alarm_machine(types, ack_rule(types), bounded=p.bounded)
+    types = alarm_type(p.end_states())
+    m = alarm_machine(types, ack_rule(types))
     return m.select("batch", "alarm_type", "ack", "alarm", "command")
 
 
@@ -94,5 +93,5 @@ def device_breaches(spark: SparkSession, sf_dir: str) -> DataFrame:
 def device_alarm_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per-device alarm (scope = guid): each device's own sensor states drive its own alarm."""
     p = plan_breaches(message_readings(wide_messages(events(spark, sf_dir), unit="hour"), scope="guid"))
-    m = alarm_machine(alarm_type(p.end_states(), bounded=p.bounded), bounded=p.bounded)
+    m = alarm_machine(alarm_type(p.end_states()))
     return alarm_commands(m).select(F.col("scope").alias("guid"), "batch", "command", "code", "warning", "alarm")

@@ -34,23 +34,22 @@ def get_spark(app: str = "vigil", cpus: int | str = "*", shuffle_partitions: int
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory of the session.
+    """The folder for tables that cut lineage: what the session names in ``spark.checkpoint.dir``.
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``; it is never
-    replaced. Only when nothing is configured (local tests, the bench) a private folder is
-    created, so ``DataFrame.checkpoint()`` can cut lineage there.
-    """
+    It must be shared by the driver and all executors. A private folder is made only for a local
+    master without that setting (tests, the bench); on a cluster the setting is required."""
     try:
         sc = spark.sparkContext
     except Exception:  # noqa: BLE001 - Spark Connect: no context, only the session conf
         configured = spark.conf.get("spark.checkpoint.dir", None)
-        return configured or tempfile.mkdtemp(prefix="vigil-ckpt-")
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    configured = sc.getConf().get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="vigil-ckpt-"))
+        if not configured:
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder") from None
+        return configured
+    current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir", None)
+    if not current:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+        current = tempfile.mkdtemp(prefix="vigil-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(current)
     return sc.getCheckpointDir()
