@@ -1,8 +1,8 @@
-"""Command-line jobs, one per reference script, on Kafka or on files.
+"""Command-line jobs on Kafka or on files.
 
     python -m vigil.apps anomaly  --brokers B --topic T --out DIR --checkpoint DIR [--scope guid]
     python -m vigil.apps lines    --brokers B --topic T --out DIR --checkpoint DIR
-    python -m vigil.apps sql      --brokers B --topic T --out DIR --checkpoint DIR
+    python -m vigil.apps sql      --brokers B --topic T --out DIR --checkpoint DIR --sql "hot=SELECT ..."
     python -m vigil.apps words    --brokers B --topic T --out DIR --checkpoint DIR
     python -m vigil.apps summary  --path FILE_OR_DIR           (batch: whole-file JSON documents)
     python -m vigil.apps wordtotal --path FILE_OR_DIR          (batch: text lines)
@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 from vigil.operators import summary, words
 from vigil.sources.framing import decode_records
-from vigil.sources.messages import read_documents, read_kafka, read_lines, read_records_table
+from vigil.sources.messages import (read_documents, read_kafka, read_lines, read_records_table,
+                                    write_kafka)
 from vigil.streaming import AnomalyStream, LineJobs, SqlJobs, WordCounts
 
 
@@ -51,6 +52,12 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint")
     p.add_argument("--scope", default="ALL", choices=["ALL", "guid"])
     p.add_argument("--framing", default="document", choices=["document", "lines"])
+    p.add_argument("--acks", help="table of answers (scope, batch_id, ack); else all are answered")
+    p.add_argument("--command-topic", help="topic that commands are also sent to")
+    p.add_argument("--values", action="store_true", help="also write every message's values")
+    p.add_argument("--sort-as-text", action="store_true")
+    p.add_argument("--sql", action="append", default=[], metavar="NAME=STATEMENT",
+                   help="statement on the view 'messages', once per batch; may be repeated")
     p.add_argument("--every", default="2 seconds")
     p.add_argument("--once", action="store_true")
     p.add_argument("--max-files", type=int, default=None)
@@ -64,6 +71,7 @@ def main(argv=None) -> None:
         vals = summary.distinct_float(msgs)
         vals.orderBy(F.col("temperature").desc()).show()
         vals.describe().show()
+        summary.mean_min_max(vals).show()
         summary.alerts(vals).show(truncate=False)
         print(f"rejected documents: {bad.count()}")
         return
@@ -73,9 +81,14 @@ def main(argv=None) -> None:
         print(f"Word count total = {total}")
         return
 
-    fn = {"anomaly": lambda: AnomalyStream(a.out, scope=a.scope, framing=a.framing),
-          "lines": lambda: LineJobs(a.out),
-          "sql": lambda: SqlJobs(a.out),
+    def send(commands, batch_id):
+        write_kafka(commands, a.brokers, a.command_topic, key_col="scope")
+
+    fn = {"anomaly": lambda: AnomalyStream(
+              a.out, scope=a.scope, framing=a.framing, auto_ack=a.acks is None, acks_path=a.acks,
+              values=a.values, command_sink=send if a.command_topic else None),
+          "lines": lambda: LineJobs(a.out, sort_as_text=a.sort_as_text),
+          "sql": lambda: SqlJobs(a.out, dict(s.split("=", 1) for s in a.sql)),
           "words": lambda: WordCounts(a.out)}[a.job]()
     _start(_records(spark, a), fn, a).awaitTermination()
 

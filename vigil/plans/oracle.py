@@ -250,7 +250,7 @@ DEVICE_THRESHOLDS = THRESHOLDS.replace("PARTITION BY p.sensor", "PARTITION BY p.
 ORACLE.update({
     "device_breaches": _with(LONG_READINGS, DEVICE_THRESHOLDS) + """
 SELECT ord, guid, sensor, batch, x, round(round(lo, 10), 4) AS lo, round(round(hi, 10), 4) AS hi, code FROM coded""",
-    "sql_sort": "SELECT value AS temperature FROM events ORDER BY value DESC",
+    "sql_sort": "SELECT rank() OVER (ORDER BY value DESC) AS place, value AS temperature FROM events",
     "sql_search": "SELECT value AS temperature FROM events WHERE value = 100.0",
     "sql_filter": "SELECT value AS temperature FROM events WHERE value > 85",
     "sql_readings": _with(MSG) + """
@@ -274,3 +274,24 @@ ORACLE["device_alarm_commands"] = _with(WIDE_READINGS, DEVICE_THRESHOLDS, DEVICE
 SELECT guid, batch, CASE WHEN on_ THEN 'ON' ELSE 'OFF' END AS command, CASE WHEN on_ THEN '1' ELSE '0' END AS code,
        alarm_type AS warning, CASE WHEN on_ THEN 1 ELSE 0 END AS alarm
 FROM e WHERE on_ <> prev"""
+
+
+# ---- streams: the events landed in three slices of ten days, one micro-batch each ----------------
+
+SLICE = "least(2, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 AS BIGINT))"
+
+
+def _sliced(text: str) -> str:
+    return text.replace("date_trunc('hour', ts)", SLICE)
+
+
+ORACLE["stream_events"] = _sliced(ORACLE["breach_events"]).replace(
+    "SELECT sensor, batch, ord, guid, x, round", "SELECT batch AS batch_id, sensor, ord, guid, x, round")
+ORACLE["stream_commands"] = _sliced(ORACLE["device_alarm_commands"]).replace(
+    "SELECT guid, batch, CASE WHEN on_ THEN 'ON'", "SELECT guid, batch AS batch_id, CASE WHEN on_ THEN 'ON'")
+ORACLE["stream_statistics"] = _sliced(_with(WIDE_READINGS, THRESHOLDS)) + """
+SELECT batch AS batch_id, sensor, cnt, round(round(mean, 10), 4) AS mean, round(round(std, 10), 4) AS std FROM th"""
+ORACLE["stream_line_sums"] = _sliced(ORACLE["batch_sum"]).replace("SELECT batch, sensor", "SELECT batch AS batch_id, sensor")
+ORACLE["stream_word_counts"] = """
+SELECT CAST(doc_id % 3 AS BIGINT) AS batch_id, word, count(*) AS n
+FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1, 2"""

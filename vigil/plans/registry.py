@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from vigil.plans import batchjobs as B
 from vigil.plans import sensors
 from vigil.plans import sqlview as Q
+from vigil.plans import streams
 from vigil.plans.oracle import ORACLE
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -48,6 +49,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "residual_breaches": B.residual_breaches,
     "device_breaches": sensors.device_breaches,
     "device_alarm_commands": sensors.device_alarm_commands,
+    "stream_events": streams.stream_events,
+    "stream_commands": streams.stream_commands,
+    "stream_statistics": streams.stream_statistics,
+    "stream_line_sums": streams.stream_line_sums,
+    "stream_word_counts": streams.stream_word_counts,
     "sql_sort": Q.sql_sort,
     "sql_search": Q.sql_search,
     "sql_filter": Q.sql_filter,

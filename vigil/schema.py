@@ -19,6 +19,7 @@ AVG_OK_TEXT = "Avg. temperature was OK, not above 95.0"
 #   per-batch line-job labels
 COUNT_LABEL = "Total Count of Msgs: "
 SUM_LABELS = {"HUMIDITY": "Total Sum of Humidity: ", "LIGHT": "Total Sum of Light: "}
+RUNNING_NAMES = {"HUMIDITY": "Humidity", "LIGHT": "Ambient Light"}
 #   alarm codes sent to the device: off / on
 ALARM_CODE_OFF = "0"
 ALARM_CODE_ON = "1"

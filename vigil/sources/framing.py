@@ -119,8 +119,10 @@ def _line_facts(records: DataFrame, by: list[str], order: str) -> DataFrame:
 
 
 def _framed(records: DataFrame, by: list[str], order: str) -> DataFrame:
-    """Every line with the brace depth before it (``_d``; 0 at a fresh start), whether it starts
-    afresh (``_hard``), and the offset of the line where the message open before it began (``_m``).
+    """Every line with the brace depth before it (``_d``; 0 at a fresh start), the offset of the
+    line where the message open before it began (``_m``), and what becomes of that message and of
+    one that the line opens: ``closed``, ``unclosed`` (a fresh start cuts it off) or
+    ``unfinished`` (neither happens in these records).
 
     An opener at the start of a line can only continue a document after a colon, comma or opening
     bracket; after anything else (or at the very start) a new document begins, whatever was left
@@ -172,11 +174,30 @@ def _framed(records: DataFrame, by: list[str], order: str) -> DataFrame:
     x = x.withColumn("_d", depth)
     # the line opens a message that outlasts it if depth 0 was reached and some opener is left
     opens = (F.col("_a") >= F.col("_d")) & (F.col("_b") > 0)
-    x = x.withColumn("_opened", F.when(opens, F.col(order)))
-    last = x.groupBy(*group).agg(F.max("_opened").alias("_o"))
-    carried = last.select(*group, F.max("_o").over(before).alias("_m0"))
-    return (x.join(carried, group)
-            .withColumn("_m", F.coalesce(F.max("_opened").over(past), F.col("_m0"))))
+    closes = (F.col("_d") > 0) & (F.col("_a") >= F.col("_d"))
+    x = (x.withColumn("_opened", F.when(opens, F.col(order)))
+         .withColumn("_closed", F.when(closes, F.col(order)))
+         .withColumn("_cut", F.when(F.col("_hard"), F.col(order))))
+    ends = x.groupBy(*group).agg(F.max("_opened").alias("_o"), F.min("_closed").alias("_c"),
+                                 F.min("_cut").alias("_h"))
+    later = Window.partitionBy(*by).orderBy(F.desc(_BKT)).rowsBetween(Window.unboundedPreceding, -1)
+    carried = ends.select(*group, F.max("_o").over(before).alias("_m0"),
+                          F.min("_c").over(later).alias("_c0"), F.min("_h").over(later).alias("_h0"))
+    x = x.join(carried, group)
+    # (backwards, as a growing frame; one that shrinks would be summed anew for every row)
+    ahead = Window.partitionBy(*group).orderBy(F.desc(order)).rowsBetween(
+        Window.unboundedPreceding, -1)
+    next_close = F.coalesce(F.min("_closed").over(ahead), F.col("_c0"))
+    x = x.select("*", F.coalesce(F.max("_opened").over(past), F.col("_m0")).alias("_m"),
+                 next_close.alias("_next_close"),
+                 F.coalesce(F.min("_cut").over(ahead), F.col("_h0")).alias("_next_cut"))
+
+    def fate(close):
+        return (F.when(close.isNull() & F.col("_next_cut").isNull(), "unfinished")
+                .when(close.isNull() | (F.col("_next_cut") <= close), "unclosed").otherwise("closed"))
+
+    return x.withColumn("_fate", fate(F.coalesce("_closed", "_next_close"))).withColumn(
+        "_fate_opened", fate(F.col("_next_close")))
 
 
 def _close_pattern(depth: int) -> str:
@@ -196,7 +217,8 @@ def _parts(records: DataFrame, by: list[str], order: str) -> DataFrame:
                       ).otherwise(head)
     inside = F.col("_d") > 0
     closes = inside & (F.col("_a") >= F.col("_d"))
-    x = x.select(*by, order, "value", "_m", "_b", "_d", inside.alias("_inside"),
+    fates = ["_fate", "_fate_opened"]
+    x = x.select(*by, order, "value", "_m", "_b", "_d", *fates, inside.alias("_inside"),
                  closes.alias("_closes"), F.when(closes, head).alias("_head"))
     # nested deeper than NESTING: the text up to the last closer
     x = x.withColumn("_head", F.when(
@@ -206,7 +228,7 @@ def _parts(records: DataFrame, by: list[str], order: str) -> DataFrame:
         F.col("_closes"), F.expr("substring(value, length(_head) + 1)")).otherwise(F.lit(""))
     x = x.withColumn("_rest", rest)
     objects, other = pieces(F.col("_rest"))
-    x = x.select(*by, order, "_m", "_b", "_inside", "_closes", "_head", "value",
+    x = x.select(*by, order, "_m", "_b", *fates, "_inside", "_closes", "_head", "value",
                  objects.alias("_o"), other.alias("_x"))
 
     def piece(kind, value):
@@ -220,12 +242,38 @@ def _parts(records: DataFrame, by: list[str], order: str) -> DataFrame:
     middle = F.transform("_o", lambda v, i: piece(
         F.when(outlasts & (i == n - 1), F.lit("open")).otherwise(F.lit("whole")), v))
     end = F.when(F.col("_x").isNotNull(), F.array(piece(F.lit("other"), F.col("_x")))).otherwise(none)
-    return (x.select(*by, order, "_m", F.posexplode_outer(F.concat(first, middle, end))
+    kind = F.col("_p.kind")
+    return (x.select(*by, order, "_m", *fates, F.posexplode_outer(F.concat(first, middle, end))
                      .alias("part", "_p")).where(F.col("_p").isNotNull())
-            .select(*by, order, "part", F.col("_p.kind").alias("kind"),
-                    F.col("_p.value").alias("value"),
-                    F.when(F.col("_p.kind").isin("body", "close"), F.col("_m"))
-                    .when(F.col("_p.kind") == "open", F.col(order)).alias("_m")))
+            .select(*by, order, "part", kind.alias("kind"), F.col("_p.value").alias("value"),
+                    F.when(kind.isin("body", "close"), F.col("_m")).otherwise(F.col(order)).alias("_m"),
+                    F.when(kind.isin("body", "close"), F.col("_fate")).when(
+                        kind == "open", F.col("_fate_opened")).when(
+                        kind == "whole", "closed").otherwise("malformed").alias("_fate")))
+
+
+def line_pieces(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
+                order: str = "offset") -> DataFrame:
+    """The lines cut into pieces of messages, for ``assemble``."""
+    return _parts(records, list(by), order)
+
+
+def assemble(parts: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
+             order: str = "offset") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``line_pieces`` -> (documents, unfinished, lost), see ``reassemble``."""
+    by = list(by)
+    whole = F.col("kind") == "whole"
+    line = F.struct(F.col(order), F.col("part"), F.col("value"))
+    # one group per message; a whole message on one line is a group of its own
+    docs = (parts.where(F.col("_fate") == "closed")
+            .groupBy(*by, "_m", F.when(whole, F.col("part")).alias("_w"))
+            .agg(F.array_sort(F.collect_list(line)).alias("_l"))
+            .select(*by, F.col("_m").alias(order), F.col("_l")[0]["part"].alias("part"),
+                    F.array_join(F.transform("_l", lambda v: v["value"]), "\n").alias("value")))
+    unfinished = parts.where(F.col("_fate") == "unfinished").select(*by, order, "value")
+    lost = parts.where(F.col("_fate").isin("malformed", "unclosed")).select(
+        *by, order, "value", F.col("_fate").alias("reason"))
+    return docs, unfinished, lost
 
 
 def reassemble(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
@@ -239,30 +287,7 @@ def reassemble(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
     reason, every piece that belongs to no closed message: text outside messages ('malformed') and
     the lines of a message that a fresh start cut off ('unclosed'). Lines of messages that never
     close are never collected into one group."""
-    by = list(by)
-    parts = _parts(records, by, order)
-    whole = parts.where(F.col("kind") == "whole").select(*by, order, "part", "value")
-    other = parts.where(F.col("kind") == "other").select(
-        *by, order, "value", F.lit("malformed").alias("reason"))
-    long = parts.where(F.col("_m").isNotNull())
-    ids = [*by, "_m"]
-    closed = long.where(F.col("kind") == "close").select(*ids).distinct().withColumn(
-        "_closed", F.lit(True))
-    marked = long.join(closed, ids, "left")
-    line = F.struct(F.col(order), F.col("part"), F.col("value"))
-    joined = (marked.where("_closed").groupBy(*ids)
-              .agg(F.array_sort(F.collect_list(line)).alias("_l"))
-              .select(*by, F.col("_m").alias(order), F.col("_l")[0]["part"].alias("part"),
-                      F.array_join(F.transform("_l", lambda v: v["value"]), "\n").alias("value")))
-    open_ = marked.where("_closed is null")
-    # the last message to begin in a partition may still be open; others were cut off
-    newest = parts.where(F.col("kind").isin("open", "whole", "other")).groupBy(*by).agg(
-        F.max(F.struct(F.col(order), F.col("part"))).alias("_n"))
-    tail = open_.join(newest, by).withColumn("_last", F.col("_n")[order] == F.col("_m"))
-    unfinished = tail.where("_last").select(*by, order, "value")
-    cut_off = tail.where(~F.col("_last")).select(
-        *by, order, "value", F.lit("unclosed").alias("reason"))
-    return whole.unionByName(joined), unfinished, other.unionByName(cut_off)
+    return assemble(line_pieces(records, by, order), by, order)
 
 
 def field_reading(msg: Column, field: str) -> Column:

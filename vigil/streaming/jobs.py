@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from vigil.operators import lines as L
 from vigil.operators import words as W
+from vigil.schema import RUNNING_NAMES
 
 
 def console(df: DataFrame, checkpoint: str, num_rows: int = 20, trigger: dict | None = None):
@@ -50,15 +51,20 @@ class LineJobs:
         cur = (v.where(F.col("x").isNotNull()).groupBy("sensor")
                 .agg(F.count("*").alias("n_b"), F.sum("x").alias("t_b")))
         path = f"{self.root}/running/version={{}}"
-        try:
-            prev = spark.read.parquet(path.format(batch_id - 1))
-        except Exception:  # noqa: BLE001 - first batch: no previous version
-            prev = spark.createDataFrame([], "sensor string, count long, total double")
+        schema = "sensor string, count long, total double"
+        # only the first batch has no version before it; a missing one stops the stream
+        prev = (spark.read.schema(schema).parquet(path.format(batch_id - 1)) if batch_id > 0
+                else spark.createDataFrame([], schema))
         j = prev.join(cur, "sensor", "full_outer").select(
             "sensor", (F.coalesce("count", F.lit(0)) + F.coalesce("n_b", F.lit(0))).alias("count"),
             (F.coalesce("total", F.lit(0.0)) + F.coalesce("t_b", F.lit(0.0))).alias("total"))
         j = j.withColumn("mean", F.when(F.col("count") == 0, F.lit(0.0)).otherwise(F.col("total") / F.col("count")))
-        j.write.mode("overwrite").parquet(path.format(batch_id))
+        # the line that reports each sensor's running statistics
+        name = F.coalesce(*[F.when(F.col("sensor") == s, F.lit(t)) for s, t in RUNNING_NAMES.items()],
+                          F.col("sensor"))
+        label = F.concat(F.lit("Running stats for "), name, F.format_string(
+            ": count=%d total=%.2f mean=%.2f", "count", "total", "mean"))
+        j.withColumn("label", label).write.mode("overwrite").parquet(path.format(batch_id))
 
 
 @dataclass
@@ -73,25 +79,24 @@ class WordCounts:
 
 @dataclass
 class SqlJobs:
-    """Per batch: decode the batch's JSON documents, register them under the reference's view
-    name and run its sort / search / filter SQL; each result is written for the batch id.
-    Bad records go to ``rejects`` instead of failing (or silently skipping) the batch."""
+    """Per batch: decode the batch's JSON documents, register them as the view ``view`` and run
+    the statements on it; each result is written for the batch id under its name. Bad records go
+    to ``rejects`` instead of failing (or silently skipping) the batch."""
     root: str
-    statements: dict | None = None
+    statements: dict
+    view: str = "messages"
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         from vigil.plans import sqlview
         from vigil.sources.framing import decode_records
         spark = df.sparkSession
-        stmts = self.statements or {"sort": sqlview.SQL_SORT, "search": sqlview.SQL_SEARCH,
-                                    "filter": sqlview.SQL_FILTER}
         recs = df.select("topic", "partition", "offset", "value").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             msgs, bad = decode_records(recs, keep=["offset"])
             bad.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
-            sqlview.register_messages(msgs)
-            for name, sql in stmts.items():
+            sqlview.register_messages(msgs, self.view)
+            for name, sql in self.statements.items():
                 spark.sql(sql).write.mode("overwrite").parquet(f"{self.root}/{name}/batch_id={batch_id}")
-            sqlview.drop_messages(spark)
+            sqlview.drop_messages(spark, self.view)
         finally:
             recs.unpersist()

@@ -3,15 +3,18 @@ breaches -> sensor states -> alarm commands, once per micro-batch (``foreachBatc
 
 State lives in small versioned parquet tables under ``root``:
 
-    sensors/version=N   (scope, sensor, k, n, a, b, state, ...)   moments + warning state per key
-                        (also this batch's band: it is the thresholds table of batch N)
-    alarm/version=N     (scope, alarm, ...)                        alarm state per scope
-    pending/version=N   (topic, partition, offset, value)     open document tails (line framing)
+    sensors/version=N   (scope, sensor, k, n, a, b, state, mean, std, lo, hi, ...)  moments,
+                        statistics and warning state per key (the thresholds of batch N)
+    alarm/version=N     (scope, alarm, sent, ...)             alarm state per scope; ``sent`` is the
+                        first batch that sent the command now pending
+    acks/version=N      (scope)                               answers that batch N took into account
+    pending/version=N   (topic, partition, offset, value)     open message tails (line framing)
 
 Batch N reads version N-1 and overwrites version N; its outputs (``events``, ``commands``,
-``rejects``) are overwritten per ``batch_id=N``. A batch that is re-run after a failure or a
-restart (Spark re-delivers the uncommitted batch id) therefore produces the same state and
-outputs, and the stream's checkpoint keeps the source offsets. Only aggregated rows (one per
+``rejects``, ``values``) are overwritten per ``batch_id=N``, or removed where it has none. A batch
+that is re-run after a failure or a restart (Spark re-delivers the uncommitted batch id) takes the
+same answers into account and produces the same state and outputs, and the stream's checkpoint
+keeps the source offsets. A version that should exist and does not stops the stream. Only aggregated rows (one per
 scope x sensor) are merged with state; readings stay on the executors and are joined with the
 (size-checked) thresholds. Versions older than ``keep_versions`` are deleted.
 
@@ -31,11 +34,14 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
                                StructType)
 from pyspark.sql.utils import AnalysisException
 
+from vigil.functions.joins import null_safe_join
 from vigil.functions.sizing import MAX_BROADCAST_ROWS, hint
 from vigil.operators.breach import breach_code
 from vigil.operators.moments import KEY, batch_partials
-from vigil.schema import ALARM_CODE_OFF, ALARM_CODE_ON, ALARM_PRIORITY, SIGMAS
-from vigil.sources.framing import parse_records, readings_of, reassemble, split_parsed
+from vigil.schema import (ALARM_CODE_OFF, ALARM_CODE_ON, ALARM_PRIORITY, SENSOR_FIELDS,
+                          SIGMAS)
+from vigil.sources.framing import (assemble, line_pieces, parse_records, readings_of,
+                                   split_parsed)
 
 SENSORS_SCHEMA = StructType([
     StructField("scope", StringType()), StructField("sensor", StringType()),
@@ -43,12 +49,20 @@ SENSORS_SCHEMA = StructType([
     StructField("a", DoubleType()), StructField("b", DoubleType()),
     StructField("state", IntegerType())])
 ALARM_SCHEMA = StructType([StructField("scope", StringType()), StructField("alarm", IntegerType()),
-                           StructField("command", StringType())])
+                           StructField("sent", LongType())])
+SCOPE_SCHEMA = StructType([StructField("scope", StringType())])
 PENDING_SCHEMA = StructType([
     StructField("topic", StringType()), StructField("partition", IntegerType()),
     StructField("offset", LongType()), StructField("value", StringType())])
 
 
+def projection(msgs: DataFrame, ids: list[str]) -> DataFrame:
+    """Device, reply address and the four sensor values of every message."""
+    data = "msg.payload.data"
+    return msgs.select(*ids, "msg.guid", F.col("msg.payload.reply_to").alias("reply_url"),
+                       *[F.col(f"{data}.{f}").alias(f) for f in SENSOR_FIELDS])
+
+
 class StateTables:
     """Versioned small tables: ``<root>/<name>/version=<N>``."""
 
@@ -59,26 +73,43 @@ class StateTables:
         return f"{self.root}/{name}/version={version}"
 
     def read(self, name: str, version: int, schema: StructType) -> DataFrame:
+        """Version -1, before the first batch, is empty; any other must have been written."""
         if version < 0:
             return self.spark.createDataFrame([], schema)
         try:
             return self.spark.read.schema(schema).parquet(self.path(name, version))
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        except AnalysisException as e:
+            raise RuntimeError(f"state is lost: {self.path(name, version)} cannot be read") from e
 
     def write(self, name: str, version: int, df: DataFrame) -> DataFrame:
         df.write.mode("overwrite").parquet(self.path(name, version))
-        return self.spark.read.parquet(self.path(name, version))
+        return self.spark.read.schema(df.schema).parquet(self.path(name, version))
+
+    def _fs(self, path: str):
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def written(self, path: str) -> bool:
+        fs, p = self._fs(f"{path}/_SUCCESS")
+        return fs.exists(p)
+
+    def put(self, name: str, batch_id: int, df: DataFrame | None) -> bool:
+        """The output of a batch: overwritten, or removed if there is nothing (no empty files)."""
+        path = f"{self.root}/{name}/batch_id={batch_id}"
+        if df is not None and not df.isEmpty():
+            df.write.mode("overwrite").parquet(path)
+            return True
+        fs, p = self._fs(path)
+        fs.delete(p, True)
+        return False
 
     def prune(self, name: str, version: int) -> None:
         """Delete versions older than ``version - keep`` (Hadoop FileSystem, any scheme)."""
         old = version - self.keep
         if old < 0:
             return
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        base = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-        fs = base.getFileSystem(conf)
+        fs, base = self._fs(f"{self.root}/{name}")
         if not fs.exists(base):
             return
         for st in fs.listStatus(base):
@@ -93,7 +124,9 @@ class AnomalyStream:
     'lines' (records are lines of pretty-printed documents, reassembled across batches).
 
     ``auto_ack=True`` settles a sent command at once (the device answered); otherwise the
-    acknowledgement table (scope, batch_id, ack) is read at the start of the next batch."""
+    acknowledgement table (scope, batch_id, ack) is read at the start of every batch: an answer to
+    any batch that sent the command still pending settles it, however late it comes.
+    ``values=True`` also writes the projection of every message."""
     root: str
     scope: str = "ALL"
     framing: str = "document"
@@ -102,6 +135,7 @@ class AnomalyStream:
     auto_ack: bool = True
     acks_path: str | None = None
     keep_versions: int = 10
+    values: bool = False
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
     # optional forwarder for the command rows of a batch, e.g. lambda df, i: write_kafka(df, ...)
     command_sink: Callable[[DataFrame, int], None] | None = None
@@ -111,41 +145,45 @@ class AnomalyStream:
         spark = df.sparkSession
         st = StateTables(spark, self.root, self.keep_versions)
         records = df.select("topic", "partition", "offset", "value")
-        if self.framing == "lines":
-            records = self._frame_lines(st, records, batch_id)
         keep = ["topic", "partition", "offset"]
+        lost = None
+        if self.framing == "lines":
+            records, lost = self._frame_lines(st, records, batch_id)
+            keep = [*keep, "part"]
         # parse once; the batch is read from this cache by every later step
         parsed = parse_records(records, keep).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             msgs, bad = split_parsed(parsed, keep)
-            if bad.limit(1).count() > 0:  # rejects are written only when there are some
-                bad.write.mode("overwrite").parquet(f"{self.root}/rejects/batch_id={batch_id}")
+            bad = bad.select("topic", "partition", "offset", "value", "reason")
+            st.put("rejects", batch_id, bad if lost is None else bad.unionByName(lost))
+            if "part" in keep:  # one message each: its place is that among the line's pieces
+                msgs = msgs.withColumn("idx", F.col("part"))
+            if self.values:
+                st.put("values", batch_id, projection(msgs, ["partition", "offset", "idx"]))
             ids = msgs.select(F.struct("partition", "offset", "idx").alias("ord"), "msg")
             readings = readings_of(ids, ["ord"])
             readings = readings.withColumn("scope", F.lit("ALL") if self.scope == "ALL" else F.col("guid"))
             self._process(st, readings, batch_id)
         finally:
             parsed.unpersist()
-        for name in ("sensors", "alarm", "pending"):
+        for name in ("sensors", "alarm", "acks", "pending", "docs", "lost"):
             st.prune(name, batch_id)
 
-    def _frame_lines(self, st: StateTables, records: DataFrame, batch_id: int) -> DataFrame:
+    def _frame_lines(self, st: StateTables, records: DataFrame, batch_id: int):
         pending = st.read("pending", batch_id - 1, PENDING_SCHEMA)
-        allrec = pending.unionByName(records.select(*PENDING_SCHEMA.fieldNames()))
-        allrec = allrec.persist(StorageLevel.MEMORY_AND_DISK)  # the depth scans read it repeatedly
-        docs, tail, big = reassemble(allrec, cut=False)
+        lines = pending.unionByName(records.select(*PENDING_SCHEMA.fieldNames()))
+        pieces = line_pieces(lines).persist(StorageLevel.MEMORY_AND_DISK)
+        docs, tail, lost = assemble(pieces)
+        # written, so that the pieces can be dropped
         st.write("pending", batch_id, tail)
-        big.write.mode("overwrite").parquet(f"{self.root}/oversized/batch_id={batch_id}")
-        # the documents of this batch are small: materialize them so the records can be dropped
-        docs = st.write("docs", batch_id, docs)
-        allrec.unpersist()
-        st.prune("docs", batch_id)
-        return docs
+        docs, lost = st.write("docs", batch_id, docs), st.write("lost", batch_id, lost)
+        pieces.unpersist()
+        return docs, lost
 
     def _process(self, st: StateTables, readings: DataFrame, batch_id: int) -> None:
         spark = readings.sparkSession
         prev = st.read("sensors", batch_id - 1, SENSORS_SCHEMA)
-        prev_alarm = st.read("alarm", batch_id - 1, ALARM_SCHEMA)
+        old = self._settled(st, st.read("alarm", batch_id - 1, ALARM_SCHEMA), batch_id)
         cur = batch_partials(readings.withColumn("batch", F.lit(batch_id)))
         # the new state version (one row per key, with this batch's band) doubles as the
         # materialized thresholds table; readers of the state select its columns. Without
@@ -155,29 +193,33 @@ class AnomalyStream:
         # broadcast bound; scope ALL has at most one key per sensor, so it needs no count)
         keys, fresh = thr.agg(F.count(F.lit(1)), F.count("n_b")).collect()[0]
         if fresh == 0:  # T8: no statistics change, no alarm step; alarm state carried forward
-            st.write("alarm", batch_id, prev_alarm.withColumn("command", F.lit(None).cast("string")))
+            st.write("alarm", batch_id, old)
+            st.put("events", batch_id, None)
+            st.put("commands", batch_id, None)
             return
         small = self.scope == "ALL" or keys <= self.max_broadcast_rows
         self._events(readings, thr, small).write.mode("overwrite").parquet(
             f"{self.root}/events/batch_id={batch_id}")
-        self._alarm(st, thr, prev_alarm, batch_id)
+        self._alarm(st, thr, old, batch_id)
 
     def _merge(self, prev: DataFrame, cur: DataFrame) -> DataFrame:
-        j = prev.join(cur, KEY, "full_outer")
-        k = F.coalesce(prev["k"], cur["x_first"])
-        d = cur["mean_b"] - k
+        cur = cur.withColumnsRenamed({"n": "n_b"}).drop("batch")
+        j = null_safe_join(prev, cur, KEY, "full_outer")
+        k = F.coalesce("k", "x_first")
+        d = F.col("mean_b") - k
         j = j.select(
             *KEY, k.alias("k"),
-            (F.coalesce(prev["n"], F.lit(0)) + F.coalesce(cur["n"], F.lit(0))).alias("n"),
-            (F.coalesce(prev["a"], F.lit(0.0)) + F.coalesce(cur["n"] * d, F.lit(0.0))).alias("a"),
-            (F.coalesce(prev["b"], F.lit(0.0)) + F.coalesce(cur["m2_b"] + cur["n"] * d * d, F.lit(0.0))).alias("b"),
-            F.coalesce(prev["state"], F.lit(0)).alias("s0"),
-            cur["n"].alias("n_b"), "x_min", "x_max", "x_last")
+            (F.coalesce("n", F.lit(0)) + F.coalesce("n_b", F.lit(0))).alias("n"),
+            (F.coalesce("a", F.lit(0.0)) + F.coalesce(F.col("n_b") * d, F.lit(0.0))).alias("a"),
+            (F.coalesce("b", F.lit(0.0)) + F.coalesce(F.col("m2_b") + F.col("n_b") * d * d, F.lit(0.0))).alias("b"),
+            F.coalesce("state", F.lit(0)).alias("s0"),
+            "n_b", "x_min", "x_max", "x_last")
         n = F.col("n")
         mean = F.when(n == 0, F.lit(0.0)).otherwise(F.col("k") + F.col("a") / n)
         var = F.when(n < 2, F.lit(0.0)).otherwise((F.col("b") - F.col("a") * F.col("a") / n) / (n - 1))
         std = F.sqrt(F.greatest(var, F.lit(0.0)))
-        j = j.withColumn("lo", mean - std * F.lit(self.sigmas)).withColumn("hi", mean + std * F.lit(self.sigmas))
+        j = j.withColumns({"mean": mean, "std": std, "lo": mean - std * F.lit(self.sigmas),
+                           "hi": mean + std * F.lit(self.sigmas)})
         has = F.col("n_b").isNotNull()
         breach_b = has & ((F.col("x_max") > F.col("hi")) | (F.col("x_min") < F.col("lo")))
         last = breach_code(F.col("x_last"), F.col("lo"), F.col("hi"))
@@ -189,11 +231,11 @@ class AnomalyStream:
 
     def _events(self, readings: DataFrame, thr: DataFrame, small: bool) -> DataFrame:
         t = thr.select(*KEY, "lo", "hi", "s0", "first_here")
-        c = readings.join(hint(t, small), KEY).withColumn(
+        c = null_safe_join(readings, hint(t, small), KEY).withColumn(
             "code", breach_code(F.col("x"), F.col("lo"), F.col("hi")))
         fb = (c.where(F.col("first_here") & (F.col("code") != 0)).groupBy(*KEY)
                .agg(F.min("ord").alias("fb_ord")))
-        s = c.join(hint(fb, small), KEY, "left")
+        s = null_safe_join(c, hint(fb, small), KEY, "left")
         back = (F.col("s0") != 0) | (F.col("first_here") & (F.col("ord") > F.col("fb_ord")))
         state = F.when(F.col("code") != 0, F.col("code")).when(back, F.lit(2)).otherwise(F.lit(0))
         kind = (F.when(F.col("code") == 1, F.lit("HIGH")).when(F.col("code") == -1, F.lit("LOW"))
@@ -203,49 +245,59 @@ class AnomalyStream:
                  .select(*KEY, F.col("ord.partition").alias("partition"), F.col("ord.offset").alias("offset"),
                          F.col("ord.idx").alias("idx"), "guid", "x", "lo", "hi", "state", kind.alias("kind")))
 
-    def _alarm(self, st: StateTables, thr: DataFrame, prev_alarm: DataFrame, batch_id: int) -> None:
+    def _settled(self, st: StateTables, alarm: DataFrame, batch_id: int) -> DataFrame:
+        """The alarm state after the answers that came in. Only a batch that sent the pending
+        command can be answered. The answers used are kept, so a re-run uses the same."""
+        if self.auto_ack or not self.acks_path or batch_id == 0:
+            return alarm
+        used = st.path("acks", batch_id)
+        if not st.written(used):
+            try:
+                acks = (st.spark.read.parquet(self.acks_path).where("ack")
+                        .where(F.col("batch_id") < batch_id).select("scope", "batch_id"))
+                sent = st.spark.read.schema("batch_id long, scope string").parquet(f"{self.root}/commands")
+            except AnalysisException:  # no answer or no command yet
+                answered = alarm.limit(0).select("scope")
+            else:
+                open_ = alarm.where(F.col("alarm").isin(2, 3)).select("scope", "sent")
+                sent = null_safe_join(sent.where(F.col("batch_id") < batch_id), open_, ["scope"])
+                sent = sent.where(F.col("batch_id") >= F.col("sent")).select("scope", "batch_id")
+                answered = null_safe_join(sent, acks, ["scope", "batch_id"]).select("scope").distinct()
+            st.write("acks", batch_id, answered)
+        answered = st.read("acks", batch_id, SCOPE_SCHEMA).withColumn("_acked", F.lit(True))
+        acked = F.coalesce("_acked", F.lit(False))
+        return null_safe_join(alarm, answered, ["scope"], "left").select(
+            "scope", F.when(acked & (F.col("alarm") == 3), F.lit(1))
+            .when(acked & (F.col("alarm") == 2), F.lit(0)).otherwise(F.col("alarm")).alias("alarm"),
+            F.when(~acked, F.col("sent")).alias("sent"))
+
+    def _alarm(self, st: StateTables, thr: DataFrame, old: DataFrame, batch_id: int) -> None:
         t = F.lit("")
         for s in reversed(self.priority):
             t = F.when(F.max(F.when((F.col("sensor") == s) & F.col("state").isin(1, -1), 1)) == 1,
                        F.lit(s)).otherwise(t)
-        types = thr.groupBy("scope").agg(t.alias("alarm_type"))
-        old = prev_alarm.select("scope", "alarm")
-        if not self.auto_ack and self.acks_path:
-            # the device's answer to the command sent in the previous batch settles the pending
-            # state before this batch's step (only a command actually sent can be acknowledged)
-            try:
-                acks = (st.spark.read.parquet(self.acks_path)
-                        .where(F.col("batch_id") == batch_id - 1).where("ack")
-                        .select("scope").distinct().withColumn("_acked", F.lit(True)))
-                sent = F.col("command").isNotNull() & F.coalesce(F.col("_acked"), F.lit(False))
-                old = prev_alarm.join(acks, "scope", "left").select(
-                    "scope", F.when(sent & (F.col("alarm") == 3), F.lit(1))
-                              .when(sent & (F.col("alarm") == 2), F.lit(0))
-                              .otherwise(F.col("alarm")).alias("alarm"))
-            except AnalysisException:
-                pass
-        j = types.join(old, "scope", "full_outer").select(
-            "scope", F.coalesce(F.col("alarm_type"), F.lit("")).alias("alarm_type"),
-            F.coalesce(F.col("alarm"), F.lit(0)).alias("old"))
-        on = F.col("alarm_type") != ""
-        old_c = F.col("old")
-        send_on = on & old_c.isin(0, 3)
-        send_off = ~on & old_c.isin(1, 2)
+        # only a scope with readings in this batch takes a step; the others keep their state
+        types = thr.groupBy("scope").agg(t.alias("alarm_type"), F.count("n_b").alias("fresh"))
+        j = null_safe_join(types, old, ["scope"], "full_outer").select(
+            "scope", F.coalesce("alarm_type", F.lit("")).alias("alarm_type"),
+            (F.coalesce("fresh", F.lit(0)) > 0).alias("step"),
+            F.coalesce("alarm", F.lit(0)).alias("old"), "sent")
+        on, step, was = F.col("alarm_type") != "", F.col("step"), F.col("old")
+        send_on = step & on & was.isin(0, 3)
+        send_off = step & ~on & was.isin(1, 2)
         ack = F.lit(self.auto_ack)
         new = (F.when(send_on, F.when(ack, F.lit(1)).otherwise(F.lit(3)))
                .when(send_off, F.when(ack, F.lit(0)).otherwise(F.lit(2)))
-               .otherwise(old_c))
-        res = j.select("scope", "alarm_type", new.alias("alarm"),
+               .otherwise(was))
+        first_sent = F.when(new.isin(2, 3), F.coalesce("sent", F.lit(batch_id).cast("long")))
+        res = j.select("scope", "alarm_type", new.alias("alarm"), first_sent.alias("sent"),
                        F.when(send_on, F.lit("ON")).when(send_off, F.lit("OFF")).alias("command"),
                        F.when(send_on, F.lit(ALARM_CODE_ON)).when(send_off, F.lit(ALARM_CODE_OFF)).alias("code"))
-        res = st.write("alarm", batch_id, res)  # state: (scope, alarm) + this batch's step
+        res = st.write("alarm", batch_id, res)  # state: (scope, alarm, sent) + this batch's step
         cmds = (res.where(F.col("command").isNotNull())
-                   .select(F.lit(batch_id).alias("batch_id"), "scope", "command", "code",
-                           F.col("alarm_type").alias("warning"), "alarm"))
-        if cmds.limit(1).count() > 0:  # most batches send nothing: no empty output files
-            cmds.write.mode("overwrite").parquet(f"{self.root}/commands/batch_id={batch_id}")
-            if self.command_sink is not None:
-                self.command_sink(st.spark.read.parquet(f"{self.root}/commands/batch_id={batch_id}"), batch_id)
+                   .select("scope", "command", "code", F.col("alarm_type").alias("warning"), "alarm"))
+        if st.put("commands", batch_id, cmds) and self.command_sink is not None:
+            self.command_sink(st.spark.read.parquet(f"{self.root}/commands/batch_id={batch_id}"), batch_id)
 
     # -- driver side ---------------------------------------------------------------------
     def start(self, records: DataFrame, checkpoint: str, trigger: dict | None = None):
