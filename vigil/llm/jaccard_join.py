@@ -30,10 +30,14 @@ from vigil.llm.superkmers import word_hashes, words_of
 
 N_WORDS = 5
 PERCENT = 80
-# Sets up to this size sign single features (parts so many that each holds one feature).
-SMALL, MANY_PARTS = 32, 1 << 14
+BAND_RATIO = 1.5
+# Sets up to this size always sign single features too.
+SMALL = 32
 # Larger ones: features of a part on average at the band's upper end, and the least to be signed.
-PER_PART, LEAST = 2.9, 2
+PER_PART, LEAST = 6.5, 2
+# A feature is frequent if at least so large a share of all sets holds it; there are at most
+# (average set size / FREQUENT) of them, whatever the input.
+FREQUENT = 0.002
 BLOCK = 4 << 20
 PIVOTS = 8  # each further round takes so many times the pivots of all rounds before
 
@@ -75,61 +79,99 @@ def differ(size_a: int, size_b: int, percent: int) -> int:
     return (100 - percent) * (size_a + size_b) // (100 + percent)
 
 
-def band_of(sizes: np.ndarray, percent: int) -> np.ndarray:
-    """Number of the band of each size: upper ends 1, 2, 4, ... (a similar set is less than twice
-    as large, so it lies in the same band or the next)."""
-    if percent <= 50:
-        raise ValueError("bands of ratio two need a similarity above one half")
-    return np.ceil(np.log2(np.maximum(sizes, 1))).astype(np.int64)
+def band_tops(largest: int, percent: int) -> np.ndarray:
+    """Upper ends of the bands of sizes, up to one that holds ``largest``. A similar set lies in
+    the same band or a neighbouring one."""
+    ratio, tops = max(BAND_RATIO, 100 / percent), [1]
+    while tops[-1] < largest:
+        tops.append(int(tops[-1] * ratio) + 1)
+    return np.array([*tops, int(tops[-1] * ratio) + 1], np.int64)
 
 
-def signatures(sets: list[np.ndarray], percent: int = PERCENT
-               ) -> tuple[np.ndarray, np.ndarray]:
-    """(number of the set, signature) of all sets. Sets that can only be similar to equal ones
-    (no feature may differ) sign nothing: equal sets are known to be one class."""
+def signatures(sets: list[np.ndarray], percent: int = PERCENT,
+               frequent: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the set, signature) of all sets; ``frequent``: sorted features that alone make no
+    signature (any choice gives the same links; it only keeps unlike sets apart). Sets that can
+    only be similar to equal ones sign nothing: equal sets are known to be one class."""
+    owners, marks = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     sizes = np.array([len(s) for s in sets], np.int64)
-    band = band_of(sizes, percent)
+    if not len(sets) or not sizes.any():
+        return owners[0], marks[0]
+    rare = [np.ones(len(s), bool) for s in sets]
+    if frequent is not None and len(frequent):
+        rare = [frequent[np.minimum(np.searchsorted(frequent, s), len(frequent) - 1)] != s
+                for s in sets]
+    tops = band_tops(int(sizes.max()), percent)
+    band = np.searchsorted(tops, sizes)
     largest = 100 * sizes // percent  # of a similar set
-    owners, marks = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     for step in (0, 1):  # a set signs for its band, and for the next if a partner may be there
         for b in np.unique(band[sizes > 0]):
-            top = 1 << int(b + step)
+            top = int(tops[b + step])
             own = np.flatnonzero((band == b) & (sizes > 0)
-                                 & ((step == 0) | (2 * largest > top)))
+                                 & ((step == 0) | (largest > tops[b])))
             limit = (100 - percent) * (sizes[own] + np.minimum(largest[own], top)) // (100 + percent)
             own, limit = own[limit > 0], limit[limit > 0]
             if len(own):
-                o, m = _sign([sets[i] for i in own], limit, top)
+                o, m = _sign([sets[i] for i in own], [rare[i] for i in own], limit, top,
+                             percent)
                 owners.append(own[o])
                 marks.append(m)
     return np.concatenate(owners), np.concatenate(marks)
 
 
-def _sign(sets: list[np.ndarray], limit: np.ndarray, top: int) -> tuple[np.ndarray, np.ndarray]:
-    n_parts = MANY_PARTS if top <= SMALL else max(2, int(top / PER_PART))
-    least = 1 if top <= SMALL else LEAST
-    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    x = np.concatenate(sets)
+def _sign(sets: list[np.ndarray], rare: list[np.ndarray], limit: np.ndarray, top: int,
+          percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of sets of one band; at most ``limit`` features of each may differ.
+
+    Every part has three subparts and signs each two of them, if these hold a rare feature and
+    LEAST at all. To spoil all signatures of a part, a difference in one subpart (in two, if all
+    three pairs can be signed) is needed: its cost. Parts are signed in order until their costs
+    exceed ``limit``, so that some signature of a similar pair is not spoilt. A set whose parts
+    cannot cost so much signs all of them, and for its like also the single features of which a
+    similar set must hold one: the first ones with the rare before the frequent.
+    """
+    n = len(sets)
+    n_parts = max(2, round(top / PER_PART))
+    sizes = np.array([len(s) for s in sets], np.int64)
+    owner = np.repeat(np.arange(n), sizes)
+    x, uncommon = np.concatenate(sets), np.concatenate(rare)
     salt = np.array([top], np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    part = (mix(x + salt) % np.uint64(n_parts)).astype(np.int64)
-    key = owner * n_parts + part
+    cell = (mix(x + salt) % np.uint64(n_parts * 3)).astype(np.int64)
+    key = owner * (n_parts * 3) + cell
     order = np.argsort(key, kind="stable")
-    s, e = runs(key[order])
+    key = key[order]
+    s, e = runs(key)
     content = np.add.reduceat(mix(x ^ salt)[order], s)  # order of the features does not matter
-    owner, part = np.divmod(key[order][s], n_parts)
-    mark = mix(content + mix(part.astype(np.uint64) + salt))
-    usable = e - s >= least
-    # too few such parts: all parts that hold anything
-    poor = np.bincount(owner[usable], minlength=len(sets)) <= limit
-    usable |= poor[owner]
-    owner, mark = owner[usable], mark[usable]
-    first = np.searchsorted(owner, np.arange(len(sets)))
-    rank = np.arange(len(owner)) - first[owner]
-    # too few even so: such sets also sign one mark of their own, where they all meet
-    bare = np.flatnonzero(np.bincount(owner, minlength=len(sets)) <= limit)
-    keep = poor[owner] | (rank <= limit[owner])
-    return (np.concatenate((owner[keep], bare)),
-            np.concatenate((mark[keep], np.repeat(mix(salt), len(bare)))))
+    few = np.add.reduceat(uncommon[order].astype(np.int64), s)
+    row, sub = np.divmod(key[s], 3)
+    first, _ = runs(row)
+    at = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(row))))
+
+    def pairs(values):  # of subparts: the sum of all but one
+        out = np.zeros((len(first), 3), values.dtype)
+        out[at, sub] = values
+        return out.sum(axis=1, keepdims=True, dtype=out.dtype) - out
+
+    good = (pairs(e - s) >= LEAST) & (pairs(few) > 0)
+    part_owner, part = np.divmod(row[first], n_parts)
+    name = (part[:, None] * 3 + np.arange(3)).astype(np.uint64)
+    mark = mix(pairs(content) + mix(name + salt))
+    each = good.any(axis=1).astype(np.int64) + good.all(axis=1)
+    start = np.searchsorted(part_owner, np.arange(n))
+    sofar = np.cumsum(each) - each
+    before = sofar - sofar[start][part_owner]
+    poor = np.bincount(part_owner, each, n) <= limit
+    poor |= sizes <= SMALL
+    keep = good & ((poor[part_owner]) | (before <= limit[part_owner]))[:, None]
+    # single features of the poor sets: as many as a similar set may lack, and one
+    mine = np.flatnonzero(poor[owner])
+    mine = mine[np.lexsort((x[mine], ~uncommon[mine], owner[mine]))]
+    begin = np.searchsorted(owner[mine], np.arange(n))
+    place = np.arange(len(mine)) - begin[owner[mine]]
+    may_lack = sizes - -(-percent * sizes // 100)
+    single = mine[place <= may_lack[owner[mine]]]
+    return (np.concatenate((np.repeat(part_owner, keep.sum(axis=1)), owner[single])),
+            np.concatenate((mark[keep], mix(mix(x[single]) + salt))))
 
 
 def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -137,31 +179,69 @@ def _read(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def set_classes(docs: DataFrame, n_words: int = N_WORDS) -> DataFrame:
-    """(id, n, key): size and key of each row's set. ``docs``: id, text."""
-    schema = arrow_schema("id long, n long, key binary")
+    """(id, n, key, common): size and key of each row's set. Every block adds one row of n = -1
+    whose ``common`` packs the features that several of its sets hold, with their numbers."""
+    ddl = "id long, n long, key binary, common binary"
+    schema = arrow_schema(ddl)
+
+    def block(seen: dict) -> pa.RecordBatch:
+        h = np.sort(np.concatenate([np.zeros(0, np.uint64), *seen.values()]))
+        s, e = runs(h)
+        often = e - s >= max(3, FREQUENT * len(seen))
+        packed = np.stack((h[s][often], (e - s)[often].astype(np.uint64)), 1).tobytes()
+        return pa.RecordBatch.from_arrays(
+            [pa.array([v], f.type) for v, f in zip((None, -1, None, packed), schema)], schema=schema)
 
     def run(batches):
+        seen, size = {}, 0
         for rb in batches:
             n, keys = [], []
             for s in shingle_sets(rb.column(1), n_words):
                 n.append(len(s))
                 keys.append(set_key(s) if len(s) else None)
+                if len(s) and keys[-1] not in seen:
+                    seen[keys[-1]] = s
+                    size += s.nbytes
+                if size >= 4 * BLOCK:
+                    yield block(seen)
+                    seen, size = {}, 0
             yield pa.RecordBatch.from_arrays(
-                [rb.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary())],
-                schema=schema)
+                [rb.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.binary()),
+                 pa.nulls(len(n), pa.binary())], schema=schema)
+        if seen:
+            yield block(seen)
+
+    return docs.mapInArrow(run, ddl)
 
-    return docs.mapInArrow(run, "id long, n long, key binary")
 
+def frequent_features(classes: DataFrame, n_sets: int) -> np.ndarray:
+    """Sorted features that about FREQUENT of all sets hold, by the counts of the blocks. Their
+    number is bounded by the average size of a set divided by FREQUENT."""
+    schema = arrow_schema("feature long, n long")
 
-def candidates(docs: DataFrame, n_buckets: int, n_words: int = N_WORDS,
+    def run(batches):
+        for rb in batches:
+            for x in rb.column(0).to_pylist():
+                pair = np.frombuffer(x, np.int64).reshape(-1, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(pair[:, 0]), pa.array(pair[:, 1])], schema=schema)
+
+    counts = (classes.filter("n = -1").select("common").mapInArrow(run, "feature long, n long")
+              .groupBy("feature").agg(F.sum("n").alias("n"))
+              .filter(F.col("n") >= FREQUENT * n_sets).select("feature"))
+    return np.sort(counts.toArrow().column(0).to_numpy().view(np.uint64))
+
+
+def candidates(docs: DataFrame, n_buckets: int, frequent, n_words: int = N_WORDS,
                percent: int = PERCENT) -> DataFrame:
-    """Pairs (a, b) of ids, smallest member and another one, of every signature's group."""
+    """Pairs (a, b) of ids, smallest member and another one, of every signature's group.
+    ``frequent``: broadcast sorted features."""
     send_ddl = "bucket int, marks binary, ids binary, pair_a binary, pair_b binary"
     send_schema = arrow_schema(send_ddl)
     pair_schema = arrow_schema("a long, b long")
 
     def block(ids: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
-        owner, mark = signatures(sets, percent)
+        owner, mark = signatures(sets, percent, frequent.value)
         ids_ = np.array(ids, np.int64)
         # one entry of a signature leaves the block; the others are paired with it here
         order = np.lexsort((ids_[owner], mark))
@@ -222,33 +302,42 @@ def candidates(docs: DataFrame, n_buckets: int, n_words: int = N_WORDS,
             .applyInArrow(meet, "a long, b long"))
 
 
-def links(pairs: DataFrame, texts: DataFrame, n_words: int = N_WORDS,
+def links(pairs: DataFrame, texts: DataFrame, side: int, n_words: int = N_WORDS,
           percent: int = PERCENT) -> DataFrame:
-    """The pairs (a, b) of set keys that are similar; ``texts``: key, text."""
-    schema = arrow_schema("a binary, b binary")
+    """The pairs (a, b) of set keys that are similar; ``texts``: key, text.
 
-    def run(batches):
-        for rb in batches:
-            keep, last, left = [], None, None
-            sets_b = shingle_sets(rb.column(3), n_words)
-            keys = rb.column(0).to_pylist()
-            for k, right in enumerate(sets_b):
-                if keys[k] != last:
-                    last = keys[k]
-                    left = next(shingle_sets(rb.column(2).slice(k, 1), n_words))
-                low, high = sorted((len(left), len(right)))
-                if 100 * low < percent * high:
-                    keep.append(False)
-                    continue
-                both = len(left) + len(right) - len(np.union1d(left, right))
-                keep.append(100 * both >= percent * (len(left) + len(right) - both))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [rb.column(0).filter(mask), rb.column(1).filter(mask)], schema=schema)
+    Pairs are dealt to a grid of ``side`` by ``side`` cells by the hashes of both keys. A text
+    goes once to each cell that has a pair of it, so at most 2 * ``side`` times however many
+    pairs it is in, and a hub's pairs are spread over a row of cells."""
+    schema = arrow_schema("a binary, b binary")
 
-    right = pairs.join(texts.select(F.col("key").alias("b"), F.col("text").alias("text_b")), "b")
-    both = right.join(texts.select(F.col("key").alias("a"), F.col("text").alias("text_a")), "a")
-    return both.select("a", "b", "text_a", "text_b").mapInArrow(run, "a binary, b binary")
+    def place(c):
+        return F.pmod(F.xxhash64(c), F.lit(side))
+
+    dealt = pairs.withColumn("cell", (place("a") * side + place("b")).cast("int"))
+    needs = dealt.select(F.col("a").alias("key"), "cell").union(dealt.select("b", "cell")).distinct()
+    sent = needs.join(texts, "key").select(F.col("cell").alias("to"), "key", "text")
+
+    def run(p: pa.Table, t: pa.Table) -> pa.Table:
+        if not p.num_rows or not t.num_rows:
+            return schema.empty_table()
+        sets = dict(zip(t.column("key").to_pylist(), shingle_sets(t.column("text"), n_words)))
+        keep = []
+        for a, b in zip(p.column("a").to_pylist(), p.column("b").to_pylist()):
+            left, right = sets[a], sets[b]
+            low, high = sorted((len(left), len(right)))
+            if 100 * low < percent * high:
+                keep.append(False)
+                continue
+            both = np.sort(np.concatenate((left, right)))
+            shared = int((both[1:] == both[:-1]).sum())
+            keep.append(100 * shared >= percent * (len(both) - shared))
+        mask = pa.array(keep, pa.bool_())
+        return pa.Table.from_arrays([p.column("a").filter(mask), p.column("b").filter(mask)],
+                                    schema=schema)
+
+    return dealt.groupBy("cell").cogroup(sent.groupBy("to")).applyInArrow(
+        run, "a binary, b binary")
 
 
 def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -263,11 +352,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = _read(docs, id_col, text_col)
     n_buckets = block_count(text_bytes(docs, text_col))
-    members = materialize(set_classes(rows, n_words), "sets")
+    classes_ = materialize(set_classes(rows, n_words), "sets")
+    members = classes_.filter("n >= 0").select("id", "n", "key")
+    frequent = docs.sparkSession.sparkContext.broadcast(
+        frequent_features(classes_, members.count()))
     named = members.filter("id is not null and key is not null").select("id", "key")
     classes = named.groupBy("key").agg(F.min("id").alias("rep"))
 
-    found = candidates(rows.filter("id is not null"), n_buckets, n_words, percent)
+    found = candidates(rows.filter("id is not null"), n_buckets, frequent, n_words, percent)
     pairs = materialize(_as_classes(found, named), "pairs")
     # one text of each class in a pair, read once
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
@@ -277,9 +369,11 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     same_id = (named.groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b"))
                .filter("a <> b").select("a", "id")
                .join(named, "id").select("a", F.col("key").alias("b")))
-    edges = materialize(links(pairs, texts, n_words, percent).union(same_id), "links")
+    # cells hold a bounded share of all candidates' texts (each at most twice per row of cells)
+    side = max(8, -(-2 * text_bytes(texts, "text") // BLOCK))
+    edges = materialize(links(pairs, texts, side, n_words, percent).union(same_id), "links")
     labels = components(edges)
-    edges, labels = _further(pairs, texts, edges, labels, n_words, percent)
+    edges, labels = _further(pairs, texts, edges, labels, frequent, side, n_words, percent)
 
     # the label is a set key; the component's name is its smallest id
     key_label = classes.join(labels, classes["key"] == labels["node"], "left").select(
@@ -317,32 +411,42 @@ def _texts(rows: DataFrame, n_words: int) -> DataFrame:
 
 
 def _further(tested: DataFrame, texts: DataFrame, edges: DataFrame, labels: DataFrame,
-             n_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+             frequent, side: int, n_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Test what the first round left: pairs of one signature in different components of which
     neither is the signature's first pivot. Only components that a failed pair touches can have
     such pairs."""
     ends = _labelled(tested, labels, "a").withColumnRenamed("label", "label_a")
     failed = _labelled(ends, labels, "b").filter("label <> label_a")
+    failed = materialize(failed, "failed")
+    if failed.isEmpty():
+        return edges, labels
     touched = failed.select("label").union(failed.select("label_a")).distinct()
     marks = _marked(_labelled(texts, labels, "key").join(touched, "label", "left_semi"),
-                    n_words, percent)
+                    frequent, n_words, percent)
+    marks = materialize(marks, "marks")
     live = marks.groupBy("mark").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter(
         "x <> y").select("mark")
-    order = Window.partitionBy("mark").orderBy("key")
-    group = materialize(marks.join(live, "mark").select(
-        "mark", "key", F.row_number().over(order).alias("rank")), "groups")
-    first, last, longest = 1, PIVOTS, group.agg(F.max("rank")).first()[0] or 0
+    # A set that shares more of its signatures than others is likely to be what those are copies
+    # of: as an early pivot it joins them, and their pairs need no test any more.
+    shared = marks.join(live, "mark").select("mark", "key", "size")
+    often = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    order = Window.partitionBy("mark").orderBy(F.desc("n"), "key")
+    group = materialize(shared.join(often, "key").select(
+        "mark", "key", "size", F.row_number().over(order).alias("rank")), "groups")
+    first, last, longest = 1, 1, group.agg(F.max("rank")).first()[0] or 0
     while first < longest:
         now = _labelled(group, labels, "key")
         pivot = now.filter(F.col("rank").between(first, last)).select(
             "mark", F.col("key").alias("a"), F.col("rank").alias("rank_a"),
+            F.col("size").alias("size_a"),
             F.col("label").alias("label_a"))
-        pairs = (now.join(pivot, "mark").filter("rank > rank_a and label <> label_a")
+        alike = (f"100 * least(size, size_a) >= {percent} * greatest(size, size_a)")
+        pairs = (now.join(pivot, "mark").filter(f"rank > rank_a and label <> label_a and {alike}")
                  .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"))
                  .distinct().join(tested, ["a", "b"], "left_anti"))
         pairs = materialize(pairs, "pairs")
         tested = tested.union(pairs)
-        new = materialize(links(pairs, texts, n_words, percent), "links")
+        new = materialize(links(pairs, texts, side, n_words, percent), "links")
         if not new.isEmpty():
             edges = edges.union(new)
             labels = components(edges)
@@ -357,22 +461,24 @@ def _labelled(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:
         "label", F.coalesce("_l", column)).drop("_l")
 
 
-def _marked(texts: DataFrame, n_words: int, percent: int) -> DataFrame:
-    """(mark, key, label) for every signature of every set. ``texts``: key, text, label."""
-    schema = arrow_schema("mark long, key binary, label binary")
+def _marked(texts: DataFrame, frequent, n_words: int, percent: int) -> DataFrame:
+    """(mark, key, label, size) for every signature of every set. ``texts``: key, text, label."""
+    ddl = "mark long, key binary, label binary, size long"
+    schema = arrow_schema(ddl)
 
     def run(batches):
         for rb in batches:
             for k in range(0, rb.num_rows, 256):
                 part = rb.slice(k, 256)
-                owner, mark = signatures(list(shingle_sets(part.column(1), n_words)), percent)
+                sets = list(shingle_sets(part.column(1), n_words))
+                owner, mark = signatures(sets, percent, frequent.value)
                 at = pa.array(owner)
+                size = np.array([len(s) for s in sets], np.int64)[owner]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(mark.view(np.int64)), part.column(0).take(at),
-                     part.column(2).take(at)], schema=schema)
+                     part.column(2).take(at), pa.array(size)], schema=schema)
 
-    return texts.select("key", "text", "label").mapInArrow(
-        run, "mark long, key binary, label binary")
+    return texts.select("key", "text", "label").mapInArrow(run, ddl)
 
 
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
