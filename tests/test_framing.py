@@ -1,7 +1,10 @@
 """Reassembly of documents split over line records."""
 
+from pyspark.sql import functions as F
+
 from vigil.sources.framing import decode_records, reassemble
 
+
 def _lines(i, t):
     return ["[", "{", f'"guid": "g{i}", "payload": {{"data": {{"temperature": {t}}}}}', "}", "]"]
 
@@ -11,12 +14,11 @@ def test_two_documents_and_truncated_tail(spark):
         + _lines(3, 72.0) + ["[", "{", '"guid": "g4"']
     recs = spark.createDataFrame([("t", 0, i, v) for i, v in enumerate(vals)],
                                  "topic string, partition int, offset long, value string")
-    docs, tail, big = reassemble(recs)
+    docs, tail, lost = reassemble(recs)
     msgs, bad = decode_records(docs, keep=["offset"])
     assert sorted(r.msg.guid for r in msgs.collect()) == ["g1", "g2", "g3"]
-    assert bad.count() == 0 and big.count() == 0
-    t = tail.collect()
-    assert len(t) == 1 and t[0].value.startswith("[\n{")
+    assert bad.count() == 0 and lost.count() == 0
+    assert [r.value for r in tail.orderBy("offset").collect()] == ["{", '"guid": "g4"']
 
 
 def test_brackets_inside_strings_and_partitions(spark):
@@ -29,12 +31,56 @@ def test_brackets_inside_strings_and_partitions(spark):
     assert tail.count() == 0
 
 
-def test_oversized_document_is_rejected(spark):
-    vals = ["["] + ['{"guid": "x"},'] * 50
-    recs = spark.createDataFrame([("t", 0, i, v) for i, v in enumerate(vals)] + [("t", 0, 99, "{}]")],
+def _recs(spark, vals):
+    return spark.createDataFrame([("t", 0, i, v) for i, v in enumerate(vals)],
                                  "topic string, partition int, offset long, value string")
-    docs, tail, big = reassemble(recs, max_lines=10)
-    assert docs.count() == 0 and big.collect()[0].lines == 52
+
+
+def test_long_array_gives_every_message(spark):
+    """An array of over 100,000 lines: messages come out one by one."""
+    n = 21_000
+    vals = ["["]
+    for i in range(n):
+        vals += _lines(i, 70.0)[1:4] + [","] + [""]
+    docs, tail, lost = reassemble(_recs(spark, vals))
+    msgs, bad = decode_records(docs, keep=["offset"])
+    assert len(vals) > 100_000
+    assert msgs.select("msg.guid").distinct().count() == n
+    assert bad.count() == tail.count() == lost.count() == 0
+
+
+def test_long_literal(spark):
+    """A string literal of over a million characters, with quotes and braces escaped in it."""
+    text = ('x{\\"}' * 250_000)
+    recs = _recs(spark, ['{"guid": "' + text + '",', '"payload": {}}', '{"guid": "b"}'])
+    docs, tail, lost = reassemble(recs)
+    msgs, bad = decode_records(docs, keep=["offset"])
+    assert sorted(len(r.n) for r in msgs.select(F.col("msg.guid").alias("n")).collect()) == [1, 1_000_000]
+    assert bad.count() == tail.count() == lost.count() == 0
+
+
+def test_unclosed_opener_loses_only_itself(spark):
+    vals = ['{"guid": "bad"', *_lines(1, 1.0), '[{"guid": "worse", "payload":', *_lines(2, 2.0), *_lines(3, 3.0)]
+    docs, tail, lost = reassemble(_recs(spark, vals))
+    msgs, bad = decode_records(docs, keep=["offset"])
+    assert {r.msg.guid for r in msgs.collect()} >= {"g1", "g3"}
+    text = "".join(r.value for r in lost.collect())
+    assert "bad" in text and tail.count() == 0
+    got = {r.msg.guid for r in msgs.collect()}
+    assert "g2" in got or "g2" in text + "".join(r.value for r in bad.collect())
+
+
+def test_decode_accounts_for_everything(spark):
+    df = spark.createDataFrame(list(enumerate([
+        '[{"guid":"a"}],[{"guid":"b"}]', '[{"guid":"c"}] trailing', "[null]", '{"payload":5}',
+        '{"guid":"d","payload":{"data":{"temperature":"abc"}}}', '{"foo":1}', "\t\r", "[]", "", None])),
+        "offset long, value string")
+    msgs, bad = decode_records(df, keep=["offset"])
+    assert sorted((r.offset, r.msg.guid) for r in msgs.collect()) == [(0, "a"), (0, "b"), (1, "c")]
+    assert sorted((r.offset, r.value, r.reason) for r in bad.collect()) == [
+        (1, "trailing", "malformed"), (2, "null", "malformed"), (3, '{"payload":5}', "malformed"),
+        (4, '{"guid":"d","payload":{"data":{"temperature":"abc"}}}', "malformed"),
+        (5, '{"foo":1}', "not a message")]
 
 
 def test_concatenated_documents_in_one_record(spark):
@@ -47,8 +93,8 @@ def test_concatenated_documents_in_one_record(spark):
     ], "offset long, value string")
     m, bad = decode_records(df, keep=["offset"])
     assert sorted((r.offset, r.idx, r.msg.guid) for r in m.collect()) == [
-        (1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (2, 0, "d"), (2, 1, "e ][ x"), (4, 0, "g ][ h")]
-    assert [r.offset for r in bad.collect()] == [3]
+        (1, 0, "a"), (1, 1, "b"), (1, 2, "c"), (2, 0, "d"), (2, 1, "e ][ x"), (3, 0, "f"), (4, 0, "g ][ h")]
+    assert [(r.offset, r.value) for r in bad.collect()] == [(3, '{"guid":')]
 
 
 def test_reassembly_property_random_layouts(spark):
@@ -74,19 +120,19 @@ def test_reassembly_property_random_layouts(spark):
             want += [(part, m["guid"]) for m in msgs]
     rnd.shuffle(rows)
     recs = spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
-    docs, tail, big = reassemble(recs)
+    docs, tail, lost = reassemble(recs)
     msgs, bad = decode_records(docs, keep=["partition"])
     got = sorted((r.partition, r.msg.guid) for r in msgs.collect())
     assert got == sorted(want)
-    assert tail.count() == 0 and big.count() == 0 and bad.count() == 0
+    assert tail.count() == 0 and lost.count() == 0 and bad.count() == 0
 
 
 def test_stray_closer_does_not_break_later_documents(spark):
     vals = _lines(1, 70.0) + ["]"] + _lines(2, 71.0) + ["}", "  "] + _lines(3, 72.0)
     recs = spark.createDataFrame([("t", 0, i, v) for i, v in enumerate(vals)],
                                  "topic string, partition int, offset long, value string")
-    docs, tail, big = reassemble(recs)
+    docs, tail, lost = reassemble(recs)
     msgs, bad = decode_records(docs, keep=["offset"])
     assert sorted(r.msg.guid for r in msgs.collect()) == ["g1", "g2", "g3"]
-    assert sorted(r.value.strip() for r in bad.collect()) == ["]", "}"]
-    assert tail.count() == 0 and big.count() == 0
+    assert bad.count() == 0 and tail.count() == 0
+    assert [r.value for r in lost.collect()] == ["}"]  # a lone "]" only separates

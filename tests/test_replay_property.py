@@ -47,10 +47,10 @@ def test_states_and_alarm_match_sequential_model(spark, scan):
     # the two-level scan and the shuffled (non-broadcast) joins are what large tables use;
     # force both with zero bounds
     big = scan != "plain window"
-    plan = plan_breaches(df, bounded_rows=0 if big else 10**9, max_broadcast_rows=0 if big else 10**9)
-    assert plan.bounded == (not big) and plan.small == (not big)
+    plan = plan_breaches(df, max_broadcast_rows=0 if big else 10**9)
+    assert plan.small == (not big)
     got = {(r.scope, r.ord, r.sensor): (r.code, r.state) for r in plan.states().collect()}
-    types = alarm_type(plan.end_states(), bounded=plan.bounded)
+    types = alarm_type(plan.end_states())
     ack_rows = []
     for sc, bs in data.items():
         nonempty = [b for b, rs in bs if rs]
@@ -58,7 +58,7 @@ def test_states_and_alarm_match_sequential_model(spark, scan):
         ack_rows += [(sc, b, a) for b, a in zip(nonempty, flags)]
     ack_df = spark.createDataFrame(ack_rows, "scope string, batch timestamp, ack boolean")
     machine = {(r.scope, r.batch): (r.alarm_type, r.alarm, r.command)
-               for r in alarm_machine(types, ack_df, bounded=plan.bounded).collect()}
+               for r in alarm_machine(types, ack_df).collect()}
     n_cmd = 0
     for sc, bs in data.items():
         flags = [a for (b, rs), a in zip(bs, acks[sc]) if rs]

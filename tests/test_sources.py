@@ -47,7 +47,10 @@ def test_sql_jobs_and_console(spark, tmpdir_path, capsys):
     spark.createDataFrame(rows, "topic string, partition int, offset long, value string") \
          .coalesce(1).write.parquet(os.path.join(root, "in", "part-000"))
     src = read_records_table(spark, os.path.join(root, "in", "*"), streaming=True)
-    q = (src.writeStream.foreachBatch(SqlJobs(os.path.join(root, "out")))
+    q = (src.writeStream.foreachBatch(SqlJobs(os.path.join(root, "out"), {
+            "sort": "SELECT payload.data.temperature FROM messages",
+            "search": "SELECT payload.data.temperature FROM messages WHERE payload.data.temperature = 100",
+            "filter": "SELECT payload.data.temperature FROM messages WHERE payload.data.temperature > 85"}))
          .option("checkpointLocation", os.path.join(root, "ck")).trigger(availableNow=True).start())
     q.awaitTermination()
     out = os.path.join(root, "out")
