@@ -19,14 +19,19 @@ def components(edges: DataFrame) -> DataFrame:
     and nulls are dropped."""
     star = materialize(edges.filter("a <> b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
+    state = _state(star)
     while True:
-        before = star
         star = materialize(_small_star(_large_star(star)), "edges")
-        changed = star.exceptAll(before).limit(1).count() or before.exceptAll(star).limit(1).count()
-        if not changed:
+        before, state = state, _state(star)
+        if state == before:
             return star.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
+def _state(e: DataFrame) -> tuple:
+    """Number and checksum of the (distinct) edges."""
+    return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+
+
 def _large_star(e: DataFrame) -> DataFrame:
     """Link every larger neighbour of a node to the smallest of the node and its neighbours."""
     both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))

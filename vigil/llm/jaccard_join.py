@@ -19,7 +19,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vigil.llm.common import (block_count, by_bytes, deal, documents, flat, materialize, mix,
@@ -373,7 +373,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     side = max(8, -(-2 * text_bytes(texts, "text") // BLOCK))
     edges = materialize(links(pairs, texts, side, n_words, percent).union(same_id), "links")
     labels = components(edges)
-    edges, labels = _further(pairs, texts, edges, labels, frequent, side, n_words, percent)
+    labels = _further(pairs, texts, labels, frequent, side, n_buckets, n_words, percent)
 
     # the label is a set key; the component's name is its smallest id
     key_label = classes.join(labels, classes["key"] == labels["node"], "left").select(
@@ -410,48 +410,115 @@ def _texts(rows: DataFrame, n_words: int) -> DataFrame:
             .dropDuplicates(["key"]))
 
 
-def _further(tested: DataFrame, texts: DataFrame, edges: DataFrame, labels: DataFrame,
-             frequent, side: int, n_words: int, percent: int) -> tuple[DataFrame, DataFrame]:
+def _further(tested: DataFrame, texts: DataFrame, labels: DataFrame, frequent, side: int,
+             n_buckets: int, n_words: int, percent: int) -> DataFrame:
     """Test what the first round left: pairs of one signature in different components of which
     neither is the signature's first pivot. Only components that a failed pair touches can have
     such pairs."""
     ends = _labelled(tested, labels, "a").withColumnRenamed("label", "label_a")
     failed = _labelled(ends, labels, "b").filter("label <> label_a")
-    failed = materialize(failed, "failed")
+    failed = materialize(failed.select("label", "label_a"), "failed")
     if failed.isEmpty():
-        return edges, labels
+        return labels
     touched = failed.select("label").union(failed.select("label_a")).distinct()
-    marks = _marked(_labelled(texts, labels, "key").join(touched, "label", "left_semi"),
-                    frequent, n_words, percent)
-    marks = materialize(marks, "marks")
-    live = marks.groupBy("mark").agg(F.min("label").alias("x"), F.max("label").alias("y")).filter(
-        "x <> y").select("mark")
-    # A set that shares more of its signatures than others is likely to be what those are copies
-    # of: as an early pivot it joins them, and their pairs need no test any more.
-    shared = marks.join(live, "mark").select("mark", "key", "size")
-    often = shared.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("mark").orderBy(F.desc("n"), "key")
-    group = materialize(shared.join(often, "key").select(
-        "mark", "key", "size", F.row_number().over(order).alias("rank")), "groups")
-    first, last, longest = 1, 1, group.agg(F.max("rank")).first()[0] or 0
+    left = materialize(_labelled(texts, labels, "key").join(touched, "label", "left_semi")
+                       .select("text", _short("key").alias("node"), _short("label").alias("label"),
+                               "key"), "touched")
+    names = left.select("node", "key")
+    first, last, longest = 0, 1, 2
     while first < longest:
-        now = _labelled(group, labels, "key")
-        pivot = now.filter(F.col("rank").between(first, last)).select(
-            "mark", F.col("key").alias("a"), F.col("rank").alias("rank_a"),
-            F.col("size").alias("size_a"),
-            F.col("label").alias("label_a"))
-        alike = (f"100 * least(size, size_a) >= {percent} * greatest(size, size_a)")
-        pairs = (now.join(pivot, "mark").filter(f"rank > rank_a and label <> label_a and {alike}")
-                 .select(F.least("a", "key").alias("a"), F.greatest("a", "key").alias("b"))
-                 .distinct().join(tested, ["a", "b"], "left_anti"))
-        pairs = materialize(pairs, "pairs")
+        found = materialize(_across(left, first, last, n_buckets, frequent, n_words, percent), "across")
+        longest = found.agg(F.max("longest")).first()[0] or 0
+        pairs = (found.filter("a is not null").select("a", "b").distinct()
+                 .join(names.select(F.col("node").alias("a"), F.col("key").alias("key_a")), "a")
+                 .join(names.select(F.col("node").alias("b"), F.col("key").alias("key_b")), "b")
+                 .select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")))
+        now = _labelled(pairs, labels, "a").withColumnRenamed("label", "label_a")
+        pairs = materialize(_labelled(now, labels, "b").filter("label <> label_a").select("a", "b")
+                            .distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(pairs)
         new = materialize(links(pairs, texts, side, n_words, percent), "links")
         if not new.isEmpty():
-            edges = edges.union(new)
-            labels = components(edges)
-        first, last = last + 1, last * PIVOTS
-    return edges, labels
+            # the components so far, as stars, and the new links
+            labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
+                                .union(new))
+        first, last = last, last * PIVOTS
+    return labels
+
+
+def _short(c: str):
+    """The first eight bytes of a key as a number."""
+    return F.conv(F.substring(F.hex(c), 1, 15), 16, 10).cast("long")
+
+
+def _across(left: DataFrame, first: int, last: int, n_buckets: int, frequent, n_words: int,
+            percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes of one signature and unlike components, of sizes that may be similar,
+    with one among the group's pivots ``first`` to ``last``; in ``longest`` the size of the largest
+    group of several components. ``left``: text, node, label. Signatures travel packed. Pivots
+    come in the order of how many such groups of the bucket a node is in: the text that others are
+    copies of is in most, and as an early pivot it joins them."""
+    send_ddl = "bucket int, marks binary, nodes binary, labels binary, sizes binary"
+    send_schema = arrow_schema(send_ddl)
+    out_schema = arrow_schema("a long, b long, longest long")
+
+    def block(nodes, labels, sets):
+        owner, mark = signatures(sets, percent, frequent.value)
+        order, at = deal(((mark >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64), n_buckets)
+        low = (mark & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        node, label = np.array(nodes, np.int64)[owner], np.array(labels, np.int64)[owner]
+        size = np.array([len(s) for s in sets], np.int32)[owner]
+        full = np.flatnonzero(np.diff(at))
+        cols = [[x[order[at[b]:at[b + 1]]].tobytes() for b in full] for x in (low, node, label, size)]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip((full, *cols), send_schema)], schema=send_schema)
+
+    def send(batches):
+        nodes, labels, sets, size = [], [], [], 0
+        for rb in batches:
+            for s, n, l in zip(shingle_sets(rb.column(0), n_words), rb.column(1).to_pylist(),
+                               rb.column(2).to_pylist()):
+                nodes.append(n)
+                labels.append(l)
+                sets.append(s)
+                size += s.nbytes
+                if size >= BLOCK:
+                    yield block(nodes, labels, sets)
+                    nodes, labels, sets, size = [], [], [], 0
+        if sets:
+            yield block(nodes, labels, sets)
+
+    def meet(t: pa.Table) -> pa.Table:
+        def joined(name, kind):
+            return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+        mark, node, label, size = (joined(n, k) for n, k in (
+            ("marks", np.uint32), ("nodes", np.int64), ("labels", np.int64), ("sizes", np.int32)))
+        order = np.lexsort((label, mark))
+        s, e = runs(mark[order])
+        live = label[order][s] != label[order][e - 1]
+        keep = order[np.repeat(live, e - s)]
+        mark, node, label, size = (x[keep] for x in (mark, node, label, size))
+        _, number, often = np.unique(node, return_inverse=True, return_counts=True)
+        order = np.lexsort((node, -often[number] if len(node) else node, mark))
+        mark, node, label, size = (x[order] for x in (mark, node, label, size))
+        s, e = runs(mark)
+        found = [np.zeros((0, 2), np.int64)]
+        for i, j in zip(s.tolist(), e.tolist()):
+            for p in range(i + first, min(i + last, j - 1)):
+                rest = slice(p + 1, j)
+                small, big = np.minimum(size[rest], size[p]), np.maximum(size[rest], size[p])
+                other = node[rest][(label[rest] != label[p])
+                                   & (100 * small.astype(np.int64) >= percent * big)]
+                found.append(np.stack((np.minimum(other, node[p]), np.maximum(other, node[p])), 1))
+        pairs = np.unique(np.concatenate(found), axis=0)
+        longest = int((e - s).max()) if len(s) else 0
+        return pa.Table.from_arrays(
+            [pa.array([*pairs[:, 0].tolist(), None], pa.int64()),
+             pa.array([*pairs[:, 1].tolist(), None], pa.int64()),
+             pa.array([None] * len(pairs) + [longest], pa.int64())], schema=out_schema)
+
+    return (left.select("text", "node", "label").mapInArrow(send, send_ddl).groupBy("bucket")
+            .applyInArrow(meet, "a long, b long, longest long"))
 
 
 def _labelled(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:
@@ -461,25 +528,5 @@ def _labelled(df: DataFrame, labels: DataFrame, column: str) -> DataFrame:
         "label", F.coalesce("_l", column)).drop("_l")
 
 
-def _marked(texts: DataFrame, frequent, n_words: int, percent: int) -> DataFrame:
-    """(mark, key, label, size) for every signature of every set. ``texts``: key, text, label."""
-    ddl = "mark long, key binary, label binary, size long"
-    schema = arrow_schema(ddl)
-
-    def run(batches):
-        for rb in batches:
-            for k in range(0, rb.num_rows, 256):
-                part = rb.slice(k, 256)
-                sets = list(shingle_sets(part.column(1), n_words))
-                owner, mark = signatures(sets, percent, frequent.value)
-                at = pa.array(owner)
-                size = np.array([len(s) for s in sets], np.int64)[owner]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mark.view(np.int64)), part.column(0).take(at),
-                     part.column(2).take(at), pa.array(size)], schema=schema)
-
-    return texts.select("key", "text", "label").mapInArrow(run, ddl)
-
-
 def op7_jaccard_join(spark, sf_dir: str) -> DataFrame:
     return jaccard_join(documents(spark, sf_dir)).withColumnRenamed("id", "doc_id")
