@@ -23,9 +23,14 @@ from pyspark.sql import DataFrame
 from vigil.llm.common import batch, by_bytes, documents, flat
 
 VOCABULARY = "word_bpe_49k.json"
-SHORT = 48
-# Entries of each word cache of a Python worker (about 150 bytes each).
-CACHE = 500_000
+# Words of up to SHORT parts are merged by repeated scans, in matrices of these widths.
+WIDTHS, SHORT = (6, 9, 13, 20), 48
+# Entries of each word cache of a Python worker (about 200 bytes each).
+CACHE = 700_000
+# Bytes of texts that are encoded together: distinct new words are merged in one go.
+TEXT_BYTES = 4 << 20
+# Marks that are a word of their own behind letters.
+PUNCTUATION = frozenset(".,;:!?")
 NO_RANK = np.int32(2**31 - 1)
 # White space as the vocabulary's own pattern library sees it (str.split also takes 0x1C-0x1F).
 SPACE = regex.compile("[\t-\r \x85\xa0  -     　]+")
@@ -86,7 +91,7 @@ class WordBpe:
         self.t = tables
         self.words: dict[str, bytes] = {}
         self.chunks: dict[str, bytes] = {}
-        self.pattern = regex.compile(tables["pattern"] + "|\n")
+        self.pattern = regex.compile(tables["pattern"])
         names = sorted(map(regex.escape, tables["special"]), key=len, reverse=True)
         self.special = regex.compile("(" + "|".join(names) + ")") if names else None
 
@@ -98,31 +103,31 @@ class WordBpe:
         at[at == len(self.t["key"])] = 0
         return np.where(self.t["key"][at] == key, self.t["rank"][at], NO_RANK)
 
-    def merge_short(self, parts: np.ndarray) -> list[np.ndarray]:
-        """Merge all rows of a matrix of part ids (words of one length) to the end."""
-        out: list = [None] * len(parts)
-        rows, rank = np.arange(len(parts)), None
+    def merge_short(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Merge all rows of a matrix of part ids, -1 behind the end of a word, to the end.
+        Returns the rows in the order they finished, bounds, and the ids of all in that order."""
+        rows, rank = np.arange(len(parts)), self.ranks(parts[:, :-1], parts[:, 1:])
+        order, done_parts = [], []
         while len(rows):
-            if rank is None:
-                rank = self.ranks(parts[:, :-1], parts[:, 1:])
-            if parts.shape[1] == 1:
-                at, low = np.zeros(len(rows), np.int64), np.full(len(rows), NO_RANK)
-            else:
+            n, width = parts.shape
+            every = np.arange(n)
+            if width > 1:
                 at = rank.argmin(axis=1)
-                low = rank[np.arange(len(rows)), at]
+                low = rank[every, at]
+            else:
+                at, low = np.zeros(n, np.int64), np.full(n, NO_RANK)
             done = low == NO_RANK
-            for i in np.flatnonzero(done):
-                out[rows[i]] = parts[i]
             if done.any():
+                order.append(rows[done])
+                done_parts.append(parts[done])
                 rows, parts, rank, at, low = (x[~done] for x in (rows, parts, rank, at, low))
-                if not len(rows):
+                n = len(rows)
+                if not n:
                     break
-            n, width = parts.shape
-            every = np.arange(n)
-            parts = parts.copy()
+                every = np.arange(n)
             parts[every, at] = self.t["made"][low]
             keep = np.ones((n, width), bool)
-            keep[every, at + 1] = False
+            keep[every, at + 1] = False  # the deleted boundary
             parts = parts[keep].reshape(n, width - 1)
             keep = np.ones((n, width - 1), bool)
             keep[every, at] = False
@@ -131,7 +136,9 @@ class WordBpe:
             rank[i, at[i] - 1] = self.ranks(parts[i, at[i] - 1], parts[i, at[i]])
             i = np.flatnonzero(at < width - 2)
             rank[i, at[i]] = self.ranks(parts[i, at[i]], parts[i, at[i] + 1])
-        return out
+        sizes = np.concatenate([(p >= 0).sum(axis=1) for p in done_parts])
+        flat_ids = np.concatenate([p[p >= 0] for p in done_parts])
+        return np.concatenate(order), np.concatenate(([0], np.cumsum(sizes))), flat_ids
 
     def merge_long(self, parts: np.ndarray) -> np.ndarray:
         """The same for one word of any length: a heap of (rank, place) over a linked list."""
@@ -179,16 +186,24 @@ class WordBpe:
             sizes = np.add.reduceat(known.astype(np.int64), offsets[:-1])
             parts = parts[known]
             offsets = np.concatenate(([0], np.cumsum(sizes)))
-        for size in np.unique(sizes):
-            at = np.flatnonzero(sizes == size)
-            if size == 0:
-                merged = [np.zeros(0, np.int32)] * len(at)
-            elif size > SHORT:
-                merged = [self.merge_long(parts[offsets[i]:offsets[i] + size]) for i in at]
-            else:
-                merged = self.merge_short(parts[offsets[at][:, None] + np.arange(size)])
-            for i, ids in zip(at.tolist(), merged):
-                self.words[words[i]] = ids.astype("<u4").tobytes()
+        low = 0
+        for high in (*WIDTHS, SHORT):
+            at = np.flatnonzero((sizes > low) & (sizes <= high))
+            low = high
+            if len(at):
+                place = np.arange(high)
+                inside = place < sizes[at][:, None]
+                matrix = np.full((len(at), high), -1, np.int32)
+                matrix[inside] = parts[(offsets[at][:, None] + place)[inside]]
+                order, bounds, ids = self.merge_short(matrix)
+                raw_ids, bounds = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
+                for i, a, b in zip(at[order].tolist(), bounds[:-1], bounds[1:]):
+                    self.words[words[i]] = raw_ids[a:b]
+        for i in np.flatnonzero(sizes == 0).tolist():
+            self.words[words[i]] = b""
+        for i in np.flatnonzero(sizes > SHORT).tolist():
+            ids = self.merge_long(parts[offsets[i]:offsets[i] + sizes[i]])
+            self.words[words[i]] = ids.astype("<u4").tobytes()
 
     # -- texts --------------------------------------------------------------------------
     def normal(self, s: str) -> str:
@@ -220,15 +235,18 @@ class WordBpe:
                     self.chunks[c] = b"".join(self.words[w] for w in words)
                 plain = [c for c in plain if not new_ones.search(c)]
                 joined = "\n".join(plain)
-        tokens = self.pattern.findall(self.normal(joined) + "\n")
-        new = list(set(tokens).difference(self.words, "\n"))
-        self.learn(new)
-        words, at = self.words, 0
-        for c in plain:
-            end = tokens.index("\n", at)
-            self.chunks[c] = (words[tokens[at]] if end == at + 1
-                              else b"".join([words[t] for t in tokens[at:end]]))
-            at = end + 1
+        split = []
+        for s in self.normal(joined).split("\n") if plain else ():
+            if s.isalpha():
+                split.append((s,))
+            elif s[-1] in PUNCTUATION and s[:-1].isalpha():
+                split.append((s[:-1], s[-1]))
+            else:
+                split.append(self.pattern.findall(s))
+        words = self.words
+        self.learn(list(set().union(*split).difference(words)))
+        for c, s in zip(plain, split):
+            self.chunks[c] = words[s[0]] if len(s) == 1 else b"".join([words[w] for w in s])
 
     def library_words(self, chunk: str) -> list[str]:
         """Words of a chunk with characters that Python's Unicode tables do not know yet, by the
@@ -248,15 +266,20 @@ class WordBpe:
         if len(self.chunks) > CACHE:
             self.chunks.clear()
         get = self.chunks.get
-        found = [list(map(get, self.split(t))) for t in texts]
-        again = [i for i, parts in enumerate(found) if None in parts]
+        found, again = [], {}
+        for i, t in enumerate(texts):
+            chunks = self.split(t)
+            parts = list(map(get, chunks))
+            if None in parts:
+                again[i] = chunks
+            found.append(parts)
         if again:
             new: set[str] = set()
-            for i in again:
-                new.update([c for c, x in zip(self.split(texts[i]), found[i]) if x is None])
+            for i, chunks in again.items():
+                new.update([c for c, x in zip(chunks, found[i]) if x is None])
             self.learn_chunks(list(new))
-            for i in again:
-                found[i] = map(get, self.split(texts[i]))
+            for i, chunks in again.items():
+                found[i] = [x or get(c) for x, c in zip(found[i], chunks)]
         return [b"".join(parts) for parts in found]
 
     @staticmethod
@@ -288,7 +311,7 @@ def share(spark, path: str | None):
 def texts_of(rb: pa.RecordBatch):
     """(rows from, to, texts) over a batch whose second column is the text; null: empty."""
     _, offsets = flat(rb.column(1))
-    for i, j in by_bytes(offsets):
+    for i, j in by_bytes(offsets, TEXT_BYTES):
         yield i, j, [t or "" for t in rb.column(1).slice(i, j - i).to_pylist()]
 
 
