@@ -1,16 +1,16 @@
 """Operator 7: Jaccard similarity join on word n-grams with PartEnum signatures.
 
 Sets fall into bands of sizes, and similar sets lie in one band or in neighbouring ones. For each
-band the feature domain is partitioned; two sets of a similar pair differ in at most H features,
-so all but H parts of their partition hold the same features. A set signs (hash of the part's
-number and features) the first H + 1 parts that hold enough of its features; of these, one at
-least is signed alike by the partner. Pairs that share a signature are candidates, and the sets
-themselves decide.
-
-Candidates are not expanded into all pairs. In a group of one signature the smallest member is
-paired with the others (first inside each task, then between tasks). Only groups whose members
-are then still in several components go on, with the next members as pivots, until no pair across
-components is untested. The components are therefore those of all links.
+band the feature domain is partitioned, and every part again into three subparts, of which each
+two make a signature (their numbers and features). Two sets of a similar pair differ in at most H
+features, and a set signs so many parts that H differences cannot spoil all of its signatures;
+those left are signed alike by the partner. Pairs that share a signature are candidates, and the
+sets themselves decide.
+
+Candidates are not expanded into all pairs of a group. The smallest member is paired with the
+others (first inside each task, then between tasks). Only members of groups that are then still in
+several components go on, with the next members as pivots, until no pair across components is
+untested. The components are therefore those of all links.
 """
 
 from __future__ import annotations
