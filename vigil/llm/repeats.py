@@ -12,6 +12,13 @@ minimiser; consecutive windows of one minimiser form a run and travel as one pac
 3. Buckets decide by content which windows of the packed strings started earlier, and the spans go
    back to the block of their document.
 
+A passage that many documents hold in different surroundings gives its minimiser a different packed
+string in each. The first pass flags such hot minimisers: those that have a string whose hash is
+drawn, one in ``SPREAD`` distinct ones (copies of a string are drawn together, so they make nothing
+hot). Their windows go one by one to buckets of the window's own hash, where equal windows still
+meet; another pass like the first, over the hashes of these windows, keeps back all windows that
+occur only once.
+
 Documents are dealt to blocks by their id once; that exchange serves all three passes.
 """
 
@@ -25,12 +32,19 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import (block_count, block_of, covered, deal, mix, runs, sliding,
-                              text_bytes)
+from vigil.llm.common import (block_count, block_of, covered, deal, merge_intervals, mix, runs,
+                              sliding, text_bytes)
 
 SLICE = 1 << 19
 # Buckets of packed strings per block of documents.
 PACKED_BUCKETS = 4
+# A minimiser with some thousands of distinct packed strings has one of those drawn.
+SPREAD = 1 << 11
+# Hashes leave two bits free. To a bucket: repeats within the block; has a drawn string.
+# Back to a block: a window that repeats; a hot minimiser.
+KEY = np.uint64(0xFFFFFFFFFFFFFFFC)
+ONE, TWO = np.uint64(1), np.uint64(2)
+FACTOR = np.uint64(0x9E3779B97F4A7C15)
 SPANS = "block int, rows array<int>, starts array<int>, ends array<int>"
 PACKED = ("bucket int, block int, ids array<long>, rows array<int>, starts array<int>, "
           "packed array<binary>, again_rows array<int>, again_starts array<int>, "
@@ -56,25 +70,80 @@ def ids_of(t: pa.Table) -> np.ndarray:
                         np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
 
 
+def gram_hashes(symbols: np.ndarray, gram: int) -> np.ndarray:
+    """Hash of the ``gram`` symbols at every place."""
+    h = symbols.astype(np.uint64) + np.uint64(1)
+    have = 1
+    while have < gram:  # polynomial hash of `gram` symbols by doubling
+        step = min(have, gram - have)
+        power = np.uint64(pow(int(FACTOR), step, 1 << 64))
+        # the last `step` symbols overlap where `gram` is no power of two; still a hash of
+        # exactly the symbols of the gram
+        h = h[:-step] * power + h[step:] * np.uint64(0x2545F4914F6CDD1D)
+        have += step
+    return mix(h) & KEY
+
+
+def window_hashes(symbols: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Hashes of the windows at the ascending places ``at``."""
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    return gram_hashes(symbols[at[0]:at[-1] + width], width)[at - at[0]]
+
+
+def drawn(symbols: np.ndarray, first: np.ndarray, last: np.ndarray, width: int,
+          spread: int) -> np.ndarray:
+    """Which runs have a packed string that is drawn, by the hash of its content: that of its
+    outer windows, which cover it."""
+    h = gram_hashes(symbols[first[0]:last[-1] + width], width)
+    a, b = h[first - first[0]], h[last - first[0]]
+    return mix(a * FACTOR + b + (last - first).astype(np.uint64)) % np.uint64(spread) == 0
+
+
+class Wanted:
+    """What a block has to send: runs by minimiser, windows of hot minimisers one by one."""
+
+    def __init__(self, flags: np.ndarray):
+        mark, key = flags & ~KEY, flags & KEY
+        self.runs, self.windows, self.hot = (np.sort(key[mark == m]) for m in range(3))
+
+    def hot_windows(self, symbols, first, last, keys, width):
+        """(places, hashes) of the windows of the runs with a hot minimiser."""
+        hot = _among(keys, self.hot)
+        first, n = first[hot], last[hot] - first[hot] + 1
+        at = np.arange(n.sum()) + np.repeat(first - np.cumsum(n) + n, n)
+        return at, window_hashes(symbols, at, width)
+
+    def strings(self, symbols, first, last, keys, width):
+        """(first symbol, end, key) of the strings to send of these runs."""
+        at, h = self.hot_windows(symbols, first, last, keys, width)
+        back = _among(h, self.windows)
+        at, h = at[back], h[back]
+        keep = _among(keys, self.runs)
+        return (np.concatenate((first[keep], at)),
+                np.concatenate((last[keep] + width, at + width)), np.concatenate((keys[keep], h)))
+
+
+def _among(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Mask of the values in the sorted array ``known``."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    i = np.searchsorted(known, values)
+    i[i == len(known)] = 0
+    return known[i] == values
+
+
 def window_runs(symbols: np.ndarray, offsets: np.ndarray, gram: int, width: int
                 ) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Runs of windows with one minimiser, in slices of bounded size: (first window, last window,
     minimiser) of each run, and the minimisers at all their places. Windows never cross the
-    ``offsets`` of documents; a run may be cut where slices meet. Minimisers are even numbers."""
+    ``offsets`` of documents; a run may be cut where slices meet. Minimisers leave the bits
+    outside ``KEY`` free."""
     n = len(symbols) - width + 1
     span = width - gram + 1
     for a in range(0, max(n, 0), SLICE):
         b = min(a + SLICE, n)
-        h = symbols[a:b + width - 1].astype(np.uint64) + np.uint64(1)
-        have, factor = 1, np.uint64(0x9E3779B97F4A7C15)
-        while have < gram:  # polynomial hash of `gram` symbols by doubling
-            step = min(have, gram - have)
-            power = np.uint64(pow(int(factor), step, 1 << 64))
-            # the last `step` symbols overlap where `gram` is no power of two; still a hash of
-            # exactly the symbols of the gram
-            h = h[:-step] * power + h[step:] * np.uint64(0x2545F4914F6CDD1D)
-            have += step
-        g = mix(h) & np.uint64(0xFFFFFFFFFFFFFFFE)
+        g = gram_hashes(symbols[a:b + width - 1], gram)
         m = sliding(g, span, np.minimum) if span > 1 else g.copy()
         i, j = np.searchsorted(offsets, (a, b - 1 + width), "right")
         near = np.clip(offsets[max(i - 1, 0):j + 1] - a, 0, None)
@@ -99,25 +168,39 @@ def bucket_of(minimisers: np.ndarray, n: int) -> np.ndarray:
     return (mix(minimisers) % np.uint64(n)).astype(np.int32)
 
 
-def repeated_spans(docs: DataFrame, n_blocks: int, minimisers: Callable, pack: Callable,
-                   match: Callable) -> DataFrame:
-    """Spans of repeated windows, packed by block. ``docs``: block, id, text.
+def flags_of(t: pa.Table) -> np.ndarray:
+    return np.concatenate([np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()]
+                          or [np.zeros(0, np.uint64)])
 
-    ``minimisers(table)`` gives sorted distinct minimisers of a block, odd (one added) where the
-    block alone shows that it repeats. ``pack(table, repeated)`` gives (minimiser, row, start,
-    packed string, is again, end) arrays of the runs whose minimiser is in ``repeated``.
-    ``match(ids, rows, starts, packed)`` decides, with entries of many blocks in order of
-    (id, row, start), and gives (entry, start, end) arrays of repeated stretches.
+
+def packed_strings(docs: DataFrame, n_blocks: int, minimisers: Callable, windows: Callable,
+                   pack: Callable) -> DataFrame:
+    """The strings of each block that may hold repeated windows, by bucket, and the spans that the
+    block itself knows to repeat. ``docs``: block, id, text.
+
+    ``minimisers(table)`` gives sorted distinct minimisers of a block, with ONE where the block
+    alone shows that it repeats and TWO where it has a drawn string. ``windows(table, wanted)``
+    gives those of the windows with a hot minimiser alike. ``pack(table, wanted)`` gives (key,
+    row, start, packed string, is again, end) arrays of the strings that are wanted.
     """
     n_packed = n_blocks * PACKED_BUCKETS
-    hash_schema = arrow_schema("bucket int, block int, hashes binary")
+    hashes = "bucket int, block int, hashes binary"
+    hash_schema = arrow_schema(hashes)
     flag_schema = arrow_schema("block int, hashes binary")
-    packed_schema, span_schema = arrow_schema(PACKED), arrow_schema(SPANS)
+    packed_schema = arrow_schema(PACKED)
 
     def send(t: pa.Table) -> pa.Table:
+        return dealt(t, minimisers(in_order(t)))
+
+    def send_windows(t: pa.Table, flags: pa.Table) -> pa.Table:
+        wanted = Wanted(flags_of(flags))
+        if not t.num_rows or not len(wanted.hot):
+            return hash_schema.empty_table()
+        return dealt(t, windows(in_order(t), wanted))
+
+    def dealt(t: pa.Table, h: np.ndarray) -> pa.Table:
         block = t.column("block")[0].as_py()
-        h = minimisers(in_order(t))
-        order, at = deal(bucket_of(h & np.uint64(0xFFFFFFFFFFFFFFFE), n_blocks), n_blocks)
+        order, at = deal(bucket_of(h & KEY, n_blocks), n_blocks)
         h = h[order]
         full = np.flatnonzero(np.diff(at))
         return pa.Table.from_arrays(
@@ -126,14 +209,22 @@ def repeated_spans(docs: DataFrame, n_blocks: int, minimisers: Callable, pack: C
             schema=hash_schema)
 
     def count(t: pa.Table) -> pa.Table:
+        return often(t, lambda low: low & TWO)
+
+    def count_windows(t: pa.Table) -> pa.Table:
+        return often(t, lambda low: np.full(len(low), ONE))
+
+    def often(t: pa.Table, mark: Callable) -> pa.Table:
         parts = [np.frombuffer(x, np.uint64) for x in t.column("hashes").to_pylist()]
         blocks = np.repeat(t.column("block").to_numpy(), [len(p) for p in parts])
         h = np.concatenate(parts)
-        key = h & np.uint64(0xFFFFFFFFFFFFFFFE)
+        key = h & KEY
         order = np.argsort(key, kind="stable")
         s, e = runs(key[order])
-        often = (np.maximum.reduceat(h[order] & np.uint64(1), s) > 0) | (e - s > 1)
-        keep = order[np.repeat(often, e - s)]
+        low = np.bitwise_or.reduceat(h[order] & ~KEY, s)
+        repeats = ((low & ONE) > 0) | (e - s > 1)
+        key[order] |= np.repeat(mark(low), e - s)
+        keep = order[np.repeat(repeats, e - s)]
         keep = keep[np.argsort(blocks[keep], kind="stable")]
         s, e = runs(blocks[keep])
         return pa.Table.from_arrays(
@@ -146,22 +237,43 @@ def repeated_spans(docs: DataFrame, n_blocks: int, minimisers: Callable, pack: C
             return packed_schema.empty_table()
         block = t.column("block")[0].as_py()
         t = in_order(t)
-        wanted = np.sort(np.concatenate(
-            [np.frombuffer(x, np.uint64) for x in flags.column("hashes").to_pylist()]))
-        keys, row, start, packed, again, end = pack(t, wanted)
+        keys, row, start, packed, again, end = pack(t, Wanted(flags_of(flags)))
         ids = ids_of(t)
-        order, at = deal(bucket_of(keys, n_packed), n_packed)
+        new, old = np.flatnonzero(~again), np.flatnonzero(again)
+        order, at = deal(bucket_of(keys[new], n_packed), n_packed)
+        none = np.zeros(0, np.int64)
         cols: list[list] = [[] for _ in range(9)]
         for b in np.flatnonzero(np.diff(at)):
-            i = order[at[b]:at[b + 1]]
-            new, old = i[~again[i]], i[again[i]]
-            for c, x in zip(cols, (b, block, ids[row[new]], row[new], start[new],
-                                   [packed[k] for k in new.tolist()], row[old], start[old],
-                                   end[old])):
+            i = new[order[at[b]:at[b + 1]]]
+            for c, x in zip(cols, (b, block, ids[row[i]], row[i], start[i],
+                                   [packed[k] for k in i.tolist()], none, none, none)):
+                c.append(x)
+        if len(old):  # known already: any bucket passes them on
+            size = int(end.max()) + 2
+            a, z = merge_intervals(row[old] * size + start[old], row[old] * size + end[old])
+            for c, x in zip(cols, (block * PACKED_BUCKETS, block, none, none, none, [],
+                                   a // size, a % size, z % size)):
                 c.append(x)
         return pa.Table.from_arrays(
             [pa.array(c, f.type) for c, f in zip(cols, packed_schema)], schema=packed_schema)
 
+    flags = (docs.groupBy("block").applyInArrow(send, hashes)
+             .groupBy("bucket").applyInArrow(count, "block int, hashes binary"))
+    back = (docs.groupBy("block").cogroup(flags.groupBy("block"))
+            .applyInArrow(send_windows, hashes)
+            .groupBy("bucket").applyInArrow(count_windows, "block int, hashes binary"))
+    return (docs.groupBy("block").cogroup(flags.union(back).groupBy("block"))
+            .applyInArrow(send_packed, PACKED))
+
+
+def repeated_spans(docs: DataFrame, n_blocks: int, minimisers: Callable, windows: Callable,
+                   pack: Callable, match: Callable) -> DataFrame:
+    """Spans of repeated windows, packed by block; see ``packed_strings``.
+    ``match(ids, rows, starts, packed)`` decides, with entries of many blocks in order of
+    (id, row, start), and gives (entry, start, end) arrays of repeated stretches.
+    """
+    span_schema = arrow_schema(SPANS)
+
     def decide(t: pa.Table) -> pa.Table:
         col = {n: t.column(n).combine_chunks() for n in t.schema.names}
         size = pc.list_value_length(col["rows"]).to_numpy()
@@ -185,10 +297,7 @@ def repeated_spans(docs: DataFrame, n_blocks: int, minimisers: Callable, pack: C
             [pa.array(blocks[order][s], pa.int32()),
              *(pa.array(x, pa.list_(pa.int32())) for x in lists)], schema=span_schema)
 
-    flags = (docs.groupBy("block").applyInArrow(send, "bucket int, block int, hashes binary")
-             .groupBy("bucket").applyInArrow(count, "block int, hashes binary"))
-    packed = (docs.groupBy("block").cogroup(flags.groupBy("block"))
-              .applyInArrow(send_packed, PACKED))
+    packed = packed_strings(docs, n_blocks, minimisers, windows, pack)
     return packed.groupBy("bucket").applyInArrow(decide, SPANS)
 
 

@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from vigil.llm.common import covered, documents, flat, runs
-from vigil.llm.repeats import (arrow_schema, in_order, repeated_spans, spans_by_row, window_runs,
-                               with_blocks)
+from vigil.llm.repeats import (ONE, SPREAD, TWO, Wanted, arrow_schema, drawn, in_order,
+                               repeated_spans, spans_by_row, window_runs, with_blocks)
 
 WIDTH = 100
 GRAM = 32
@@ -87,28 +87,38 @@ class SuffixFamily:
             self.levels.append(merged)
 
 
-def _functions(width: int, gram: int):
+def _functions(width: int, gram: int, spread: int = SPREAD):
+    def once(h: np.ndarray) -> np.ndarray:
+        h = np.sort(h)
+        s, e = runs(h)
+        return h[s] | np.where(e - s > 1, ONE, np.uint64(0))
+
     def minimisers(t: pa.Table) -> np.ndarray:
         raw, offsets = flat(t.column("text"))
-        found = [places for *_, places in window_runs(raw, offsets, gram, width)]
-        if not found:
-            return np.zeros(0, np.uint64)
-        h = np.sort(np.concatenate(found))
-        s, e = runs(h)
-        return h[s] | (e - s > 1).astype(np.uint64)
+        none = [np.zeros(0, np.uint64)]
+        found, many = none, none
+        for first, last, h, places in window_runs(raw, offsets, gram, width):
+            found = [*found, places]
+            many = [*many, h[drawn(raw, first, last, width, spread)]]
+        h = once(np.concatenate(found))
+        h[np.searchsorted(h | ONE, np.concatenate(many))] |= TWO
+        return h
+
+    def windows(t: pa.Table, wanted: Wanted) -> np.ndarray:
+        raw, offsets = flat(t.column("text"))
+        return once(np.concatenate([np.zeros(0, np.uint64), *(
+            wanted.hot_windows(raw, first, last, h, width)[1]
+            for first, last, h, _ in window_runs(raw, offsets, gram, width))]))
 
-    def pack(t: pa.Table, wanted: np.ndarray):
+    def pack(t: pa.Table, wanted: Wanted):
         raw, offsets = flat(t.column("text"))
         text = raw.tobytes()
         keys, rows, starts, ends, packed, again = [], [], [], [], [], []
         seen: set[bytes] = set()
         for first, last, h, _ in window_runs(raw, offsets, gram, width):
-            i = np.searchsorted(wanted, h)
-            i[i == len(wanted)] = 0
-            keep = wanted[i] == h
-            first, end = first[keep], last[keep] + width
+            first, end, h = wanted.strings(raw, first, last, h, width)
             row = np.searchsorted(offsets, first, "right") - 1
-            keys.append(h[keep])
+            keys.append(h)
             rows.append(row)
             starts.append(first - offsets[row])
             ends.append(end - offsets[row])
@@ -143,7 +153,7 @@ def _functions(width: int, gram: int):
                 b.append(e - 1 + width)
         return np.concatenate(entry), np.concatenate(a), np.concatenate(b)
 
-    return minimisers, pack, match
+    return minimisers, windows, pack, match
 
 
 def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

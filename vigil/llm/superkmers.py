@@ -17,8 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from vigil.llm.common import by_bytes, covered, documents, flat, mix, runs
-from vigil.llm.repeats import (arrow_schema, ids_of, in_order, repeated_spans, spans_by_row,
-                               window_runs, with_blocks)
+from vigil.llm.repeats import (ONE, SPREAD, TWO, Wanted, arrow_schema, drawn, ids_of, in_order,
+                               repeated_spans, spans_by_row, window_runs, with_blocks)
 
 WIDTH = 50
 GRAM = 8
@@ -59,9 +59,9 @@ def word_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
     return mix((total[ends] - total[starts]) * back[starts] + (ends - starts).astype(np.uint64))
 
 
-def _functions(width: int, gram: int):
+def _functions(width: int, gram: int, spread: int = SPREAD):
     def scan(t: pa.Table):
-        """Per chunk: (first row, bytes, offsets, word starts, ends, bounds, runs)."""
+        """Per chunk: (first row, bytes, word hashes, starts, ends, bounds, runs)."""
         raw, offsets = flat(t.column("text"))
         for i, j in by_bytes(offsets):
             part = raw[offsets[i]:offsets[j]]
@@ -69,34 +69,46 @@ def _functions(width: int, gram: int):
             starts, ends, bounds = words_of(part, off)
             h = word_hashes(part, starts, ends)
             for first, last, key, _ in window_runs(h, bounds, gram, width):
-                yield i, part, starts, ends, bounds, first, last, key
+                yield i, part, h, starts, ends, bounds, first, last, key
+
+    def once(h: np.ndarray, d: np.ndarray) -> np.ndarray:
+        order = np.lexsort((d, h))
+        h, d = h[order], d[order]
+        s, e = runs(h)
+        return h[s] | np.where(d[s] != d[e - 1], ONE, np.uint64(0))  # in several documents
 
     def minimisers(t: pa.Table) -> np.ndarray:
         ids = ids_of(t)
-        keys, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
-        for i, _, _, _, bounds, first, _, key in scan(t):
+        none = np.zeros(0, np.uint64)
+        keys, docs, many = [none], [np.zeros(0, np.int64)], [none]
+        for i, _, h, _, _, bounds, first, last, key in scan(t):
             keys.append(key)
             docs.append(ids[i + np.searchsorted(bounds, first, "right") - 1])
-        h, d = np.concatenate(keys), np.concatenate(docs)
-        order = np.lexsort((d, h))
-        h, d = h[order], d[order]
-        s, e = runs(h)
-        return h[s] | (d[s] != d[e - 1]).astype(np.uint64)  # odd: in several documents
+            many.append(key[drawn(h, first, last, width, spread)])
+        h = once(np.concatenate(keys), np.concatenate(docs))
+        h[np.searchsorted(h | ONE, np.concatenate(many))] |= TWO
+        return h
+
+    def windows(t: pa.Table, wanted: Wanted) -> np.ndarray:
+        ids = ids_of(t)
+        keys, docs = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for i, _, h, _, _, bounds, first, last, key in scan(t):
+            at, key = wanted.hot_windows(h, first, last, key, width)
+            keys.append(key)
+            docs.append(ids[i + np.searchsorted(bounds, at, "right") - 1])
+        return once(np.concatenate(keys), np.concatenate(docs))
 
-    def pack(t: pa.Table, wanted: np.ndarray):
+    def pack(t: pa.Table, wanted: Wanted):
         ids = ids_of(t)
         keys, rows, starts, ends, packed, again = [], [], [], [], [], []
         seen: dict[bytes, int] = {}
         chunk, text = None, b""
-        for i, part, w_start, w_end, bounds, first, last, h in scan(t):
+        for i, part, symbols, w_start, w_end, bounds, first, last, h in scan(t):
             if chunk is not part:
                 chunk, text = part, np.where(IS_SPACE[part], np.uint8(32), part).tobytes()
-            at = np.searchsorted(wanted, h)
-            at[at == len(wanted)] = 0
-            keep = wanted[at] == h
-            first, end = first[keep], last[keep] + width
+            first, end, h = wanted.strings(symbols, first, last, h, width)
             local = np.searchsorted(bounds, first, "right") - 1
-            keys.append(h[keep])
+            keys.append(h)
             rows.append(local + i)
             starts.append(first - bounds[local])
             ends.append(end - bounds[local])
@@ -154,7 +166,7 @@ def _functions(width: int, gram: int):
         none = [np.zeros(0, np.int64)]
         return tuple(np.concatenate(x or none).astype(np.int64) for x in (entry, a, b))
 
-    return minimisers, pack, match
+    return minimisers, windows, pack, match
 
 
 def _kept(t: pa.Table, found: pa.Table):
