@@ -30,10 +30,11 @@ def exact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of similar documents: the one with the smallest id.
-    Documents without words are similar to none and stay."""
+    Documents without words are similar to none and stay; so do those of a null id, which the join
+    links with nothing."""
     found = jaccard_join.jaccard_join(docs)
-    names = found.filter("component_id = id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(names, "doc_id", "left_semi")
+    gone = found.filter("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
 def substrings(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
