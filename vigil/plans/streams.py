@@ -67,9 +67,12 @@ def stream_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = _stream(spark, _messages(spark, sf_dir), AnomalyStream)
-    s = spark.read.parquet(f"{out}/sensors")
-    return s.select(F.col("version").cast("long").alias("batch_id"), "sensor",
-                    F.col("n").alias("cnt"), r4("mean"), r4("std"))
+    schema = "sensor string, n long, mean double, std double, batch_id long"
+    try:
+        s = spark.read.schema(schema).parquet(f"{out}/statistics")
+    except AnalysisException:  # no batch had readings
+        s = spark.createDataFrame([], schema)
+    return s.select("batch_id", "sensor", F.col("n").alias("cnt"), r4("mean"), r4("std"))
 
 
 def stream_line_sums(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,12 +11,13 @@ State lives in small versioned parquet tables under ``root``:
     pending/version=N   (topic, partition, offset, value)     open message tails (line framing)
 
 Batch N reads version N-1 and overwrites version N; its outputs (``events``, ``commands``,
-``rejects``, ``values``) are overwritten per ``batch_id=N``, or removed where it has none. A batch
+``rejects``, ``statistics``, ``values``) are overwritten per ``batch_id=N``, or removed where it has none. A batch
 that is re-run after a failure or a restart (Spark re-delivers the uncommitted batch id) takes the
 same answers into account and produces the same state and outputs, and the stream's checkpoint
 keeps the source offsets. A version that should exist and does not stops the stream. Only aggregated rows (one per
 scope x sensor) are merged with state; readings stay on the executors and are joined with the
-(size-checked) thresholds. Versions older than ``keep_versions`` are deleted.
+(size-checked) thresholds. Versions older than ``keep_versions`` are deleted;
+outputs never are: ``statistics`` keeps each batch's count, mean, std and band of every key.
 
 Merging uses the same fixed shift as the table form: K is the first reading ever of the key,
 a batch contributes n, a = n (mean_b - K), b = m2_b + n (mean_b - K)^2, so merging is addition.
@@ -189,6 +190,8 @@ class AnomalyStream:
         # materialized thresholds table; readers of the state select its columns. Without
         # readings the merge carries every key forward unchanged.
         thr = st.write("sensors", batch_id, self._merge(prev, cur))
+        st.put("statistics", batch_id,
+               thr.select(*KEY, "n", "n_b", "mean", "std", "lo", "hi"))
         # one small job: does the batch have readings (T8), and how many keys are there (the
         # broadcast bound; scope ALL has at most one key per sensor, so it needs no count)
         keys, fresh = thr.agg(F.count(F.lit(1)), F.count("n_b")).collect()[0]
