@@ -18,9 +18,9 @@ def quality(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score reaches the threshold. The classifier is fitted on labelled rows."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     tables = quality_knn.fit(docs, labels)
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    scored = quality_knn.classify(docs, tables, keep=others)
-    return scored.filter(F.col("score") >= quality_knn.THRESHOLD).select(*docs.columns)
+    rows = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_row"))
+    scored = quality_knn.classify(rows, tables, keep=("_row",))
+    return scored.filter(F.col("score") >= quality_knn.THRESHOLD).select("_row.*")
 
 
 def exact(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,12 +39,16 @@ def near(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substrings(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the words of passages that start in a document of smaller id too.
-    ``n_chars`` follows the text."""
-    cleaned = superkmers.substring_dedup(docs, keep=("lang", "source", "n_chars"))
-    return cleaned.select(
-        "doc_id", F.col("kept").alias("text"), "lang", "source",
-        F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(
-            F.col("n_chars")).alias("n_chars")).select(*docs.columns)
+    ``n_chars`` follows the text; all other columns go along in one struct."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    rows = docs.select("doc_id", "text", F.struct(*others).alias("_row")) if others else docs
+    cleaned = superkmers.substring_dedup(rows, keep=("_row",) if others else ())
+    new = {c: F.col("_row").getField(c) for c in others}
+    if "n_chars" in new:
+        new["n_chars"] = F.when(F.col("n_removed") > 0, F.length("kept").cast("long")).otherwise(
+            new["n_chars"])
+    new |= {"doc_id": F.col("doc_id"), "text": F.col("kept")}
+    return cleaned.select(*(new[c].alias(c) for c in docs.columns))
 
 
 def packed(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 import brute
 import corpus_pipeline
 import pytest
-from test_llm_operators import odd  # noqa: F401  (a fixture)
+from test_llm_operators import docs_of, odd  # noqa: F401  (a fixture)
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
@@ -38,3 +38,15 @@ def test_other_stages_keep_odd_rows(spark, odd):  # noqa: F811
 @pytest.mark.parametrize("stage", STAGES, ids=lambda f: f.__name__)
 def test_stages_of_an_empty_table(spark, stage):
     assert stage(spark, table(spark, []), SF).count() == 0
+
+
+def test_further_columns_go_along(spark, odd):  # noqa: F811
+    docs = docs_of(spark, odd).selectExpr("*", "1 AS kept", "2 AS n_removed")
+    for stage in (corpus_pipeline.quality, corpus_pipeline.substrings):
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns
+        rows = out.collect()
+        assert rows and all(tuple(r)[2:] == (1, 2, 3, 4, 5, 0.5, "k", 1, 2) for r in rows)
+    assert len(rows) == len(odd)
+    plain = docs.select("doc_id", "text")
+    assert corpus_pipeline.substrings(spark, plain, SF).count() == len(odd)
