@@ -15,18 +15,26 @@ is one row per task after the partial counts.
 
 from __future__ import annotations
 
+import hashlib
 from itertools import permutations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import documents, materialize
+from vigil.llm.common import by_bytes, documents, flat, materialize
 
 FILTERS = "ABCDE"
 MIN_WORDS, MIN_DISTINCT_PERCENT, MAX_UPPER_PERCENT = 200, 50, 3
 # More filters than this would make the list of all orders unreasonable (8! = 40320 a part).
 MAX_FILTERS = 8
 COUNTS = ("n", "good", "toxic")
+# Bytes of text that are put through numpy at once.
+TEXT_BYTES = 4 << 20
+_SPACE, _SYMBOL = np.zeros(256, bool), np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+_SYMBOL[list(b"#$%&*|")] = True
 
 
 # -- the lattice (a constant of the number of filters) ------------------------------------
@@ -120,17 +128,47 @@ def audit(counts: DataFrame, letters: str = FILTERS) -> DataFrame:
 
 
 # -- the five filters of documents -----------------------------------------------------------
-def text_failures(text: Column) -> Column:
-    """Bits 0 to 3: failures of A to D of one text (words, distinct words, capitals, symbols)."""
-    words = F.filter(F.split(text, r"[\x20\x09-\x0D]+", -1), lambda w: w != "")
-    facts = F.struct(F.size(words).alias("n"), F.size(F.array_distinct(words)).alias("d"))
-    # an array of one, so that the words are cut once for both conditions
-    ab = F.transform(F.array(facts), lambda x: (
-        F.when(x["n"] < MIN_WORDS, 1).otherwise(0)
-        + F.when(100 * x["d"] < MIN_DISTINCT_PERCENT * x["n"], 2).otherwise(0)))[0]
-    upper = F.length(text) - F.length(F.regexp_replace(text, "[A-Z]+", ""))
-    return (ab + F.when(100 * upper.cast("long") > MAX_UPPER_PERCENT * F.length(text), 4).otherwise(0)
-            + F.when(text.rlike(r"[#$%&*|]"), 8).otherwise(0))
+def text_failures(raw: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Bits 0 to 3 of every text (bytes and their bounds): failures of A to D by words, distinct
+    words, capitals and symbols."""
+    def per_text(marks: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate(([0], np.cumsum(marks)))[offsets])
+
+    inside = ~_SPACE[raw]
+    start = inside.copy()
+    start[1:] &= ~inside[:-1]
+    firsts = offsets[:-1][np.diff(offsets) > 0]
+    start[firsts] = inside[firsts]
+    n_words = per_text(start)
+    # the words one after the other, without what is between them
+    letters = np.ascontiguousarray(raw[inside])
+    bounds = np.concatenate(([0], np.cumsum(inside)))[np.append(np.flatnonzero(start), len(raw))]
+    words = pa.LargeBinaryArray.from_buffers(
+        pa.large_binary(), len(bounds) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(letters)])
+    codes = words.dictionary_encode()
+    text_of = np.repeat(np.arange(len(n_words)), n_words)
+    pairs = np.sort(text_of * max(1, len(codes.dictionary)) + codes.indices.to_numpy())
+    pairs = pairs[np.diff(pairs, prepend=-1) > 0]
+    distinct = np.bincount(pairs // max(1, len(codes.dictionary)), minlength=len(n_words))
+    points = per_text((raw & 0xC0) != 0x80)
+    return ((n_words < MIN_WORDS) + 2 * (100 * distinct < MIN_DISTINCT_PERCENT * n_words)
+            + 4 * (100 * per_text((raw >= 65) & (raw <= 90)) > MAX_UPPER_PERCENT * points)
+            + 8 * (per_text(_SYMBOL[raw]) > 0)).astype(np.int32)
+
+
+def text_facts(batches):
+    """(id, part, text) -> (id, part, mask, digest and size of the text's bytes)."""
+    for rb in batches:
+        for i, j in by_bytes(flat(rb.column(2))[1], TEXT_BYTES):
+            part = rb.slice(i, j - i)
+            raw, offsets = flat(part.column(2))
+            whole, sizes = raw.tobytes(), np.diff(offsets)
+            digests = [hashlib.sha256(whole[a:b]).digest()
+                       for a, b in zip(offsets[:-1].tolist(), offsets[1:].tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [part.column(0), part.column(1), pa.array(text_failures(raw, offsets)),
+                 pa.array(digests, pa.binary()), pa.array(sizes)],
+                names=["_id", "part", "mask", "_digest", "_size"])
 
 
 def failures(docs: DataFrame, labels: DataFrame, part_col: str = "lang", id_col: str = "doc_id",
@@ -141,12 +179,11 @@ def failures(docs: DataFrame, labels: DataFrame, part_col: str = "lang", id_col:
     at the whole table: rows of the smallest id pass, repeated rows of it as well; a null id is
     larger than any other. A row is good (toxic) if any label of its id says so; labels of ids that
     are not there, null ones and those of null ids count nothing."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    kind = docs.schema[id_col].dataType.simpleString()
     facts = docs.select(
         F.col(id_col).alias("_id"), F.coalesce(F.col(part_col).cast("string"), F.lit("")).alias("part"),
-        text_failures(text).alias("mask"),
-        # the content's name: digest and length
-        F.unhex(F.sha2(text, 256)).alias("_digest"), F.length(text).alias("_size"))
+        F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(
+        text_facts, f"_id {kind}, part string, mask int, _digest binary, _size long")
     # null ids match no label and are dealt out by content
     salt = F.when(F.col("_id").isNull(), F.crc32("_digest")).otherwise(0).cast("long")
     facts = facts.withColumn("_salt", salt)
