@@ -1,7 +1,8 @@
 """Queries of the package: name -> (spark, sf_dir) -> DataFrame, and their DuckDB SQL."""
 
-from vigil.llm import (bpe, dual_tree, exact_dedup, filter_audit, jaccard_join, packing, pieces,
-                       quality_knn, sharding, suffix_dedup, superkmers, url_filter)
+from vigil.llm import (bpe, collocations, dual_tree, exact_dedup, filter_audit, jaccard_join,
+                       packing, pieces, quality_knn, sharding, suffix_dedup, superkmers,
+                       url_filter)
 
 QUERIES = {
     "op1_suffix_dedup": suffix_dedup.op1_suffix_dedup,
@@ -14,6 +15,7 @@ QUERIES = {
     "op8_rendezvous_sharding": sharding.op8_rendezvous_sharding,
     "op9_superkmer_dedup": superkmers.op9_superkmer_dedup,
     "op10_bpe": bpe.op10_bpe,
+    "op11_collocations": collocations.op11_collocations,
     "op12_filter_audit": filter_audit.op12_filter_audit,
     "op13_sentencepiece": pieces.op13_sentencepiece,
 }
@@ -23,5 +25,6 @@ ORACLE = {
     "op5_dual_tree_top_k": dual_tree.SQL,
     "op6_exact_dedup": exact_dedup.SQL,
     "op8_rendezvous_sharding": sharding.SQL,
+    "op11_collocations": collocations.SQL,
     "op12_filter_audit": filter_audit.SQL,
 }
