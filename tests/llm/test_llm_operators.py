@@ -35,7 +35,7 @@ def odd(spark):
 
 def test_registered_oracles(spark):
     con = duckdb.connect()
-    for t in ("documents", "pages", "embeddings"):
+    for t in ("documents", "pages", "embeddings", "labels"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
     for name, sql in registry.ORACLE.items():
         df = registry.QUERIES[name](spark, SF_SMALL)
