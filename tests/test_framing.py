@@ -136,3 +136,47 @@ def test_stray_closer_does_not_break_later_documents(spark):
     assert sorted(r.msg.guid for r in msgs.collect()) == ["g1", "g2", "g3"]
     assert bad.count() == 0 and tail.count() == 0
     assert [r.value for r in lost.collect()] == ["}"]  # a lone "]" only separates
+
+
+def _nested(guid, levels, open_=False):
+    inner = '{"y{\\"}": ' * levels + "1" + "" if open_ else '{"y{\\"}": ' * levels + "1" + "}" * levels + "}"
+    return f'{{"guid": "{guid}", "payload": {{"data": {{"temperature": 1.0}}}}, "x": ' + inner
+
+
+def test_objects_of_any_depth_cost_only_themselves(spark):
+    vals = [_nested("a", 13) + ', {"guid": "b"}',
+            "[" + _nested("c", 100) + "," + _nested("d", 4) + ',{"guid": "e"}] trailing ' + _nested("f", 30)
+            + ' " more {"guid": "g"}',
+            '{"foo": ' + '{"a": ' * 50 + "1" + "}" * 50 + '}, {"guid": "h"}',
+            '[{"guid": "i"}, ' + _nested("j", 60, open_=True) + ' {"guid": "lost with j"}',
+            _nested("too deep for the parser", 3000) + ', {"guid": "k"}',
+            '}} {"guid": "l"} } ' + _nested("m\x00\x02\x00\x01", 20) + '{"guid": "n"}', _nested("o", 20)]
+    df = spark.createDataFrame(list(enumerate(vals)), "offset long, value string")
+    msgs, bad = decode_records(df, keep=["offset"])
+    got = sorted((r.offset, r.msg.guid) for r in msgs.collect())
+    # (a raw control character is no JSON: that message is rejected with its text)
+    assert got == [(0, "a"), (0, "b"), *((1, g) for g in "cdefg"), (2, "h"), (3, "i"), (4, "k"), (5, "l"), (5, "n"), (6, "o")]
+    lost = sorted((r.offset, r.value) for r in bad.collect())
+    assert [o for o, _ in lost] == [1, 2, 3, 4, 5, 5] and lost[2][1] == vals[3][len('[{"guid": "i"}, '):]
+    assert lost[1][1].startswith('{"foo"') and _nested("m\x00\x02\x00\x01", 20) in [v for _, v in lost]
+
+
+def test_long_records_of_deep_messages(spark):
+    """Over a megabyte, thousands of messages nested deeper than any pattern."""
+    n = 2500
+    value = "[" + ",\n".join(_nested(f"g{i}", 20 + i % 30) for i in range(n)) + "]"
+    assert len(value) > 1_000_000
+    msgs, bad = decode_records(spark.createDataFrame([(0, value)], "offset long, value string"), ["offset"])
+    assert [r.msg.guid for r in msgs.orderBy("idx").collect()] == [f"g{i}" for i in range(n)]
+    assert bad.count() == 0
+
+
+def test_lines_of_any_depth(spark):
+    """One brace a line, a hundred levels, and closers that leave several levels at once."""
+    vals = ['{"guid": "a", "payload": {}, "x":', *['{"y":'] * 60, "1", "}" * 30, "}" * 31, '{"guid": "b"}',
+            '{"guid": "c", "x": ' + '{"y": ' * 45, "2" + "}" * 40 + ', "z": ' + '{"w": ' * 50, "3" + "}" * 50,
+            "}" * 6 + ', {"guid": "d"}', '{"guid": "e", "z": {"y":' * 30 + "1" + "}" * 60]
+    docs, tail, lost = reassemble(_recs(spark, vals))
+    msgs, bad = decode_records(docs, keep=["offset"])
+    assert sorted(r.msg.guid for r in msgs.collect()) == list("abcde")
+    assert bad.count() == tail.count() == lost.count() == 0

@@ -49,14 +49,19 @@ def split_line_records(ev: DataFrame) -> DataFrame:
 
 
 def mixed_records(ev: DataFrame) -> DataFrame:
-    """Records of many forms, by ``ord % 9``: an array, an object, two documents, a document and
-    more, no message, wrong types, unknown fields, white space, and a cut-off document."""
+    """Records of many forms, by ``ord % 11``: an array, an object, two documents, a document and
+    more, no message, wrong types, unknown fields, white space, a cut-off document, and two in
+    which 13 to 100 levels of objects stand before a message: in a message and in none."""
     m = wide_messages(ev).select("ord", F.to_json(F.col("msg")).alias("o"))
+    deep = F.expr("""concat(repeat('{"x":', cast(13 + ord % 88 as int)), '1',
+                            repeat('}', cast(13 + ord % 88 as int)))""")
+    wrapped = F.concat(F.expr("substring(o, 1, length(o) - 1)"), F.lit(',"deep":'), deep, F.lit("}"))
     forms = [F.concat(F.lit("["), "o", F.lit("]")), F.col("o"),
              F.concat(F.lit("["), "o", F.lit("],["), "o", F.lit("]")),
              F.concat(F.lit("["), "o", F.lit("] trailing")), F.lit("[null]"),
              F.lit('{"payload":5}'), F.lit('{"foo":1}'), F.lit("\t\r\n "),
-             F.concat("o", F.lit(' {"guid":'))]
+             F.concat("o", F.lit(' {"guid":')), F.concat(F.lit("["), wrapped, F.lit(","), "o", F.lit("]")),
+             F.concat(F.lit('{"foo":'), deep, F.lit("} "), "o")]
     value = forms[-1]
     for i in range(len(forms) - 2, -1, -1):
         value = F.when(F.col("ord") % len(forms) == i, forms[i]).otherwise(value)

@@ -153,15 +153,18 @@ ORACLE.update({
     "reassemble_rejects": """
 SELECT event_id AS ord, '{"guid": "cut off"' AS value, 'unclosed' AS reason FROM events WHERE event_id % 97 = 5""",
     "decode_mixed": """
-WITH e AS (SELECT event_id AS ord, event_id % 9 AS f, value AS temperature FROM events)
+WITH e AS (SELECT event_id AS ord, event_id % 11 AS f, value AS temperature,
+                  CAST(13 + event_id % 88 AS INTEGER) AS levels FROM events)
 SELECT ord, i AS idx, temperature, CAST(NULL AS VARCHAR) AS text, CAST(NULL AS VARCHAR) AS reason
-FROM (SELECT *, unnest(CASE WHEN f = 2 THEN [0, 1] WHEN f IN (0, 1, 3, 8) THEN [0] ELSE [] END) AS i FROM e)
+FROM (SELECT *, unnest(CASE WHEN f IN (2, 9) THEN [0, 1] WHEN f IN (0, 1, 3, 8) THEN [0]
+                            WHEN f = 10 THEN [1] ELSE [] END) AS i FROM e)
 UNION ALL
 SELECT ord, NULL, NULL,
        CASE f WHEN 3 THEN 'trailing' WHEN 4 THEN 'null' WHEN 5 THEN '{"payload":5}'
-              WHEN 6 THEN '{"foo":1}' ELSE '{"guid":' END,
-       CASE f WHEN 6 THEN 'not a message' ELSE 'malformed' END
-FROM e WHERE f IN (3, 4, 5, 6, 8)""",
+              WHEN 6 THEN '{"foo":1}' WHEN 8 THEN '{"guid":'
+              ELSE '{"foo":' || repeat('{"x":', levels) || '1' || repeat('}', levels) || '}' END,
+       CASE WHEN f IN (6, 10) THEN 'not a message' ELSE 'malformed' END
+FROM e WHERE f IN (3, 4, 5, 6, 8, 10)""",
     "sensor_array": _with(MSG) + """
 SELECT ord, guid, 'TEMPERATURE' AS sensor, temperature AS x FROM m
 UNION ALL SELECT ord, guid, 'PRESSURE', 25.0 + k / 20.0 FROM m

@@ -19,13 +19,14 @@ from pyspark.sql.types import StringType, StructType
 from vigil.functions.text import WHITESPACE_CLASS
 from vigil.schema import MESSAGE, SENSOR_FIELDS
 
-# Objects may be nested so deep; deeper ones are rejected. (Messages use four levels.)
-NESTING = 12
 # Every repetition is possessive: the matcher neither recurses nor backtracks over long texts.
 LITERAL = r'"[^"\\]*+(?:\\[\s\S][^"\\]*+)*+"'
+# Levels below an object's own that a pattern looks through (messages use three); what is nested
+# deeper is balanced by counting.
+SHALLOW = 4
 
 
-def _object(depth: int = NESTING) -> str:
+def _object(depth: int = SHALLOW) -> str:
     """Pattern of a balanced {...} with up to ``depth`` levels below it."""
     inner = rf"[^{{}}\"]++|{LITERAL}"
     pattern = rf"\{{(?:{inner})*+\}}"
@@ -35,17 +36,102 @@ def _object(depth: int = NESTING) -> str:
 
 
 OBJECT = _object()
-# A piece outside messages starts a balanced object, or an open one that takes the whole rest.
+# A piece outside messages starts a balanced object, or one that takes the whole rest: it is open,
+# or nested deeper than the pattern sees.
 PIECE = rf"(?s){OBJECT}|\{{.*+"
 SEPARATORS = rf"(?:{WHITESPACE_CLASS}|[\[\],])*+"
 PARSED = StructType([*MESSAGE.fields]).add("_bad", StringType())
-
-
-def pieces(value: Column) -> tuple[Column, Column]:
-    """(array of top-level objects, the last maybe open; what else is there but separators)."""
-    rest = F.regexp_replace(value, PIECE, "")
+# A text cut behind every brace, quote and escaped character (a mark), and in blocks of marks.
+MARK = r'[^{}"\\]*+(?:[{}"]|\\.?)'
+_TAIL = r'[^{}"\\]++'
+_BLOCK = 256
+# A line cut behind every brace outside literals.
+LINE_MARK = rf"(?s)(?:[^{{}}\"]++|{LITERAL}|\")*+[{{}}]"
+# Put where a top-level object starts or ends; what looks like it in a text is escaped.
+_ESCAPE, _CUT, _KEPT = "\x00", "\x00\x02", "\x00\x01"
+
+
+def _marks(text: Column) -> Column:
+    return F.regexp_extract_all(text, F.lit(f"(?s){MARK}|{_TAIL}"), 0)
+
+
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _step(depth: Column, quoted: Column, mark: Column) -> tuple[Column, Column, Column, Column]:
+    """(depth, whether inside a literal, opens a top-level object, closes one) behind a mark."""
+    plain = ~mark.contains("\\")  # an escaped character is none of these
+    opens = plain & ~quoted & mark.endswith("{")
+    closes = plain & ~quoted & mark.endswith("}") & (depth > 0)
+    quote = plain & (depth > 0) & mark.endswith('"')  # between objects a quote is only a quote
+    return (F.when(opens, depth + 1).when(closes, depth - 1).otherwise(depth),
+            F.when(quote, ~quoted).otherwise(quoted), opens & (depth == 0), closes & (depth == 1))
+
+
+def _cut_objects(text: Column) -> Column:
+    """A text cut where its top-level objects start and end: outside, object, outside, ... The
+    depth is a running sum over the braces outside literals, so objects may be nested as deep as
+    they like; one that never closes takes the rest.
+
+    A first pass carries the depth from block to block, a second one cuts each block from its own
+    start. (An aggregate copies its state at each step, so no state may grow with the text.)"""
+    def through(state: Column, block: Column) -> Column:
+        def step(s: Column, mark: Column) -> Column:
+            depth, quoted, _, _ = _step(s["depth"], s["quoted"], mark)
+            return F.struct(depth.alias("depth"), quoted.alias("quoted"))
+        return F.aggregate(_marks(block), state, step)
+
+    def cut(state: Column, block: Column) -> Column:
+        def step(s: Column, mark: Column) -> Column:
+            depth, quoted, first, last = _step(s["depth"], s["quoted"], mark)
+            out = F.when(first, F.concat(F.regexp_replace(mark, r"\{$", ""), F.lit(_CUT + "{"))
+                         ).when(last, F.concat(mark, F.lit(_CUT))).otherwise(mark)
+            return F.struct(depth.alias("depth"), quoted.alias("quoted"),
+                            F.concat(s["out"], F.array(out)).alias("out"))
+        start = F.struct(state["depth"].alias("depth"), state["quoted"].alias("quoted"),
+                         F.array().cast("array<string>").alias("out"))
+        return F.aggregate(_marks(block), start, step, lambda s: F.array_join(s["out"], ""))
+
+    def all_blocks(blocks: Column) -> Column:
+        top = F.array(F.struct(F.lit(0).alias("depth"), F.lit(False).alias("quoted")))
+        states = F.aggregate(blocks, top, lambda s, b: F.concat(
+            s, F.array(through(F.element_at(s, -1), b))))
+        return _once(states, lambda st: F.array_join(
+            F.transform(blocks, lambda b, i: cut(F.get(st, i), b)), ""))
+
+    blocks = F.regexp_extract_all(F.replace(text, F.lit(_ESCAPE), F.lit(_KEPT)),
+                                  F.lit(rf"(?s)(?:{MARK}){{1,{_BLOCK}}}+|{_TAIL}"), 0)
+    return F.transform(F.split(_once(blocks, all_blocks), _CUT, -1),
+                       lambda p: F.replace(p, F.lit(_KEPT), F.lit(_ESCAPE)))
+
+
+def _deep_pieces(text: Column) -> Column:
+    """(objects, outside) of a text whose objects no pattern can balance."""
+    def parts(cut: Column) -> Column:
+        return F.struct(F.filter(cut, lambda _, i: i % 2 == 1).alias("objects"),
+                        F.array_join(F.filter(cut, lambda _, i: i % 2 == 0), "").alias("outside"))
+
+    return _once(_cut_objects(text), parts)
+
+
+def pieces(df: DataFrame, value: str, keep: list[str]) -> DataFrame:
+    """``keep``, ``_o`` (array of the top-level objects of column ``value``, the last maybe open) and
+    ``_x`` (what else is there but separators, or null)."""
+    cut = df.select(*keep, F.col(value).alias("_v"),
+                    F.regexp_extract_all(value, F.lit(PIECE), 0).alias("_p"),
+                    F.regexp_replace(value, PIECE, "").alias("_rest"))
+    last = F.try_element_at("_p", F.lit(-1))
+    # what the pattern could not balance reaches to the end
+    taken = F.col("_v").endswith(last) & ~last.rlike(rf"(?s)^{OBJECT}$")
+    cut = cut.select(*keep, "_p", "_rest", F.when(taken, _deep_pieces(last)).alias("_d"))
+    deep = F.col("_d").isNotNull()
+    objects = F.when(deep, F.concat(F.slice("_p", F.lit(1), F.size("_p") - 1), F.col("_d.objects"))
+                     ).otherwise(F.col("_p"))
+    rest = F.when(deep, F.concat("_rest", "_d.outside")).otherwise(F.col("_rest"))
     other = F.regexp_replace(rest, rf"^{SEPARATORS}|{SEPARATORS}$", "")
-    return F.regexp_extract_all(value, F.lit(PIECE), 0), F.when(other != "", other)
+    return cut.select(*keep, objects.alias("_o"), F.when(other != "", other).alias("_x"))
 
 
 def _one_row_if(condition: Column, value: Column) -> Column:
@@ -58,8 +144,7 @@ def parse_records(records: DataFrame, keep: list[str] | None = None) -> DataFram
     """keep cols, idx, value (text of the piece), ``_msg`` (NULL when it is no message) and
     ``_reason``: one row per piece of every record, what lies outside objects included."""
     keep = keep or [c for c in records.columns if c != "value"]
-    objects, other = pieces(F.col("value"))
-    cut = records.select(*keep, objects.alias("_o"), other.alias("_x"))
+    cut = pieces(records, "value", keep)
     every = F.concat(F.col("_o"), F.when(F.col("_x").isNotNull(), F.array("_x"))
                      .otherwise(F.array().cast("array<string>")))
     part = (cut.select(*keep, F.posexplode_outer(every).alias("idx", "value"))
@@ -98,12 +183,19 @@ _BKT = "_bkt"
 def brace_effect(value: Column) -> tuple[Column, Column]:
     """(closers that reach out of the line, openers left open) outside string literals."""
     braces = F.regexp_replace(F.regexp_replace(value, LITERAL, ""), r"[^{}]++", "")
-    # what is balanced inside the line goes, from the inside out
-    left = braces
-    for _ in range(3):
-        left = F.regexp_replace(left, _object(), "")
+    # what is balanced inside the line goes; the rest is counted brace by brace if it must be
+    left = F.regexp_replace(braces, _object(), "")
+    start = F.struct(F.lit(0).alias("low"), F.lit(0).alias("now"))
+
+    def step(s: Column, brace: Column) -> Column:
+        now = s["now"] + F.when(brace == "{", 1).when(brace == "}", -1).otherwise(0)
+        return F.struct(F.least(s["low"], now).alias("low"), now.alias("now"))
+
     closers = F.length(F.regexp_extract(left, r"^[}]*+", 0))
-    return closers, F.length(left) - closers
+    count = F.aggregate(F.split(left, ""), start, step)
+    effect = F.when(left.rlike(r"^[}]*+[{]*+$"), F.struct(
+        (-closers).alias("low"), (F.length(left) - 2 * closers).alias("now"))).otherwise(count)
+    return -effect["low"], effect["now"] - effect["low"]
 
 
 def _line_facts(records: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -200,10 +292,18 @@ def _framed(records: DataFrame, by: list[str], order: str) -> DataFrame:
         "_fate_opened", fate(F.col("_next_close")))
 
 
-def _close_pattern(depth: int) -> str:
-    """The start of a line up to and with the brace that closes so many levels."""
-    level = rf"(?:[^{{}}\"]++|{LITERAL}|{OBJECT})*+\}}"
-    return "^" + level * depth
+def _up_to_closer(value: Column, depth: Column) -> Column:
+    """The start of a line up to and with the brace that closes ``depth`` levels."""
+    start = F.struct(F.lit(0).alias("i"), depth.cast("int").alias("depth"), F.lit(0).alias("at"))
+
+    def step(s: Column, mark: Column) -> Column:
+        now = s["depth"] + F.when(mark.endswith("{"), 1).otherwise(-1)
+        here = (s["at"] == 0) & (now == 0)
+        return F.struct((s["i"] + 1).alias("i"), now.alias("depth"),
+                        F.when(here, s["i"] + 1).otherwise(s["at"]).alias("at"))
+
+    return _once(F.regexp_extract_all(value, F.lit(LINE_MARK), 0), lambda m: F.array_join(F.slice(
+        m, F.lit(1), F.aggregate(m, start, step, lambda s: s["at"])), ""))
 
 
 def _parts(records: DataFrame, by: list[str], order: str) -> DataFrame:
@@ -211,25 +311,15 @@ def _parts(records: DataFrame, by: list[str], order: str) -> DataFrame:
     ``close`` belong to the message that began in line ``_m``, ``open`` begins one, ``whole`` is
     one, ``other`` is neither message nor separator."""
     x = _framed(records, by, order)
-    head = F.lit(None).cast("string")
-    for n in range(NESTING, 0, -1):
-        head = F.when(F.col("_d") == n, F.regexp_extract("value", "(?s)" + _close_pattern(n), 0)
-                      ).otherwise(head)
     inside = F.col("_d") > 0
     closes = inside & (F.col("_a") >= F.col("_d"))
     fates = ["_fate", "_fate_opened"]
-    x = x.select(*by, order, "value", "_m", "_b", "_d", *fates, inside.alias("_inside"),
-                 closes.alias("_closes"), F.when(closes, head).alias("_head"))
-    # nested deeper than NESTING: the text up to the last closer
-    x = x.withColumn("_head", F.when(
-        F.col("_closes") & (F.col("_d") > NESTING),
-        F.regexp_extract("value", r"(?s)^.*\}", 0)).otherwise(F.col("_head")))
+    x = x.select(*by, order, "value", "_m", "_b", *fates, inside.alias("_inside"), closes.alias("_closes"),
+                 F.when(closes, _up_to_closer(F.col("value"), F.col("_d"))).alias("_head"))
     rest = F.when(~F.col("_inside"), F.col("value")).when(
         F.col("_closes"), F.expr("substring(value, length(_head) + 1)")).otherwise(F.lit(""))
-    x = x.withColumn("_rest", rest)
-    objects, other = pieces(F.col("_rest"))
-    x = x.select(*by, order, "_m", "_b", *fates, "_inside", "_closes", "_head", "value",
-                 objects.alias("_o"), other.alias("_x"))
+    x = x.withColumn("_rest_of_line", rest)
+    x = pieces(x, "_rest_of_line", [*by, order, "_m", "_b", *fates, "_inside", "_closes", "_head", "value"])
 
     def piece(kind, value):
         return F.struct(kind.alias("kind"), value.alias("value"))
