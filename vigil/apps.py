@@ -21,9 +21,9 @@ from pyspark.sql import functions as F
 
 from vigil.operators import summary, words
 from vigil.sources.framing import decode_records
-from vigil.sources.messages import (read_documents, read_kafka, read_lines, read_records_table,
-                                    write_kafka)
-from vigil.streaming import AnomalyStream, LineJobs, SqlJobs, WordCounts
+from vigil.sources.messages import (read_answers, read_documents, read_kafka, read_lines,
+                                    read_records_table, write_kafka)
+from vigil.streaming import AnomalyStream, LineJobs, SqlJobs, WordCounts, with_answers
 
 
 def _records(spark: SparkSession, a):
@@ -52,7 +52,7 @@ def main(argv=None) -> None:
     p.add_argument("--checkpoint")
     p.add_argument("--scope", default="ALL", choices=["ALL", "guid"])
     p.add_argument("--framing", default="document", choices=["document", "lines"])
-    p.add_argument("--acks", help="table of answers (scope, batch_id, ack); else all are answered")
+    p.add_argument("--acks", help="folder where answers (scope, batch_id, ack) arrive; else all are answered")
     p.add_argument("--command-topic", help="topic that commands are also sent to")
     p.add_argument("--values", action="store_true", help="also write every message's values")
     p.add_argument("--sort-as-text", action="store_true")
@@ -85,12 +85,15 @@ def main(argv=None) -> None:
         write_kafka(commands, a.brokers, a.command_topic, key_col="scope")
 
     fn = {"anomaly": lambda: AnomalyStream(
-              a.out, scope=a.scope, framing=a.framing, auto_ack=a.acks is None, acks_path=a.acks,
+              a.out, scope=a.scope, framing=a.framing, auto_ack=a.acks is None,
               values=a.values, command_sink=send if a.command_topic else None),
           "lines": lambda: LineJobs(a.out, sort_as_text=a.sort_as_text),
           "sql": lambda: SqlJobs(a.out, dict(s.split("=", 1) for s in a.sql)),
           "words": lambda: WordCounts(a.out)}[a.job]()
-    _start(_records(spark, a), fn, a).awaitTermination()
+    records = _records(spark, a)
+    if a.job == "anomaly" and a.acks:
+        records = with_answers(records, read_answers(spark, a.acks))
+    _start(records, fn, a).awaitTermination()
 
 
 if __name__ == "__main__":

@@ -16,19 +16,19 @@ ARRAY_MESSAGES = 500      # messages of one array
 CUT_OFF = '{"guid": "cut off"'
 
 
-def json_records(ev: DataFrame, unit: str = "hour") -> DataFrame:
+def json_records(ev: DataFrame, unit: str = "hour", keep: tuple[str, ...] = ()) -> DataFrame:
     """One record per message: the JSON array ``[{...}]`` (the generator's layout)."""
-    m = wide_messages(ev, unit)
+    m = wide_messages(ev, unit, keep)
     return m.select(F.lit("events").alias("topic"), F.lit(0).alias("partition"),
-                    F.col("ord").alias("offset"), "batch",
+                    F.col("ord").alias("offset"), "batch", *keep,
                     F.to_json(F.array(F.col("msg"))).alias("value"))
 
 
-def split_line_records(ev: DataFrame) -> DataFrame:
+def split_line_records(ev: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Messages as line records of long arrays on partition ``ord % 4``, at offsets from
     ``ord * 8``: most over several lines, every seventh compact on one, and after every 97th place
     a line that opens an object and never closes it."""
-    m = wide_messages(ev)
+    m = wide_messages(ev, keep=keep)
     obj = F.to_json(F.col("msg"))
     place = F.expr(f"ord div {LINE_PARTITIONS} % {ARRAY_MESSAGES}")
     none = F.array().cast("array<string>")
@@ -41,9 +41,9 @@ def split_line_records(ev: DataFrame) -> DataFrame:
     lines = F.concat(line(F.col("_p") == 0, "["), line(F.col("ord") % 97 == 5, CUT_OFF),
                      F.when(F.col("ord") % 7 == 0, F.array(F.concat("_obj", F.lit(","))))
                      .otherwise(spread_out), line(F.col("_p") == ARRAY_MESSAGES - 1, "]"))
-    return (m.select("ord", obj.alias("_obj"), place.alias("_p"))
-             .select("ord", F.posexplode(lines).alias("i", "value"))
-             .select(F.lit("events").alias("topic"),
+    return (m.select("ord", *keep, obj.alias("_obj"), place.alias("_p"))
+             .select("ord", *keep, F.posexplode(lines).alias("i", "value"))
+             .select(*keep, F.lit("events").alias("topic"),
                      (F.col("ord") % LINE_PARTITIONS).cast("int").alias("partition"),
                      (F.col("ord") * LINE_SLOTS + F.col("i")).alias("offset"), "value"))
 
@@ -98,9 +98,9 @@ def _fmt(c: Column) -> Column:
     return F.format_string("%f", c)
 
 
-def pretty_lines(ev: DataFrame, unit: str = "hour") -> DataFrame:
-    """Every message printed one field a line: (batch, ord, line_no, value)."""
-    m = wide_messages(ev, unit)
+def pretty_lines(ev: DataFrame, unit: str = "hour", keep: tuple[str, ...] = ()) -> DataFrame:
+    """Every message printed one field a line: (batch, ord, [keep...], line_no, value)."""
+    m = wide_messages(ev, unit, keep)
     d = "msg.payload.data"
 
     def number(name, field, end=","):
@@ -113,7 +113,7 @@ def pretty_lines(ev: DataFrame, unit: str = "hour") -> DataFrame:
         number("humidity", "humidity"), number("ambient_light", "ambient_light"),
         F.concat(F.lit('"timestamp" : "'), F.col(f"{d}.timestamp"), F.lit('"')),
         F.concat(F.lit('}, "format" : "'), F.col("msg.payload.format"), F.lit('" } }')))
-    return m.select("batch", "ord", F.posexplode(lines).alias("line_no", "value"))
+    return m.select("batch", "ord", *keep, F.posexplode(lines).alias("line_no", "value"))
 
 
 def compact_lines(ev: DataFrame, unit: str = "hour") -> DataFrame:

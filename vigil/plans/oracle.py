@@ -281,11 +281,12 @@ FROM e WHERE on_ <> prev"""
 
 # ---- streams: the events landed in three slices of ten days, one micro-batch each ----------------
 
-SLICE = "least(2, CAST(date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) // 10 AS BIGINT))"
+SLICE = """coalesce(greatest(0, least({last}, CAST(floor(
+    date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) / {days}.0) AS BIGINT))), 0)"""
 
 
-def _sliced(text: str) -> str:
-    return text.replace("date_trunc('hour', ts)", SLICE)
+def _sliced(text: str, slices: int = 3) -> str:
+    return text.replace("date_trunc('hour', ts)", SLICE.format(last=slices - 1, days=30 // slices))
 
 
 ORACLE["stream_events"] = _sliced(ORACLE["breach_events"]).replace(
@@ -296,5 +297,35 @@ ORACLE["stream_statistics"] = _sliced(_with(WIDE_READINGS, THRESHOLDS)) + """
 SELECT batch AS batch_id, sensor, cnt, round(round(mean, 10), 4) AS mean, round(round(std, 10), 4) AS std FROM th"""
 ORACLE["stream_line_sums"] = _sliced(ORACLE["batch_sum"]).replace("SELECT batch, sensor", "SELECT batch AS batch_id, sensor")
 ORACLE["stream_word_counts"] = """
-SELECT CAST(doc_id % 3 AS BIGINT) AS batch_id, word, count(*) AS n
+SELECT CAST(((coalesce(doc_id, 0) % 3) + 3) % 3 AS BIGINT) AS batch_id, word, count(*) AS n
 FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1, 2"""
+ORACLE["stream_reassemble"] = _with(MSG) + """
+SELECT ord, guid, CAST(NULL AS VARCHAR) AS reply_url, temperature, 25.0 + k / 20.0 AS pressure, k AS humidity,
+       255.0 - temperature AS ambient_light FROM m"""
+ORACLE["stream_headers"] = _sliced("""
+WITH s AS (SELECT date_trunc('hour', ts) AS slice FROM events)
+SELECT b AS batch_id, CAST((SELECT 8 * count(*) FROM s WHERE CASE slice WHEN 0 THEN 0 ELSE slice + 1 END = b)
+                           AS BIGINT) AS records
+FROM (SELECT unnest([CAST(0 AS BIGINT), 1, 2, 3]) AS b)""")
+# The machine of every device, batch by batch; an answer comes before the batch after its command's.
+ORACLE["stream_acks"] = _sliced("WITH RECURSIVE" + ",".join(
+    [WIDE_READINGS, DEVICE_THRESHOLDS, DEVICE_STATES, DEVICE_TYPES]) + """,
+devices AS (SELECT DISTINCT guid FROM types),
+seq AS (
+  SELECT d.guid, CAST(b AS BIGINT) AS batch, t.alarm_type FROM devices d, (SELECT unnest(range(0, 6)) AS b)
+  LEFT JOIN types t ON t.guid = d.guid AND t.batch = b),
+fsm(guid, batch, alarm_type, alarm, command) AS (
+  SELECT guid, CAST(-1 AS BIGINT), CAST(NULL AS VARCHAR), 0, CAST(NULL AS VARCHAR) FROM devices
+  UNION ALL
+  SELECT guid, batch, alarm_type,
+         CASE WHEN alarm_type IS NULL THEN was
+              WHEN alarm_type <> '' THEN CASE was WHEN 0 THEN 3 ELSE was END
+              ELSE CASE was WHEN 1 THEN 2 ELSE was END END,
+         CASE WHEN alarm_type <> '' AND was IN (0, 3) THEN 'ON'
+              WHEN alarm_type = '' AND was IN (1, 2) THEN 'OFF' END
+  FROM (SELECT q.guid, q.batch, q.alarm_type,
+               CASE WHEN f.command IS NOT NULL AND (CAST(f.guid AS BIGINT) + f.batch) % 3 <> 0
+                    THEN CASE f.alarm WHEN 3 THEN 1 WHEN 2 THEN 0 ELSE f.alarm END ELSE f.alarm END AS was
+        FROM fsm f JOIN seq q ON q.guid = f.guid AND q.batch = f.batch + 1))
+SELECT guid, batch AS batch_id, command, CASE command WHEN 'ON' THEN '1' ELSE '0' END AS code,
+       alarm_type AS warning, alarm FROM fsm WHERE command IS NOT NULL""", 6)

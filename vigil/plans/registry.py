@@ -51,7 +51,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "device_alarm_commands": sensors.device_alarm_commands,
     "stream_events": streams.stream_events,
     "stream_commands": streams.stream_commands,
+    "stream_acks": streams.stream_acks,
     "stream_statistics": streams.stream_statistics,
+    "stream_reassemble": streams.stream_reassemble,
+    "stream_headers": streams.stream_headers,
     "stream_line_sums": streams.stream_line_sums,
     "stream_word_counts": streams.stream_word_counts,
     "sql_sort": Q.sql_sort,

@@ -306,11 +306,10 @@ def _up_to_closer(value: Column, depth: Column) -> Column:
         m, F.lit(1), F.aggregate(m, start, step, lambda s: s["at"])), ""))
 
 
-def _parts(records: DataFrame, by: list[str], order: str) -> DataFrame:
+def _parts(x: DataFrame, by: list[str], order: str) -> DataFrame:
     """Every line cut into (by, order, ``part``, ``kind``, ``value``, ``_m``): ``body`` and
     ``close`` belong to the message that began in line ``_m``, ``open`` begins one, ``whole`` is
     one, ``other`` is neither message nor separator."""
-    x = _framed(records, by, order)
     inside = F.col("_d") > 0
     closes = inside & (F.col("_a") >= F.col("_d"))
     fates = ["_fate", "_fate_opened"]
@@ -342,13 +341,38 @@ def _parts(records: DataFrame, by: list[str], order: str) -> DataFrame:
                         kind == "whole", "closed").otherwise("malformed").alias("_fate")))
 
 
-def line_pieces(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
-                order: str = "offset") -> DataFrame:
+BY = ("topic", "partition")
+
+
+def framed_lines(records: DataFrame, by: tuple[str, ...] = BY, order: str = "offset") -> DataFrame:
+    """The lines with the depth before them and their messages' fates, for the functions below."""
+    return _framed(records, list(by), order)
+
+
+def line_pieces(framed: DataFrame, by: tuple[str, ...] = BY, order: str = "offset") -> DataFrame:
     """The lines cut into pieces of messages, for ``assemble``."""
-    return _parts(records, list(by), order)
+    return _parts(framed, list(by), order)
+
+
+def open_ends(framed: DataFrame, by: tuple[str, ...] = BY, order: str = "offset") -> DataFrame:
+    """Per (topic, partition) that ends inside a message: the last line's offset, the brace
+    ``depth`` behind it, the last character that counts, and ``m``, the line that began it. With
+    ``carried_line`` that is all that the lines to come need to know."""
+    ends = framed.groupBy(*by).agg(
+        F.max(order).alias(order), F.max_by("_after", order).alias("depth"),
+        F.max_by("_last", F.when(F.col("_last").isNotNull(), F.col(order))).alias("last"),
+        F.max("_opened").alias("m"))
+    return ends.where("depth > 0")
+
+
+def carried_line(depth: Column, last: Column) -> Column:
+    """A line that leaves what is read next at the same depth behind the same character."""
+    more = F.when(last == "}", 1).otherwise(0)
+    return F.concat(F.repeat(F.lit("{"), (depth + more).cast("int")),
+                    F.when(last == "{", "").otherwise(F.coalesce(last, F.lit(""))))
 
 
-def assemble(parts: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
+def assemble(parts: DataFrame, by: tuple[str, ...] = BY,
              order: str = "offset") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``line_pieces`` -> (documents, unfinished, lost), see ``reassemble``."""
     by = list(by)
@@ -366,7 +390,7 @@ def assemble(parts: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
     return docs, unfinished, lost
 
 
-def reassemble(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
+def reassemble(records: DataFrame, by: tuple[str, ...] = BY,
                order: str = "offset") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Line records -> (documents, unfinished, lost).
 
@@ -377,7 +401,7 @@ def reassemble(records: DataFrame, by: tuple[str, ...] = ("topic", "partition"),
     reason, every piece that belongs to no closed message: text outside messages ('malformed') and
     the lines of a message that a fresh start cut off ('unclosed'). Lines of messages that never
     close are never collected into one group."""
-    return assemble(line_pieces(records, by, order), by, order)
+    return assemble(line_pieces(framed_lines(records, by, order), by, order), by, order)
 
 
 def field_reading(msg: Column, field: str) -> Column:

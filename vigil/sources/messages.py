@@ -74,6 +74,15 @@ def read_records_table(spark: SparkSession, path: str, streaming: bool = False,
     return spark.read.parquet(path)
 
 
+def read_answers(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """Answers to commands (scope, batch_id, ack) as a stream, from the parquet files that whatever
+    talks to the devices puts into a folder."""
+    r = spark.readStream.schema("scope string, batch_id long, ack boolean").format("parquet")
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return r.load(path)
+
+
 def write_kafka(df: DataFrame, brokers: str, topic: str, key_col: str | None = None) -> None:
     """Batch Kafka sink (K6): every column packed as JSON into the value."""
     value = F.to_json(F.struct(*[F.col(c) for c in df.columns]))

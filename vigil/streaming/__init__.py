@@ -1,6 +1,7 @@
 """Structured Streaming: the anomaly pipeline and the line / word jobs as foreachBatch runners."""
 
-from vigil.streaming.runner import AnomalyStream, StateTables
-from vigil.streaming.jobs import LineJobs, SqlJobs, WordCounts, console
+from vigil.streaming.ledger import KeyedLog, Ledger, committed_output
+from vigil.streaming.runner import AnomalyStream, with_answers
+from vigil.streaming.jobs import BatchHeaders, LineJobs, SqlJobs, WordCounts, console
 
-__all__ = ["AnomalyStream", "StateTables", "LineJobs", "SqlJobs", "WordCounts", "console"]
+__all__ = ["AnomalyStream", "KeyedLog", "Ledger", "committed_output", "with_answers", "BatchHeaders", "LineJobs", "SqlJobs", "WordCounts", "console"]

@@ -6,11 +6,15 @@ for ``batch_id`` with overwrite, so a re-delivered batch rewrites the same files
 
 from __future__ import annotations
 
+import threading
+import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from vigil.operators import lines as L
 from vigil.operators import words as W
@@ -24,6 +28,62 @@ def console(df: DataFrame, checkpoint: str, num_rows: int = 20, trigger: dict |
     return w.trigger(**(trigger or {"processingTime": "2 seconds"})).start()
 
 
+class BatchHeaders(StreamingQueryListener):
+    """One row per batch of a query: its id, time and number of records, 0 included. The records are
+    counted while the batch's own jobs read them (``observe``), and reported with its progress; a
+    job that reads the batch twice without persisting it would count them twice.
+
+        headers = BatchHeaders()
+        with headers.listening(spark):
+            headers.observe(records).writeStream.queryName(headers.name)...
+        headers.table(spark)
+    """
+
+    def __init__(self, name: str | None = None):
+        self.name = name or f"headers-{uuid.uuid4().hex}"
+        self.rows: dict[int, tuple[int, str, int]] = {}
+        self._running: set[str] = set()
+        self._quiet = threading.Condition()
+
+    def observe(self, records: DataFrame) -> DataFrame:
+        return records.observe(self.name, F.count(F.lit(1)).alias("records"))
+
+    @contextmanager
+    def listening(self, spark: SparkSession, patience: float = 60.0):
+        """Listen while queries run; at the end, wait until the last one has been reported."""
+        spark.streams.addListener(self)
+        try:
+            yield self
+            with self._quiet:
+                self._quiet.wait_for(lambda: not self._running, patience)
+        finally:
+            spark.streams.removeListener(self)
+
+    def onQueryStarted(self, event) -> None:
+        if event.name == self.name:
+            with self._quiet:
+                self._running.add(str(event.runId))
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        if p.name == self.name:
+            seen = p.observedMetrics.get(self.name)
+            if seen is not None or p.batchId not in self.rows:
+                self.rows[p.batchId] = (p.batchId, p.timestamp, seen.records if seen is not None else 0)
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        with self._quiet:
+            self._running.discard(str(event.runId))
+            self._quiet.notify_all()
+
+    def table(self, spark: SparkSession) -> DataFrame:
+        return spark.createDataFrame([self.rows[i] for i in sorted(self.rows)],
+                                     "batch_id long, time string, records long")
+
+
 @dataclass
 class LineJobs:
     """Line stream: filter (F3), values (P3/P6), count (A1), sums (A2), sorted values (O2/O3),

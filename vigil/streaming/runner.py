@@ -1,23 +1,25 @@
 """Streaming anomaly pipeline: records -> messages -> readings -> running statistics ->
 breaches -> sensor states -> alarm commands, once per micro-batch (``foreachBatch``).
 
-State lives in small versioned parquet tables under ``root``:
-
-    sensors/version=N   (scope, sensor, k, n, a, b, state, mean, std, lo, hi, ...)  moments,
-                        statistics and warning state per key (the thresholds of batch N)
-    alarm/version=N     (scope, alarm, sent, ...)             alarm state per scope; ``sent`` is the
-                        first batch that sent the command now pending
-    acks/version=N      (scope)                               answers that batch N took into account
-    pending/version=N   (topic, partition, offset, value)     open message tails (line framing)
-
-Batch N reads version N-1 and overwrites version N; its outputs (``events``, ``commands``,
-``rejects``, ``statistics``, ``values``) are overwritten per ``batch_id=N``, or removed where it has none. A batch
-that is re-run after a failure or a restart (Spark re-delivers the uncommitted batch id) takes the
-same answers into account and produces the same state and outputs, and the stream's checkpoint
-keeps the source offsets. A version that should exist and does not stops the stream. Only aggregated rows (one per
-scope x sensor) are merged with state; readings stay on the executors and are joined with the
-(size-checked) thresholds. Versions older than ``keep_versions`` are deleted;
-outputs never are: ``statistics`` keeps each batch's count, mean, std and band of every key.
+Outputs under ``root``, one folder per ``batch_id`` that has rows: ``events``, ``commands``,
+``rejects``, ``statistics`` (count, mean, std and band of every sensor of the scopes that the batch
+touched) and, if asked for, ``values``. State:
+
+    sensors   (scope, sensor, k, n, a, b, state)   moments and warning state, a ``KeyedLog``
+    alarm     (scope, alarm, sent, last)           alarm state; ``sent`` and ``last`` are the first
+              and last batch that sent the command now pending; a ``KeyedLog``
+    frames    (topic, partition, offset, depth, last, m, begun)  where a topic partition ends
+              inside a message (line framing); its lines stay in the ``open`` chunks that their
+              batches wrote until the message closes
+
+A batch reads the state of the scopes that it touches and writes theirs only. All that it wrote
+becomes visible with its manifest (see ``ledger``): read outputs through ``committed_output``. A
+batch that is delivered again before its commit overwrites what it had written, one that is
+delivered after it is left as it is. A manifest that should exist and does not stops the stream.
+
+Answers to commands (scope, batch_id, ack) are a second stream, united with the records. Answers
+take effect at the start of the batch they come in: one to any batch from the first to the last
+that sent the command still pending settles it, however late.
 
 Merging uses the same fixed shift as the table form: K is the first reading ever of the key,
 a batch contributes n, a = n (mean_b - K), b = m2_b + n (mean_b - K)^2, so merging is addition.
@@ -33,7 +35,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType)
-from pyspark.sql.utils import AnalysisException
 
 from vigil.functions.joins import null_safe_join
 from vigil.functions.sizing import MAX_BROADCAST_ROWS, hint
@@ -41,20 +42,45 @@ from vigil.operators.breach import breach_code
 from vigil.operators.moments import KEY, batch_partials
 from vigil.schema import (ALARM_CODE_OFF, ALARM_CODE_ON, ALARM_PRIORITY, SENSOR_FIELDS,
                           SIGMAS)
-from vigil.sources.framing import (assemble, line_pieces, parse_records, readings_of,
-                                   split_parsed)
-
-SENSORS_SCHEMA = StructType([
-    StructField("scope", StringType()), StructField("sensor", StringType()),
-    StructField("k", DoubleType()), StructField("n", LongType()),
-    StructField("a", DoubleType()), StructField("b", DoubleType()),
-    StructField("state", IntegerType())])
-ALARM_SCHEMA = StructType([StructField("scope", StringType()), StructField("alarm", IntegerType()),
-                           StructField("sent", LongType())])
-SCOPE_SCHEMA = StructType([StructField("scope", StringType())])
-PENDING_SCHEMA = StructType([
-    StructField("topic", StringType()), StructField("partition", IntegerType()),
-    StructField("offset", LongType()), StructField("value", StringType())])
+from vigil.sources.framing import (assemble, carried_line, framed_lines, line_pieces, open_ends,
+                                   parse_records, readings_of, split_parsed)
+from vigil.streaming.ledger import KeyedLog, Ledger, committed_output
+
+
+def _schema(**columns) -> StructType:
+    return StructType([StructField(c, t()) for c, t in columns.items()])
+
+
+SENSORS_SCHEMA = _schema(scope=StringType, sensor=StringType, k=DoubleType, n=LongType,
+                         a=DoubleType, b=DoubleType, state=IntegerType)
+ALARM_SCHEMA = _schema(scope=StringType, alarm=IntegerType, sent=LongType, last=LongType)
+FRAMES_SCHEMA = _schema(topic=StringType, partition=IntegerType, offset=LongType, depth=LongType,
+                        last=StringType, m=LongType, begun=LongType)
+CHUNK_SCHEMA = _schema(topic=StringType, partition=IntegerType, offset=LongType, part=IntegerType,
+                       kind=StringType, value=StringType, _m=LongType)
+ANSWER = "struct<scope:string,batch_id:bigint,ack:boolean>"
+# Columns of the outputs.
+OUTPUTS = {
+    "events": "scope string, sensor string, partition int, offset long, idx int, guid string, "
+              "x double, lo double, hi double, state int, kind string",
+    "commands": "scope string, command string, code string, warning string, alarm int",
+    "statistics": "scope string, sensor string, n long, n_b long, mean double, std double, "
+                  "lo double, hi double",
+    "rejects": "topic string, partition int, offset long, value string, reason string",
+    "values": "partition int, offset long, idx int, guid string, reply_url string, "
+              + ", ".join(f"{f} double" for f in SENSOR_FIELDS),
+}
+
+
+def with_answers(records: DataFrame, answers: DataFrame | None) -> DataFrame:
+    """Records and answers (scope, batch_id, ack) as one frame, a stream or a batch."""
+    records = records.select("topic", "partition", "offset", "value")
+    if answers is None:
+        return records
+    none = [F.lit(None).cast(t).alias(c) for c, t in records.dtypes]
+    answers = answers.select(*none, F.struct(
+        "scope", F.col("batch_id").cast("long").alias("batch_id"), "ack").cast(ANSWER).alias("answer"))
+    return records.withColumn("answer", F.lit(None).cast(ANSWER)).unionByName(answers)
 
 
 def projection(msgs: DataFrame, ids: list[str]) -> DataFrame:
@@ -64,146 +90,132 @@ def projection(msgs: DataFrame, ids: list[str]) -> DataFrame:
                        *[F.col(f"{data}.{f}").alias(f) for f in SENSOR_FIELDS])
 
 
-class StateTables:
-    """Versioned small tables: ``<root>/<name>/version=<N>``."""
-
-    def __init__(self, spark: SparkSession, root: str, keep_versions: int = 10):
-        self.spark, self.root, self.keep = spark, root.rstrip("/"), keep_versions
-
-    def path(self, name: str, version: int) -> str:
-        return f"{self.root}/{name}/version={version}"
-
-    def read(self, name: str, version: int, schema: StructType) -> DataFrame:
-        """Version -1, before the first batch, is empty; any other must have been written."""
-        if version < 0:
-            return self.spark.createDataFrame([], schema)
-        try:
-            return self.spark.read.schema(schema).parquet(self.path(name, version))
-        except AnalysisException as e:
-            raise RuntimeError(f"state is lost: {self.path(name, version)} cannot be read") from e
-
-    def write(self, name: str, version: int, df: DataFrame) -> DataFrame:
-        df.write.mode("overwrite").parquet(self.path(name, version))
-        return self.spark.read.schema(df.schema).parquet(self.path(name, version))
-
-    def _fs(self, path: str):
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
-
-    def written(self, path: str) -> bool:
-        fs, p = self._fs(f"{path}/_SUCCESS")
-        return fs.exists(p)
-
-    def put(self, name: str, batch_id: int, df: DataFrame | None) -> bool:
-        """The output of a batch: overwritten, or removed if there is nothing (no empty files)."""
-        path = f"{self.root}/{name}/batch_id={batch_id}"
-        if df is not None and not df.isEmpty():
-            df.write.mode("overwrite").parquet(path)
-            return True
-        fs, p = self._fs(path)
-        fs.delete(p, True)
-        return False
-
-    def prune(self, name: str, version: int) -> None:
-        """Delete versions older than ``version - keep`` (Hadoop FileSystem, any scheme)."""
-        old = version - self.keep
-        if old < 0:
-            return
-        fs, base = self._fs(f"{self.root}/{name}")
-        if not fs.exists(base):
-            return
-        for st in fs.listStatus(base):
-            nm = st.getPath().getName()
-            if nm.startswith("version=") and nm[8:].isdigit() and int(nm[8:]) < old:
-                fs.delete(st.getPath(), True)
-
-
 @dataclass
 class AnomalyStream:
     """``foreachBatch`` processor. ``framing``: 'document' (one JSON document per record) or
     'lines' (records are lines of pretty-printed documents, reassembled across batches).
 
-    ``auto_ack=True`` settles a sent command at once (the device answered); otherwise the
-    acknowledgement table (scope, batch_id, ack) is read at the start of every batch: an answer to
-    any batch that sent the command still pending settles it, however late it comes.
-    ``values=True`` also writes the projection of every message."""
+    ``auto_ack=True`` settles a sent command at once (the device answered); otherwise the answers
+    given to ``start`` settle them. ``values=True`` also writes the projection of every message."""
     root: str
     scope: str = "ALL"
     framing: str = "document"
     sigmas: float = SIGMAS
     priority: list[str] = field(default_factory=lambda: list(ALARM_PRIORITY))
     auto_ack: bool = True
-    acks_path: str | None = None
-    keep_versions: int = 10
+    keep_batches: int = 10
     values: bool = False
     max_broadcast_rows: int = MAX_BROADCAST_ROWS
-    # optional forwarder for the command rows of a batch, e.g. lambda df, i: write_kafka(df, ...)
+    # optional forwarder for the command rows of a batch, e.g. lambda df, i: write_kafka(df, ...);
+    # called before the commit, so at least once
     command_sink: Callable[[DataFrame, int], None] | None = None
 
     # -- the batch function --------------------------------------------------------------
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        st = StateTables(spark, self.root, self.keep_versions)
-        records = df.select("topic", "partition", "offset", "value")
-        keep = ["topic", "partition", "offset"]
-        lost = None
-        if self.framing == "lines":
-            records, lost = self._frame_lines(st, records, batch_id)
-            keep = [*keep, "part"]
-        # parse once; the batch is read from this cache by every later step
-        parsed = parse_records(records, keep).persist(StorageLevel.MEMORY_AND_DISK)
+        led = Ledger(df.sparkSession, self.root, self.keep_batches)
+        if led.committed(batch_id):
+            return
+        before = led.manifest(batch_id - 1)
+        records, answers = df, None
+        if "answer" in df.columns:
+            answers = df.where("answer.ack").select("answer.scope", "answer.batch_id")
+            records = df.where("answer IS NULL")
+        records = records.select("topic", "partition", "offset", "value")
+        keep, lost, cached = ["topic", "partition", "offset"], None, []
+        after = {"outputs": [], "runs": dict(before["runs"]), "tables": {}, "chunks": before["chunks"]}
+
+        def put(name: str, rows: DataFrame | None) -> bool:
+            written = led.put(name, batch_id, rows) is not None
+            after["outputs"] += [name] if written else []
+            return written
+
+        def cache(rows: DataFrame) -> DataFrame:
+            cached.append(rows.persist(StorageLevel.MEMORY_AND_DISK))
+            return cached[-1]
+
         try:
+            if self.framing == "lines":
+                records, lost = self._frame_lines(led, records, batch_id, before, after, cache)
+                keep = [*keep, "part"]
+            # parse once; the batch is read from this cache by every later step
+            parsed = cache(parse_records(records, keep))
             msgs, bad = split_parsed(parsed, keep)
             bad = bad.select("topic", "partition", "offset", "value", "reason")
-            st.put("rejects", batch_id, bad if lost is None else bad.unionByName(lost))
+            put("rejects", bad if lost is None else bad.unionByName(lost))
             if "part" in keep:  # one message each: its place is that among the line's pieces
                 msgs = msgs.withColumn("idx", F.col("part"))
             if self.values:
-                st.put("values", batch_id, projection(msgs, ["partition", "offset", "idx"]))
+                put("values", projection(msgs, ["partition", "offset", "idx"]))
             ids = msgs.select(F.struct("partition", "offset", "idx").alias("ord"), "msg")
             readings = readings_of(ids, ["ord"])
             readings = readings.withColumn("scope", F.lit("ALL") if self.scope == "ALL" else F.col("guid"))
-            self._process(st, readings, batch_id)
+            self._process(led, readings, answers, batch_id, after, put, cache)
         finally:
-            parsed.unpersist()
-        for name in ("sensors", "alarm", "acks", "pending", "docs", "lost"):
-            st.prune(name, batch_id)
-
-    def _frame_lines(self, st: StateTables, records: DataFrame, batch_id: int):
-        pending = st.read("pending", batch_id - 1, PENDING_SCHEMA)
-        lines = pending.unionByName(records.select(*PENDING_SCHEMA.fieldNames()))
-        pieces = line_pieces(lines).persist(StorageLevel.MEMORY_AND_DISK)
-        docs, tail, lost = assemble(pieces)
-        # written, so that the pieces can be dropped
-        st.write("pending", batch_id, tail)
-        docs, lost = st.write("docs", batch_id, docs), st.write("lost", batch_id, lost)
-        pieces.unpersist()
+            for rows in cached:
+                rows.unpersist()
+        led.commit(batch_id, after)
+
+    def _frame_lines(self, led: Ledger, records: DataFrame, batch_id: int, before: dict, after: dict,
+                     cache: Callable) -> tuple[DataFrame, DataFrame]:
+        """(documents that closed, pieces lost) of the batch's lines. Of lines read before, only
+        where they left off is looked at, and the chunks of messages that close or break off."""
+        by = ["topic", "partition"]
+        carry = led.table(before["tables"].get("frames"), FRAMES_SCHEMA)
+        carried = carry.select(*by, "offset", carried_line(F.col("depth"), F.col("last")).alias("value"))
+        framed = cache(framed_lines(carried.unionByName(records)))
+        at = carry.select(*by, F.col("offset").alias("_c"), F.col("m").alias("_cm"), "begun")
+        parts = cache(null_safe_join(line_pieces(framed), at, by, "left"))
+        own = F.col("_c").isNull() | (F.col("offset") != F.col("_c"))
+        message = F.when(F.col("_m") == F.col("_c"), F.col("_cm")).otherwise(F.col("_m"))
+        fresh = parts.where(own).withColumn("_m", message).drop("_c", "_cm", "begun")
+        # the messages open before this batch whose fate it decides: at most one a partition
+        decided = parts.where(~own & (F.col("kind") == "open") & (F.col("_fate") != "unfinished")).select(
+            *by, F.col("_cm").alias("_m"), "begun", "_fate")
+        oldest = decided.agg(F.min("begun")).first()[0]
+        pieces = fresh
+        if oldest is not None:
+            paths = [led.path(c["path"]) for c in before["chunks"] if c["batch"] >= oldest]
+            chunks = led.spark.read.schema(CHUNK_SCHEMA).parquet(*paths)
+            pieces = fresh.unionByName(chunks.join(F.broadcast(decided.drop("begun")), [*by, "_m"]))
+        docs, _, lost = assemble(pieces)
+        open_now = fresh.where(F.col("_fate") == "unfinished").select(*CHUNK_SCHEMA.fieldNames())
+        chunk = led.put("open", batch_id, open_now)
+        ends = null_safe_join(open_ends(framed), at, by, "left")
+        still = F.col("m") == F.col("_c")
+        ends = ends.select(*by, "offset", "depth", "last", F.when(still, F.col("_cm")).otherwise(F.col("m")).alias("m"),
+                           F.when(still, F.col("begun")).otherwise(F.lit(batch_id)).cast("long").alias("begun"))
+        frames = led.put("frames", batch_id, ends.select(*[
+            F.col(f.name).cast(f.dataType) for f in FRAMES_SCHEMA.fields]))
+        after["chunks"] = before["chunks"] + ([{"batch": batch_id, "path": chunk}] if chunk else [])
+        if frames:
+            after["tables"]["frames"] = frames
+            needed = led.table(frames, FRAMES_SCHEMA).agg(F.min("begun")).first()[0]
+        else:
+            needed = batch_id + 1
+        after["chunks"] = [c for c in after["chunks"] if c["batch"] >= needed]
         return docs, lost
 
-    def _process(self, st: StateTables, readings: DataFrame, batch_id: int) -> None:
-        spark = readings.sparkSession
-        prev = st.read("sensors", batch_id - 1, SENSORS_SCHEMA)
-        old = self._settled(st, st.read("alarm", batch_id - 1, ALARM_SCHEMA), batch_id)
-        cur = batch_partials(readings.withColumn("batch", F.lit(batch_id)))
-        # the new state version (one row per key, with this batch's band) doubles as the
-        # materialized thresholds table; readers of the state select its columns. Without
-        # readings the merge carries every key forward unchanged.
-        thr = st.write("sensors", batch_id, self._merge(prev, cur))
-        st.put("statistics", batch_id,
-               thr.select(*KEY, "n", "n_b", "mean", "std", "lo", "hi"))
-        # one small job: does the batch have readings (T8), and how many keys are there (the
-        # broadcast bound; scope ALL has at most one key per sensor, so it needs no count)
-        keys, fresh = thr.agg(F.count(F.lit(1)), F.count("n_b")).collect()[0]
-        if fresh == 0:  # T8: no statistics change, no alarm step; alarm state carried forward
-            st.write("alarm", batch_id, old)
-            st.put("events", batch_id, None)
-            st.put("commands", batch_id, None)
-            return
-        small = self.scope == "ALL" or keys <= self.max_broadcast_rows
-        self._events(readings, thr, small).write.mode("overwrite").parquet(
-            f"{self.root}/events/batch_id={batch_id}")
-        self._alarm(st, thr, old, batch_id)
+    def _process(self, led: Ledger, readings: DataFrame, answers: DataFrame | None, batch_id: int,
+                 after: dict, put: Callable, cache: Callable) -> None:
+        sensors = KeyedLog(led, "sensors", KEY, SENSORS_SCHEMA)
+        runs = after["runs"].get("sensors", [])
+        # (written by tasks, counted by the broadcast bound: scope ALL has one key per sensor)
+        cur = cache(batch_partials(readings.withColumn("batch", F.lit(batch_id))))
+        n = cur.count()
+        small = self.scope == "ALL" or n <= self.max_broadcast_rows
+        thr = None
+        if n:  # T8: no readings, no change of statistics
+            touched = cur.select("scope")
+            merged = self._merge(sensors.lookup(runs, touched, small), cur)
+            # the batch's run holds one row per key, with its band: it doubles as the table of
+            # thresholds; readers of the state select its columns
+            thr, path = sensors.append(runs, batch_id, merged)
+            after["runs"]["sensors"] = sensors.settle(runs, batch_id, path, thr.count())
+            put("events", self._events(readings, thr, small))
+        else:
+            put("events", None)
+        put("statistics", thr and thr.select(*KEY, "n", "n_b", "mean", "std", "lo", "hi"))
+        self._alarm(led, thr, answers, small, batch_id, after, put, cache)
 
     def _merge(self, prev: DataFrame, cur: DataFrame) -> DataFrame:
         cur = cur.withColumnsRenamed({"n": "n_b"}).drop("batch")
@@ -248,43 +260,47 @@ class AnomalyStream:
                  .select(*KEY, F.col("ord.partition").alias("partition"), F.col("ord.offset").alias("offset"),
                          F.col("ord.idx").alias("idx"), "guid", "x", "lo", "hi", "state", kind.alias("kind")))
 
-    def _settled(self, st: StateTables, alarm: DataFrame, batch_id: int) -> DataFrame:
-        """The alarm state after the answers that came in. Only a batch that sent the pending
-        command can be answered. The answers used are kept, so a re-run uses the same."""
-        if self.auto_ack or not self.acks_path or batch_id == 0:
-            return alarm
-        used = st.path("acks", batch_id)
-        if not st.written(used):
-            try:
-                acks = (st.spark.read.parquet(self.acks_path).where("ack")
-                        .where(F.col("batch_id") < batch_id).select("scope", "batch_id"))
-                sent = st.spark.read.schema("batch_id long, scope string").parquet(f"{self.root}/commands")
-            except AnalysisException:  # no answer or no command yet
-                answered = alarm.limit(0).select("scope")
+    def _alarm(self, led: Ledger, thr: DataFrame | None, answers: DataFrame | None, small: bool,
+               batch_id: int, after: dict, put: Callable, cache: Callable) -> None:
+        """One step of the alarm of every scope with readings, after the answers that came in. Only
+        scopes with readings or answers are read and written."""
+        log = KeyedLog(led, "alarm", ["scope"], ALARM_SCHEMA)
+        runs = after["runs"].get("alarm", [])
+        asked = None if thr is None else thr.select("scope")
+        if answers is not None:
+            answers = cache(answers.where(F.col("batch_id") < batch_id))
+            n = answers.count()
+            if n:
+                small = small and n <= self.max_broadcast_rows
+                asked = answers.select("scope") if asked is None else asked.unionByName(answers.select("scope"))
             else:
-                open_ = alarm.where(F.col("alarm").isin(2, 3)).select("scope", "sent")
-                sent = null_safe_join(sent.where(F.col("batch_id") < batch_id), open_, ["scope"])
-                sent = sent.where(F.col("batch_id") >= F.col("sent")).select("scope", "batch_id")
-                answered = null_safe_join(sent, acks, ["scope", "batch_id"]).select("scope").distinct()
-            st.write("acks", batch_id, answered)
-        answered = st.read("acks", batch_id, SCOPE_SCHEMA).withColumn("_acked", F.lit(True))
-        acked = F.coalesce("_acked", F.lit(False))
-        return null_safe_join(alarm, answered, ["scope"], "left").select(
-            "scope", F.when(acked & (F.col("alarm") == 3), F.lit(1))
-            .when(acked & (F.col("alarm") == 2), F.lit(0)).otherwise(F.col("alarm")).alias("alarm"),
-            F.when(~acked, F.col("sent")).alias("sent"))
-
-    def _alarm(self, st: StateTables, thr: DataFrame, old: DataFrame, batch_id: int) -> None:
+                answers = None
+        if asked is None:
+            put("commands", None)
+            return
+        old = log.lookup(runs, asked, small).withColumn("acked", F.lit(False))
+        if answers is not None:
+            given = answers.withColumnsRenamed({"batch_id": "_answered"})
+            near = null_safe_join(old.drop("acked"), given, ["scope"], "left")
+            ok = (F.col("_answered") >= F.col("sent")) & (F.col("_answered") <= F.col("last"))
+            old = near.groupBy(*ALARM_SCHEMA.fieldNames()).agg(
+                F.max(F.coalesce(ok, F.lit(False))).alias("acked"))
+        settled = old.select(
+            "scope", F.when(F.col("acked") & (F.col("alarm") == 3), 1).when(
+                F.col("acked") & (F.col("alarm") == 2), 0).otherwise(F.col("alarm")).alias("alarm"),
+            *[F.when(~F.col("acked"), F.col(c)).alias(c) for c in ("sent", "last")])
         t = F.lit("")
         for s in reversed(self.priority):
             t = F.when(F.max(F.when((F.col("sensor") == s) & F.col("state").isin(1, -1), 1)) == 1,
                        F.lit(s)).otherwise(t)
-        # only a scope with readings in this batch takes a step; the others keep their state
-        types = thr.groupBy("scope").agg(t.alias("alarm_type"), F.count("n_b").alias("fresh"))
-        j = null_safe_join(types, old, ["scope"], "full_outer").select(
+        if thr is None:
+            types = settled.limit(0).select("scope", F.lit("").alias("alarm_type"), F.lit(True).alias("step"))
+        else:
+            types = thr.groupBy("scope").agg(t.alias("alarm_type")).withColumn("step", F.lit(True))
+        j = null_safe_join(types, settled, ["scope"], "full_outer").select(
             "scope", F.coalesce("alarm_type", F.lit("")).alias("alarm_type"),
-            (F.coalesce("fresh", F.lit(0)) > 0).alias("step"),
-            F.coalesce("alarm", F.lit(0)).alias("old"), "sent")
+            F.coalesce("step", F.lit(False)).alias("step"), F.coalesce("alarm", F.lit(0)).alias("old"),
+            "sent", "last")
         on, step, was = F.col("alarm_type") != "", F.col("step"), F.col("old")
         send_on = step & on & was.isin(0, 3)
         send_off = step & ~on & was.isin(1, 2)
@@ -292,20 +308,39 @@ class AnomalyStream:
         new = (F.when(send_on, F.when(ack, F.lit(1)).otherwise(F.lit(3)))
                .when(send_off, F.when(ack, F.lit(0)).otherwise(F.lit(2)))
                .otherwise(was))
-        first_sent = F.when(new.isin(2, 3), F.coalesce("sent", F.lit(batch_id).cast("long")))
-        res = j.select("scope", "alarm_type", new.alias("alarm"), first_sent.alias("sent"),
+        now = F.lit(batch_id).cast("long")
+        first = F.when(new.isin(2, 3), F.coalesce("sent", now))
+        last = F.when(new.isin(2, 3), F.when(send_on | send_off, now).otherwise(F.col("last")))
+        res = j.select("scope", new.cast("int").alias("alarm"), first.alias("sent"), last.alias("last"), "alarm_type",
                        F.when(send_on, F.lit("ON")).when(send_off, F.lit("OFF")).alias("command"),
                        F.when(send_on, F.lit(ALARM_CODE_ON)).when(send_off, F.lit(ALARM_CODE_OFF)).alias("code"))
-        res = st.write("alarm", batch_id, res)  # state: (scope, alarm, sent) + this batch's step
+        res, path = log.append(runs, batch_id, res)  # state + this batch's step
+        after["runs"]["alarm"] = log.settle(runs, batch_id, path, res.count())
         cmds = (res.where(F.col("command").isNotNull())
                    .select("scope", "command", "code", F.col("alarm_type").alias("warning"), "alarm"))
-        if st.put("commands", batch_id, cmds) and self.command_sink is not None:
-            self.command_sink(st.spark.read.parquet(f"{self.root}/commands/batch_id={batch_id}"), batch_id)
+        if put("commands", cmds) and self.command_sink is not None:
+            self.command_sink(led.spark.read.parquet(led.path(f"commands/batch_id={batch_id}")), batch_id)
+
+    # -- what is committed -----------------------------------------------------------------
+    def output(self, spark: SparkSession, name: str) -> DataFrame:
+        """An output of all committed batches, with ``batch_id``."""
+        return committed_output(spark, self.root, name, OUTPUTS[name])
+
+    def state(self, spark: SparkSession, name: str, batch_id: int) -> DataFrame:
+        """``sensors`` or ``alarm`` of all scopes, or ``frames``, after a batch."""
+        led = Ledger(spark, self.root, self.keep_batches)
+        found = led.manifest(batch_id)
+        if name == "frames":
+            return led.table(found["tables"].get("frames"), FRAMES_SCHEMA)
+        key, schema = (KEY, SENSORS_SCHEMA) if name == "sensors" else (["scope"], ALARM_SCHEMA)
+        return KeyedLog(led, name, key, schema).all(found["runs"].get(name, []))
 
     # -- driver side ---------------------------------------------------------------------
-    def start(self, records: DataFrame, checkpoint: str, trigger: dict | None = None):
+    def start(self, records: DataFrame, checkpoint: str, trigger: dict | None = None,
+              answers: DataFrame | None = None):
         """Start the query. ``trigger`` e.g. {"processingTime": "2 seconds"} (reference pace) or
-        {"availableNow": True} (replay everything available, then stop)."""
-        w = records.writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
+        {"availableNow": True} (replay everything available, then stop). ``answers`` is a stream of
+        (scope, batch_id, ack)."""
+        w = with_answers(records, answers).writeStream.foreachBatch(self).option("checkpointLocation", checkpoint)
         w = w.trigger(**(trigger or {"processingTime": "2 seconds"}))
         return w.start()
