@@ -9,7 +9,7 @@ from vigil.operators import lines as L
 from vigil.plans import feeds
 from vigil.sources.messages import read_records_table
 from vigil.sources.tables import events
-from vigil.streaming import AnomalyStream, LineJobs, WordCounts
+from vigil.streaming import AnomalyStream, Ledger, LineJobs, WordCounts
 
 
 def _land(spark, root, frames):
@@ -64,7 +64,7 @@ def test_device_scope_stream_and_command_sink(spark, tmpdir_path):
     proc = AnomalyStream(os.path.join(root, "out"), scope="guid",
                          command_sink=lambda df, i: seen.append((i, df.count())))
     _run(_land(spark, root, frames), proc, os.path.join(root, "ckpt"))
-    st = spark.read.parquet(os.path.join(root, "out", "sensors", "version=3"))
+    st = proc.state(spark, "sensors", 3)
     n_msgs = sum(f.count() for f in frames)
     assert st.agg(F.sum("n")).collect()[0][0] == 4 * n_msgs  # four sensors per message
     assert st.select("scope").distinct().count() > 1
@@ -85,23 +85,23 @@ def test_empty_batch_carries_state(spark, tmpdir_path):
     bad = spark.createDataFrame([("t", 0, 1, '[{"guid": "x", '), ("t", 0, 2, "   ")],
                                 "topic string, partition int, offset long, value string")
     proc(bad, 1)
-    cols = ["scope", "sensor", "k", "n", "a", "b", "state"]
-    v0 = sorted(map(tuple, spark.read.parquet(os.path.join(root, "sensors", "version=0")).select(*cols).collect()))
-    v1 = sorted(map(tuple, spark.read.parquet(os.path.join(root, "sensors", "version=1")).select(*cols).collect()))
-    assert v0 == v1 and len(v0) == 4
-    a0 = spark.read.parquet(os.path.join(root, "alarm", "version=0")).select("scope", "alarm").collect()
-    a1 = spark.read.parquet(os.path.join(root, "alarm", "version=1")).select("scope", "alarm").collect()
-    assert sorted(map(tuple, a0)) == sorted(map(tuple, a1))
+    for name, n in (("sensors", 4), ("alarm", 1)):
+        v0, v1 = (sorted(map(tuple, proc.state(spark, name, i).collect())) for i in (0, 1))
+        assert v0 == v1 and len(v0) == n
     assert not os.path.exists(os.path.join(root, "commands", "batch_id=1"))
     assert spark.read.parquet(os.path.join(root, "rejects", "batch_id=1")).count() == 1  # blank is not a reject
 
 
-def test_old_state_versions_are_pruned(spark, tmpdir_path):
+def test_old_state_is_pruned(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "out")
     recs = feeds.json_records(events(spark, SF_SMALL)).drop("batch")
-    proc = AnomalyStream(root, keep_versions=2)
-    for i in range(6):
-        proc(recs.where((F.col("offset") >= 50 * i) & (F.col("offset") < 50 * (i + 1))), i)
+    proc = AnomalyStream(root, keep_batches=2)
+    for i in range(8):
+        proc(recs.where((F.col("offset") >= 25 * i) & (F.col("offset") < 25 * (i + 1))), i)
+    led = Ledger(spark, root)
     for name in ("sensors", "alarm"):
-        kept = sorted(d for d in os.listdir(os.path.join(root, name)) if d.startswith("version="))
-        assert kept == ["version=3", "version=4", "version=5"], (name, kept)
+        named = {r["path"] for i in (6, 7) for r in led.manifest(i)["runs"][name]}
+        kept = {f"{name}/{d}" for d in os.listdir(os.path.join(root, name)) if d.startswith("run=")}
+        spent = {p for i in (6, 7) for p in led.manifest(i)["spent"]}
+        assert named <= kept <= named | spent, (name, kept)
+        assert proc.state(spark, name, 6).count() == proc.state(spark, name, 7).count() > 0

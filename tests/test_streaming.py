@@ -10,7 +10,7 @@ from vigil.operators.breach import plan_breaches
 from vigil.plans import feeds
 from vigil.sources.messages import read_records_table
 from vigil.sources.tables import events, message_readings, wide_messages
-from vigil.streaming import AnomalyStream
+from vigil.streaming import AnomalyStream, with_answers
 
 HOURS = 6
 
@@ -48,20 +48,21 @@ def test_stream_equals_table_and_restarts(spark, tmpdir_path):
     out = os.path.join(root, "out")
     proc = AnomalyStream(out)
     _stream(spark, root, None, os.path.join(root, "ckpt"), proc)
-    got_ev = {(r.offset, r.sensor, r.kind) for r in spark.read.parquet(os.path.join(out, "events")).collect()}
-    cm = spark.read.parquet(os.path.join(out, "commands")).orderBy("batch_id").collect()
+    got_ev = {(r.offset, r.sensor, r.kind) for r in proc.output(spark, "events").collect()}
+    cm = proc.output(spark, "commands").orderBy("batch_id").collect()
     want_ev, want_cmds = _table_form(spark, hours)
     assert got_ev == want_ev and len(want_ev) > 0
     assert [(hours[r.batch_id], r.command, r.warning) for r in cm] == want_cmds
 
     # re-deliver the last batch by hand (what Spark does after a failure): same state, outputs
     last = HOURS - 1
-    state = os.path.join(out, "sensors", f"version={last}")
-    before = sorted(map(tuple, spark.read.parquet(state).collect()))
-    cmds_before = spark.read.parquet(os.path.join(out, "commands")).count()
-    proc(spark.read.parquet(os.path.join(root, "in", f"part-{last:03d}")), last)
-    assert sorted(map(tuple, spark.read.parquet(state).collect())) == before
-    assert spark.read.parquet(os.path.join(out, "commands")).count() == cmds_before
+    before = sorted(map(tuple, proc.state(spark, "sensors", last).collect()))
+    cmds_before = proc.output(spark, "commands").count()
+    os.remove(os.path.join(out, "commits", f"{last}.json"))  # as if it had not come to its commit
+    for _ in range(2):
+        proc(spark.read.parquet(os.path.join(root, "in", f"part-{last:03d}")), last)
+        assert sorted(map(tuple, proc.state(spark, "sensors", last).collect())) == before
+        assert proc.output(spark, "commands").count() == cmds_before
 
 
 def test_restart_midway(spark, tmpdir_path):
@@ -79,7 +80,7 @@ def test_restart_midway(spark, tmpdir_path):
     for i in range(HOURS // 2, HOURS):
         shutil.move(os.path.join(later, f"part-{i:03d}"), os.path.join(root, "in", f"part-{i:03d}"))
     _stream(spark, root, None, ckpt, AnomalyStream(out))
-    got_ev = {(r.offset, r.sensor, r.kind) for r in spark.read.parquet(os.path.join(out, "events")).collect()}
+    got_ev = {(r.offset, r.sensor, r.kind) for r in AnomalyStream(out).output(spark, "events").collect()}
     want_ev, _ = _table_form(spark, hours)
     assert got_ev == want_ev
 
@@ -95,27 +96,61 @@ def test_line_framed_stream_carries_tails(spark, tmpdir_path):
         spark.createDataFrame(part, "topic string, partition int, offset long, value string") \
              .coalesce(1).write.parquet(os.path.join(root, "in", f"part-{i:03d}"))
     out = os.path.join(root, "out")
-    _stream(spark, root, None, os.path.join(root, "ckpt"), AnomalyStream(out, framing="lines"))
+    proc = AnomalyStream(out, framing="lines", values=True)
+    _stream(spark, root, None, os.path.join(root, "ckpt"), proc)
     assert not os.path.exists(os.path.join(out, "rejects"))  # written only when a batch has some
-    n_tail = spark.read.parquet(os.path.join(out, "pending", "version=2")).count()
-    assert n_tail == 0
+    assert proc.state(spark, "frames", 2).count() == 0
+    assert proc.output(spark, "values").count() == 10
+
+
+RECORD = "topic string, partition int, offset long, value string"
+
+
+def _by_lines(spark, proc, batches):
+    offset = 0
+    for i, lines in enumerate(batches):
+        proc(spark.createDataFrame([("t", 0, offset + k, v) for k, v in enumerate(lines)], RECORD), i)
+        offset += len(lines)
+
+
+def test_a_message_over_many_batches_is_written_once(spark, tmpdir_path):
+    """One line a batch: the text of the open message stays in the chunks of its batches."""
+    out, n = os.path.join(tmpdir_path, "out"), 8
+    proc = AnomalyStream(out, framing="lines", values=True, keep_batches=2 * n)
+    body = [f'"x{i}": "{"y" * 1000} }}{{ {i}",' for i in range(n - 2)]
+    _by_lines(spark, proc, [['{"guid": "long",'], *[[b] for b in body], ['"payload": {}}', '{"guid": "next"}']])
+    chunks = spark.read.parquet(os.path.join(out, "open"))
+    assert chunks.count() == n - 1 and chunks.select("value").distinct().count() == n - 1
+    assert sorted(r.guid for r in proc.output(spark, "values").collect()) == ["long", "next"]
+    assert proc.output(spark, "rejects").count() == 0
+    assert proc.state(spark, "frames", n - 2).count() == 1 and proc.state(spark, "frames", n - 1).count() == 0
+
+
+def test_open_messages_that_break_off_or_close_within_a_line(spark, tmpdir_path):
+    proc = AnomalyStream(os.path.join(tmpdir_path, "out"), framing="lines", values=True, keep_batches=1)
+    _by_lines(spark, proc, [
+        ['[{"guid": "a", "x": {"y":'], ['{"z": {}}'], ["1" + "}}, ", '{"guid": "b"'],  # no colon: a fresh start may follow
+        ['{"guid": "c"}, {"guid": "d", "x": {"q": 1}'], ["}, ", '{"guid": "e", "x":'], ['{"guid": "inner"}}', "]"]])
+    values = {r.guid: r.batch_id for r in proc.output(spark, "values").collect()}
+    lost = [r.value for r in proc.output(spark, "rejects").orderBy("batch_id", "offset").collect()]
+    assert values == {"c": 3, "d": 4, "e": 5}
+    # "a" holds two objects side by side: closed, but no JSON; "b" is cut off by the fresh start
+    assert len(lost) == 2 and lost[0].startswith('{"guid": "a"') and lost[1] == '{"guid": "b"'
+    assert not os.path.exists(os.path.join(tmpdir_path, "out", "open", "batch_id=0"))  # no longer needed
 
 
 def test_stream_acknowledgements_match_table_machine(spark, tmpdir_path):
-    """Acks arrive as a table (scope, batch_id, ack) read at the start of the next batch; the
-    commands sent equal the table-form machine given the same per-batch acknowledgements."""
+    """Answers arrive as a second stream, a batch's before the next one; the commands sent equal the
+    table-form machine given the same per-batch acknowledgements."""
     root = tmpdir_path
     hours = _landed(spark, root, 16)
-    acks_path = os.path.join(root, "acks")
     flags = [i % 3 != 1 for i in range(len(hours))]
-    spark.createDataFrame([("ALL", i, f) for i, f in enumerate(flags)], "scope string, batch_id long, ack boolean") \
-         .write.parquet(acks_path)
-    out = os.path.join(root, "out")
-    _stream(spark, root, None, os.path.join(root, "ckpt"),
-            AnomalyStream(out, auto_ack=False, acks_path=acks_path))
-    cdir = os.path.join(out, "commands")
+    proc = AnomalyStream(os.path.join(root, "out"), auto_ack=False)
+    for i in range(len(hours)):
+        answers = spark.createDataFrame([("ALL", i - 1, flags[i - 1])], "scope string, batch_id long, ack boolean")
+        proc(with_answers(spark.read.parquet(os.path.join(root, "in", f"part-{i:03d}")), answers), i)
     got = [(hours[r.batch_id], r.command, r.warning)
-           for r in spark.read.parquet(cdir).orderBy("batch_id").collect()] if os.path.exists(cdir) else []
+           for r in proc.output(spark, "commands").orderBy("batch_id").collect()]
     ev = events(spark, SF_SMALL).where(F.date_trunc("hour", "ts").isin(hours))
     plan = plan_breaches(message_readings(wide_messages(ev)))
     types = alarm_type(plan.end_states())

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from vigil.functions.ranks import ranked
 from vigil.plans import feeds
 from vigil.sources.framing import decode_records
 from vigil.sources.tables import events
@@ -30,20 +31,15 @@ def _query(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
 
 def sql_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All temperatures, highest first, with their rank (equal ones share it)."""
-    return _query(spark, sf_dir, """
-        WITH n AS (SELECT {t} AS temperature, count(*) AS n FROM {view} GROUP BY ALL),
-             r AS (SELECT *, 1 + coalesce(sum(n) OVER (ORDER BY temperature DESC
-                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS place FROM n)
-        SELECT place, explode(array_repeat(temperature, int(n))) AS temperature
-        FROM r ORDER BY place""")
+    return ranked(_query(spark, sf_dir, "SELECT {t} AS temperature FROM {view}"), [], "temperature", "place")
 
 
 def sql_search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _query(spark, sf_dir, "SELECT {t} FROM {view} WHERE {t} BETWEEN 100 AND 100")
+    return _query(spark, sf_dir, "SELECT {t} AS temperature FROM {view} WHERE {t} = 100.0")
 
 
 def sql_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _query(spark, sf_dir, "SELECT {t} FROM {view} WHERE NOT {t} <= 85")
+    return _query(spark, sf_dir, "SELECT {t} AS temperature FROM {view} WHERE {t} > 85")
 
 
 def sql_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,7 +50,7 @@ def sql_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sql_distinct_float(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _query(spark, sf_dir, """
-        SELECT float({t}) AS temperature FROM {view} GROUP BY 1 ORDER BY 1 DESC""")
+        SELECT DISTINCT float({t}) AS temperature FROM {view} ORDER BY temperature DESC""")
 
 
 __all__ = ["register_messages", "drop_messages", "sql_sort", "sql_search", "sql_filter",

@@ -48,7 +48,7 @@ class Ledger:
     def manifest(self, batch_id: int) -> dict:
         """Before the first batch nothing is there; any other manifest must have been written."""
         if batch_id < 0:
-            return {"outputs": [], "runs": {}, "tables": {}, "chunks": []}
+            return {"outputs": [], "runs": {}, "tables": {}, "chunks": [], "spent": []}
         fs, p = self._fs(self._manifest_path(batch_id))
         if not fs.exists(p):
             raise RuntimeError(f"state is lost: {self._manifest_path(batch_id)} is not there")
@@ -79,7 +79,8 @@ class Ledger:
     def _pieces(manifest: dict) -> set[str]:
         """State that a manifest names (outputs are never deleted)."""
         runs = {r["path"] for runs in manifest["runs"].values() for r in runs}
-        return runs | set(manifest["tables"].values()) | {c["path"] for c in manifest["chunks"]}
+        return (runs | set(manifest["tables"].values()) | {c["path"] for c in manifest["chunks"]}
+                | set(manifest["spent"]))
 
     # -- tables --------------------------------------------------------------------------------
     def put(self, name: str, batch_id: int, df: DataFrame | None) -> str | None:

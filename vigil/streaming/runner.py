@@ -122,7 +122,13 @@ class AnomalyStream:
             records = df.where("answer IS NULL")
         records = records.select("topic", "partition", "offset", "value")
         keep, lost, cached = ["topic", "partition", "offset"], None, []
-        after = {"outputs": [], "runs": dict(before["runs"]), "tables": {}, "chunks": before["chunks"]}
+        after = {"outputs": [], "runs": dict(before["runs"]), "tables": {}, "chunks": before["chunks"],
+                 "spent": []}
+
+        def keep_run(log: KeyedLog, path: str, rows: int) -> None:
+            runs = log.settle(before["runs"].get(log.name, []), batch_id, path, rows)
+            after["runs"][log.name] = runs
+            after["spent"] += [path] if all(r["path"] != path for r in runs) else []
 
         def put(name: str, rows: DataFrame | None) -> bool:
             written = led.put(name, batch_id, rows) is not None
@@ -149,7 +155,7 @@ class AnomalyStream:
             ids = msgs.select(F.struct("partition", "offset", "idx").alias("ord"), "msg")
             readings = readings_of(ids, ["ord"])
             readings = readings.withColumn("scope", F.lit("ALL") if self.scope == "ALL" else F.col("guid"))
-            self._process(led, readings, answers, batch_id, after, put, cache)
+            self._process(led, readings, answers, batch_id, before, put, cache, keep_run)
         finally:
             for rows in cached:
                 rows.unpersist()
@@ -196,9 +202,9 @@ class AnomalyStream:
         return docs, lost
 
     def _process(self, led: Ledger, readings: DataFrame, answers: DataFrame | None, batch_id: int,
-                 after: dict, put: Callable, cache: Callable) -> None:
+                 before: dict, put: Callable, cache: Callable, keep_run: Callable) -> None:
         sensors = KeyedLog(led, "sensors", KEY, SENSORS_SCHEMA)
-        runs = after["runs"].get("sensors", [])
+        runs = before["runs"].get("sensors", [])
         # (written by tasks, counted by the broadcast bound: scope ALL has one key per sensor)
         cur = cache(batch_partials(readings.withColumn("batch", F.lit(batch_id))))
         n = cur.count()
@@ -210,12 +216,12 @@ class AnomalyStream:
             # the batch's run holds one row per key, with its band: it doubles as the table of
             # thresholds; readers of the state select its columns
             thr, path = sensors.append(runs, batch_id, merged)
-            after["runs"]["sensors"] = sensors.settle(runs, batch_id, path, thr.count())
+            keep_run(sensors, path, thr.count())
             put("events", self._events(readings, thr, small))
         else:
             put("events", None)
         put("statistics", thr and thr.select(*KEY, "n", "n_b", "mean", "std", "lo", "hi"))
-        self._alarm(led, thr, answers, small, batch_id, after, put, cache)
+        self._alarm(led, thr, answers, small, batch_id, before, put, cache, keep_run)
 
     def _merge(self, prev: DataFrame, cur: DataFrame) -> DataFrame:
         cur = cur.withColumnsRenamed({"n": "n_b"}).drop("batch")
@@ -261,11 +267,11 @@ class AnomalyStream:
                          F.col("ord.idx").alias("idx"), "guid", "x", "lo", "hi", "state", kind.alias("kind")))
 
     def _alarm(self, led: Ledger, thr: DataFrame | None, answers: DataFrame | None, small: bool,
-               batch_id: int, after: dict, put: Callable, cache: Callable) -> None:
+               batch_id: int, before: dict, put: Callable, cache: Callable, keep_run: Callable) -> None:
         """One step of the alarm of every scope with readings, after the answers that came in. Only
         scopes with readings or answers are read and written."""
         log = KeyedLog(led, "alarm", ["scope"], ALARM_SCHEMA)
-        runs = after["runs"].get("alarm", [])
+        runs = before["runs"].get("alarm", [])
         asked = None if thr is None else thr.select("scope")
         if answers is not None:
             answers = cache(answers.where(F.col("batch_id") < batch_id))
@@ -315,7 +321,7 @@ class AnomalyStream:
                        F.when(send_on, F.lit("ON")).when(send_off, F.lit("OFF")).alias("command"),
                        F.when(send_on, F.lit(ALARM_CODE_ON)).when(send_off, F.lit(ALARM_CODE_OFF)).alias("code"))
         res, path = log.append(runs, batch_id, res)  # state + this batch's step
-        after["runs"]["alarm"] = log.settle(runs, batch_id, path, res.count())
+        keep_run(log, path, res.count())
         cmds = (res.where(F.col("command").isNotNull())
                    .select("scope", "command", "code", F.col("alarm_type").alias("warning"), "alarm"))
         if put("commands", cmds) and self.command_sink is not None:
