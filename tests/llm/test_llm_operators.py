@@ -5,6 +5,7 @@ import random
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -321,6 +322,33 @@ def test_quality_odd(spark, odd):
     assert quality_knn.classify(docs_of(spark, []), tables).count() == 0
 
 
+def test_quality_scores_match_brute_force(spark):
+    """Neighbour by neighbour, for every document of the small table."""
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    t = quality_knn.fit(docs, spark.read.parquet(f"{SF_SMALL}/labels.parquet"), sample=50)
+    assert len(t["labels"]) == 50
+    texts = brute.table(SF_SMALL, "documents", "doc_id, text")
+    got = {r.doc_id: r.score for r in quality_knn.classify(docs, t).collect()}
+    for i, text in texts:
+        x, empty = quality_knn.features(pa.array([text or ""]))
+        v = (x[0] * t["weight"] - t["mean"]) @ t["axis"]
+        cosines = [float(v @ s) / max(float(np.linalg.norm(v)), 1e-12) for s in t["sample"]]
+        best = sorted(range(50), key=lambda j: -cosines[j])[:quality_knn.NEIGHBOURS]
+        w = [max(cosines[j], 0.0) ** 2 for j in best]
+        vote = (sum(a * t["labels"][j] for a, j in zip(w, best)) + 0.1 * t["base"]) / (sum(w) + 0.1)
+        assert got[i] == pytest.approx(t["base"] if empty[0] else vote, abs=2e-3)
+
+
+def test_quality_sample_has_each_id_once(spark):
+    """Repeated documents change neither the sample nor its share of labels."""
+    docs = spark.createDataFrame([(i, f"text number {i} " * 9) for i in range(400)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)], "doc_id long, quality int")
+    one = quality_knn.fit(docs, labels, sample=200)
+    three = quality_knn.fit(docs.unionByName(docs).unionByName(docs), labels, sample=200)
+    assert len(three["labels"]) == 200 and three["labels"].tolist() == one["labels"].tolist()
+    assert 0.35 < three["base"] < 0.65
+
+
 # -- op5 ---------------------------------------------------------------------------------------
 def brute_top(rows, every, k, scale):
     ok = {i: np.floor(scale * np.array(v, float)).astype(int) for i, v in rows
