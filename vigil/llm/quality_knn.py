@@ -125,7 +125,7 @@ def fold(id_col: Column, folds: int = FOLDS) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id",
         text_col: str = "text", label_col: str = "quality") -> dict:
     """Fit on at most ``sample`` labelled ids outside fold 0: those of the smallest hashes,
-    whatever their label. An id that several rows have counts once, with its first text in order.
+    whatever their label. An id that several rows have counts once, with the first of their vectors.
     Labels other than 0 and 1, ids that are labelled both ways and null ids are left out. Without
     labelled rows the classifier says 0.5."""
     marks = (labels.filter(F.col(label_col).isin(0, 1) & (fold(F.col(id_col)) != 0))
@@ -136,18 +136,18 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
     found = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(
         F.broadcast(marks.join(docs.select(F.col(id_col).alias("_id")), "_id", "left_semi")
                     .orderBy(F.xxhash64("_id"), "_id").limit(sample)), "_id")
-    found = found.groupBy("_id", "_label").agg(F.min(F.coalesce("_text", F.lit(""))).alias("_text"))
-    schema = arrow_schema("label int, x binary")
+    schema = arrow_schema("id string, label int, x binary")
 
     def run(batches):
         for rb in batches:
             for i, j in by_bytes(flat(rb.column(0))[1]):
                 x, _ = features(rb.column(0).slice(i, j - i))
-                yield batch(schema, rb.column(1).slice(i, j - i),
+                yield batch(schema, rb.column(2).slice(i, j - i), rb.column(1).slice(i, j - i),
                             [r.astype(np.float16).tobytes() for r in x])
 
-    rows = (found.select("_text", F.col("_label").cast("int"))
-            .mapInArrow(run, "label int, x binary").orderBy("label", "x").toArrow())
+    rows = (found.select("_text", F.col("_label").cast("int"), F.col("_id").cast("string"))
+            .mapInArrow(run, "id string, label int, x binary")
+            .groupBy("id", "label").agg(F.min("x").alias("x")).orderBy("label", "x").toArrow())
     if not rows.num_rows:
         return {}
     x = np.frombuffer(b"".join(rows.column("x").to_pylist()), np.float16)
