@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,10 @@ from vigil.operators import baseline, lines, summary, words
 from vigil.operators.breach import plan_breaches
 from vigil.plans import feeds
 from vigil.plans.sensors import settle
+from vigil.session import ensure_checkpoint_dir
 from vigil.sources.framing import decode_records, readings_of, reassemble
+from vigil.sources.messages import read_lines
+from vigil.sources.splits import read_objects
 from vigil.sources.tables import events, message_readings, read_table, wide_messages
 
 DP = 4
@@ -63,6 +68,29 @@ def decode_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(None).cast("double").alias("temperature"), F.col("value").alias("text"), "reason"))
 
 
+def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages of JSON files that the query writes: most in one file on a single line, every fifth
+    pretty-printed in another."""
+    root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vigil-files/{uuid.uuid4().hex}"
+    m = wide_messages(events(spark, sf_dir))
+    fifth = F.coalesce(F.col("ord") % 5 == 0, F.lit(False))
+    (m.where(~fifth).select(F.to_json("msg")).coalesce(1).write.option("lineSep", ",").text(f"{root}/line"))
+    (m.where(fifth).select(F.to_json("msg", {"pretty": "true"})).coalesce(1).write.option("lineSep", " ,\n")
+     .text(f"{root}/pretty"))
+    docs, lost = read_objects(spark, root)
+    msgs, bad = decode_records(docs, keep=["offset"])
+    good = _projection(msgs, F.lit(None).cast("long")).drop("ord").withColumn("reason", F.lit(None).cast("string"))
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in good.dtypes if c != "reason"]
+    return good.unionByName(lost.select(*nothing, "reason")).unionByName(bad.select(*nothing, "reason"))
+
+
+def read_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Word total of text files that the query writes, read line by line."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/vigil-files/{uuid.uuid4().hex}"
+    read_table(spark, sf_dir, "documents").select("text").write.text(path)
+    return words.word_total(read_lines(spark, path), "value")
+
+
 def sensor_array(spark: SparkSession, sf_dir: str) -> DataFrame:
     msgs, _ = decode_records(feeds.sensor_array_records(events(spark, sf_dir)), keep=["offset"])
     r = readings_of(msgs.withColumnRenamed("offset", "ord"), ["ord"])

@@ -299,6 +299,8 @@ ORACLE["stream_line_sums"] = _sliced(ORACLE["batch_sum"]).replace("SELECT batch,
 ORACLE["stream_word_counts"] = """
 SELECT CAST(((coalesce(doc_id, 0) % 3) + 3) % 3 AS BIGINT) AS batch_id, word, count(*) AS n
 FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS word FROM documents) GROUP BY 1, 2"""
+ORACLE["read_documents"] = _with(MSG) + PROJECTION.replace("SELECT ord, guid", "SELECT CAST(NULL AS VARCHAR) AS reason, guid")
+ORACLE["read_text"] = ORACLE["word_total"]
 ORACLE["stream_reassemble"] = _with(MSG) + """
 SELECT ord, guid, CAST(NULL AS VARCHAR) AS reply_url, temperature, 25.0 + k / 20.0 AS pressure, k AS humidity,
        255.0 - temperature AS ambient_light FROM m"""

@@ -25,6 +25,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_reassemble": B.json_reassemble,
     "reassemble_rejects": B.reassemble_rejects,
     "decode_mixed": B.decode_mixed,
+    "read_documents": B.read_documents,
+    "read_text": B.read_text,
     "sensor_array": B.sensor_array,
     "rejects": B.rejects,
     "distinct_float": B.distinct_float,

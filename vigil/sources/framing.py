@@ -372,8 +372,8 @@ def carried_line(depth: Column, last: Column) -> Column:
                     F.when(last == "{", "").otherwise(F.coalesce(last, F.lit(""))))
 
 
-def assemble(parts: DataFrame, by: tuple[str, ...] = BY,
-             order: str = "offset") -> tuple[DataFrame, DataFrame, DataFrame]:
+def assemble(parts: DataFrame, by: tuple[str, ...] = BY, order: str = "offset",
+             between: str = "\n") -> tuple[DataFrame, DataFrame, DataFrame]:
     """``line_pieces`` -> (documents, unfinished, lost), see ``reassemble``."""
     by = list(by)
     whole = F.col("kind") == "whole"
@@ -383,15 +383,15 @@ def assemble(parts: DataFrame, by: tuple[str, ...] = BY,
             .groupBy(*by, "_m", F.when(whole, F.col("part")).alias("_w"))
             .agg(F.array_sort(F.collect_list(line)).alias("_l"))
             .select(*by, F.col("_m").alias(order), F.col("_l")[0]["part"].alias("part"),
-                    F.array_join(F.transform("_l", lambda v: v["value"]), "\n").alias("value")))
+                    F.array_join(F.transform("_l", lambda v: v["value"]), between).alias("value")))
     unfinished = parts.where(F.col("_fate") == "unfinished").select(*by, order, "value")
     lost = parts.where(F.col("_fate").isin("malformed", "unclosed")).select(
         *by, order, "value", F.col("_fate").alias("reason"))
     return docs, unfinished, lost
 
 
-def reassemble(records: DataFrame, by: tuple[str, ...] = BY,
-               order: str = "offset") -> tuple[DataFrame, DataFrame, DataFrame]:
+def reassemble(records: DataFrame, by: tuple[str, ...] = BY, order: str = "offset",
+               between: str = "\n") -> tuple[DataFrame, DataFrame, DataFrame]:
     """Line records -> (documents, unfinished, lost).
 
     documents: by cols + order (of the line where the message begins) + ``part`` (its place among
@@ -400,8 +400,8 @@ def reassemble(records: DataFrame, by: tuple[str, ...] = BY,
     carries them into the next batch, a table rejects them. ``lost``: by cols + order + value +
     reason, every piece that belongs to no closed message: text outside messages ('malformed') and
     the lines of a message that a fresh start cut off ('unclosed'). Lines of messages that never
-    close are never collected into one group."""
-    return assemble(line_pieces(framed_lines(records, by, order), by, order), by, order)
+    close are never collected into one group. ``between`` stood between the lines."""
+    return assemble(line_pieces(framed_lines(records, by, order), by, order), by, order, between)
 
 
 def field_reading(msg: Column, field: str) -> Column:
