@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import unicodedata
 
 import duckdb
 import numpy as np
@@ -213,7 +214,7 @@ def test_bpe_matches_library(spark, library, odd):
         assert codec.decode(g) == library.decode(w.ids, skip_special_tokens=False)
     short = [t for t in texts if len(t) < 400][:200]
     long_way = bpe.WordBpe(bpe.load(bpe.default_vocabulary()))
-    for w in {w for t in short for w in long_way.pattern.findall(long_way.normal(t))}:
+    for w in {w for t in short for w in long_way.pattern.findall(bpe.normal(t))}:
         raw = np.frombuffer(w.encode(), np.uint8)
         parts = long_way.t["inner"][raw]
         parts[-1] = long_way.t["last"][raw[-1]]

@@ -77,11 +77,36 @@ def load(path: str) -> dict:
     symbols = byte_symbols()
     pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"]
                    if p["type"] == "Split")
+    bare = json.dumps(spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []})
     return {"names": names, "key": key[order], "rank": order.astype(np.int32), "made": made,
             "inner": np.array([vocab.get(s, -1) for s in symbols], np.int32),
             "last": np.array([vocab.get(s + end, -1) for s in symbols], np.int32),
-            "special": special, "pattern": pattern, "spec": json.dumps(
-                spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []})}
+            "special": special, "pattern": pattern, "spec": bare, "different": different(bare)}
+
+
+_DIFFERENT: dict[str, frozenset] = {}
+
+
+def normal(s: str) -> str:
+    if not s.isascii():
+        s = unicodedata.normalize("NFC", s).replace("Σ", "σ")  # no final sigma
+    return s.lower()
+
+
+def different(spec: str) -> frozenset:
+    """Characters that the library's normaliser and Python's tables may treat differently, found by
+    putting all of them through both: alone, taken apart into base and marks, and, for marks,
+    beside a mark that sorts first and one that sorts last."""
+    if spec not in _DIFFERENT:
+        from tokenizers import Tokenizer
+        known = [chr(c) for c in range(0x80, 0x110000) if unicodedata.category(chr(c)) not in ("Cn", "Co", "Cs")]
+        known = [c for c in known if not c.isspace()]
+        tests = known + [unicodedata.normalize("NFD", c) for c in known if unicodedata.decomposition(c)[:1] not in ("", "<")]
+        tests += [x for c in known if unicodedata.category(c)[0] == "M" for x in (c + "\u0334", "\u0345" + c)]
+        library = Tokenizer.from_str(spec).normalizer.normalize_str("\x01".join(tests)).split("\x01")
+        own = normal("\x01".join(tests)).split("\x01")
+        _DIFFERENT[spec] = frozenset("".join(t for t, a, b in zip(tests, library, own, strict=True) if a != b))
+    return _DIFFERENT[spec]
 
 
 class WordBpe:
@@ -206,11 +231,6 @@ class WordBpe:
             self.words[words[i]] = ids.astype("<u4").tobytes()
 
     # -- texts --------------------------------------------------------------------------
-    def normal(self, s: str) -> str:
-        if not s.isascii():
-            s = unicodedata.normalize("NFC", s).replace("Σ", "σ")  # no final sigma
-        return s.lower()
-
     def learn_chunks(self, chunks: list[str]) -> None:
         """Put the ids of distinct new space-free chunks into the cache."""
         if len(self.words) > CACHE:
@@ -226,8 +246,8 @@ class WordBpe:
                     else self.chunks[p] for p in pieces if p)
         joined = "\n".join(plain)
         if not joined.isascii():
-            late = [c for c in set(joined) if unicodedata.category(c) == "Cn"]
-            if late:  # younger than Python's character tables: split by the library's own
+            late = [c for c in set(joined) if c in self.t["different"] or unicodedata.category(c) == "Cn"]
+            if late:  # other character tables than Python's: split by the library's own
                 new_ones = regex.compile("[" + "".join(map(regex.escape, late)) + "]")
                 for c in [c for c in plain if new_ones.search(c)]:
                     words = self.library_words(c)
@@ -236,7 +256,7 @@ class WordBpe:
                 plain = [c for c in plain if not new_ones.search(c)]
                 joined = "\n".join(plain)
         split = []
-        for s in self.normal(joined).split("\n") if plain else ():
+        for s in normal(joined).split("\n") if plain else ():
             if s.isalpha():
                 split.append((s,))
             elif s[-1] in PUNCTUATION and s[:-1].isalpha():
@@ -249,8 +269,8 @@ class WordBpe:
             self.chunks[c] = words[s[0]] if len(s) == 1 else b"".join([words[w] for w in s])
 
     def library_words(self, chunk: str) -> list[str]:
-        """Words of a chunk with characters that Python's Unicode tables do not know yet, by the
-        normaliser and word splitter of the tokenizers library (newer tables)."""
+        """Words of a chunk with characters that Python's Unicode tables do not know or treat
+        otherwise, by the normaliser and word splitter of the tokenizers library."""
         from tokenizers import Tokenizer
         whole = Tokenizer.from_str(self.t["spec"])
         text = whole.normalizer.normalize_str(chunk)
