@@ -222,6 +222,17 @@ def test_bpe_matches_library(spark, library, odd):
         assert long_way.merge_long(parts).astype("<u4").tobytes() == codec.words[w]
 
 
+def test_bpe_of_marks_that_character_tables_disagree_on(library):
+    """Any marks in any order, some unknown to the library, some to Python."""
+    rnd, codec = random.Random(9), bpe.WordBpe(bpe.load(bpe.default_vocabulary()))
+    marks = [chr(c) for c in range(0x300, 0x20000) if unicodedata.category(chr(c))[0] in "MC" and not 0xD800 <= c < 0xE000]
+    texts = ["\u1ac0\u0301", "a\u0301\u1ac0 b"] + ["".join(
+        rnd.choice(["a", "É", "Σ", " ", "İ", rnd.choice(marks), rnd.choice(marks)]) for _ in range(rnd.randint(1, 9)))
+        for _ in range(6000)]
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [np.frombuffer(x, "<u4").tolist() for x in codec.encode(texts)] == want
+
+
 def test_bpe_tables(spark, library, odd):
     docs = docs_of(spark, odd)
     ids = bpe.encode(docs)
