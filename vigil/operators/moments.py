@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.functions.exact import exact_sums, mean_and_squares
+from vigil.functions.exact import limb_sums, with_limbs, with_moments
 from vigil.functions.joins import null_safe_join
 from vigil.functions.scan import RunSpec, running
 from vigil.schema import SIGMAS
@@ -28,7 +28,7 @@ def batch_partials(readings: DataFrame) -> DataFrame:
     """One row per (scope, sensor, batch); map-side partial aggregation, so a hot key costs
     one partial row per map task. The sums are exact, so thresholds made of them, and breaches of
     readings that lie right at one, do not depend on how the readings are dealt to tasks."""
-    g = readings.groupBy(*KEY, "batch").agg(
+    g = with_limbs(readings.select(*KEY, "batch", "ord", "x"), "x").groupBy(*KEY, "batch").agg(
         F.count("x").alias("n"),
         F.sum("x").alias("_sum"),
         F.avg("x").alias("_avg"),
@@ -36,14 +36,13 @@ def batch_partials(readings: DataFrame) -> DataFrame:
         F.min("x").alias("x_min"),
         F.max("x").alias("x_max"),
         F.min_by("x", "ord").alias("x_first"),
-        F.max_by("x", "ord").alias("x_last"), *exact_sums(F.col("x")))
+        F.max_by("x", "ord").alias("x_last"), *limb_sums())
     const, exact = F.col("x_min") == F.col("x_max"), F.col("_large") == 0
-    total, mean, squares = mean_and_squares(F.col("n"))
-    return g.select(
-        *KEY, "batch", "n", F.when(exact, total).otherwise(F.col("_sum")).alias("sum_b"),
+    return with_moments(g, "n").select(
+        *KEY, "batch", "n", F.when(exact, F.col("_total")).otherwise(F.col("_sum")).alias("sum_b"),
         "x_min", "x_max", "x_first", "x_last",
-        F.when(const, F.col("x_min")).when(exact, mean).otherwise(F.col("_avg")).alias("mean_b"),
-        F.when(const, F.lit(0.0)).when(exact, squares).otherwise(F.col("_vp") * F.col("n")).alias("m2_b"))
+        F.when(const, F.col("x_min")).when(exact, F.col("_mean")).otherwise(F.col("_avg")).alias("mean_b"),
+        F.when(const, F.lit(0.0)).when(exact, F.col("_squares")).otherwise(F.col("_vp") * F.col("n")).alias("m2_b"))
 
 
 def running_moments(partials: DataFrame, sigmas: float = SIGMAS) -> DataFrame:
