@@ -96,12 +96,12 @@ def test_old_state_is_pruned(spark, tmpdir_path):
     root = os.path.join(tmpdir_path, "out")
     recs = feeds.json_records(events(spark, SF_SMALL)).drop("batch")
     proc = AnomalyStream(root, keep_batches=2)
-    for i in range(8):
+    for i in range(6):
         proc(recs.where((F.col("offset") >= 25 * i) & (F.col("offset") < 25 * (i + 1))), i)
     led = Ledger(spark, root)
     for name in ("sensors", "alarm"):
-        named = {r["path"] for i in (6, 7) for r in led.manifest(i)["runs"][name]}
+        named = {r["path"] for i in (4, 5) for r in led.manifest(i)["runs"][name]}
         kept = {f"{name}/{d}" for d in os.listdir(os.path.join(root, name)) if d.startswith("run=")}
-        spent = {p for i in (6, 7) for p in led.manifest(i)["spent"]}
+        spent = {p for i in (4, 5) for p in led.manifest(i)["spent"]}
         assert named <= kept <= named | spent, (name, kept)
-        assert proc.state(spark, name, 6).count() == proc.state(spark, name, 7).count() > 0
+        assert proc.state(spark, name, 4).count() == proc.state(spark, name, 5).count() > 0

@@ -108,7 +108,7 @@ def test_runs_of_like_size_meet(spark, tmpdir_path):
 
 
 # -- a batch is published whole ---------------------------------------------------------------
-@pytest.mark.parametrize("fails", ["events", "statistics", "commands", "commit"])
+@pytest.mark.parametrize("fails", ["events", "commit"])
 def test_readers_see_a_batch_whole_or_not_at_all(spark, tmpdir_path, monkeypatch, fails):
     proc = AnomalyStream(os.path.join(tmpdir_path, "out"), values=True)
     proc(batch(spark, [70] * 30), 0)

@@ -115,7 +115,7 @@ def _by_lines(spark, proc, batches):
 
 def test_a_message_over_many_batches_is_written_once(spark, tmpdir_path):
     """One line a batch: the text of the open message stays in the chunks of its batches."""
-    out, n = os.path.join(tmpdir_path, "out"), 8
+    out, n = os.path.join(tmpdir_path, "out"), 6
     proc = AnomalyStream(out, framing="lines", values=True, keep_batches=2 * n)
     body = [f'"x{i}": "{"y" * 1000} }}{{ {i}",' for i in range(n - 2)]
     _by_lines(spark, proc, [['{"guid": "long",'], *[[b] for b in body], ['"payload": {}}', '{"guid": "next"}']])
