@@ -9,6 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from vigil.functions.sizing import materialize
 from vigil.plans import feeds
 from vigil.plans.sensors import r4, settle
 from vigil.session import ensure_checkpoint_dir
@@ -114,7 +115,7 @@ def stream_reassemble(spark: SparkSession, sf_dir: str) -> DataFrame:
         "topic", "partition", "offset", "value", later.alias("slice"))
     root = _root(spark)
     process = AnomalyStream(f"{root}/out", framing="lines", values=True)
-    _stream(spark, records, process, root)
+    _stream(spark, materialize(records, "lines"), process, root)
     v = process.output(spark, "values")
     return v.select(F.expr(f"offset div {feeds.LINE_SLOTS}").alias("ord"), "guid", "reply_url", "temperature",
                     "pressure", "humidity", "ambient_light")
