@@ -138,6 +138,37 @@ def test_jaccard_join_matches_brute_force(spark):
     assert got == want
 
 
+def test_sketches_lose_no_similar_pair():
+    rng = np.random.default_rng(7)
+    sets, near, far = [], 0, 0
+    for n in (1, 2, 9, 80, 90, 300, 345, 1400, 9000):  # similar pairs of unlike sketch lengths too
+        base = rng.integers(0, 2**63, n, dtype=np.uint64)
+        for change in (0, 0.05, 0.1, 0.112, 0.2, 0.6):
+            other = base.copy()
+            k = int(n * change)
+            other[:k] = rng.integers(0, 2**63, k, dtype=np.uint64)
+            more = rng.integers(0, 2**63, int(n * rng.choice([0, 0.05])), dtype=np.uint64)
+            sets.append((np.unique(base), np.unique(np.concatenate((other, more)))))
+    for a, b in sets:
+        shared = len(np.intersect1d(a, b))
+        similar = 100 * shared >= 80 * (len(a) + len(b) - shared)
+        size_a, size_b = np.array([len(a)]), np.array([len(b)])
+        may = jaccard_join.may_be_similar(jaccard_join.sketch(a)[None], jaccard_join.sketch(b)[None],
+                                          size_a, size_b, 80)[0]
+        assert may or not similar
+        near, far = near + similar, far + (not may)
+    assert near > 20 and far > 10
+
+
+def test_pivot_pairs_are_all_pairs(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAIRS_AT_ONCE", 7)
+    s, e = np.array([0, 1, 3, 13]), np.array([1, 3, 13, 30])
+    want = [(i, j) for a, b in zip(s, e) for i in range(a, b) for j in range(i + 1, b)]
+    got = [(int(p), int(q)) for first, last in ((0, 8), (8, jaccard_join.EVERY_PIVOT))
+           for ps, qs in jaccard_join._pivot_pairs(s, e, first, last) for p, q in zip(ps, qs)]
+    assert sorted(got) == sorted(want)
+
+
 def test_jaccard_join_odd_and_chains(spark, odd):
     rnd = random.Random(2)
     base = [f"t{i}" for i in range(400)]

@@ -7,7 +7,7 @@ partially before its shuffle, and the joins on it may be split by adaptive execu
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from vigil.llm.common import materialize
@@ -17,19 +17,21 @@ def components(edges: DataFrame) -> DataFrame:
     """``edges``: (a, b) of any one orderable type. Returns (node, label) for every node that is
     not the smallest of its component, ``label`` being that smallest node. Loops, repeated edges
     and nulls are dropped."""
-    star = materialize(edges.filter("a <> b").select(
-        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    state = _state(star)
+    star, state = _written(edges.filter("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     while True:
-        star = materialize(_small_star(_large_star(star)), "edges")
-        before, state = state, _state(star)
+        before = state
+        star, state = _written(_small_star(_large_star(star)))
         if state == before:
             return star.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def _state(e: DataFrame) -> tuple:
-    """Number and checksum of the (distinct) edges."""
-    return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first())
+def _written(e: DataFrame) -> tuple[DataFrame, dict]:
+    """The edges as a table, and their number and checksum, taken while they are written."""
+    seen = Observation()
+    out = materialize(e.observe(seen, F.count(F.lit(1)).alias("n"),
+                                F.bit_xor(F.xxhash64("a", "b")).alias("sum")), "edges")
+    return out, seen.get
 
 
 def _large_star(e: DataFrame) -> DataFrame:

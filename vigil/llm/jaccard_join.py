@@ -10,7 +10,8 @@ sets themselves decide.
 Candidates are not expanded into all pairs of a group. The smallest member is paired with the
 others (first inside each task, then between tasks). Only members of groups that are then still in
 several components go on, with the next members as pivots, until no pair across components is
-untested. The components are therefore those of all links.
+untested. There a bitmap of each set, sent along, bounds what two sets can share, and pairs that
+cannot be similar never become rows. The components are therefore those of all links.
 """
 
 from __future__ import annotations
@@ -39,7 +40,11 @@ PER_PART, LEAST = 6.5, 2
 # (average set size / FREQUENT) of them, whatever the input.
 FREQUENT = 0.002
 BLOCK = 4 << 20
-PIVOTS = 8  # each further round takes so many times the pivots of all rounds before
+# Pivots of a group's second round; a last round takes all others.
+PIVOTS, EVERY_PIVOT = 8, 1 << 30
+# Bits of a sketch for each feature of a set (rounded up to a power of two), and the least.
+SKETCH_BITS, LEAST_BITS = 3, 256
+PAIRS_AT_ONCE = 1 << 16
 
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
@@ -425,24 +430,26 @@ def _further(tested: DataFrame, texts: DataFrame, labels: DataFrame, frequent, s
                        .select("text", _short("key").alias("node"), _short("label").alias("label"),
                                "key"), "touched")
     names = left.select("node", "key")
-    first, last, longest = 0, 1, 2
-    while first < longest:
+    first, last, longest = 0, PIVOTS, PIVOTS + 1
+    while first < longest - 1:
         found = materialize(_across(left, first, last, n_buckets, frequent, n_words, percent), "across")
         longest = found.agg(F.max("longest")).first()[0] or 0
         pairs = (found.filter("a is not null").select("a", "b").distinct()
                  .join(names.select(F.col("node").alias("a"), F.col("key").alias("key_a")), "a")
                  .join(names.select(F.col("node").alias("b"), F.col("key").alias("key_b")), "b")
-                 .select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b")))
-        now = _labelled(pairs, labels, "a").withColumnRenamed("label", "label_a")
-        pairs = materialize(_labelled(now, labels, "b").filter("label <> label_a").select("a", "b")
-                            .distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(pairs)
+                 .select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+                 .distinct().join(tested, ["a", "b"], "left_anti"))
+        if first:  # labels have changed since the texts were labelled
+            now = _labelled(pairs, labels, "a").withColumnRenamed("label", "label_a")
+            pairs = _labelled(now, labels, "b").filter("label <> label_a").select("a", "b")
+        pairs = materialize(pairs, "pairs")
         new = materialize(links(pairs, texts, side, n_words, percent), "links")
         if not new.isEmpty():
             # the components so far, as stars, and the new links
             labels = components(labels.select(F.col("node").alias("a"), F.col("label").alias("b"))
                                 .union(new))
-        first, last = last, last * PIVOTS
+        tested = tested.union(pairs)
+        first, last = last, EVERY_PIVOT
     return labels
 
 
@@ -451,14 +458,58 @@ def _short(c: str):
     return F.conv(F.substring(F.hex(c), 1, 15), 16, 10).cast("long")
 
 
+def sketch_bytes(sizes: np.ndarray) -> np.ndarray:
+    """Bytes of the sketches of sets of these sizes: powers of two."""
+    bits = np.maximum(SKETCH_BITS * np.asarray(sizes, np.int64), LEAST_BITS)
+    return 1 << (np.ceil(np.log2(bits)).astype(np.int64) - 3)
+
+
+def sketch(s: np.ndarray) -> np.ndarray:
+    """Bitmap of the cells that the set's features fall into. A sketch folded in half (one half
+    or-ed with the other) is the sketch of half the length."""
+    bits = 8 * int(sketch_bytes(np.array([len(s)]))[0])
+    out = np.zeros(bits, np.uint8)
+    out[(s % np.uint64(bits)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little")
+
+
+def may_be_similar(a: np.ndarray, b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray,
+                   percent: int) -> np.ndarray:
+    """Mask of the rows whose sets may be similar, by sketches (rows of bytes). A cell that only
+    one of two sets falls into holds a feature that the other lacks, so no similar pair is lost."""
+    width = min(a.shape[1], b.shape[1])
+    a, b = (np.bitwise_or.reduce(x.reshape(len(x), -1, width), axis=1) for x in (a, b))
+    words = np.uint64 if width % 8 == 0 else np.uint8
+    a, b = np.ascontiguousarray(a).view(words), np.ascontiguousarray(b).view(words)
+    only_a, only_b = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (a & ~b, b & ~a))
+    shared = np.minimum(size_a - only_a, size_b - only_b)  # at most
+    return 100 * shared >= percent * (size_a + size_b - shared)
+
+
+def _pivot_pairs(starts: np.ndarray, ends: np.ndarray, first: int, last: int):
+    """Positions (pivot, later member) of the groups [start, end): of the pivots ``first`` to
+    ``last`` of each, in portions of about PAIRS_AT_ONCE."""
+    for k in range(first, min(last, int((ends - starts).max(initial=1)) - 1)):
+        live = ends - starts > k + 1
+        pivot, rest = starts[live] + k, (ends - starts)[live] - k - 1
+        at = np.concatenate(([0], np.cumsum(rest)))
+        for i, j in by_bytes(at, PAIRS_AT_ONCE):
+            n = rest[i:j]
+            place = np.arange(n.sum()) - np.repeat(at[i:j] - at[i], n)
+            p = np.repeat(pivot[i:j], n)
+            yield p, p + 1 + place
+
+
 def _across(left: DataFrame, first: int, last: int, n_buckets: int, frequent, n_words: int,
             percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes of one signature and unlike components, of sizes that may be similar,
-    with one among the group's pivots ``first`` to ``last``; in ``longest`` the size of the largest
-    group of several components. ``left``: text, node, label. Signatures travel packed. Pivots
+    """Pairs (a, b) of nodes of one signature and unlike components, which by their sizes and
+    sketches may be similar, with one among the group's pivots ``first`` to ``last``; in
+    ``longest`` the size of the largest group of several components. ``left``: text, node, label.
+    A bucket gets a node once, with its label, size and sketch, and its signatures packed. Pivots
     come in the order of how many such groups of the bucket a node is in: the text that others are
     copies of is in most, and as an early pivot it joins them."""
-    send_ddl = "bucket int, marks binary, nodes binary, labels binary, sizes binary"
+    send_ddl = ("bucket int, marks binary, places binary, nodes binary, labels binary, "
+                "sizes binary, sketches binary")
     send_schema = arrow_schema(send_ddl)
     out_schema = arrow_schema("a long, b long, longest long")
 
@@ -466,12 +517,17 @@ def _across(left: DataFrame, first: int, last: int, n_buckets: int, frequent, n_
         owner, mark = signatures(sets, percent, frequent.value)
         order, at = deal(((mark >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64), n_buckets)
         low = (mark & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-        node, label = np.array(nodes, np.int64)[owner], np.array(labels, np.int64)[owner]
-        size = np.array([len(s) for s in sets], np.int32)[owner]
-        full = np.flatnonzero(np.diff(at))
-        cols = [[x[order[at[b]:at[b + 1]]].tobytes() for b in full] for x in (low, node, label, size)]
-        return pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip((full, *cols), send_schema)], schema=send_schema)
+        node, label = np.array(nodes, np.int64), np.array(labels, np.int64)
+        size = np.array([len(s) for s in sets], np.int32)
+        drawn = [sketch(s).tobytes() for s in sets]
+        for b in np.flatnonzero(np.diff(at)):
+            mine = order[at[b]:at[b + 1]]
+            own, place = np.unique(owner[mine], return_inverse=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], f.type) for v, f in zip(
+                    (b, low[mine].tobytes(), place.astype(np.int32).tobytes(), node[own].tobytes(),
+                     label[own].tobytes(), size[own].tobytes(), b"".join(drawn[i] for i in own)),
+                    send_schema)], schema=send_schema)
 
     def send(batches):
         nodes, labels, sets, size = [], [], [], 0
@@ -483,35 +539,47 @@ def _across(left: DataFrame, first: int, last: int, n_buckets: int, frequent, n_
                 sets.append(s)
                 size += s.nbytes
                 if size >= BLOCK:
-                    yield block(nodes, labels, sets)
+                    yield from block(nodes, labels, sets)
                     nodes, labels, sets, size = [], [], [], 0
         if sets:
-            yield block(nodes, labels, sets)
+            yield from block(nodes, labels, sets)
 
     def meet(t: pa.Table) -> pa.Table:
         def joined(name, kind):
             return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
-        mark, node, label, size = (joined(n, k) for n, k in (
-            ("marks", np.uint32), ("nodes", np.int64), ("labels", np.int64), ("sizes", np.int32)))
-        order = np.lexsort((label, mark))
+        node, label, size = (joined(n, k) for n, k in (
+            ("nodes", np.int64), ("labels", np.int64), ("sizes", np.int32)))
+        size, drawn = size.astype(np.int64), joined("sketches", np.uint8)
+        wide = sketch_bytes(size)
+        where = np.cumsum(wide) - wide
+        shift = np.cumsum([0] + [len(x) // 8 for x in t.column("nodes").to_pylist()])
+        mark = joined("marks", np.uint32)
+        member = np.concatenate([np.frombuffer(x, np.int32) + n for x, n in zip(
+            t.column("places").to_pylist(), shift)])
+        order = np.lexsort((label[member], mark))
         s, e = runs(mark[order])
-        live = label[order][s] != label[order][e - 1]
+        live = label[member[order[s]]] != label[member[order[e - 1]]]
         keep = order[np.repeat(live, e - s)]
-        mark, node, label, size = (x[keep] for x in (mark, node, label, size))
-        _, number, often = np.unique(node, return_inverse=True, return_counts=True)
-        order = np.lexsort((node, -often[number] if len(node) else node, mark))
-        mark, node, label, size = (x[order] for x in (mark, node, label, size))
+        mark, member = mark[keep], member[keep]
+        often = np.bincount(member, minlength=len(node))
+        order = np.lexsort((node[member], -often[member], mark))
+        mark, member = mark[order], member[order]
         s, e = runs(mark)
         found = [np.zeros((0, 2), np.int64)]
-        for i, j in zip(s.tolist(), e.tolist()):
-            for p in range(i + first, min(i + last, j - 1)):
-                rest = slice(p + 1, j)
-                small, big = np.minimum(size[rest], size[p]), np.maximum(size[rest], size[p])
-                other = node[rest][(label[rest] != label[p])
-                                   & (100 * small.astype(np.int64) >= percent * big)]
-                found.append(np.stack((np.minimum(other, node[p]), np.maximum(other, node[p])), 1))
-        pairs = np.unique(np.concatenate(found), axis=0)
-        longest = int((e - s).max()) if len(s) else 0
+        for p, q in _pivot_pairs(s, e, first, last):
+            p, q = member[p], member[q]
+            small, big = np.minimum(size[p], size[q]), np.maximum(size[p], size[q])
+            may = (label[p] != label[q]) & (100 * small >= percent * big)
+            pair = np.unique(np.stack((np.minimum(p, q), np.maximum(p, q)), 1)[may], axis=0)
+            for shape in np.unique(wide[pair], axis=0):
+                same = pair[(wide[pair] == shape).all(axis=1)]
+                for i in range(0, len(same), PAIRS_AT_ONCE // 16):
+                    part = same[i:i + PAIRS_AT_ONCE // 16]
+                    a, b = (drawn[where[part[:, c], None] + np.arange(shape[c])] for c in (0, 1))
+                    found.append(part[may_be_similar(a, b, size[part[:, 0]], size[part[:, 1]],
+                                                     percent)])
+        pairs = np.unique(np.sort(node[np.concatenate(found)], axis=1), axis=0)
+        longest = int((e - s).max(initial=0))
         return pa.Table.from_arrays(
             [pa.array([*pairs[:, 0].tolist(), None], pa.int64()),
              pa.array([*pairs[:, 1].tolist(), None], pa.int64()),
