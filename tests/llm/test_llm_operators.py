@@ -423,6 +423,34 @@ def test_top_k(spark, monkeypatch, n, dim, k):
     assert dual_tree.top_k(table.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e5, 3e6, 1e12, 1e16])
+def test_top_k_of_large_components(spark, size):
+    rng = np.random.default_rng(int(size) % 97)
+    rows = [(i, (rng.normal(size=5) * size).tolist()) for i in range(120)]
+    rows += [(200 + i, [x + j / 64 for j, x in enumerate(rows[i][1])]) for i in range(40)]  # near ties
+    rows += [(400, [1e300] + [0.0] * 4), (420, [-1e19] + [1.0] * 4)]  # beyond a long: take no part
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    whole = {i: [int(np.floor(64 * x)) for x in v] for i, v in rows if i < 400}
+    want = set()
+    for q in (i for i in whole if i % 20 == 0):
+        found = sorted((-min(max(sum(a * b for a, b in zip(whole[q], v)), -2**63 + 1), 2**63 - 1), i)
+                       for i, v in whole.items() if i != q)[:7]
+        want |= {(q, n + 1, i, -s) for n, (s, i) in enumerate(found)}
+    assert {tuple(r) for r in dual_tree.top_k(table, 20, 7, 64).collect()} == want
+
+
+def test_cover_tree_radii_shrink():
+    rng = np.random.default_rng(3)
+    tree = dual_tree.build(np.rint(rng.normal(size=(3000, 16)) * 400), np.arange(3000))
+    nodes, radius = tree["nodes"], tree["radius"]
+    inner = np.flatnonzero(nodes[:, 3])
+    assert len(inner)
+    for i in inner:
+        kids = slice(nodes[i, 2], nodes[i, 2] + nodes[i, 3])
+        assert (radius[kids] <= radius[i] / dual_tree.BASE).all()
+    assert sorted(tree["ids"]) == list(range(3000))
+
+
 def test_search_prunes():
     rng = np.random.default_rng(0)
     centres = rng.normal(size=(40, 6)) * 500

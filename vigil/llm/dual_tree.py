@@ -6,7 +6,8 @@ shrink by a constant factor from level to level; centres of one level are furthe
 their radius). Two trees are searched as one: a pair of nodes is skipped when the best product
 that their balls allow, <q, r> + |q| R(r) + |r| R(q) + R(q) R(r), is below the worst k-th score in
 the query node. Blocks meet first with the most promising block, then with every block whose
-roots that bound cannot rule out; nothing is approximated.
+roots that bound cannot rule out; nothing is approximated. Bounds are taken in floats and raised
+by more than their rounding; scores are whole numbers of any size.
 """
 
 from __future__ import annotations
@@ -26,9 +27,14 @@ TOP, EVERY, SCALE = 20, 20, 64
 DATA_BLOCK, QUERY_BLOCK = 4096, 512
 # Pivots at most (the upper level that queries and data share) and the sample they come from.
 PIVOTS, PIVOT_SAMPLE = 256, 4096
-LEAF, BASE, FAN_OUT = 64, 1.3, 48
-# Scores are whole numbers, so bounds may be off by less than one half from rounding.
-SLACK = 0.5
+LEAF, BASE = 64, 1.3
+# Bounds are floats: they are raised by a half and by this share of the balls' extents for each
+# component, which covers their rounding. Scores are whole numbers and exact.
+SLACK, ROUNDING = 0.5, 2.0 ** -48
+# Scores are clamped to (NONE, MOST]; NONE stands for no score.
+NONE, MOST = np.iinfo(np.int64).min, np.iinfo(np.int64).max
+# Scaled components beyond this do not take part.
+LARGEST = 2.0 ** 62
 
 
 # -- one tree ---------------------------------------------------------------------------------
@@ -54,7 +60,7 @@ def farthest_first(points: np.ndarray, start: int, reach: float, limit: int
 def build(points: np.ndarray, ids: np.ndarray) -> dict:
     """Cover tree over points (rows). Nodes are rows of ``nodes``: first point, end, first child,
     number of children; ``centre`` and ``radius`` are theirs; points are stored in node order."""
-    points = points.astype(np.float64)
+    exact, points = points.astype(np.int64), points.astype(np.float64)
     order: list[np.ndarray] = []
     rows: list[list] = []
     rows.append([0, 0, 0, 0])
@@ -68,7 +74,7 @@ def build(points: np.ndarray, ids: np.ndarray) -> dict:
         if len(own) <= LEAF or reach == 0:
             leaves[node] = own
             continue
-        centres, owner, _ = farthest_first(sub, start, reach / BASE, FAN_OUT)
+        centres, owner, _ = farthest_first(sub, start, reach / BASE, len(sub))
         rows[node][2:] = [len(rows), len(centres)]
         for c, at in enumerate(centres):
             members = np.flatnonzero(owner == c)
@@ -85,20 +91,32 @@ def build(points: np.ndarray, ids: np.ndarray) -> dict:
             at += len(leaves[node])
         stack += range(rows[node][2], rows[node][2] + rows[node][3])
     order_ = np.concatenate(order)
-    return {"points": points[order_], "ids": ids[order_], "nodes": np.array(rows, np.int64),
+    return {"points": exact[order_], "ids": ids[order_], "nodes": np.array(rows, np.int64),
             "centre": np.array(centre), "radius": np.array(radius),
             "norm": np.linalg.norm(np.array(centre), axis=1)}
 
 
+def products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of all rows of two integer matrices, exact; clamped to what a long holds."""
+    largest = (max(1, int(a.max(initial=0)), -int(a.min(initial=0)))
+               * max(1, int(b.max(initial=0)), -int(b.min(initial=0))) * a.shape[1])
+    if largest < 2 ** 53:  # every partial sum is exact
+        return (a.astype(np.float64) @ b.astype(np.float64).T).astype(np.int64)
+    if largest < 2 ** 63:
+        return a @ b.T
+    out = a.astype(object) @ b.astype(object).T  # Python's integers
+    return np.clip(out, NONE + 1, MOST).astype(np.int64)
+
+
 class Best:
     """The k best (score, id) of each query so far; ties go to the smaller id."""
 
     def __init__(self, query_ids: np.ndarray, k: int):
         self.query_ids, self.k = query_ids, k
         n = len(query_ids)
-        self.score = np.full((n, k), -np.inf)
+        self.score = np.full((n, k), NONE)
         self.id = np.full((n, k), np.iinfo(np.int64).max)
-        self.worst = np.full(n, -np.inf)
+        self.worst = np.full(n, NONE)
 
     def offer(self, a: int, b: int, scores: np.ndarray, ids: np.ndarray) -> None:
         """Scores of the queries a to b with the vectors of these ids."""
@@ -109,7 +127,7 @@ class Best:
             return
         touched = np.unique(q)
         width = np.bincount(q, minlength=b - a)[touched].max()
-        new_s = np.full((len(touched), width), -np.inf)
+        new_s = np.full((len(touched), width), NONE)
         new_i = np.full((len(touched), width), np.iinfo(np.int64).max)
         first = np.searchsorted(q, touched)
         place = np.arange(len(q)) - np.repeat(first, np.diff(np.append(first, len(q))))
@@ -118,15 +136,19 @@ class Best:
         at = touched + a
         s = np.concatenate((self.score[at], new_s), 1)
         i = np.concatenate((self.id[at], new_i), 1)
-        order = np.lexsort((i, -s), axis=1)[:, :self.k]
+        order = np.lexsort((i, ~s), axis=1)[:, :self.k]  # ~s falls as s rises, without overflow
         self.score[at] = np.take_along_axis(s, order, 1)
         self.id[at] = np.take_along_axis(i, order, 1)
         self.worst[at] = np.maximum(self.worst[at], self.score[at, -1])
 
 
 def bound(centre, radius, norm, other, other_radius, other_norm):
-    """Largest inner product that two balls allow (arrays over the first ball's nodes)."""
-    return centre @ other + norm * other_radius + other_norm * radius + radius * other_radius
+    """Largest inner product that two balls allow (arrays over the first ball's nodes), raised by
+    what rounding may take away."""
+    extent = (norm + radius) * (other_norm + other_radius)
+    most = (centre @ other + norm * other_radius + other_norm * radius + radius * other_radius
+            + SLACK + ROUNDING * len(other) * extent)
+    return np.maximum(most, float(NONE))  # as clamped as scores are
 
 
 def search(queries: dict, data: dict, best: Best) -> int:
@@ -142,12 +164,13 @@ def search(queries: dict, data: dict, best: Best) -> int:
     while stack:
         q, r, most = stack.pop()
         a, b = span[q]
-        if most + SLACK < best.worst[a:b].min():
+        if most < float(best.worst[a:b].min()):
             continue
         q_kids, r_kids = q_nodes[q, 3], r_nodes[r, 3]
         if not q_kids and not r_kids:
             c, d = r_nodes[r, :2]
-            best.offer(a, b, queries["points"][a:b] @ data["points"][c:d].T, data["ids"][c:d])
+            best.offer(a, b, products(queries["points"][a:b], data["points"][c:d]),
+                       data["ids"][c:d])
             met += 1
         elif r_kids and (not q_kids or data["radius"][r] >= queries["radius"][q]):
             kids = np.arange(r_nodes[r, 2], r_nodes[r, 2] + r_kids)
@@ -172,7 +195,8 @@ def _spans(nodes: np.ndarray) -> np.ndarray:
 # -- on Spark ---------------------------------------------------------------------------------
 def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> DataFrame:
     """(id, v): floor(scale * x) of each component, as 64-bit integers in bytes. Rows with a null
-    id, or a vector that is null, empty or holds a null or non-finite component, are left out."""
+    id, or a vector that is null, empty or holds a null or non-finite component, or one beyond
+    LARGEST when scaled, are left out."""
     schema = arrow_schema("id long, v binary")
 
     def run(batches):
@@ -183,10 +207,11 @@ def scaled(vectors: DataFrame, id_col: str, vector_col: str, scale: int) -> Data
                 for i, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
                     if i is None or not v or any(x is None for x in v):
                         continue
-                    x = np.array(v, np.float64)
-                    if np.isfinite(x).all():
+                    with np.errstate(over="ignore"):
+                        x = np.floor(scale * np.array(v, np.float64))
+                    if (np.abs(x) <= LARGEST).all():  # also false for what is not a number
                         ids.append(i)
-                        out.append(np.floor(scale * x).astype("<i8").tobytes())
+                        out.append(x.astype("<i8").tobytes())
                 yield batch(schema, ids, out)
 
     return vectors.select(F.col(id_col).cast("long"), vector_col).mapInArrow(run, "id long, v binary")
@@ -199,6 +224,7 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SCA
     if there are fewer.
 
     Rows that ``scaled`` leaves out take no part. Vectors meet only vectors of their own length.
+    Scores are exact; those beyond what a long holds count as the largest (least) that it does.
     Repeated rows of one id and vector count once; rows that share an id are never each other's
     neighbours. Other columns are not looked at; an empty table gives no rows.
     """
@@ -217,8 +243,11 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SCA
     q, r = (_summary(p, x) for p, x in ((packed_q, "q"), (packed_r, "r")))
     dot = F.aggregate(F.zip_with("q_centre", "r_centre", lambda a, b: a * b), F.lit(0.0),
                       lambda s, x: s + x)
+    extent = (F.col("q_norm") + F.col("q_radius")) * (F.col("r_norm") + F.col("r_radius"))
     most = (dot + F.col("q_norm") * F.col("r_radius") + F.col("r_norm") * F.col("q_radius")
-            + F.col("q_radius") * F.col("r_radius"))
+            + F.col("q_radius") * F.col("r_radius") + F.lit(SLACK)
+            + F.lit(ROUNDING) * F.size("q_centre") * extent)
+    most = F.greatest(F.lit(float(NONE)), most)
     # summaries only: the blocks of a stated query set against all blocks
     pairs = materialize(q.join(r, "size").withColumn("most", most)
                         .select("q_block", "r_block", "most"), "block-pairs")
@@ -227,10 +256,10 @@ def top_k(vectors: DataFrame, every: int = EVERY, k: int = TOP, scale: int = SCA
     first = materialize(_meet(ranked.filter("turn = 1"), packed_q, packed_r, None, k), "first")
     kth = (first.groupBy("q_block", "query_id").agg(
         F.when(F.count("id") >= k, F.min("score")).alias("kth")))
-    worst = kth.groupBy("q_block").agg(F.min(F.coalesce("kth", F.lit(-2 ** 62))).alias("worst"))
+    worst = kth.groupBy("q_block").agg(F.min(F.coalesce("kth", F.lit(int(NONE)))).alias("worst"))
     held = kth.groupBy("q_block").agg(F.collect_list(F.struct("query_id", "kth")).alias("held"))
     rest = (ranked.filter("turn > 1").join(worst, "q_block", "left")
-            .filter(f"worst is null or most + {SLACK} >= worst").drop("worst"))
+            .filter("worst is null or most >= double(worst)").drop("worst"))
     later = _meet(rest, packed_q, packed_r, held, k)
     found = first.union(later).filter("id is not null").select("query_id", "id", "score")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "id"))
@@ -315,11 +344,11 @@ def _meet(pairs: DataFrame, packed_q: DataFrame, packed_r: DataFrame, held: Data
                 best = Best(q["ids"], k)
                 if known:
                     kth = {x["query_id"]: x["kth"] for x in known if x["kth"] is not None}
-                    best.worst = np.array([kth.get(x, -np.inf) for x in q["ids"].tolist()], float)
+                    best.worst = np.array([kth.get(x, NONE) for x in q["ids"].tolist()], np.int64)
                 search(q, r, best)
-                row, place = np.nonzero(best.score > -np.inf)
+                row, place = np.nonzero(best.score > NONE)
                 none = np.setdiff1d(np.arange(len(q["ids"])), row)
-                score = pa.array(best.score[row, place].astype(np.int64))
+                score = pa.array(best.score[row, place])
                 empty = pa.nulls(len(none), pa.int64())
                 yield batch(schema, [name] * (len(row) + len(none)),
                             q["ids"][np.concatenate((row, none))],
