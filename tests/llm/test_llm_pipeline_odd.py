@@ -50,3 +50,22 @@ def test_further_columns_go_along(spark, odd):  # noqa: F811
     assert len(rows) == len(odd)
     plain = docs.select("doc_id", "text")
     assert corpus_pipeline.substrings(spark, plain, SF).count() == len(odd)
+
+
+def test_kept_documents_of_hot_texts(spark):
+    from pyspark.sql import functions as F
+
+    from vigil.llm import exact_dedup
+    rows = [(i, ("Hot Text", "hot text", "HOT TEXT")[i % 3], i % 5) for i in range(900)]
+    rows += [(1000 + i, f"Cold {i // 2}", i) for i in range(20)]
+    rows += [(None, "cold 3", 1), (None, None, 1), (None, "Alone", 1), (2000, "", 1), (2000, None, 2)]
+    table = spark.createDataFrame(rows * 2, "doc_id long, text string, digest int").repartition(7)
+    for digest in (exact_dedup.sha256, lambda c: F.lit(b"same")):  # the last: one hot digest
+        got = exact_dedup.kept_documents(table, digest=digest)
+        assert got.columns == table.columns
+        kept = sorted(((r.doc_id, (r.text or "").lower()) for r in got.collect()), key=str)
+        want = {}
+        for i, t, _ in rows:
+            t = (t or "").lower()
+            want[t] = i if t not in want or (want[t] is None) or (i is not None and i > want[t]) else want[t]
+        assert kept == sorted(((i, t) for t, i in want.items()), key=str)

@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from vigil.llm.common import ascii_lower, documents, materialize
 
 SALTS = 32
+# Texts of at least so many rows, and of one in HOT_SHARE rows or more, are combined by salts in
+# ``kept_documents``; others reach a task as at most one row per map task anyway.
+HOT_LEAST, HOT_SHARE = 256, 4096
 
 
 def sha256(c: Column) -> Column:
@@ -57,15 +60,32 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def kept_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    salts: int = SALTS, digest=sha256) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    classes = materialize(_classes(_normalised(docs, id_col, text_col, digest), salts)
-                          .select(F.col("keep_id").alias("_keep_id"),
-                                  F.xxhash64("norm").alias("_norm_key")), "exact-kept")
-    norm = ascii_lower(F.coalesce(F.col(text_col), F.lit("")))
-    rows = docs.withColumn("_text_key", F.xxhash64(norm))
-    on = F.col(id_col).eqNullSafe(F.col("_keep_id")) & (F.col("_text_key") == F.col("_norm_key"))
-    return (rows.join(classes, on).dropDuplicates(["_keep_id", "_norm_key"])
-            .select(*docs.columns))
+    """The rows of ``docs`` that stay, with all their columns.
+
+    The winner's row travels with its text, so no row is joined back. Only texts that very many
+    rows hold take the salted way; all others are whole after their one shuffle. Of repeated rows
+    with the same id and text exactly one stays; null ids lose to any other.
+    """
+    rows = docs.select(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))).alias("norm"),
+                       F.struct(*docs.columns).alias("row"),
+                       F.struct(id_col, F.xxhash64(text_col)).alias("turn"))
+    rows = rows.withColumn("digest", digest(F.col("norm")))
+    counts = rows.groupBy("digest").agg(F.count(F.lit(1)).alias("n"))
+    counts = materialize(counts.filter(F.col("n") >= HOT_LEAST), "exact-counts")
+    total = docs.count()
+    # at most HOT_SHARE digests, however many rows there are
+    hot = F.broadcast(counts.filter(F.col("n") * HOT_SHARE >= total).select("digest"))
+    salt = F.pmod(F.spark_partition_id(), F.lit(salts))
+    local = _winners(rows.join(hot, "digest", "left_semi").withColumn("salt", salt),
+                     "digest", "salt", "norm")
+    cold = _winners(rows.join(hot, "digest", "left_anti"), "digest", "norm")
+    kept = cold.select("row").union(_winners(local, "digest", "norm").select("row"))
+    return kept.select("row.*")
+
+
+def _winners(rows: DataFrame, *keys: str) -> DataFrame:
+    """One row of each group: the one of the largest ``turn``."""
+    return rows.groupBy(*keys).agg(F.max_by("row", "turn").alias("row"), F.max("turn").alias("turn"))
 
 
 def _normalised(docs: DataFrame, id_col: str, text_col: str, digest) -> DataFrame:
