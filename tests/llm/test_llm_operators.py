@@ -441,7 +441,8 @@ def test_top_k_of_large_components(spark, size):
 
 def test_cover_tree_radii_shrink():
     rng = np.random.default_rng(3)
-    tree = dual_tree.build(np.rint(rng.normal(size=(3000, 16)) * 400), np.arange(3000))
+    centres = np.repeat(rng.normal(size=(30, 16)) * 400, 100, axis=0)
+    tree = dual_tree.build(np.rint(centres + rng.normal(size=(3000, 16)) * 20), np.arange(3000))
     nodes, radius = tree["nodes"], tree["radius"]
     inner = np.flatnonzero(nodes[:, 3])
     assert len(inner)

@@ -27,7 +27,7 @@ TOP, EVERY, SCALE = 20, 20, 64
 DATA_BLOCK, QUERY_BLOCK = 4096, 512
 # Pivots at most (the upper level that queries and data share) and the sample they come from.
 PIVOTS, PIVOT_SAMPLE = 256, 4096
-LEAF, BASE = 64, 1.3
+LEAF, BASE, FAN_OUT = 64, 1.3, 48
 # Bounds are floats: they are raised by a half and by this share of the balls' extents for each
 # component, which covers their rounding. Scores are whole numbers and exact.
 SLACK, ROUNDING = 0.5, 2.0 ** -48
@@ -59,7 +59,8 @@ def farthest_first(points: np.ndarray, start: int, reach: float, limit: int
 
 def build(points: np.ndarray, ids: np.ndarray) -> dict:
     """Cover tree over points (rows). Nodes are rows of ``nodes``: first point, end, first child,
-    number of children; ``centre`` and ``radius`` are theirs; points are stored in node order."""
+    number of children; ``centre`` and ``radius`` are theirs; points are stored in node order. A
+    node is a leaf if it has few points, or FAN_OUT balls of a smaller radius cannot cover them."""
     exact, points = points.astype(np.int64), points.astype(np.float64)
     order: list[np.ndarray] = []
     rows: list[list] = []
@@ -74,7 +75,10 @@ def build(points: np.ndarray, ids: np.ndarray) -> dict:
         if len(own) <= LEAF or reach == 0:
             leaves[node] = own
             continue
-        centres, owner, _ = farthest_first(sub, start, reach / BASE, len(sub))
+        centres, owner, near = farthest_first(sub, start, reach / BASE, FAN_OUT)
+        if near.max() > reach / BASE:  # points too scattered for smaller balls to tell them apart
+            leaves[node] = own
+            continue
         rows[node][2:] = [len(rows), len(centres)]
         for c, at in enumerate(centres):
             members = np.flatnonzero(owner == c)
