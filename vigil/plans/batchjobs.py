@@ -59,7 +59,8 @@ def reassemble_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def decode_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Messages and rejects of records of every form, each record accounted for."""
-    msgs, bad = decode_records(feeds.mixed_records(events(spark, sf_dir)), keep=["offset"])
+    msgs, bad = decode_records(feeds.mixed_records(events(spark, sf_dir)), ["offset"],
+                               lambda p: materialize(p, "parsed"))
     good = msgs.select(F.col("offset").alias("ord"), F.col("idx").cast("int").alias("idx"),
                        F.col("msg.payload.data.temperature").alias("temperature"),
                        F.lit(None).cast("string").alias("text"), F.lit(None).cast("string").alias("reason"))
