@@ -69,3 +69,15 @@ def test_lines_are_looked_at_once(spark, monkeypatch):
 def test_mixed_records_are_parsed_once(spark):
     plan = batchjobs.decode_mixed(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "from_json" not in plan.lower() and "jsontostructs" not in plan.lower()
+
+
+def test_chunks_of_files_are_dealt_by_size(spark, monkeypatch, tmp_path):
+    from vigil.sources import splits
+
+    monkeypatch.setattr(framing, "TASK_BYTES", 2000)
+    asked, running = [], splits.running
+    monkeypatch.setattr(splits, "running", lambda *a, parts=None: asked.append(parts) or running(*a, parts=parts))
+    (tmp_path / "a.json").write_text(",".join('{"guid": "}%d", "a": {}}' % i for i in range(60)))
+    docs, lost = splits.read_objects(spark, str(tmp_path))
+    assert {r.value for r in docs.collect()} == {'{"guid": "}%d", "a": {}}' % i for i in range(60)}
+    assert lost.count() == 0 and min(asked) > 8

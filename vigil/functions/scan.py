@@ -47,11 +47,11 @@ def default_bucket(df: DataFrame, order: str) -> Column:
 
 
 def running(df: DataFrame, by: list[str], order: str, specs: list[RunSpec],
-            bucket: Column | None = None) -> DataFrame:
+            bucket: Column | None = None, parts: int | None = None) -> DataFrame:
     """Add one column per spec: the running aggregate within ``by`` ordered by ``order``.
 
     ``order`` must be unique within ``by`` (it is the batch key in every use here). Null keys are
-    a group like any other."""
+    a group like any other. ``parts`` tasks take the rows (None: as many as the session says)."""
     bkt = bucket if bucket is not None else default_bucket(df, order)
     b = df.withColumn("_bkt", bkt)
     # 1. running value inside each (by, bucket): the one exchange of the input rows
@@ -60,7 +60,7 @@ def running(df: DataFrame, by: list[str], order: str, specs: list[RunSpec],
         w = Window.partitionBy(*by, "_bkt").orderBy(order).rowsBetween(
             Window.unboundedPreceding, 0 if s.inclusive else -1)
         cols.append(_AGG[s.op](s.col).over(w).alias(f"_i_{s.out}"))
-    inner = b.select("*", *cols)
+    inner = (b.repartition(parts, *by, "_bkt") if parts else b).select("*", *cols)
     # 2. bucket totals (partial aggregation of the input, one row per key and bucket) and
     #    their exclusive prefix: a window over bucket rows only. The input is evaluated by
     #    both branches; callers write or persist it when it is expensive.

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from vigil.functions.scan import RunSpec, running
 from vigil.functions.sizing import materialize
-from vigil.sources.framing import reassemble
+from vigil.sources.framing import parts_needed, reassemble
 
 BY = ["topic", "partition"]
 
@@ -42,18 +42,21 @@ def read_objects(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     (``topic``) and text (``value``), and every piece of text that belongs to none, with the reason.
     Objects may stand in arrays, one after the other, on one line or many."""
     chunks = materialize(read_chunks(spark, path), "chunks")
+    parts = parts_needed(chunks, "value")
+    dealt = chunks.repartition(parts, *BY, "offset") if parts else chunks
     line_end = F.instr("value", "\n") > 0
     after = F.when(line_end, F.substring_index("value", "\n", -1)).otherwise(F.col("value"))
     # narrow tables, written because a running value reads its input twice
     facts = materialize(chunks.select(*BY, "offset", _quotes(after).alias("_q"), line_end.alias("_new")), "quotes")
-    seen = materialize(running(facts, BY, "offset", [RunSpec("_v", "_q", inclusive=False)]), "quotes")
+    seen = materialize(running(facts, BY, "offset", [RunSpec("_v", "_q", inclusive=False)], parts=parts), "quotes")
     seen = seen.withColumn("_v", F.coalesce("_v", F.lit(0))).withColumn(
         "_at", F.when(F.col("_new"), F.col("_v")))
-    seen = materialize(running(seen, BY, "offset", [RunSpec("_base", "_at", "max", inclusive=False)]), "quotes")
+    seen = materialize(running(seen, BY, "offset", [RunSpec("_base", "_at", "max", inclusive=False)], parts=parts), "quotes")
     starts = ((F.col("_v") - F.coalesce("_base", F.lit(0))) % 2 == 0).cast("long")
-    groups = running(seen.select(*BY, "offset", starts.alias("_starts")), BY, "offset", [RunSpec("_g", "_starts")])
+    groups = running(seen.select(*BY, "offset", starts.alias("_starts")), BY, "offset", [RunSpec("_g", "_starts")],
+                     parts=parts)
     text = F.struct("offset", "value")
-    lines = (chunks.join(groups.select(*BY, "offset", "_g"), [*BY, "offset"]).groupBy(*BY, "_g")
+    lines = (dealt.join(groups.select(*BY, "offset", "_g"), [*BY, "offset"]).groupBy(*BY, "_g")
              .agg(F.min("offset").alias("offset"), F.array_sort(F.collect_list(text)).alias("_l"))
              .select(*BY, "offset", F.array_join(F.transform("_l", lambda c: c["value"]), "").alias("value")))
     docs, unfinished, lost = reassemble(materialize(lines, "lines"), between="")
