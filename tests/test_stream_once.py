@@ -5,6 +5,7 @@ import os
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from vigil.sources.framing import pieces
 from vigil.streaming.ledger import Ledger, empty
 from vigil.streaming.runner import PLACE, packed_order
 
@@ -35,3 +36,19 @@ def test_packed_order_is_that_of_the_places(spark):
         by_struct = [tuple(r)[:3] for r in df.orderBy(F.struct(*PLACE)).collect()]
         assert [tuple(r)[:3] for r in df.orderBy("ord").collect()] == by_struct
         assert df.select("ord").distinct().count() == len(places)
+
+
+def test_rows_kept_for_a_batch_bring_no_lineage(spark, tmpdir_path):
+    led = Ledger(spark, os.path.join(tmpdir_path, "out"))
+    rows = led.once("rows", 3, spark.range(10).withColumn("k", F.col("id") % 3).groupBy("k").count())
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert rows.count() == 3 and plan.strip().count("\n") == 0 and "Relation" in plan
+    led.clear(3)
+    assert not os.path.exists(led.path("work/batch_id=3"))
+
+
+def test_what_a_single_object_leaves_of_a_record(spark):
+    want = {'[{"a":1}]': (1, None), '{"a":1} x': (1, "x"), 'x, {"a":1}': (1, "x"), '{"a":1}{"a":1}': (2, None),
+            '{"a":{"b":1}} {"b":1}': (2, None), 'y {"a":1} z {"a":1}': (2, 'y  z'), "no": (0, "no"), " ": (0, None)}
+    df = pieces(spark.createDataFrame([(v,) for v in want], "v string"), "v", ["v"])
+    assert {r.v: (len(r["_o"]), r["_x"]) for r in df.collect()} == want
