@@ -169,6 +169,77 @@ def test_pivot_pairs_are_all_pairs(monkeypatch):
     assert sorted(got) == sorted(want)
 
 
+def _families(rng, n_families=12, most=14):
+    """Sets in families around a base, at all distances about the limit, with shared features."""
+    sets, common = [], rng.integers(0, 2**63, 40, dtype=np.uint64)
+    for _ in range(n_families):
+        base = rng.integers(0, 2**63, int(rng.choice([3, 12, 60, 250])), dtype=np.uint64)
+        for _ in range(int(rng.integers(1, most))):
+            other = base.copy()
+            k = rng.integers(0, len(base), int(len(base) * rng.choice([0, 0.04, 0.08, 0.11, 0.14])))
+            other[k] = rng.integers(0, 2**63, len(k), dtype=np.uint64)
+            some = rng.choice(common, int(rng.choice([0, 0, 3])))
+            sets.append(np.unique(np.concatenate((other, some))))
+    return list({s.tobytes(): s for s in sets}.values())
+
+
+def test_linked_sets_are_the_components_of_all_links(monkeypatch):
+    monkeypatch.setattr(jaccard_join, "PAIRS_AT_ONCE", 64)
+    linked = 0
+    for seed in range(12):
+        sets = _families(np.random.default_rng(seed))
+        owner, mark = jaccard_join.signatures(sets)
+        group = jaccard_join.connected(owner, mark, len(sets))
+        order = np.argsort(group, kind="stable")
+        sets, group = [sets[i] for i in order], group[order]
+        want = list(range(len(sets)))
+        for i in range(len(sets)):
+            for j in range(i):
+                both = len(np.intersect1d(sets[i], sets[j]))
+                if 100 * both >= 80 * (len(sets[i]) + len(sets[j]) - both) and want[i] != want[j]:
+                    want = [want[j] if x == want[i] else x for x in want]
+                    linked += 1
+        got = jaccard_join.linked_sets(sets, group).tolist()
+        assert len(set(zip(got, want))) == len(set(got)) == len(set(want))
+    assert linked > 100
+
+
+def test_signature_groups_leave_a_bucket_as_one_edge_a_node(spark):
+    """A family of near copies, each unlike the others in its own way: pairs of its signatures would
+    grow with the square of its size."""
+    rnd = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for k in range(400):
+        words = list(base)
+        for _ in range(3):
+            words[rnd.randrange(120)] = f"x{k}-{rnd.random()}"
+        rows.append((" ".join(words),))
+    texts = spark.createDataFrame(rows, "text string").repartition(2)
+    frequent = spark.sparkContext.broadcast(np.zeros(0, np.uint64))
+    edges = jaccard_join.candidate_groups(texts, 8, frequent).collect()
+    assert len(edges) < 2 * 400
+    nodes = {e.a for e in edges} | {e.b for e in edges}
+    assert len(nodes) > 380
+
+
+def test_large_groups_give_the_same_components(spark, monkeypatch):
+    rnd = random.Random(5)
+    rows = []
+    for f in range(6):
+        base = [f"f{f}w{i}" for i in range(90)]
+        for k in range(12):
+            words = list(base)
+            for _ in range(rnd.choice([0, 1, 2, 3])):
+                words[rnd.randrange(90)] = f"x{rnd.random()}"
+            rows.append((100 * f + k, " ".join(words)))
+    want = brute.jaccard_components(rows)
+    for features in (jaccard_join.GROUP_FEATURES, 500, 0):  # none, some, all groups are large
+        monkeypatch.setattr(jaccard_join, "GROUP_FEATURES", features)
+        out = jaccard_join.jaccard_join(docs_of(spark, rows)).collect()
+        assert {r.id: (r.n_shingles, r.component_id) for r in out} == want
+
+
 def test_jaccard_join_odd_and_chains(spark, odd):
     rnd = random.Random(2)
     base = [f"t{i}" for i in range(400)]

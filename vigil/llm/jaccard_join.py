@@ -7,11 +7,16 @@ features, and a set signs so many parts that H differences cannot spoil all of i
 those left are signed alike by the partner. Pairs that share a signature are candidates, and the
 sets themselves decide.
 
-Candidates are not expanded into all pairs of a group. The smallest member is paired with the
-others (first inside each task, then between tasks). Only members of groups that are then still in
-several components go on, with the next members as pivots, until no pair across components is
-untested. There a bitmap of each set, sent along, bounds what two sets can share, and pairs that
-cannot be similar never become rows. The components are therefore those of all links.
+Candidates never become rows. Sets that signatures connect make a group; what leaves a block, and
+then a bucket of signatures, is one edge a node, and no link crosses groups. A group's texts are
+sent once, to the task that finds its components: a set is tested against the partners that its
+signatures name and that are in other components, first by bitmaps, which bound what two sets can
+share, then by the sets, until no pair across components is untested.
+
+Groups of more than GROUP_FEATURES are too large for a task. In these the smallest member of each
+signature is paired with the others (first inside each task, then between tasks). Only members of
+signatures that are then still in several components go on, with the next members as pivots, until
+no pair across components is untested. The components are in both cases those of all links.
 """
 
 from __future__ import annotations
@@ -40,6 +45,9 @@ PER_PART, LEAST = 6.5, 2
 # (average set size / FREQUENT) of them, whatever the input.
 FREQUENT = 0.002
 BLOCK = 4 << 20
+# Features of a group whose components are found by one task (8 bytes each); larger groups take
+# rounds of pivots over all tasks.
+GROUP_FEATURES = 4 << 20
 # Pivots of a group's second round; a last round takes all others.
 PIVOTS, EVERY_PIVOT = 8, 1 << 30
 # Bits of a sketch for each feature of a set (rounded up to a power of two), and the least.
@@ -237,6 +245,209 @@ def frequent_features(classes: DataFrame, n_sets: int) -> np.ndarray:
     return np.sort(counts.toArrow().column(0).to_numpy().view(np.uint64))
 
 
+def connected(owner: np.ndarray, mark: np.ndarray, n: int) -> np.ndarray:
+    """For each of ``n`` nodes the smallest of its component; the owners of a mark are connected."""
+    order = np.argsort(mark, kind="stable")
+    s, e = runs(mark[order])
+    several = e - s > 1
+    node = owner[order][np.repeat(several, e - s)]
+    length = (e - s)[several]
+    label = np.arange(n)
+    if not len(node):
+        return label
+    start = np.cumsum(length) - length
+    while True:
+        low = np.repeat(np.minimum.reduceat(label[node], start), length)
+        new = label.copy()
+        np.minimum.at(new, label[node], low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def candidate_groups(texts: DataFrame, n_buckets: int, frequent, n_words: int = N_WORDS,
+                     percent: int = PERCENT) -> DataFrame:
+    """Edges (a, b) whose components are those that common signatures make; a node is the start of
+    a set's key (``_short``; two keys that start alike only make a group larger). ``texts``: one
+    column. A block connects its own sets and sends each signature once, named by its component's
+    smallest node; so does a bucket with what comes from the blocks."""
+    send_ddl = "bucket int, marks binary, nodes binary, edge_a binary, edge_b binary"
+    send_schema = arrow_schema(send_ddl)
+    edge_schema = arrow_schema("a long, b long")
+
+    def block(keys: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
+        owner, mark = signatures(sets, percent, frequent.value)
+        node = np.array(keys, np.int64)
+        by_node = np.argsort(node, kind="stable")  # the smallest of a component names it
+        place = np.empty(len(node), np.int64)
+        place[by_node] = np.arange(len(node))
+        node, owner = node[by_node], place[owner]
+        root = connected(owner, mark, len(node))
+        moved = np.flatnonzero(root != np.arange(len(node)))
+        mark, first = np.unique(mark, return_index=True)
+        name = root[owner[first]]
+        by_id = np.argsort(name, kind="stable")  # runs of one node compress well
+        mark, name = mark[by_id], name[by_id]
+        order, at = deal(((mark >> np.uint64(32)) % np.uint64(n_buckets)).astype(np.int64), n_buckets)
+        e_order, e_at = deal(moved % n_buckets, n_buckets)
+        low = (mark & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+        cols: list[list] = [[] for _ in range(5)]
+        for b in np.flatnonzero((np.diff(at) > 0) | (np.diff(e_at) > 0)):
+            i, m = order[at[b]:at[b + 1]], moved[e_order[e_at[b]:e_at[b + 1]]]
+            for c, x in zip(cols, (b, low[i].tobytes(), node[name[i]].tobytes(),
+                                   node[m].tobytes(), node[root[m]].tobytes())):
+                c.append(x)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(cols, send_schema)], schema=send_schema)
+
+    def send(batches):
+        keys, sets, seen, size = [], [], set(), 0
+        for rb in batches:
+            for s in shingle_sets(rb.column(0), n_words):
+                if len(s) < 2:  # equal sets are one class already
+                    continue
+                key = set_key(s)
+                if key in seen:
+                    continue
+                seen.add(key)
+                keys.append(int.from_bytes(key[:8], "big") >> 4)  # as _short
+                sets.append(s)
+                size += s.nbytes
+                if size >= BLOCK:
+                    yield block(keys, sets)
+                    keys, sets, seen, size = [], [], set(), 0
+        if sets:
+            yield block(keys, sets)
+
+    def meet(t: pa.Table) -> pa.Table:
+        def joined(name, kind):
+            return np.frombuffer(b"".join(t.column(name).to_pylist()), kind)
+        node, owner = np.unique(joined("nodes", np.int64), return_inverse=True)
+        root = connected(owner, joined("marks", np.uint32), len(node))
+        moved = np.flatnonzero(root != np.arange(len(node)))
+        return pa.Table.from_arrays(
+            [pa.array(np.concatenate((node[moved], joined("edge_a", np.int64)))),
+             pa.array(np.concatenate((node[root[moved]], joined("edge_b", np.int64))))],
+            schema=edge_schema)
+
+    return (texts.mapInArrow(send, send_ddl).groupBy("bucket")
+            .applyInArrow(meet, "a long, b long").distinct())
+
+
+class Sets:
+    """Sets side by side, with their sketches: which of many one set is similar to."""
+
+    def __init__(self, sets: list[np.ndarray], percent: int):
+        self.percent = percent
+        self.size = np.array([len(s) for s in sets], np.int64)
+        self.features = np.concatenate([np.zeros(0, np.uint64), *sets])
+        self.start = np.cumsum(self.size) - self.size
+        self.wide = sketch_bytes(self.size)
+        self.drawn = np.concatenate([np.zeros(0, np.uint8), *map(sketch, sets)])
+        self.where = np.cumsum(self.wide) - self.wide
+
+    def similar(self, p: int, others: np.ndarray) -> np.ndarray:
+        """Those of ``others`` that are similar to ``p``."""
+        size, found = self.size, []
+        small, big = np.minimum(size[others], size[p]), np.maximum(size[others], size[p])
+        others = others[100 * small >= self.percent * big]
+        mine = self.features[self.start[p]:self.start[p] + size[p]]
+        drawn = self.drawn[self.where[p]:self.where[p] + self.wide[p]][None]
+        for w in np.unique(self.wide[others]):
+            same = others[self.wide[others] == w]
+            ends = np.concatenate(([0], np.cumsum(size[same])))
+            for i, j in by_bytes(ends, PAIRS_AT_ONCE * 4):
+                q = same[i:j]
+                theirs = self.drawn[self.where[q][:, None] + np.arange(w)]
+                q = q[may_be_similar(np.repeat(drawn, len(q), axis=0), theirs,
+                                     np.repeat(size[p], len(q)), size[q], self.percent)]
+                if not len(q):
+                    continue
+                begin = np.cumsum(size[q]) - size[q]
+                x = self.features[np.arange(size[q].sum()) + np.repeat(self.start[q] - begin, size[q])]
+                hit = mine[np.minimum(np.searchsorted(mine, x), len(mine) - 1)] == x
+                shared = np.add.reduceat(hit.astype(np.int64), begin)
+                found.append(q[100 * shared >= self.percent * (size[p] + size[q] - shared)])
+        return np.concatenate([others[:0], *found])
+
+
+def linked_sets(sets: list[np.ndarray], group: np.ndarray, frequent: np.ndarray | None = None,
+                percent: int = PERCENT) -> np.ndarray:
+    """A number for the component of each set, by all links between them. ``group`` (sorted) names
+    groups that no signature crosses.
+
+    Sets take turns. One is tested against all sets of its signatures that are in other components
+    and had no turn, then it is done. Signatures of one component only have nothing left to test.
+    First comes the set in most signatures: the text that others are copies of. Then those of small
+    components: every untested pair has one outside the largest. More take their turn from round to
+    round, as signatures are looked through anew."""
+    n = len(sets)
+    label, done, step = np.arange(n), np.zeros(n, bool), 1
+    if n < 2:
+        return label
+    at = Sets(sets, percent)
+    members, marks = [], []
+    for i, j in by_bytes(8 * np.concatenate(([0], np.cumsum(at.size))), BLOCK):
+        o, m = signatures(sets[i:j], percent, frequent)
+        members.append(o + i)
+        marks.append(m)
+    member, mark = np.concatenate(members), np.concatenate(marks)
+    order = np.argsort(mark, kind="stable")
+    member, mark = member[order], mark[order]
+    low, high = np.searchsorted(group, group), np.searchsorted(group, group, "right")
+    while True:
+        member, mark = member[~done[member]], mark[~done[member]]
+        s, e = runs(mark)
+        if len(s):
+            of = label[member]
+            live = np.repeat(np.minimum.reduceat(of, s) != np.maximum.reduceat(of, s), e - s)
+            member, mark = member[live], mark[live]
+            s, e = runs(mark)
+        if not len(s):
+            return label
+        often = np.bincount(member, minlength=n)
+        node = np.flatnonzero(often)
+        width = np.bincount(label[node], minlength=n)[label[node]] if step > 1 else np.zeros(len(node))
+        node = node[np.lexsort((-often[node], width, group[node]))]
+        first, last = runs(group[node])
+        turn = node[np.arange(len(node)) - np.repeat(first, last - first) < step]
+        run = np.repeat(np.arange(len(s)), e - s)[np.argsort(member, kind="stable")]
+        own = np.concatenate(([0], np.cumsum(often)))
+        for p in turn.tolist():
+            q = np.concatenate([member[s[r]:e[r]] for r in run[own[p]:own[p + 1]].tolist()])
+            q = q[(label[q] != label[p]) & ~done[q]]
+            done[p] = True
+            if len(q):
+                near = label[at.similar(p, np.unique(q))]
+                part = label[low[p]:high[p]]  # links stay in the group
+                part[np.isin(part, near)] = label[p]
+        step *= 2
+
+
+def group_links(texts: DataFrame, frequent, n_words: int = N_WORDS,
+                percent: int = PERCENT) -> DataFrame:
+    """(a, b): set keys and another one of their component, for all but that one. ``texts``: cell,
+    grp, key, text; a group is in one cell. Texts whose set has another key are left out."""
+    schema = arrow_schema("a binary, b binary")
+
+    def run(t: pa.Table) -> pa.Table:
+        found = {}
+        for k, g, s in zip(t.column("key").to_pylist(), t.column("grp").to_pylist(),
+                           shingle_sets(t.column("text"), n_words)):
+            if k not in found and len(s) and set_key(s) == k:
+                found[k] = (g, s)
+        keys = sorted(found, key=lambda k: (found[k][0], k))
+        label = linked_sets([found[k][1] for k in keys],
+                            np.array([found[k][0] for k in keys], np.int64), frequent.value, percent)
+        star = [(k, keys[r]) for i, (k, r) in enumerate(zip(keys, label.tolist())) if i != r]
+        return pa.Table.from_arrays([pa.array([x[c] for x in star], pa.binary()) for c in (0, 1)],
+                                    schema=schema)
+
+    return texts.groupBy("cell").applyInArrow(run, "a binary, b binary")
+
+
 def candidates(docs: DataFrame, n_buckets: int, frequent, n_words: int = N_WORDS,
                percent: int = PERCENT) -> DataFrame:
     """Pairs (a, b) of ids, smallest member and another one, of every signature's group.
@@ -361,24 +572,33 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     members = classes_.filter("n >= 0").select("id", "n", "key")
     frequent = docs.sparkSession.sparkContext.broadcast(
         frequent_features(classes_, members.count()))
-    named = members.filter("id is not null and key is not null").select("id", "key")
-    classes = named.groupBy("key").agg(F.min("id").alias("rep"))
-
-    found = candidates(rows.filter("id is not null"), n_buckets, frequent, n_words, percent)
-    pairs = materialize(_as_classes(found, named), "pairs")
-    # one text of each class in a pair, read once
-    wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).distinct()
-    reps = wanted.join(classes, "key").select(F.col("key"), F.col("rep").alias("id"))
-    texts = materialize(_texts(rows.join(reps, "id"), n_words), "texts")
-
+    named = members.filter("id is not null and key is not null").select("id", "n", "key")
+    classes = named.groupBy("key").agg(F.min("id").alias("rep"), F.max("n").alias("n"))
+
+    joined = components(candidate_groups(rows.filter("id is not null").select("text"), n_buckets,
+                                         frequent, n_words, percent))
+    groups = joined.union(joined.select("label", "label").distinct())
+    # the classes that may have links, with their groups; each is read by one of its texts
+    grouped = materialize(classes.withColumn("node", _short("key")).join(groups, "node").select(
+        F.col("rep").alias("id"), "key", "n", F.col("label").alias("grp")), "groups")
+    large = materialize(grouped.groupBy("grp").agg(F.sum("n").alias("n"))
+                        .filter(F.col("n") > GROUP_FEATURES).select("grp"), "large")
+    n_cells = block_count(8 * int(grouped.agg(F.sum("n")).first()[0] or 0))
+    few = grouped.join(F.broadcast(large), "grp", "left_anti")
+    cell = F.pmod(F.xxhash64("grp"), F.lit(n_cells)).cast("int").alias("cell")
+    # (dealt by id at any size, so that what small tables show of disk holds for large ones)
+    texts = rows.join(few.hint("merge"), "id").select(cell, "grp", "key", "text")
+    edges = group_links(texts, frequent, n_words, percent)
+    if not large.isEmpty():
+        many = grouped.join(F.broadcast(large), "grp", "left_semi").select("id", "key")
+        edges = edges.union(_large_groups(rows, many, n_buckets, frequent, n_words, percent))
     same_id = (named.groupBy("id").agg(F.min("key").alias("a"), F.max("key").alias("b"))
                .filter("a <> b").select("a", "id")
                .join(named, "id").select("a", F.col("key").alias("b")))
-    # cells hold a bounded share of all candidates' texts (each at most twice per row of cells)
-    side = max(8, -(-2 * text_bytes(texts, "text") // BLOCK))
-    edges = materialize(links(pairs, texts, side, n_words, percent).union(same_id), "links")
-    labels = components(edges)
-    labels = _further(pairs, texts, labels, frequent, side, n_buckets, n_words, percent)
+    edges, same_id = materialize(edges, "links"), materialize(same_id, "same")
+    # (the links are stars already, one or more a group)
+    labels = (edges.select(F.col("a").alias("node"), F.col("b").alias("label")) if same_id.isEmpty()
+              else components(edges.union(same_id)))
 
     # the label is a set key; the component's name is its smallest id
     key_label = classes.join(labels, classes["key"] == labels["node"], "left").select(
@@ -390,6 +610,20 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.col("id").isNotNull(), F.coalesce("component_id", "id")).alias("component_id"))
 
 
+def _large_groups(rows: DataFrame, named: DataFrame, n_buckets: int, frequent, n_words: int,
+                  percent: int) -> DataFrame:
+    """(node, label) of the components by all links of the classes ``named`` (id, key), by pivots of
+    their signatures; ``rows``: id, text."""
+    texts = materialize(_texts(rows.join(named, "id"), n_words), "texts")
+    known = texts.join(named, "key").select("id", "text")
+    found = candidates(known, n_buckets, frequent, n_words, percent)
+    pairs = materialize(_as_classes(found, named), "pairs")
+    # cells hold a bounded share of all candidates' texts (each at most twice per row of cells)
+    side = max(8, -(-2 * text_bytes(texts, "text") // BLOCK))
+    labels = components(links(pairs, texts, side, n_words, percent))
+    return _further(pairs, texts, labels, frequent, side, n_buckets, n_words, percent)
+
+
 def _as_classes(pairs: DataFrame, named: DataFrame) -> DataFrame:
     """Pairs of ids as distinct pairs of their set keys; equal sets need no test."""
     a = named.select(F.col("id").alias("a"), F.col("key").alias("key_a"))
